@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.operators.latest import latest_rows
+from courierlake.session import scratch_path, setting
+from courierlake.sources.lake import by_partition
 from courierlake.sources.schemas import RAW_TABLES
-from courierlake.session import scratch_path
 
 DAY = "event_date"
 
@@ -57,11 +58,8 @@ def reprocess_recent(
     )
     gone = [row[DAY] for row in emptied.collect()]
 
-    (
-        staged.select(*stored.columns)
-        .hint("rebalance", F.col(DAY))
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows = by_partition(staged.select(*stored.columns), DAY)
+        rows.write.insertInto(table, overwrite=True)
     for day in gone:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY} = DATE'{day}')")

@@ -11,6 +11,7 @@ values of one slice, and both windows spill.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,12 +20,14 @@ SLICE = 1_000_000
 
 
 def grouped_percentiles(
-    counted: DataFrame, key: str, value: str, weight: str, fractions: Mapping[str, float]
+    counted: DataFrame, key: str, value: str, weight: str, fractions: Mapping[str, str]
 ) -> DataFrame:
     """Interpolated percentiles, one row per `key` and one column per fraction.
 
     `counted` has one row per (`key`, `value`) with the number of occurrences
-    in `weight`; `value` is an integer. NULL keys form a group.
+    in `weight`; `value` is an integer. NULL keys form a group. Fractions are
+    decimal texts such as "0.95": positions and interpolation are exact, and
+    only the result is a double.
     """
     in_group = Window.partitionBy(key).orderBy("_slice")
     to_here = in_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -38,7 +41,7 @@ def grouped_percentiles(
     )
     # Each wanted fraction sits between two zero-based positions.
     ends = {
-        (name, end): rounded(F.lit(fraction) * (F.col("_total") - 1)).cast("bigint")
+        (name, end): rounded(_position(fraction)).cast("bigint")
         for name, fraction in fractions.items()
         for end, rounded in (("low", F.floor), ("high", F.ceil))
     }
@@ -81,10 +84,14 @@ def grouped_percentiles(
     )
 
 
-def _interpolated(name: str, fraction: float) -> Column:
+def _position(fraction: str) -> Column:
+    return F.lit(Decimal(fraction)) * (F.col("_total") - 1)
+
+
+def _interpolated(name: str, fraction: str) -> Column:
     low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-    position = F.lit(fraction) * (F.col("_total") - 1)
-    return low + (position - F.floor(position)) * (high - low)
+    beyond = _position(fraction) - F.floor(_position(fraction))
+    return (low + beyond * (high - low)).cast("double")
 
 
 def _holds(position: Column, start: Column, end: Column) -> Column:

@@ -18,12 +18,9 @@ def flag_invalid_sequence(events: DataFrame) -> DataFrame:
     stage and get a group of their own, which keeps every window group small;
     so do rows without an order id. Both are never flagged.
     """
-    vocabulary = F.array(*(F.lit(name) for name in EVENT_TYPES))
+    place = F.array_position(F.array(*map(F.lit, EVENT_TYPES)), F.col("event_type"))
     # The last three types are alternative endings, hence one shared stage.
-    stage = F.least(
-        F.nullif(F.array_position(vocabulary, F.col("event_type")), F.lit(0)),
-        F.lit(len(EVENT_TYPES) - 2),
-    )
+    stage = F.when(place > 0, F.least(place, F.lit(len(EVENT_TYPES) - 2)))
     outsider = F.when(F.col("_stage").isNull(), F.col("event_type"))
     window = Window.partitionBy("order_id", outsider).orderBy(
         F.col("event_ts").asc_nulls_last(), F.col("_stage"), "event_type"

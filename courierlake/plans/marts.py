@@ -118,7 +118,7 @@ def prep_time_counts(timeline: DataFrame) -> DataFrame:
 
 def prep_percentiles(counts: DataFrame) -> DataFrame:
     """Exact median and 95th percentile of the preparation minutes, unrounded."""
-    fractions = {"median_us": 0.5, "p95_us": 0.95}
+    fractions = {"median_us": "0.5", "p95_us": "0.95"}
     located = grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", fractions)
     return located.select(
         "restaurant_id",

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from contextlib import AbstractContextManager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courierlake.session import setting
 from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -24,20 +26,30 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
-    """Overwrite `path` with `df`; returns the rows written.
+def by_partition(df: DataFrame, column: str) -> DataFrame:
+    """`df` with the rows of one partition value in few tasks, ready to write.
 
-    With `partition_by`, rows of one value meet in few files. REBALANCE rather
-    than a plain repartition: AQE then splits a value that holds a large share
-    of the rows over several tasks and packs small values together.
+    REBALANCE rather than a plain repartition: AQE then splits a value that
+    holds a large share of the rows over several tasks. Write under
+    `whole_width`, as each value already sits in one task unless it is split:
+    merging tasks would not save files, only leave fewer tasks to create them.
     """
+    return df.hint("rebalance", F.col(column))
+
+
+def whole_width(spark: SparkSession) -> AbstractContextManager[None]:
+    return setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
+def write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+    """Overwrite `path` with `df`; returns the rows written."""
     df, seen = counted(df)
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
     else:
-        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(
-            partition_by
-        ).parquet(path)
+        with whole_width(df.sparkSession):
+            rows = by_partition(df, partition_by)
+            rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return seen.get["rows"]
 
 
@@ -66,24 +78,28 @@ def load_tables(
     return loaded
 
 
-def save_table(
-    df: DataFrame, name: str, bucket_by: str | None = None, buckets: int | None = None
-) -> int:
-    """Replace catalog table `name`; returns the rows written.
+def save_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
+    """Replace catalog table `name`; returns the rows written."""
+    df, seen = counted(df)
+    if partition_by is None:
+        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    else:
+        with whole_width(df.sparkSession):
+            rows = by_partition(df, partition_by)
+            rows.write.mode("overwrite").partitionBy(partition_by).saveAsTable(name)
+    return seen.get["rows"]
 
-    Tables bucketed and sorted by the same column with the same bucket count
-    join on that column without a shuffle.
+
+def save_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> int:
+    """Replace catalog table `name` with one bucketed and sorted by `column`.
+
+    Tables bucketed alike join and group on that column without a shuffle.
+    Choose `buckets` for the data: a bucket is read by one task. Meant for
+    columns that are close to unique, as order ids are.
     """
     df, seen = counted(df)
-    if bucket_by is None:
-        writer = df.write
-    else:
-        if buckets is None:
-            raise ValueError("bucket_by needs a bucket count")
-        writer = (
-            df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-        )
-    writer.mode("overwrite").format("parquet").saveAsTable(name)
+    rows = df.repartition(buckets, column)
+    rows.write.mode("overwrite").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
     return seen.get["rows"]
 
 

@@ -104,9 +104,11 @@ def ingest_all_tables(v: Views) -> DataFrame:
 
 
 def date_partitioned_orders(v: Views) -> DataFrame:
-    path = scratch_path(v.spark, "silver-orders")
-    lake.write(v.clean_orders(), path, partition_by="order_date")
-    return lake.read(v.spark, path)
+    """Orders in one folder per day, loaded as a table with the day as a date."""
+    folder, database = scratch_path(v.spark, "silver"), _new_database(v)
+    lake.write(v.clean_orders(), f"{folder}/orders", partition_by="order_date")
+    lake.load_tables(v.spark, folder, ["orders"], database)
+    return v.spark.table(f"{database}.orders")
 
 
 def _new_database(v: Views) -> str:
@@ -118,7 +120,7 @@ def _new_database(v: Views) -> str:
 def warehouse_tables(v: Views) -> DataFrame:
     """Silver folders as catalog tables; one folder is missing on purpose."""
     folder, database = scratch_path(v.spark, "silver"), _new_database(v)
-    lake.write(v.clean_orders(), f"{folder}/orders", partition_by="order_date")
+    lake.write(v.clean_orders(), f"{folder}/orders")
     for name in ("refunds", "riders"):
         lake.write(silver.silver(name, v.raw(name)), f"{folder}/{name}")
     loaded = lake.load_tables(
@@ -139,8 +141,8 @@ def warehouse_tables(v: Views) -> DataFrame:
 def bucketed_timeline(v: Views) -> DataFrame:
     """The timeline over tables bucketed by order, which joins without a shuffle."""
     database = _new_database(v)
-    lake.save_table(v.orders(), f"{database}.orders", bucket_by="order_id", buckets=8)
-    lake.save_table(v.events(), f"{database}.events", bucket_by="order_id", buckets=8)
+    lake.save_bucketed(v.orders(), f"{database}.orders", "order_id", buckets=8)
+    lake.save_bucketed(v.events(), f"{database}.events", "order_id", buckets=8)
     return tl.delivery_timeline(
         v.spark.table(f"{database}.orders"), v.spark.table(f"{database}.events")
     )
@@ -161,7 +163,7 @@ def late_reprocess(v: Views) -> DataFrame:
     arrived = F.col("_ingested_at") >= F.lit(ARRIVAL_DAY)
     stored = latest_rows(events.where(~arrived), RAW_TABLES["delivery_events"].key)
     table = f"{_new_database(v)}.events"
-    late.with_event_date(stored).write.partitionBy(late.DAY).saveAsTable(table)
+    lake.save_table(late.with_event_date(stored), table, partition_by=late.DAY)
     late.reprocess_recent(table, events.where(arrived), LATE_AS_OF, LATE_HOURS)
     return v.spark.table(table)
 
