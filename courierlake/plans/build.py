@@ -105,10 +105,11 @@ def run(
     database: str = "default",
     as_of: dt.datetime | None = None,
     json_lines: bool = False,
+    order_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Everything, from raw files to published marts."""
     bronze_path, silver_path = f"{lake_path}/bronze", f"{lake_path}/silver"
     raw.ingest_all(spark, raw_path, bronze_path, json_lines=json_lines)
     build_silver(spark, bronze_path, silver_path, as_of)
-    lake.load_tables(spark, silver_path, RAW_TABLES, database)
+    lake.load_tables(spark, silver_path, RAW_TABLES, database, order_buckets)
     return build_models(spark, database, as_of.date() if as_of else None)

@@ -72,14 +72,13 @@ def silver_orders(bronze: DataFrame, as_of: dt.datetime | None = None) -> DataFr
 def silver_events(bronze: DataFrame, bronze_orders: DataFrame | None) -> DataFrame:
     """Deduplicated events with flags.
 
-    The orphan flag depends on the order id alone, so it is joined before the
-    deduplication: the join leaves the events partitioned by order, which also
-    serves the window by (order, event type). One shuffle of the events instead
-    of two.
+    Deduplication comes before the orphan join on purpose. Joining first would
+    save a shuffle, as the join's partitioning by order also serves the window,
+    but then all copies of one event would meet in one task before any of them
+    is dropped. This way map tasks drop copies before the first shuffle.
     """
-    rows = flag_orphans(drop_corrupt(bronze), bronze_orders)
-    rows = latest_rows(rows, RAW_TABLES["delivery_events"].key)
-    return rows.withColumns(
+    rows = latest_rows(drop_corrupt(bronze), RAW_TABLES["delivery_events"].key)
+    return flag_orphans(rows, bronze_orders).withColumns(
         {
             "_dq_invalid_event_type": fn.invalid_event_type(),
             "_dq_missing_rider": fn.missing_rider(),

@@ -77,4 +77,7 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

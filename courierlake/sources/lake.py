@@ -15,6 +15,8 @@ from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
 log = logging.getLogger(__name__)
 
+JOINED_BY_ORDER = ("orders", "delivery_events", "refunds")
+
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """`df` plus an observation that holds its row count once it was written.
@@ -59,11 +61,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_tables(
-    spark: SparkSession, silver_path: str, names: Iterable[str], database: str = "default"
+    spark: SparkSession,
+    silver_path: str,
+    names: Iterable[str],
+    database: str = "default",
+    order_buckets: int | None = None,
 ) -> dict[str, int]:
     """Replace one catalog table per silver folder; rows per loaded table.
 
-    A missing folder is logged and skipped.
+    A missing folder is logged and skipped. With `order_buckets`, the tables
+    that models join by order are bucketed by it: worth its one shuffle per
+    table when several models run on the tables.
     """
     loaded = {}
     for name in names:
@@ -74,7 +82,10 @@ def load_tables(
                 raise
             log.warning("%s/%s not found, skipping", silver_path, name)
             continue
-        loaded[name] = save_table(rows, f"{database}.{name}")
+        if order_buckets and name in JOINED_BY_ORDER:
+            loaded[name] = save_bucketed(rows, f"{database}.{name}", "order_id", order_buckets)
+        else:
+            loaded[name] = save_table(rows, f"{database}.{name}")
     return loaded
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from courierlake.sources import lake
 from courierlake.sources.schemas import CORRUPT, RAW_TABLES, RawTable
@@ -34,12 +35,24 @@ def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = Fal
     so one task reads it whole: large feeds should arrive as many files or,
     better, with one object per line (`lines=True`), which splits anywhere.
     """
-    return (
-        spark.read.schema(table.capturing_schema)
-        .option("multiLine", not lines)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if lines:
+        return reader.schema(table.capturing_schema).json(path)
+
+    # Read as typed columns, one bad object would mark every object of its file
+    # as corrupt. Read as text, objects fail one by one.
+    texts = StructType([StructField(name, StringType()) for name in table.schema.names])
+    rows = reader.schema(texts.add(CORRUPT, "string")).option("multiLine", True).json(path)
+    typed = {
+        field.name: F.col(field.name).try_cast(field.dataType) for field in table.schema.fields
+    }
+    unreadable = F.lit(False)
+    for name, value in typed.items():
+        unreadable = unreadable | (F.col(name).isNotNull() & value.isNull())
+    record = F.when(unreadable, F.to_json(F.struct(*typed)))
+    return rows.select(
+        *(value.alias(name) for name, value in typed.items()),
+        F.coalesce(CORRUPT, record).alias(CORRUPT),
     )
 
 
