@@ -37,11 +37,7 @@ class Views:
     # --- raw ---------------------------------------------------------------------
 
     def order_times(self) -> DataFrame:
-        """Order id and order time, all that events need of an order.
-
-        Keys are strings before any join, so that a join on `order_id` leaves
-        the rows partitioned the way the next step on `order_id` wants them.
-        """
+        """Order id and order time, all that events need of an order."""
         return self.table("orders").select(
             _text("o_orderkey").alias("order_id"), _order_time().alias("order_ts")
         )
@@ -83,7 +79,7 @@ class Views:
             (F.col("l_tax") * 10).alias("longitude"),
             *_versions(),
         )
-        return lines.join(self.order_times(), "order_id").select(
+        return _join_by_order(lines, self.order_times()).select(
             "order_id",
             "rider_id",
             "event_type",
@@ -143,7 +139,7 @@ class Views:
             .when(F.col("l_discount") == 0.01, 0.0)
             .otherwise(F.col("price"))
         )
-        return lines.join(self.raw_orders(), "order_id").select(
+        return _join_by_order(lines, self.raw_orders()).select(
             "order_id",
             F.when(F.col("l_quantity") > 3, F.col("customer_id")).alias("customer_id"),
             "restaurant_id",
@@ -282,6 +278,17 @@ class Views:
         return delivery_timeline(self.orders(), self.events())
 
 
+def _join_by_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items with their orders, left partitioned and sorted by order id.
+
+    What follows groups by order id, so the shuffle of the merge join is the
+    only one. Broadcasting small orders would move that shuffle behind the
+    join, where the rows are wider. The key is text on both sides, as a cast
+    after the join would lose the partitioning.
+    """
+    return lines.join(orders.hint("merge"), "order_id")
+
+
 def _text(name: str):
     return F.col(name).cast("string")
 
