@@ -1,7 +1,8 @@
 """Exact percentiles of integers per group, without gathering any group.
 
 The built-in exact percentile holds every distinct value of a group in one
-buffer. Here the values are counted first and located in two steps: a running
+buffer, which `buffered_percentiles` uses for inputs known to be small. In
+`grouped_percentiles` the values are counted first and located in two steps: a running
 count over slices of `SLICE` consecutive values finds the slice that holds a
 wanted position, then a running count inside that slice finds the value. A
 task never holds more than the slices of one group or the at most `SLICE`
@@ -84,6 +85,23 @@ def grouped_percentiles(
     )
 
 
+def buffered_percentiles(
+    counted: DataFrame, key: str, value: str, weight: str, fractions: Mapping[str, str]
+) -> DataFrame:
+    """The same result from the built-in aggregate, for few distinct values.
+
+    Interpolated values have at most as many decimals as their fraction, so
+    rounding takes away nothing but the noise of binary fractions.
+    """
+    located = counted.groupBy(key).agg(
+        *(
+            F.percentile(value, float(fraction), F.col(weight)).alias(name)
+            for name, fraction in fractions.items()
+        )
+    )
+    return located.select(key, *(F.round(name, 4).alias(name) for name in fractions))
+
+
 def _position(fraction: str) -> Column:
     return F.lit(Decimal(fraction)) * (F.col("_total") - 1)
 

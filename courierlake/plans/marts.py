@@ -17,7 +17,7 @@ from courierlake.functions import (
     week_start,
 )
 from courierlake.functions.temporal import MICROS_PER_MINUTE, micros_between
-from courierlake.operators.percentiles import grouped_percentiles
+from courierlake.operators.percentiles import buffered_percentiles, grouped_percentiles
 from courierlake.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers
 from courierlake.plans.timeline import delivered_only, rider_daily, with_valid_prep
 from courierlake.session import shared_dir
@@ -116,10 +116,11 @@ def prep_time_counts(timeline: DataFrame) -> DataFrame:
     )
 
 
-def prep_percentiles(counts: DataFrame) -> DataFrame:
+def prep_percentiles(counts: DataFrame, few_values: bool = False) -> DataFrame:
     """Exact median and 95th percentile of the preparation minutes, unrounded."""
     fractions = {"median_us": "0.5", "p95_us": "0.95"}
-    located = grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", fractions)
+    locate = buffered_percentiles if few_values else grouped_percentiles
+    located = locate(counts, "restaurant_id", "prep_us", "orders", fractions)
     return located.select(
         "restaurant_id",
         _minutes(F.col("median_us")).alias("median_prep_time_minutes"),
@@ -135,6 +136,7 @@ def restaurant_prep_delays(
     delay_minutes: float = 20,
     high_risk: tuple[float, float] = (25, 30),
     medium_risk: tuple[float, float] = (20, 20),
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Preparation figures and risk class of restaurants with enough orders.
 
@@ -142,8 +144,9 @@ def restaurant_prep_delays(
     rounded mean with the unrounded rate.
     """
     shared_dir(timeline.sparkSession)
-    # Three branches below read the counts; the timeline runs once.
+    # Several branches below read the counts; the timeline runs once.
     counts = prep_time_counts(timeline).checkpoint()
+    few_values = counts.count() <= single_task_rows
     minutes, orders = _minutes(F.col("prep_us")), F.col("orders")
     slow = minutes > delay_minutes
     figures = (
@@ -158,7 +161,7 @@ def restaurant_prep_delays(
         )
         .where(F.col("total_orders") >= min_orders)
     )
-    located = prep_percentiles(counts).withColumnRenamed("restaurant_id", "_restaurant_id")
+    located = prep_percentiles(counts, few_values).withColumnRenamed("restaurant_id", "_restaurant_id")
     figures = figures.join(located, F.col("restaurant_id").eqNullSafe(F.col("_restaurant_id")))
 
     rate, mean = percent_of(F.col("delayed_orders"), F.col("total_orders")), "avg_prep_time_minutes"

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType, StringType
 CORRUPT = "_corrupt_record"
 
 
-def _schema(**types: str) -> StructType:
+def schema_of(**types: str) -> StructType:
     schema = StructType()
     for name, type_name in types.items():
         schema.add(name, type_name)
@@ -42,7 +42,7 @@ RAW_TABLES: dict[str, RawTable] = {
     for table in (
         RawTable(
             "orders",
-            _schema(
+            schema_of(
                 order_id="string",
                 customer_id="string",
                 restaurant_id="string",
@@ -59,7 +59,7 @@ RAW_TABLES: dict[str, RawTable] = {
         # `latest_rows(df, ["item_id"])` gives the narrower rule.
         RawTable(
             "order_items",
-            _schema(
+            schema_of(
                 order_id="string",
                 item_id="string",
                 quantity="integer",
@@ -70,7 +70,7 @@ RAW_TABLES: dict[str, RawTable] = {
         ),
         RawTable(
             "restaurants",
-            _schema(
+            schema_of(
                 restaurant_id="string",
                 city="string",
                 cuisine_type="string",
@@ -81,7 +81,7 @@ RAW_TABLES: dict[str, RawTable] = {
         ),
         RawTable(
             "riders",
-            _schema(
+            schema_of(
                 rider_id="string",
                 city="string",
                 shift_type="string",
@@ -91,7 +91,7 @@ RAW_TABLES: dict[str, RawTable] = {
         ),
         RawTable(
             "refunds",
-            _schema(
+            schema_of(
                 refund_id="string",
                 order_id="string",
                 refund_ts="timestamp_ntz",
@@ -102,7 +102,7 @@ RAW_TABLES: dict[str, RawTable] = {
         ),
         RawTable(
             "support_tickets",
-            _schema(
+            schema_of(
                 ticket_id="string",
                 order_id="string",
                 ticket_type="string",
@@ -113,7 +113,7 @@ RAW_TABLES: dict[str, RawTable] = {
         ),
         RawTable(
             "delivery_events",
-            _schema(
+            schema_of(
                 order_id="string",
                 rider_id="string",
                 event_type="string",

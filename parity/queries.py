@@ -188,6 +188,13 @@ def prep_mart(v: Views) -> DataFrame:
     return marts.restaurant_prep_delays(v.timeline(), v.restaurants(), AS_OF.date())
 
 
+def prep_mart_sliced(v: Views) -> DataFrame:
+    """The restaurant mart with the percentiles meant for groups beyond one task."""
+    return marts.restaurant_prep_delays(
+        v.timeline(), v.restaurants(), AS_OF.date(), single_task_rows=0
+    )
+
+
 def refund_mart(v: Views) -> DataFrame:
     return marts.refund_drivers(tl.order_refunds(v.orders(), v.refunds()))
 
@@ -223,7 +230,7 @@ def dq_report(v: Views) -> DataFrame:
 
 
 def expectations(v: Views) -> DataFrame:
-    """Violations on the models, and on raw refunds, whose ids do repeat."""
+    """Violations per expectation on the models and on raw refunds."""
     return quality.check_tables(
         {
             "stg_orders": v.orders(),
@@ -338,6 +345,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Marts
     "mart_sla_breach_analysis": sla_mart,
     "mart_restaurant_prep_delays": prep_mart,
+    "mart_restaurant_prep_delays_sliced": prep_mart_sliced,
     "mart_refund_drivers": refund_mart,
     "mart_rider_performance": rider_mart,
     "mart_rider_performance_range_sorted": rider_mart_range_sorted,
@@ -356,7 +364,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # Quality
     "dq_report": dq_report,
     "order_value_review": lambda v: quality.order_value_review(silver_orders(v)),
-    "not_unique_refund_ids": lambda v: quality.not_unique(v.raw_refunds(), "refund_id"),
+    "not_unique_item_ids": lambda v: quality.not_unique(v.raw_order_items(), "item_id"),
     "null_customer_orders": lambda v: quality.is_null(silver_orders(v), "customer_id").select(
         "order_id"
     ),

@@ -159,7 +159,8 @@ def test_sla_ranks_break_ties_by_key(spark):
     ] == [("A", 1, 1), ("B", 2, 1), (None, 3, 1)]
 
 
-def test_restaurant_mart(spark):
+@pytest.mark.parametrize("single_task_rows", [1000, 0])
+def test_restaurant_mart(spark, single_task_rows):
     specs = [(f"a{n}", "slow", "d", DAY, 21 + n, 50) for n in range(10)]
     specs += [(f"b{n}", "few", "d", DAY, 30, 50) for n in range(9)]
     specs += [(f"c{n}", "fine", "d", DAY, 10 if n else 25, 30) for n in range(10)]
@@ -173,7 +174,9 @@ def test_restaurant_mart(spark):
         {"restaurant_id": "idle", "city": "Delhi"},
     )
     timeline = delivered_orders(spark, *specs)
-    mart = marts.restaurant_prep_delays(timeline, restaurants, as_of=dt.date(2026, 1, 31))
+    mart = marts.restaurant_prep_delays(
+        timeline, restaurants, dt.date(2026, 1, 31), single_task_rows=single_task_rows
+    )
     columns = (
         "restaurant_id",
         "total_orders",

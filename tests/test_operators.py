@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierlake.operators import joins, late, ranking, sequence
 from courierlake.operators.latest import latest_rows
-from courierlake.operators.percentiles import grouped_percentiles
+from courierlake.operators.percentiles import buffered_percentiles, grouped_percentiles
 from courierlake.plans.silver import silver_events
 from courierlake.session import setting
 from courierlake.sources import lake
@@ -81,8 +81,9 @@ def test_orphans(spark):
     assert rows_of(joins.orphan_events(log, orders), "order_id") == [("zz",)]
 
 
+@pytest.mark.parametrize("locate", [grouped_percentiles, buffered_percentiles])
 @pytest.mark.parametrize("unit", [1, 1_000_000, 60_000_000, 999_983])
-def test_percentiles_match_numpy(spark, unit):
+def test_percentiles_match_numpy(spark, unit, locate):
     rng = np.random.default_rng(7)
     groups = {
         "one": [5],
@@ -96,7 +97,7 @@ def test_percentiles_match_numpy(spark, unit):
         .groupBy("g", "v")
         .agg(F.count("*").alias("n"))
     )
-    result = grouped_percentiles(counts, "g", "v", "n", {"mid": "0.5", "p95": "0.95", "top": "1"})
+    result = locate(counts, "g", "v", "n", {"mid": "0.5", "p95": "0.95", "top": "1"})
     found = {row.g: row for row in result.collect()}
     assert found.keys() == groups.keys()
     for group, values in groups.items():
@@ -106,13 +107,18 @@ def test_percentiles_match_numpy(spark, unit):
         assert found[group].top == max(values) * unit
 
 
-def test_percentile_is_exact_at_rounding_edge(spark):
+@pytest.mark.parametrize("locate", [grouped_percentiles, buffered_percentiles])
+def test_percentile_is_exact_at_rounding_edge(spark, locate):
     """25 + 0.85 * 3 is 27.55, which rounds to 27.6."""
-    values = [20] * 21 + [25, 28, 28]
-    counts = table(spark, "g string, v long, n long", *(("a", v * 60_000_000, 1) for v in values[20:]))
-    counts = counts.unionByName(table(spark, "g string, v long, n long", ("a", 1_200_000_000, 20)))
-    counts = counts.groupBy("g", "v").agg(F.sum("n").alias("n"))
-    p95 = grouped_percentiles(counts, "g", "v", "n", {"p": "0.95"}).first().p
+    minute = 60_000_000
+    counts = table(
+        spark,
+        "g string, v long, n long",
+        ("a", 20 * minute, 21),
+        ("a", 25 * minute, 1),
+        ("a", 28 * minute, 2),
+    )
+    p95 = locate(counts, "g", "v", "n", {"p": "0.95"}).first().p
     assert p95 / 60e6 == 27.55
 
 
