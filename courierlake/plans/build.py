@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlake.plans import core, insights, marts, quality, silver
 from courierlake.plans.staging import STAGED_COLUMNS, staged
 from courierlake.plans.timeline import delivery_timeline, order_refunds
+from courierlake.session import size_shuffles, stored_bytes
 from courierlake.sources import lake, raw
 from courierlake.sources.schemas import RAW_TABLES
 
@@ -108,6 +109,7 @@ def run(
     order_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Everything, from raw files to published marts."""
+    size_shuffles(spark, stored_bytes(spark, raw_path))
     bronze_path, silver_path = f"{lake_path}/bronze", f"{lake_path}/silver"
     raw.ingest_all(spark, raw_path, bronze_path, json_lines=json_lines)
     build_silver(spark, bronze_path, silver_path, as_of)

@@ -102,19 +102,31 @@ EXPECTATIONS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
 }
 
 
+def _null_counts(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Violations of all not-null checks of a table in one pass."""
+    counts = df.agg(*(F.count_if(F.col(column).isNull()).alias(column) for column in columns))
+    per_column = F.array(
+        *(
+            F.struct(F.lit(f"not_null {column}").alias("check"), F.col(column).alias("violations"))
+            for column in columns
+        )
+    )
+    return counts.select(F.lit(name).alias("table_name"), F.inline(per_column))
+
+
 def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Number of violations per expectation of the given tables."""
     results = []
     for name, df in tables.items():
         unique, required = EXPECTATIONS[name]
-        violations = {
-            **{f"unique {column}": not_unique(df, column) for column in unique},
-            **{f"not_null {column}": is_null(df, column) for column in required},
-        }
-        results += [
-            rows.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(name).alias("table_name"), F.lit(check).alias("check"), "violations"
+        results.append(_null_counts(name, df, required))
+        for column in unique:
+            repeated = not_unique(df, column).agg(F.count(F.lit(1)).alias("violations"))
+            results.append(
+                repeated.select(
+                    F.lit(name).alias("table_name"),
+                    F.lit(f"unique {column}").alias("check"),
+                    "violations",
+                )
             )
-            for check, rows in violations.items()
-        ]
     return reduce(DataFrame.unionByName, results)

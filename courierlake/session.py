@@ -9,10 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Runtime settings the jobs are planned for. AQE picks the shuffle width from
-# the data, so no partition count is fixed here.
-#
-# forceOptimizeSkewedJoin lets AQE split a hot join key even where the next
+# Runtime settings the jobs are planned for. forceOptimizeSkewedJoin lets AQE split a hot join key even where the next
 # operator reuses the join's partitioning; the extra shuffle it then needs
 # appears only when there is a hot key.
 SETTINGS = {
@@ -22,6 +19,12 @@ SETTINGS = {
 }
 
 
+# Shuffle width: one partition per this much stored input, up to a width whose
+# map outputs a cluster still keeps track of. AQE merges small partitions but
+# never adds any, so the width must fit the data from the start.
+INPUT_PER_PARTITION = 512 * 1024**2
+WIDEST_SHUFFLE = 50_000
+
 # Recording the Python line of every expression doubles the time it takes to
 # put a model together.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -47,6 +50,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below `path`, 0 if there are none."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(location).getLength() if files.exists(location) else 0
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Widen the shuffles of the session for `input_bytes`; never narrows them."""
+    wanted = min(WIDEST_SHUFFLE, -(-input_bytes // INPUT_PER_PARTITION))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > width:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+        width = wanted
+    return width
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, ready for checkpoints.
 

@@ -15,14 +15,16 @@ from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
 log = logging.getLogger(__name__)
 
-JOINED_BY_ORDER = ("orders", "delivery_events", "refunds")
+# Tables with few rows per order, which buckets need.
+BUCKETED = ("orders", "delivery_events")
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """`df` plus an observation that holds its row count once it was written.
 
     The count rides along with the write, where a later `count()` would run
-    the plan again.
+    the plan again. Apply it last: counted before a shuffle, rows would count
+    twice when a lost executor makes Spark repeat tasks.
     """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
@@ -45,12 +47,12 @@ def whole_width(spark: SparkSession) -> AbstractContextManager[None]:
 
 def write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Overwrite `path` with `df`; returns the rows written."""
-    df, seen = counted(df)
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        rows, seen = counted(df)
+        rows.write.mode("overwrite").parquet(path)
     else:
+        rows, seen = counted(by_partition(df, partition_by))
         with whole_width(df.sparkSession):
-            rows = by_partition(df, partition_by)
             rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return seen.get["rows"]
 
@@ -69,9 +71,10 @@ def load_tables(
 ) -> dict[str, int]:
     """Replace one catalog table per silver folder; rows per loaded table.
 
-    A missing folder is logged and skipped. With `order_buckets`, the tables
-    that models join by order are bucketed by it: worth its one shuffle per
-    table when several models run on the tables.
+    A missing folder is logged and skipped. With `order_buckets`, orders and
+    events are bucketed by order: worth its one shuffle per table when several
+    models run on them. Leave it off if a few orders may hold most refunds, as
+    AQE splits a hot key only where both sides of the join are shuffled.
     """
     loaded = {}
     for name in names:
@@ -82,7 +85,7 @@ def load_tables(
                 raise
             log.warning("%s/%s not found, skipping", silver_path, name)
             continue
-        if order_buckets and name in JOINED_BY_ORDER:
+        if order_buckets and name in BUCKETED:
             loaded[name] = save_bucketed(rows, f"{database}.{name}", "order_id", order_buckets)
         else:
             loaded[name] = save_table(rows, f"{database}.{name}")
@@ -91,12 +94,12 @@ def load_tables(
 
 def save_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
     """Replace catalog table `name`; returns the rows written."""
-    df, seen = counted(df)
     if partition_by is None:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        rows, seen = counted(df)
+        rows.write.mode("overwrite").saveAsTable(name)
     else:
+        rows, seen = counted(by_partition(df, partition_by))
         with whole_width(df.sparkSession):
-            rows = by_partition(df, partition_by)
             rows.write.mode("overwrite").partitionBy(partition_by).saveAsTable(name)
     return seen.get["rows"]
 
@@ -108,8 +111,7 @@ def save_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> int:
     Choose `buckets` for the data: a bucket is read by one task. Meant for
     columns that are close to unique, as order ids are.
     """
-    df, seen = counted(df)
-    rows = df.repartition(buckets, column)
+    rows, seen = counted(df.repartition(buckets, column))
     rows.write.mode("overwrite").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
     return seen.get["rows"]
 

@@ -15,7 +15,7 @@ from courierlake.operators.latest import latest_rows
 from courierlake.plans import build, core, insights, marts, quality, silver
 from courierlake.plans import timeline as tl
 from courierlake.plans.staging import STAGED_COLUMNS, staged
-from courierlake.session import scratch_path, tune
+from courierlake.session import scratch_path, size_shuffles, stored_bytes, tune
 from courierlake.sources import lake, raw
 from courierlake.sources.schemas import RAW_TABLES
 from parity.views import AS_OF, Views
@@ -382,6 +382,11 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(query: Callable[[Views], DataFrame]):
-        return lambda spark, path: query(Views(tune(spark), path))
+        def run(spark: SparkSession, path: str) -> DataFrame:
+            tune(spark)
+            size_shuffles(spark, stored_bytes(spark, path))
+            return query(Views(spark, path))
+
+        return run
 
     return {name: bind(query) for name, query in _QUERIES.items()}
