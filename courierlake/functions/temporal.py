@@ -12,8 +12,13 @@ MICROS_PER_MINUTE = 60_000_000
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    """Exact microseconds from `start` to `end`; NULL if either is NULL."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    """Exact microseconds from `start` to `end`; NULL if either is NULL.
+
+    By interval rather than `timestamp_diff`, which reads zone-less times in
+    the session zone and moves those that a daylight-saving change skips.
+    """
+    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(18,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:

@@ -16,6 +16,8 @@ from helpers import at, rows_of, table
         ("2026-01-15 10:00:00.000001", "2026-01-15 10:00:00.000004", 3 / 60e6),
         # The session zone skips this hour; zone-less times do not.
         ("2026-03-08 01:30:00", "2026-03-08 03:30:00", 120.0),
+        ("2026-03-08 01:30:00", "2026-03-08 02:15:00", 45.0),
+        ("1926-01-15 10:00:00", "2026-01-15 10:00:00.5", 36525 * 1440 + 0.5 / 60),
     ],
 )
 def test_minutes_between(spark, start, end, minutes):
