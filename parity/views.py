@@ -160,9 +160,14 @@ class Views:
         )
 
     def bronze_orders(self) -> DataFrame:
-        """A log of order versions, one per line item, with untidy fields."""
+        """A log of order versions, one per line item, with untidy fields.
+
+        Joined by the numeric key, so that the rows do not arrive partitioned
+        by the order id: the versions of an order shall meet as they would in
+        a stored log, in the shuffle of the deduplication.
+        """
         lines = self.table("lineitem").select(
-            _text("l_orderkey").alias("order_id"),
+            "l_orderkey",
             "l_linenumber",
             "l_quantity",
             "l_tax",
@@ -176,7 +181,8 @@ class Views:
             .when(F.col("l_discount") == 0.01, 0.0)
             .otherwise(F.col("price"))
         )
-        return _join_by_order(lines, self.raw_orders()).select(
+        orders = self.raw_orders().withColumn("_key", F.col("order_id").cast("bigint"))
+        return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("_key")).select(
             "order_id",
             F.when(F.col("l_quantity") > 3, F.col("customer_id")).alias("customer_id"),
             "restaurant_id",
