@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courierlake.functions import day_name, mean_of_rounded, month_start, week_start
 from courierlake.plans.timeline import restaurant_daily
 
+# The columns of the order fact.
 FACT_COLUMNS = (
     "order_id",
     "customer_id",

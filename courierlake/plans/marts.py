@@ -66,12 +66,11 @@ def sla_daily(timeline: DataFrame) -> DataFrame:
     )
 
 
-def sla_breach_analysis(timeline: DataFrame) -> DataFrame:
-    """Breach rate, unweighted means of the daily means, and two ranks.
-
-    The input of the ranks has five rows per city at most, whatever the number
-    of orders, so the overall rank fits one task.
-    """
+def sla_breach_analysis(
+    timeline: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
+) -> DataFrame:
+    """Breach rate, unweighted means of the daily means, and two ranks."""
+    shared_dir(timeline.sparkSession)
     orders, breached = F.sum("total_orders"), F.sum("breached_orders")
     by_slot = (
         sla_daily(timeline)
@@ -85,14 +84,20 @@ def sla_breach_analysis(timeline: DataFrame) -> DataFrame:
             # One row per day already, so counting rows counts distinct days.
             F.count("order_date").alias("days_with_data"),
         )
+        .checkpoint()
     )
     worst_first = report_order("sla_breach_analysis")
-    return by_slot.withColumns(
+    ranked = add_row_numbers(
+        by_slot,
+        {"overall_breach_rank": ([], worst_first)},
+        in_one_task=by_slot.count() <= single_task_rows,
+    )
+    # A city has five slots at most.
+    in_city = F.row_number().over(Window.partitionBy("city").orderBy(*worst_first))
+    return ranked.withColumns(
         {
-            "overall_breach_rank": F.row_number().over(Window.orderBy(*worst_first)).cast("bigint"),
-            "city_breach_rank": F.row_number()
-            .over(Window.partitionBy("city").orderBy(*worst_first))
-            .cast("bigint"),
+            "overall_breach_rank": F.col("overall_breach_rank").cast("bigint"),
+            "city_breach_rank": in_city.cast("bigint"),
         }
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The columns of each staged table.
 STAGED_COLUMNS = {
     "orders": (
         "order_id",

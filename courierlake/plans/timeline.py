@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from courierlake.functions import minutes_between
 from courierlake.operators.joins import left_join_many
 
-# Timeline column per event type.
+# Timeline column per event type.
 MILESTONES = {
     "confirmed_ts": "order_confirmed",
     "accepted_ts": "restaurant_accepted",
@@ -17,6 +17,7 @@ MILESTONES = {
     "delivered_ts": "delivered",
 }
 
+# What the timeline takes from an order.
 ORDER_COLUMNS = (
     "order_id",
     "customer_id",

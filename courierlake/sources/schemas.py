@@ -37,6 +37,7 @@ class RawTable:
         return StructType([*self.schema.fields, StructField(CORRUPT, StringType())])
 
 
+# The columns and types of the raw files.
 RAW_TABLES: dict[str, RawTable] = {
     table.name: table
     for table in (

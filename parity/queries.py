@@ -184,6 +184,11 @@ def sla_mart(v: Views) -> DataFrame:
     return marts.sla_breach_analysis(v.timeline())
 
 
+def sla_mart_range_sorted(v: Views) -> DataFrame:
+    """The SLA mart with the ranking meant for tables beyond one task."""
+    return marts.sla_breach_analysis(v.timeline(), single_task_rows=0)
+
+
 def prep_mart(v: Views) -> DataFrame:
     return marts.restaurant_prep_delays(v.timeline(), v.restaurants(), AS_OF.date())
 
@@ -344,6 +349,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "refund_totals": refund_totals,
     # Marts
     "mart_sla_breach_analysis": sla_mart,
+    "mart_sla_breach_analysis_range_sorted": sla_mart_range_sorted,
     "mart_restaurant_prep_delays": prep_mart,
     "mart_restaurant_prep_delays_sliced": prep_mart_sliced,
     "mart_refund_drivers": refund_mart,

@@ -149,10 +149,12 @@ def test_sla_mart(spark):
     assert (row.days_with_data, row.overall_breach_rank, row.city_breach_rank) == (2, 1, 1)
 
 
-def test_sla_ranks_break_ties_by_key(spark):
+@pytest.mark.parametrize("single_task_rows", [1000, 0])
+def test_sla_ranks_break_ties_by_key(spark, single_task_rows):
     cities = ("A", "B", None)
     orders = staged_orders(spark, *({"order_id": f"{c}", "city": c} for c in cities))
-    mart = marts.sla_breach_analysis(tl.delivery_timeline(orders, events(spark)))
+    timeline = tl.delivery_timeline(orders, events(spark))
+    mart = marts.sla_breach_analysis(timeline, single_task_rows)
     assert [
         (row.city, row.overall_breach_rank, row.city_breach_rank)
         for row in marts.report("sla_breach_analysis", mart).collect()
