@@ -99,7 +99,10 @@ def raw_sla_slots(orders: DataFrame, events: DataFrame, n: int = TOP) -> DataFra
     return (
         orders_with_deliveries(delivered, events)
         .groupBy("city", "time_slot")
-        .agg(rows.alias("total_orders"), F.round(percent_of(late, rows), 2).alias("breach_rate_pct"))
+        .agg(
+            rows.alias("total_orders"),
+            F.round(percent_of(late, rows), 2).alias("breach_rate_pct"),
+        )
         .orderBy(F.col("breach_rate_pct").desc_nulls_last(), "city", "time_slot")
         .limit(n)
     )

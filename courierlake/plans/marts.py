@@ -20,7 +20,7 @@ from courierlake.functions.temporal import MICROS_PER_MINUTE, micros_between
 from courierlake.operators.percentiles import buffered_percentiles, grouped_percentiles
 from courierlake.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers
 from courierlake.plans.timeline import delivered_only, rider_daily, with_valid_prep
-from courierlake.session import shared_dir
+from courierlake.sources.lake import checkpointed
 
 # Reading order per mart: (column, largest first). The key columns settle ties.
 REPORT_ORDER = {
@@ -70,9 +70,8 @@ def sla_breach_analysis(
     timeline: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Breach rate, unweighted means of the daily means, and two ranks."""
-    shared_dir(timeline.sparkSession)
     orders, breached = F.sum("total_orders"), F.sum("breached_orders")
-    by_slot = (
+    by_slot, n_slots = checkpointed(
         sla_daily(timeline)
         .groupBy("city", "time_slot")
         .agg(
@@ -84,13 +83,12 @@ def sla_breach_analysis(
             # One row per day already, so counting rows counts distinct days.
             F.count("order_date").alias("days_with_data"),
         )
-        .checkpoint()
     )
     worst_first = report_order("sla_breach_analysis")
     ranked = add_row_numbers(
         by_slot,
         {"overall_breach_rank": ([], worst_first)},
-        in_one_task=by_slot.count() <= single_task_rows,
+        in_one_task=n_slots <= single_task_rows,
     )
     # A city has five slots at most.
     in_city = F.row_number().over(Window.partitionBy("city").orderBy(*worst_first))
@@ -148,10 +146,8 @@ def restaurant_prep_delays(
     The risk limits are (mean minutes, delay rate in percent); they compare the
     rounded mean with the unrounded rate.
     """
-    shared_dir(timeline.sparkSession)
     # Several branches below read the counts; the timeline runs once.
-    counts = prep_time_counts(timeline).checkpoint()
-    few_values = counts.count() <= single_task_rows
+    counts, n_counts = checkpointed(prep_time_counts(timeline))
     minutes, orders = _minutes(F.col("prep_us")), F.col("orders")
     slow = minutes > delay_minutes
     figures = (
@@ -166,7 +162,8 @@ def restaurant_prep_delays(
         )
         .where(F.col("total_orders") >= min_orders)
     )
-    located = prep_percentiles(counts, few_values).withColumnRenamed("restaurant_id", "_restaurant_id")
+    located = prep_percentiles(counts, few_values=n_counts <= single_task_rows)
+    located = located.withColumnRenamed("restaurant_id", "_restaurant_id")
     figures = figures.join(located, F.col("restaurant_id").eqNullSafe(F.col("_restaurant_id")))
 
     rate, mean = percent_of(F.col("delayed_orders"), F.col("total_orders")), "avg_prep_time_minutes"
@@ -285,9 +282,8 @@ def rider_performance(
     """
     about = riders.select("rider_id", "city", "shift_type", "joining_date")
     late_share = F.col("total_late_deliveries") / F.col("total_orders_delivered")
-    shared_dir(timeline.sparkSession)
     # One row per rider, read by the city means and again by the scores.
-    measured = (
+    measured, n_riders = checkpointed(
         rider_summary(rider_daily(timeline), min_deliveries)
         .join(about, "rider_id", "left")
         .withColumns(
@@ -296,7 +292,6 @@ def rider_performance(
                 "tenure_days": days_between("joining_date", as_of_date(as_of)),
             }
         )
-        .checkpoint()
     )
     city_means = (
         measured.where(F.col("city").isNotNull())
@@ -321,7 +316,7 @@ def rider_performance(
     ranked = add_row_numbers(
         scored,
         {"city_rank": (["city"], best_first), "overall_rank": ([], best_first)},
-        in_one_task=measured.count() <= single_task_rows,
+        in_one_task=n_riders <= single_task_rows,
     )
     return ranked.select(
         "rider_id",

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.session import setting
+from courierlake.session import setting, shared_dir
 from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -30,6 +30,13 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def checkpointed(df: DataFrame) -> tuple[DataFrame, int]:
+    """`df` computed once into the shared folder, and its row count."""
+    shared_dir(df.sparkSession)
+    rows, seen = counted(df)
+    return rows.checkpoint(), seen.get["rows"]
+
+
 def by_partition(df: DataFrame, column: str) -> DataFrame:
     """`df` with the rows of one partition value in few tasks, ready to write.
 
