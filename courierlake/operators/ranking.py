@@ -20,7 +20,7 @@ _POSITION_BITS = (1 << 33) - 1
 def add_row_numbers(
     df: DataFrame,
     ranks: dict[str, tuple[Sequence[str], Sequence[Column]]],
-    in_one_task: bool,
+    in_one_task: bool = False,
 ) -> DataFrame:
     """Add one row-number column per entry of `ranks`.
 
