@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import mixing, sharding, winnow
+from courierlake.llm import mixing, packing, sharding, winnow
 from courierlake.llm.common import stored, table, word_count
 
 SHARDS = 40
@@ -54,6 +54,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
 def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document, its edited text, and their likeness."""
     return winnow.compare_with_edits(table(spark, folder, "documents"))
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op6_mixing": op6_mixing,
+        "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
     }
 
