@@ -33,8 +33,6 @@ CAPACITY = 2048
 ITERATIONS = 1000
 RATE = 4.0
 STEP = 1.0
-# Configurations that leave more of a bin empty than this are not used whole.
-MOST_EMPTY = 1 / 256
 # Pieces of one length are numbered in this many groups at once.
 NUMBER_GROUPS = 64
 # Distinct words a Python worker keeps the ids of, about 200 MB.
@@ -231,7 +229,11 @@ def best_fit(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[dic
 def plan_bins(
     histogram: Mapping[int, int], capacity: int = CAPACITY, iterations: int = ITERATIONS
 ) -> list[tuple[dict[int, int], int]]:
-    """Whole bins per configuration that pack the histogram exactly."""
+    """Whole bins per configuration that pack the histogram exactly.
+
+    Of the program's configurations only those that fill a bin are used whole:
+    bins without a gap can't be among the wasted ones.
+    """
     left = {n: k for n, k in histogram.items() if k > 0}
     plan: list[tuple[dict[int, int], int]] = []
     if left.get(capacity):
@@ -241,7 +243,7 @@ def plan_bins(
     for found, amount in sorted(configuration_lp(left, capacity, iterations), key=lambda x: -x[1]):
         empty = capacity - sum(n * k for n, k in found.items())
         whole = min(int(amount), *(left.get(n, 0) // k for n, k in found.items()))
-        if whole > 0 and empty <= MOST_EMPTY * capacity:
+        if whole > 0 and empty == 0:
             plan.append((found, whole))
             for n, k in found.items():
                 left[n] -= k * whole
