@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import mixing, packing, sharding, winnow
+from courierlake.llm import dedup, mixing, packing, sharding, winnow
 from courierlake.llm.common import stored, table, word_count
 
 SHARDS = 40
@@ -54,6 +54,13 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components: three-word shingles, similarity 0.85 or more."""
+    found = dedup.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return found.withColumn("kept", kept)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"))
@@ -68,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op6_mixing": op6_mixing,
+        "op7_minhash": op7_minhash,
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
     }
