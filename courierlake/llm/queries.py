@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, mixing, packing, sharding, winnow
+from courierlake.llm import dedup, mixing, packing, quality, sharding, winnow
 from courierlake.llm.common import stored, table, word_count
+from courierlake.llm.labelled import held_out
 
 SHARDS = 40
 
@@ -33,6 +34,14 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by a sparse rule ensemble."""
+    scores = quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of a mix with source weights 1, 2, 3 and at most 3 epochs."""
     sized = stored(
@@ -74,6 +83,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
         "op9_packing": op9_packing,
