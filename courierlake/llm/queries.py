@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, mixing, packing, quality, sharding, winnow
+from courierlake.llm import dedup, mixing, packing, quality, sharding, toxicity, winnow
 from courierlake.llm.common import stored, table, word_count
 from courierlake.llm.labelled import held_out
 
@@ -34,6 +34,18 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by its maximum-scoring segments."""
+    scores = toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document by a sparse rule ensemble."""
     scores = quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -83,6 +95,7 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_toxicity": op3_toxicity,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
