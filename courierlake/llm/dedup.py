@@ -2,17 +2,19 @@
 
 1. Every text gets the minima of `MINIMA` universal hashes over its shingles.
    Texts of equal words share one node, whatever their number.
-2. Bands of minima put nodes into buckets. Each bucket compares its nodes with
-   one of them, its pivot; a pair must agree in size and signature (one bit
-   per minimum) before the full sets decide.
+2. Bands of minima put nodes into buckets. In a bucket of two, the pair is
+   compared; in a larger one, each node is compared with one other, the bucket's
+   smallest node whose signature (one bit per minimum) is nearest to its own.
 3. Links become components by alternating large-star and small-star.
-4. Where a bucket still holds several components, the pairs between them are
-   compared too: with sampled pivots while there are many, so that a large
-   group of near copies first grows together, and at last all that are left.
-   Pairs inside a component need no comparison, as only components count.
-
-No bucket is ever written out as all its pairs, and no pair between different
-components of a bucket is left out.
+4. Larger buckets that still hold several components compare all pairs between
+   them, in blocks of nodes and inside tasks, which write out no more than the
+   links that join components. Pairs inside a component need no comparison, as
+   only components count.
+
+No bucket is written out as all its pairs, and no pair between different
+components of a bucket is left out. Steps 2 and 4 compare 32-bit shingles,
+which can only overstate an intersection; every link is then confirmed on sets
+of 64-bit shingles. Should one fail, the steps are repeated with those sets.
 """
 
 from __future__ import annotations
@@ -30,13 +32,14 @@ from courierlake.llm.common import fold_bytes, stored
 # 20 bands of 4 minima: a pair at similarity 0.8 is missed with probability
 # (1 - 0.8^4)^20 = 3e-5, one at 0.85 with 4e-7. 96 minima verify.
 MINIMA, BANDS, ROWS = 96, 20, 4
-# Bits of the signatures that may differ. At similarity 0.8 a bit differs with
+# Bits of the signatures of a pair that may differ. At similarity 0.8 a bit differs with
 # probability 0.1; 29 of 96 lie 6.6 standard deviations above the mean.
 MOST_BITS = 29
 SKETCH_HALF = MINIMA // 2
-# Comparisons of one round, per bucket entry; more are first thinned by pivots.
-OPEN_PER_ENTRY = 4
-MOST_ROUNDS = 6
+# Nodes of a bucket in one block; a task compares two blocks.
+BLOCK = 256
+# Columns of a block comparison at once.
+COLUMNS_AT_ONCE = 1 << 13
 # Bits of the map of nodes with candidates: 2 MB, whatever the input.
 NODE_BITS = 1 << 24
 SHINGLES_AT_ONCE = 1 << 13
@@ -158,10 +161,11 @@ def node_map(nodes: DataFrame) -> np.ndarray:
     return table
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node, shingles (sorted 64-bit hashes as bytes), for at least the given nodes.
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int, exact: bool) -> DataFrame:
+    """node, n_shingles, shingles (sorted distinct hashes as bytes), for at least the given nodes.
 
-    The map of nodes only spares work: it lets through every node asked for.
+    64-bit hashes if `exact`, else their upper 32 bits. The map of nodes only
+    spares work: it lets through every node asked for.
     """
     shared = docs.sparkSession.sparkContext.broadcast(node_map(nodes))
 
@@ -174,29 +178,110 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 node = node_of(words)
                 bit = node % NODE_BITS
                 if words and node not in found and table[bit >> 5] >> np.uint32(bit & 31) & 1:
-                    found[node] = shingle_set(words, width).tobytes()
-            yield pd.DataFrame({"node": list(found), "shingles": list(found.values())}).astype({"node": "int64"})
+                    full = shingle_set(words, width)
+                    short = full if exact else np.unique((full >> np.uint64(32)).astype(np.uint32))
+                    found[node] = (node, len(full), short.tobytes())
+            out = pd.DataFrame(list(found.values()), columns=["node", "n_shingles", "shingles"])
+            yield out.astype({"node": "int64", "n_shingles": "int64"})
 
-    built = docs.select("text").mapInPandas(build, "node bigint, shingles binary")
+    built = docs.select("text").mapInPandas(build, "node bigint, n_shingles bigint, shingles binary")
     return stored(built.dropDuplicates(["node"]), "shingle-sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
+def _most_shared(x: np.ndarray, n: int, y: np.ndarray, m: int, shared: int) -> int:
+    """The largest intersection that sets of n and m shingles can have, given the hashes they share."""
+    return min(shared + max(n - len(x), m - len(y)), n, m)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """The pairs (a, b) whose sets (may) have 100 * intersection >= percent * union."""
+    kind = np.uint64 if exact else np.uint32
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
-            for left, right in zip(batch["left"], batch["right"]):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            for left, n, right, m in zip(batch["left"], batch["n"], batch["right"], batch["m"]):
+                x, y = np.frombuffer(left, kind), np.frombuffer(right, kind)
+                shared = _most_shared(x, n, y, m, len(np.intersect1d(x, y, assume_unique=True)))
+                keep.append(100 * shared >= percent * (n + m - shared))
             yield batch.loc[keep, ["a", "b"]]
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    left = sets.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("n_shingles").alias("m"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", "left", "right").mapInPandas(compare, "a bigint, b bigint")
+    return both.select("a", "b", "n", "m", "left", "right").mapInPandas(compare, "a bigint, b bigint")
+
+
+def block_links(members: pd.DataFrame, percent: int, kind: type) -> list[tuple[int, int]]:
+    """Links between different roots of two blocks, enough to join what is joined.
+
+    `members`: node, root, block, n_shingles, shingles. Intersections come from
+    the product of 0/1 matrices over the shingles that more than one member has.
+    """
+    members = members.sort_values(["block", "node"])
+    sets = [np.frombuffer(x, kind) for x in members["shingles"]]
+    n = members["n_shingles"].to_numpy()
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = times[column] > 1
+    column, owner = column[common], owner[common]
+    at = 0
+    while at < len(column):
+        upto = np.searchsorted(column, column[at] + COLUMNS_AT_ONCE)
+        dense = np.zeros((len(sets), COLUMNS_AT_ONCE), np.float32)
+        dense[owner[at:upto], column[at:upto] - column[at]] = 1
+        shared += dense @ dense.T
+        at = upto
+    slack = n - np.array([len(x) for x in sets])
+    most = np.minimum(shared + np.maximum(slack[:, None], slack[None, :]), np.minimum(n[:, None], n[None, :]))
+    linked = 100 * most >= percent * (n[:, None] + n[None, :] - most)
+    roots, block = members["root"].to_numpy(), members["block"].to_numpy()
+    linked &= roots[:, None] != roots[None, :]
+    if block[0] != block[-1]:
+        linked &= block[:, None] != block[None, :]
+    names: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while names.get(x, x) != x:
+            x = names[x]
+        return x
+
+    nodes, found = members["node"].to_numpy(), []
+    for i, j in zip(*np.nonzero(np.triu(linked))):
+        x, y = top(int(roots[i])), top(int(roots[j]))
+        if x != y:
+            names[max(x, y)] = min(x, y)
+            found.append((int(nodes[i]), int(nodes[j])))
+    return found
+
+
+def blocked(entries: DataFrame, sets: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links (a, b) between the roots of each band's members, in blocks.
+
+    `entries`: band, node, root, members. A bucket of m members has
+    ceil(m / BLOCK) blocks, and each pair of blocks is a group of its own.
+    """
+    kind = np.uint64 if exact else np.uint32
+
+    def compare(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(group, percent, kind), columns=["a", "b"]).astype("int64")
+
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    placed = entries.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    ready = placed.select(
+        "band",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "node",
+        "root",
+    ).join(sets, "node")
+    return ready.groupBy("band", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -235,71 +320,60 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots), "roots")
 
 
+def _differing(left: str, right: str) -> Column:
+    """Bits of the signatures that differ."""
+    return sum(
+        (F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in ("s1", "s2")), F.lit(0)
+    )
+
+
 def _alike(left: str, right: str, percent: int) -> Column:
     """Sizes and signatures that a pair at the threshold has."""
     n, m = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-    differing = F.bit_count(F.col(f"{left}.s1").bitwiseXOR(F.col(f"{right}.s1"))) + F.bit_count(
-        F.col(f"{left}.s2").bitwiseXOR(F.col(f"{right}.s2"))
-    )
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differing <= MOST_BITS)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_differing(left, right) <= MOST_BITS)
 
 
-def _links(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, signed: DataFrame, width: int, percent: int, exact: bool = False) -> DataFrame:
     """node, root of all nodes with a confirmed link."""
     narrow = ["node", "n_shingles", "s1", "s2"]
     nodes = stored(signed.where("n_shingles > 0").dropDuplicates(["node"]).select(*narrow, "bands"), "nodes")
-    entries = nodes.select(*narrow, F.explode("bands").alias("band"))
+    banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = stored(
-        entries.groupBy("band")
+        banded.groupBy("band")
         .agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
         .where("members > 1"),
         "buckets",
     )
-    entries = stored(entries.join(buckets, "band"), "bucket-entries")
-    total = entries.count()
-    sets = full_sets(docs, entries.select("node").distinct(), width)
-
-    first = entries.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    x = first.alias("p").join(nodes.alias("l"), F.col("p.a") == F.col("l.node")).join(
-        nodes.alias("r"), F.col("p.b") == F.col("r.node")
-    )
-    found = stored(confirmed(x.where(_alike("l", "r", percent)).select("p.a", "p.b"), sets, percent), "links")
-    roots = components(found)
-
-    # Buckets of two are done. What is open: pairs of different components.
-    wide = entries.where("members > 2").drop("members")
-    for turn in range(MOST_ROUNDS + 1):
-        placed = wide.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        parts = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-        parts = parts.groupBy("band").agg(
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("open")
-        )
-        parts = stored(parts.where("open > 0"), "open-buckets")
-        pairs_open = parts.agg(F.sum("open")).first()[0] or 0
-        if not pairs_open:
-            break
-        placed = stored(placed.join(parts.select("band"), "band"), "open-entries")
-        l, r = placed.alias("l"), placed.alias("r")
-        same = (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
-        ratio = pairs_open / (OPEN_PER_ENTRY * max(total, 1))
-        last = ratio <= 1 or turn == MOST_ROUNDS
-        if last:
-            order = F.col("l.node") < F.col("r.node")
-        else:
-            # One node in so many is compared with all others of its buckets.
-            order = F.pmod(F.xxhash64(F.col("l.node"), F.lit(turn)), F.lit(int(2 * ratio) + 1)) == 0
-        pairs = l.join(r, same & order & _alike("l", "r", percent))
-        pairs = stored(
-            pairs.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct(),
-            "pairs",
-        )
-        more = stored(confirmed(pairs, sets, percent), "links")
-        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        if not more.isEmpty():
-            roots = components(stars.union(more))
-        if last:
-            break
-    return roots
+    entries = stored(banded.join(buckets, "band"), "bucket-entries")
+    sets = full_sets(docs, entries.select("node"), width, exact)
+
+    # Pairs of a bucket's smallest node and another; of large buckets, the nearest one per node.
+    small = F.col("members") == 2
+    stars = entries.where("node != pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    stars = stars.agg(F.max(small).alias("small")).alias("p")
+    stars = stars.join(nodes.alias("l"), F.col("p.a") == F.col("l.node"))
+    stars = stars.join(nodes.alias("r"), F.col("p.b") == F.col("r.node"))
+    alike = stars.where(_alike("l", "r", percent)).select("p.a", "p.b", "p.small", _differing("l", "r").alias("bits"))
+    alike = stored(alike, "stars")
+    nearest = alike.where("NOT small").groupBy("b").agg(F.min(F.struct("bits", "a")).alias("best"))
+    pairs = alike.where("small").select("a", "b").union(nearest.select("best.a", "b"))
+    links = stored(confirmed(pairs, sets, percent, exact), "links")
+    roots = components(links)
+
+    # What is open: pairs of different components in buckets of more than two.
+    placed = entries.where("members > 2").join(roots, "node", "left")
+    placed = stored(placed.select("band", "node", "members", F.coalesce("root", "node").alias("root")), "placed")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    mixed = stored(mixed.where("least < most").select("band"), "open-buckets")
+    found = stored(blocked(placed.join(mixed, "band"), sets, percent, exact).distinct(), "links")
+    links = links.union(found)
+    if not exact:
+        links = stored(links.distinct(), "links")
+        ends = links.select(F.col("a").alias("node")).union(links.select("b"))
+        sure = stored(confirmed(links, full_sets(docs, ends, width, True), percent, True), "links")
+        if sure.count() != links.count():
+            return _links(docs, signed, width, percent, exact=True)
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
