@@ -19,6 +19,7 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,8 @@ RATE = 4.0
 STEP = 1.0
 # Pieces of one length are numbered in this many groups at once.
 NUMBER_GROUPS = 64
-# Distinct words a Python worker keeps the ids of, about 200 MB.
-CACHED_WORDS = 1_000_000
+# Distinct words a Python worker keeps the ids of, about 100 MB.
+CACHED_WORDS = 450_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -55,7 +56,11 @@ class WordIds:
     # are left whole.
     SPECIAL = b"<|"
     MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
-    PLAIN = re.compile(rb"[a-z]+")
+    # The model spells bytes as characters: printable ones as themselves, the
+    # others as those from 256 on.
+    SPELLED = {
+        b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])
+    }
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -68,12 +73,14 @@ class WordIds:
         return np.asarray(found.ids, "<u4").tobytes()
 
     def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Plain words need no normalisation, so their ids come from the model itself."""
+        """Lower-case words of letters only need no normalisation: their ids come from the model itself."""
         ids, pack, model = {}, struct.pack, self.tokenizer.model.tokenize
         other = []
         for w in words:
-            if self.PLAIN.fullmatch(w):
-                tokens = [t.id for t in model(w.decode())]
+            text = w.decode()
+            if text.isalpha() and (text.isascii() or (text == text.lower() and is_normalized("NFC", text))):
+                spelled = text if text.isascii() else w.decode("latin-1").translate(self.SPELLED)
+                tokens = [t.id for t in model(spelled)]
                 ids[w] = pack(f"<{len(tokens)}I", *tokens)
             else:
                 other.append(w)
@@ -127,21 +134,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         encoder = word_ids(tokenizer)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            # A few MB of text at a time, however large the batch is.
-            texts = [b"" if t is None else t.encode() for t in batch["text"]]
             rows: list[tuple] = []
-            at = 0
-            while at < len(texts):
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 4_000_000):
-                    size += len(texts[upto])
-                    upto += 1
-                for doc, ids in zip(batch["doc_id"].iloc[at:upto], encoder.encode(texts[at:upto])):
+            # Some documents at a time, however large the batch is.
+            for at in range(0, len(batch), 500):
+                some = batch.iloc[at : at + 500]
+                texts = [b"" if t is None else t.encode() for t in some["text"]]
+                for doc, ids in zip(some["doc_id"], encoder.encode(texts)):
                     ids += end
                     for number, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         rows.append((doc, number, start // 4, len(part) // 4, zlib.crc32(part)))
-                at = upto
             frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield frame.astype({"doc_id": "Int64"})
 
