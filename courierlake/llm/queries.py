@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, mixing, packing, quality, sharding, toxicity, winnow
+from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, toxicity, winnow
 from courierlake.llm.common import stored, table, word_count
 from courierlake.llm.labelled import held_out
 
@@ -46,6 +46,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probabilities of all documents under a probabilistic suffix tree."""
+    return lm.score_texts(table(spark, folder, "documents"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document by a sparse rule ensemble."""
     scores = quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op3_toxicity": op3_toxicity,
+        "op4_suffix_tree": op4_suffix_tree,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
