@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.llm.common import fold_bytes, stored
+from courierlake.session import setting
 
 # 20 bands of 4 minima: a pair at similarity 0.8 is missed with probability
 # (1 - 0.8^4)^20 = 3e-5, one at 0.85 with 4e-7. 96 minima verify.
@@ -37,9 +38,9 @@ MINIMA, BANDS, ROWS = 96, 20, 4
 MOST_BITS = 29
 SKETCH_HALF = MINIMA // 2
 # Nodes of a bucket in one block; a task compares two blocks.
-BLOCK = 256
+BLOCK = 128
 # Columns of a block comparison at once.
-COLUMNS_AT_ONCE = 1 << 13
+COLUMNS_AT_ONCE = 1 << 12
 # Bits of the map of nodes with candidates: 2 MB, whatever the input.
 NODE_BITS = 1 << 24
 SHINGLES_AT_ONCE = 1 << 13
@@ -385,8 +386,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component; a NULL id never becomes a component's id unless there is no
     other. Extra columns of `docs` are ignored.
     """
-    signed = stored(signatures(docs, width), "signatures")
-    roots = _links(docs, signed, width, percent)
+    # Rows carry whole shingle sets: a few hundred at a time fit a Python worker.
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "400"):
+        signed = stored(signatures(docs, width), "signatures")
+        roots = _links(docs, signed, width, percent)
     named = signed.where("node IS NOT NULL").select("doc_id", "node")
     least = stored(
         named.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "node-ids"
