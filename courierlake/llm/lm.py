@@ -1,16 +1,17 @@
 """Language model scores from a probabilistic suffix tree.
 
-A text is its lower-cased words, each spelled in UTF-8 bytes and closed by a
-space, and one end symbol. The tree holds contexts of up to `DEPTH` bytes that
-don't reach back beyond the start of the word. A context must be frequent, and
-its next-symbol distribution must differ from that of its longest proper suffix
-by more than chance; its distribution is smoothed towards that suffix. A symbol
-is scored by the longest suffix of what precedes it that the tree holds.
-
-As contexts end at word starts, counts of different words say all there is to
-learn; Spark counts the words of all training texts, then, one depth at a time,
-the contexts of those words. The tree keeps contexts above a share of all
-positions, so it has at most DEPTH / LEAST_SHARE states whatever the input.
+The symbols are words. The tree holds contexts of one and two words (the start
+of a text counts as one) that are frequent and whose next words differ from
+those after their suffix by more than chance. A word is scored by the longest
+suffix of what precedes it that the tree holds; words that a state does not
+list share what the state leaves over, by their probability under its suffix.
+The empty context has all words of the training texts; unseen words share what
+Good and Turing leave them, by their spelling, which a second suffix tree over
+bytes scores.
+
+Contexts and their successors are kept above a share of all positions, so the
+broadcast tree is bounded whatever the input. The word counts are not: they
+stay in a table, and each text sends its rarer words there to be looked up.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.llm.common import fold_bytes, label_fold, stored
@@ -32,8 +33,14 @@ from courierlake.llm.common import fold_bytes, label_fold, stored
 DEPTH = 7
 LEAST_SHARE, LEAST_COUNT = 1e-5, 20
 # Symbols: bytes of words, the space that ends a word, the newline that ends a text.
-SYMBOLS = 258
-SPACE, END = 0x20, 0x0A
+SYMBOLS = 256
+# Successions of words are listed above this share of all tokens: at most
+# 1 / LEAST_PAIR_SHARE per depth. Counts of a task below the same share of its own
+# tokens are not gathered, so listed counts are lower bounds.
+LEAST_PAIR_SHARE, LEAST_PAIRS = 2e-6, 4
+START_NAME, END_NAME = 1, 0
+# Tokens after which a task writes out the successions it has counted.
+GATHERED = 6_000_000
 # Words whose counts are broadcast, the most frequent ones; the others are joined.
 HOT_WORDS = 200_000
 CACHED_WORDS = 300_000
@@ -159,9 +166,6 @@ class SuffixTree:
                 self.cache[word] = known
         return known
 
-    def end_log(self) -> float:
-        return self.symbol_log(self.suffix(b" "), END)
-
 
 def differs(counts: dict[int, int], total: float, below: dict[int, float]) -> bool:
     """Likelihood-ratio test of a distribution against its suffix's.
@@ -174,8 +178,8 @@ def differs(counts: dict[int, int], total: float, below: dict[int, float]) -> bo
     return statistic > free + 4.0 * math.sqrt(2.0 * free)
 
 
-def grow_tree(words: DataFrame, texts: int, positions: int) -> SuffixTree:
-    """The suffix tree of weighted words (word, n) from `texts` texts.
+def spelling_tree(words: DataFrame, positions: int) -> SuffixTree:
+    """The suffix tree over the bytes of weighted words (word, n).
 
     `positions` is the number of symbols in them; contexts below `LEAST_SHARE`
     of it are not looked at, which bounds what each round brings here.
@@ -201,12 +205,10 @@ def grow_tree(words: DataFrame, texts: int, positions: int) -> SuffixTree:
         parents = np.sort(np.array(list(last), np.int64).astype(np.uint64))
     tree = SuffixTree({b"": (0.0, {})})
     total, counts = seen.get(0, {}).get(0, (0.0, {}))
-    tree.states[b""] = (total + texts, {**counts, END: texts} if texts else counts)
+    tree.states[b""] = (total, counts)
     for depth in range(1, DEPTH + 1):
         for number, (total, counts) in sorted(seen.get(depth, {}).items()):
             context = int(number).to_bytes(8, "big")[8 - depth :]
-            if context == b" ":  # a text ends where a word could start
-                total, counts = total + texts, {**counts, END: texts}
             shorter = tree.suffix(context[1:])
             below = {s: tree.probability(shorter, s) for s in counts}
             if differs(counts, total, below):
@@ -215,6 +217,204 @@ def grow_tree(words: DataFrame, texts: int, positions: int) -> SuffixTree:
     return tree
 
 
+def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Name of two words in a row."""
+    mixed = (left ^ (left >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + right
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+class _Names(dict):
+    """Names of words, remembered for those seen first."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = value
+        return value
+
+
+_NAMES = _Names()
+
+
+def named_sequences(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of START, the words and END of each text in a row, and the place of each START."""
+    sizes = np.array([len(t) + 2 for t in texts], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    names = np.zeros(int(sizes.sum()), np.uint64)
+    inner = np.ones(len(names), bool)
+    inner[starts] = inner[starts + sizes - 1] = False
+    names[inner] = np.fromiter((n for t in texts for n in map(_NAMES.__getitem__, t)), np.uint64, int(inner.sum()))
+    names[starts] = START_NAME
+    return names, starts
+
+
+def succession_counts(docs: DataFrame) -> DataFrame:
+    """order (1 or 2), context, symbol, n: words after one and after two words.
+
+    A task counts all its successions and sends those above the share; one that
+    is frequent overall is frequent in some task.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def listed() -> Iterator[pd.DataFrame]:
+            tokens = sum(len(x) for x in singles)
+            least = max(2, LEAST_PAIR_SHARE * tokens)
+            for order, held in ((1, singles), (2, doubles)):
+                if held:
+                    keys = np.concatenate(held)
+                    codes, first, n = np.unique(_mix(keys[:, 0], keys[:, 1]), return_index=True, return_counts=True)
+                    kept = n >= least
+                    pairs = keys[first[kept]].view(np.int64)
+                    yield pd.DataFrame(
+                        {"order": np.int32(order), "context": pairs[:, 0], "symbol": pairs[:, 1], "n": n[kept]}
+                    )
+
+        singles: list[np.ndarray] = []
+        doubles: list[np.ndarray] = []
+        gathered = 0
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                names, starts = named_sequences([fold_bytes(t).split() for t in batch["text"].iloc[at : at + 500]])
+                first = np.zeros(len(names), bool)
+                first[starts] = True
+                i = np.flatnonzero(~first)
+                singles.append(np.stack([names[i - 1], names[i]], axis=1))
+                i = i[~first[i - 1]]
+                doubles.append(np.stack([_mix(names[i - 2], names[i - 1]), names[i]], axis=1))
+                gathered += len(names)
+                if gathered > GATHERED:
+                    yield from listed()
+                    singles, doubles, gathered = [], [], 0
+        yield from listed()
+
+    counted = docs.select("text").mapInPandas(count, "order int, context bigint, symbol bigint, n bigint")
+    return counted.groupBy("order", "context", "symbol").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class ContextTree:
+    """Retained contexts of one order: sorted names, what each leaves over, and listed successors."""
+
+    contexts: np.ndarray
+    left: np.ndarray
+    pairs: np.ndarray
+    logs: np.ndarray
+
+    def find(self, context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Is the context a state, its log10 left over, log10 of the symbol (NaN if not listed)."""
+        if not len(self.contexts):
+            return np.zeros(len(context), bool), np.zeros(len(context)), np.full(len(context), np.nan)
+        at = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+        known = self.contexts[at] == context
+        logs = np.full(len(context), np.nan)
+        where = np.flatnonzero(known)
+        code = _mix(context[where], symbol[where])
+        to = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
+        hit = self.pairs[to] == code
+        logs[where[hit]] = self.logs[to[hit]]
+        return known, np.where(known, self.left[at], 0.0), logs
+
+
+def context_tree(listed: pd.DataFrame) -> ContextTree:
+    """States of one order from rows context, symbol, n, total, below.
+
+    `total` is how often the context occurs, `below` the probability of the
+    symbol under the context's suffix. A state is kept if the likelihood ratio
+    of its listed successors lies four standard deviations above chance. As
+    much weight as it has listed successors (one at least) is left over.
+    """
+    empty = np.zeros(0, np.uint64)
+    if not len(listed):
+        return ContextTree(empty, np.zeros(0), empty, np.zeros(0))
+    listed = listed.sort_values(["context", "symbol"])
+    context, first = np.unique(listed["context"].to_numpy(), return_index=True)
+    n = listed["n"].to_numpy(float)
+    sums = np.add.reduceat(n, first)
+    total = np.maximum(np.maximum.reduceat(listed["total"].to_numpy(float), first), sums)
+    free = np.diff(np.append(first, len(listed)))
+    each = np.repeat(total, free)
+    gain = 2.0 * np.add.reduceat(n * np.log(n / each / listed["below"].to_numpy(float)), first)
+    keep = gain > free + 4.0 * np.sqrt(2.0 * free)
+    weight = total + free + 1.0
+    left = np.log10(1.0 - sums / weight)
+    rows = np.repeat(keep, free)
+    names = listed["context"].to_numpy().view(np.uint64)
+    codes = _mix(names[rows], listed["symbol"].to_numpy().view(np.uint64)[rows])
+    logs = np.log10(n / np.repeat(weight, free))[rows]
+    order = np.argsort(codes)
+    states = context.view(np.uint64)[keep]
+    sort = np.argsort(states)
+    return ContextTree(states[sort], left[keep][sort], codes[order], logs[order])
+
+
+@dataclass
+class WordModel:
+    """All that is broadcast: trees, spelling, and log10 probabilities of the frequent words."""
+
+    one: ContextTree
+    two: ContextTree
+    spelling: SuffixTree
+    hot: dict[int, tuple[float, float]]
+    end: tuple[float, float]
+    unseen: float
+
+    def position_logs(self, names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per position: log10 decided by the trees, and whether the word's own probability is still due."""
+        first = np.zeros(len(names), bool)
+        first[starts] = True
+        logs, due = np.zeros(len(names)), ~first
+        i = np.flatnonzero(~first)
+        deep = i[~first[i - 1]]
+        _, left, listed = self.two.find(_mix(names[deep - 2], names[deep - 1]), names[deep])
+        hit = ~np.isnan(listed)
+        logs[deep] += np.where(hit, np.nan_to_num(listed), left)
+        due[deep[hit]] = False
+        i = i[due[i]]
+        _, left, listed = self.one.find(names[i - 1], names[i])
+        hit = ~np.isnan(listed)
+        logs[i] += np.where(hit, np.nan_to_num(listed), left)
+        due[i[hit]] = False
+        return logs, due
+
+
+def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct: int, spelled: int) -> WordModel:
+    """The model of the training texts; `words`: word, name, n."""
+    single = words.where("n = 1").count()
+    unseen = max(single, 1) / max(n_train, 1)
+    unseen = min(unseen, 0.5)
+    total = float(n_train + distinct)
+
+    def own(n: Column) -> Column:
+        return (1 - unseen) * (n + 1) / total
+
+    least = max(LEAST_PAIRS, LEAST_PAIR_SHARE * n_train)
+    found = stored(succession_counts(train).where(F.col("n") >= least), "successions")
+    ends = train.sparkSession.createDataFrame([(END_NAME, texts), (START_NAME, texts)], "name bigint, n bigint")
+    counts = words.select("name", "n").union(ends)
+    symbol = counts.select(F.col("name").alias("symbol"), own(F.col("n")).alias("below"))
+    context = counts.select(F.col("name").alias("context"), F.col("n").alias("total"))
+    first = found.where("order = 1").drop("order").join(symbol, "symbol").join(context, "context")
+    one = context_tree(first.toPandas())
+    pairs = found.where("order = 1").select("context", "symbol", F.col("n").alias("total")).toPandas()
+    second = found.where("order = 2").drop("order").join(symbol, "symbol").toPandas()
+    # A context of two words is a listed succession; its suffix is the later word.
+    code = _mix(pairs["context"].to_numpy().view(np.uint64), pairs["symbol"].to_numpy().view(np.uint64))
+    suffix = pd.DataFrame({"context": code.view(np.int64), "suffix": pairs["symbol"], "total": pairs["total"]})
+    second = second.merge(suffix.drop_duplicates("context"), on="context")
+    if len(second):
+        _, left, logs = one.find(second["suffix"].to_numpy().view(np.uint64), second["symbol"].to_numpy().view(np.uint64))
+        second["below"] = np.where(np.isnan(logs), second["below"] * 10.0**left, 10.0 ** np.nan_to_num(logs))
+    two = context_tree(second[["context", "symbol", "n", "total", "below"]] if len(second) else second)
+    spelling = spelling_tree(words.select("word", F.lit(1).cast("bigint").alias("n")), spelled)
+    rows = words.orderBy(F.desc("n"), "name").select("name", "n").limit(HOT_WORDS).toPandas()
+    n = rows["n"].to_numpy(float)
+    plain, logs = np.log10(n + 1), np.log10((1 - unseen) * (n + 1) / total)
+    hot = dict(zip(rows["name"].to_numpy().view(np.uint64).tolist(), zip(plain.tolist(), logs.tolist())))
+    end = (math.log10(texts + 1), math.log10((1 - unseen) * (texts + 1) / max(total, 1.0)))
+    return WordModel(one, two, spelling, hot, end, math.log10(unseen))
+
+
 def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Base and model scores of every row of `docs` (doc_id, text).
 
@@ -222,84 +422,101 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     A row with a NULL id is learned from; NULL texts count as empty, that is,
     as their end alone; repeated rows count as often as they occur and score
     alike. Columns other than doc_id and text are not looked at.
-
-    The base score needs the counts of all words. Counts of the most frequent
-    words are broadcast; for the others, each text sends the hashes of its
-    words to where the counts are, and the sums come back by text.
     """
     held_out = F.coalesce(label_fold(F.col("doc_id"), folds) == held, F.lit(False))
     train = docs.where(~held_out)
-    words = stored(word_counts(train), "words")
-    sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.col("n") * (F.octet_length("word") + 1)).alias("p")).first()
+    words = stored(word_counts(train).mapInPandas(_with_names, "word binary, name bigint, n bigint"), "words")
+    sums = words.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.octet_length("word") + 1).alias("spelled")
+    ).first()
     texts = train.count()
     n_train, distinct = (sums["n"] or 0) + texts, sums["v"] + (1 if texts else 0)
-    tree = grow_tree(words, texts, (sums["p"] or 0) + texts)
-    hot_rows = words.orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas()
-    hot = dict(zip(map(bytes, hot_rows["word"]), map(int, hot_rows["n"])))
-    shared = docs.sparkSession.sparkContext.broadcast((tree, hot, texts))
+    model = fit(train, words, texts, n_train, distinct, sums["spelled"] or 0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    total = float(n_train + distinct)
+
+    def chunks(batch: pd.DataFrame) -> Iterator[tuple]:
+        for at in range(0, len(batch), 500):
+            part = batch.iloc[at : at + 500]
+            data = [fold_bytes(t) for t in part["text"]]
+            texts_ = [d.split() for d in data]
+            names, starts = named_sequences(texts_)
+            yield part, data, texts_, names, starts, *shared.value.position_logs(names, starts)
 
     def doc_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, counts, ends = shared.value
-        logs = {w: math.log10(n + 1) for w, n in counts.items()}
-        end = model.end_log()
+        law = shared.value
+        known = {**law.hot, END_NAME: law.end, START_NAME: (0.0, 0.0)}
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                data = fold_bytes(text)
-                found = data.split()
-                known = [logs.get(w) for w in found]
-                rare = known.count(None)
-                base = math.fsum(x for x in known if x is not None) + math.log10(ends + 1)
-                score = math.fsum(map(model.word_log, found)) + end
-                rows.append((doc, name_of(data), len(found) + 1, rare, base, score))
-            out = pd.DataFrame(rows, columns=["doc_id", "text", "n_tokens", "n_rare", "hot_base", "score"])
-            yield out.astype({"doc_id": "Int64"})
+            for part, data, texts_, names, starts, logs, due in chunks(batch):
+                different, which = np.unique(names, return_inverse=True)
+                found = np.array([known.get(x, (np.nan, np.nan)) for x in different.tolist()])[which]
+                rare = np.isnan(found[:, 0])
+                found[rare] = 0.0
+                base = np.add.reduceat(found[:, 0], starts)
+                score = np.add.reduceat(logs + np.where(due, found[:, 1], 0.0), starts)
+                out = pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"].astype("Int64").array,
+                        "text": [name_of(d) for d in data],
+                        "n_tokens": [len(t) + 1 for t in texts_],
+                        "n_rare": np.add.reduceat(rare.astype(np.int64), starts),
+                        "hot_base": base,
+                        "hot_score": score,
+                    }
+                )
+                yield out
 
     def rare_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = shared.value[1]
+        law = shared.value
+        frequent = np.array(sorted(law.hot), np.uint64)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                names: list[int] = []
-                owners: list[int] = []
-                for text in batch["text"].iloc[at : at + 500]:
-                    data = fold_bytes(text)
-                    rare = [name_of(w) for w in data.split() if w not in counts]
-                    names += rare
-                    owners += [name_of(data)] * len(rare)
-                yield pd.DataFrame({"text": owners, "name": names}, dtype="int64")
+            for _, data, texts_, names, starts, _, due in chunks(batch):
+                at = np.minimum(np.searchsorted(frequent, names), max(len(frequent) - 1, 0))
+                rare = (names > START_NAME) & ((frequent[at] != names) if len(frequent) else True)
+                place = np.flatnonzero(rare)
+                owner = np.searchsorted(starts, place, "right") - 1
+                inner = place - starts[owner] - 1
+                own = np.array([name_of(d) for d in data], np.int64)
+                spelled = [law.spelling.word_log(texts_[o][i]) for o, i in zip(owner.tolist(), inner.tolist())]
+                yield pd.DataFrame(
+                    {
+                        "text": own[owner],
+                        "name": names[place].view(np.int64),
+                        "spelled": np.where(due[place], np.array(spelled, float), np.nan).astype(np.float32),
+                    }
+                )
 
     scored = docs.select("doc_id", "text").mapInPandas(
-        doc_rows, "doc_id bigint, text bigint, n_tokens bigint, n_rare bigint, hot_base double, score double"
+        doc_rows, "doc_id bigint, text bigint, n_tokens bigint, n_rare bigint, hot_base double, hot_score double"
+    )
+    rare = docs.select("text").mapInPandas(rare_words, "text bigint, name bigint, spelled float")
+    n = F.col("n")
+    own = F.when(n.isNull(), F.lit(model.unseen) + F.col("spelled")).otherwise(
+        F.log10((n + 1) * F.lit((10.0**model.unseen * -1 + 1) / max(total, 1.0)))
     )
-    named = words.select(_name_column(words), "n")
-    rare = docs.select("text").mapInPandas(rare_words, "text bigint, name bigint")
-    per_text = rare.join(named, "name", "left").groupBy("text").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_base"),
+    per_text = rare.join(words.select("name", "n"), "name", "left").groupBy("text").agg(
+        F.sum(F.log10(F.coalesce(n, F.lit(0)) + 1)).alias("rare_base"),
+        F.sum(F.when(~F.isnan("spelled"), own)).alias("rare_score"),
         F.count("n").alias("rare_known"),
         F.count(F.lit(1)).alias("sent"),
     )
     rows = scored.join(stored(per_text, "rare-sums"), "text", "left")
     # Copies of a text all sent their words: the sums are as many times too large.
     copies = F.when(F.col("n_rare") > 0, F.col("sent") / F.col("n_rare")).otherwise(F.lit(1.0))
-    each = F.coalesce(F.col("rare_base") / copies, F.lit(0.0))
+    rare_base, rare_score = (F.coalesce(F.col(c) / copies, F.lit(0.0)) for c in ("rare_base", "rare_score"))
     rare_known = F.coalesce(F.round(F.col("rare_known") / copies), F.lit(0)).cast("bigint")
-    end_known = F.lit(1 if texts else 0)
     return rows.select(
         "doc_id",
-        held_out.alias("held_out"),
+        F.coalesce(label_fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"),
         "n_tokens",
-        (F.col("n_tokens") - 1 - F.col("n_rare") + rare_known + end_known).alias("n_known"),
+        (F.col("n_tokens") - 1 - F.col("n_rare") + rare_known + F.lit(1 if texts else 0)).alias("n_known"),
         F.lit(n_train).cast("bigint").alias("train_tokens"),
-        (F.col("hot_base") + each - F.col("n_tokens") * F.lit(math.log10(n_train + distinct + 1))).alias("base_score"),
-        "score",
+        (F.col("hot_base") + rare_base - F.col("n_tokens") * F.lit(math.log10(total + 1))).alias("base_score"),
+        (F.col("hot_score") + rare_score).alias("score"),
     )
 
 
-def _name_column(words: DataFrame) -> object:
-    """The names of words, computed where they are stored."""
-
-    @F.pandas_udf("bigint")
-    def names(word: pd.Series) -> pd.Series:
-        return word.map(lambda w: name_of(bytes(w))).astype("int64")
-
-    return names("word").alias("name")
+def _with_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        batch["name"] = [name_of(bytes(w)) for w in batch["word"]]
+        yield batch[["word", "name", "n"]]
