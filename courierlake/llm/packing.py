@@ -14,7 +14,6 @@ of each length and looks up their places.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from bisect import bisect_left, insort
@@ -36,8 +35,8 @@ RATE = 4.0
 STEP = 1.0
 # Pieces of one length are numbered in this many groups at once.
 NUMBER_GROUPS = 64
-# Distinct words a Python worker keeps the ids of, about 100 MB.
-CACHED_WORDS = 450_000
+# Distinct words a Python worker keeps the ids of, about 130 MB.
+CACHED_WORDS = 600_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -55,7 +54,6 @@ class WordIds:
     # Special tokens are found in the raw text; texts with anything like them
     # are left whole.
     SPECIAL = b"<|"
-    MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
     # The model spells bytes as characters: printable ones as themselves, the
     # others as those from 256 on.
     SPELLED = {
@@ -67,31 +65,42 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.known: dict[bytes, bytes] = {}
+        self.marks = {m: self._whole(m) for m in (b".", b",")}
 
     def _whole(self, text: bytes) -> bytes:
         found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.asarray(found.ids, "<u4").tobytes()
 
     def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Lower-case words of letters only need no normalisation: their ids come from the model itself."""
-        ids, pack, model = {}, struct.pack, self.tokenizer.model.tokenize
-        other = []
+        """Ids of words not known yet; plain ones come from the model itself."""
+        ids, other, marked = {}, [], []
         for w in words:
-            text = w.decode()
-            if text.isalpha() and (text.isascii() or (text == text.lower() and is_normalized("NFC", text))):
-                spelled = text if text.isascii() else w.decode("latin-1").translate(self.SPELLED)
-                tokens = [t.id for t in model(spelled)]
-                ids[w] = pack(f"<{len(tokens)}I", *tokens)
+            if w[-1:] in (b".", b",") and w[:-1].isalpha():
+                marked.append(w)
+            elif (found := self._letters(w)) is not None:
+                ids[w] = found
             else:
                 other.append(w)
         found = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
         for w, e in zip(other, found):
-            ids[w] = pack(f"<{len(e.ids)}I", *e.ids)
+            ids[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for w in marked:
+            stem = w[:-1]
+            ids[w] = (self.known.get(stem) or ids.get(stem) or self._letters(stem)) + self.marks[w[-1:]]
         return ids
 
+    def _letters(self, word: bytes) -> bytes | None:
+        """Ids of a lower-case word of letters only; None for any other word."""
+        text = word.decode()
+        if not text.isalpha() or not (text.isascii() or (text == text.lower() and is_normalized("NFC", text))):
+            return None
+        spelled = text if text.isascii() else word.decode("latin-1").translate(self.SPELLED)
+        tokens = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return struct.pack(f"<{len(tokens)}I", *tokens)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         known = self.known
-        words = [[] if self.SPECIAL in t else self.MARK.sub(rb" \1", t.lower()).split() for t in texts]
+        words = [[] if self.SPECIAL in t else t.lower().split() for t in texts]
         found = [list(map(known.get, ws)) for ws in words]
         new = list({w for ws, ids in zip(words, found) if None in ids for w, i in zip(ws, ids) if i is None})
         if new:
