@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, toxicity, winnow
+from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, topk, toxicity, warc, winnow
 from courierlake.llm.common import stored, table, word_count
 from courierlake.llm.labelled import held_out
 
 SHARDS = 40
+NEAREST = 10
+PAGES_PER_FILE = 1000
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,6 +36,17 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest codes of every hundredth vector among all vectors."""
+    codes = stored(
+        table(spark, folder, "embeddings").select(
+            F.col("vec_id").alias("id"), topk.sign_code(F.col("embedding")).alias("code")
+        ),
+        "codes",
+    )
+    return topk.nearest(codes, codes.where(F.col("id") % 100 == 0), k=NEAREST)
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document by its maximum-scoring segments."""
     scores = toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -87,6 +100,31 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+def op8_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records, audited against a replica with known damage.
+
+    In the replica, the records of every 61st page lost their last character to
+    a `#`, and those of every 67th page are gone.
+    """
+    primary = stored(warc.archive(table(spark, folder, "pages"), PAGES_PER_FILE), "primary")
+    flipped = F.concat(F.expr("left(record, char_length(record) - 1)"), F.lit("#"))
+    record = F.when(F.col("page_id") % 61 == 0, flipped).otherwise(F.col("record"))
+    gone = F.coalesce(F.col("page_id") % 67 == 0, F.lit(False))
+    replica = stored(primary.where(~gone).withColumn("record", record), "replica")
+    found = stored(warc.audit(primary, replica), "audit")
+    return (
+        primary.select(
+            "page_id",
+            "file",
+            "offset",
+            F.octet_length("record").cast("bigint").alias("length"),
+            F.sha2(F.col("record").cast("binary"), 256).alias("sha256"),
+        )
+        .join(found, ["file", "offset"], "left")
+        .withColumn("status", F.coalesce("status", F.lit("intact")))
+    )
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"))
@@ -100,15 +138,47 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_topk": op2_topk,
         "op3_toxicity": op3_toxicity,
         "op4_suffix_tree": op4_suffix_tree,
         "op5_quality": op5_quality,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
+        "op8_warc_audit": op8_warc_audit,
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
     }
 
 
+# The same results in DuckDB, where its SQL can state them.
+ORACLE = {
+    "op2_topk": f"""
+WITH signs AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE embedding IS NOT NULL
+), pairs AS (
+    SELECT q.vec_id AS query_id, p.vec_id AS neighbor_id,
+        list_sum(list_transform(range(1, len(q.code) + 1), lambda i: (q.code[i] <> p.code[i])::INT))::INT AS distance
+    FROM signs q JOIN signs p ON q.vec_id <> p.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank FROM pairs
+)
+SELECT query_id, neighbor_id, distance, rank FROM ranked WHERE rank <= {NEAREST}""",
+    "op8_warc_audit": f"""
+WITH parts AS (
+    SELECT page_id, (page_id // {PAGES_PER_FILE})::BIGINT AS file,
+        concat_ws(chr(13) || chr(10), 'WARC/1.0', 'WARC-Type: resource',
+            'WARC-Record-ID: <urn:x-record:' || page_id || '>', 'WARC-Target-URI: ' || url,
+            'WARC-Payload-Digest: sha256:' || sha256(html), 'Content-Length: ' || strlen(html))
+            || chr(13) || chr(10) || chr(13) || chr(10) || html AS record
+    FROM pages
+)
+SELECT page_id, file, coalesce(sum(strlen(record) + 4) OVER (PARTITION BY file ORDER BY page_id, record
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+    strlen(record)::BIGINT AS length, sha256(record) AS sha256,
+    CASE WHEN page_id % 67 = 0 THEN 'missing' WHEN page_id % 61 = 0 THEN 'damaged' ELSE 'intact' END AS status
+FROM parts""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
