@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import courierlake
 from courierlake.session import scratch_path
 
 # Words are runs of anything but ASCII white space.
@@ -39,3 +44,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def fold_bytes(text: str | None) -> bytes:
     """UTF-8 of `text` with A-Z lower-cased; empty for NULL."""
     return b"" if text is None else text.encode("utf-8", "replace").lower()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once, wherever they run.
+
+    Spark's own file server hands out the archive; the folder it is packed in
+    is the driver's alone.
+    """
+    name = "courierlake-package.zip"
+    context = spark.sparkContext
+    if any(file.endswith(name) for file in context.listFiles):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="courierlake-")) / name
+    root = Path(courierlake.__file__).parent
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlake.llm.common import fold_bytes, stored
@@ -405,3 +405,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return with_words.unionByName(without).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each near-duplicate component of `docs`, all its columns.
+
+    The row with the component's id stays; of rows that repeat id and text, one.
+    Rows without an id can't be told apart and stay as they are.
+    """
+    found = near_duplicates(docs, width, percent)
+    ids = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull())
+    kept = named.join(stored(ids, "kept-ids"), F.col("doc_id") == F.col("_kept"), "left_semi")
+    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    once = kept.withColumn("_again", F.row_number().over(again)).where(F.col("_again") == 1).drop("_again")
+    return once.unionByName(docs.where(F.col("doc_id").isNull()))

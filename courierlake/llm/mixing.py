@@ -6,7 +6,8 @@ what it can't take is shared among the others, until no source exceeds its
 clamp. Documents are then repeated whole, and once more for a seeded part of
 the source.
 
-Only column expressions run here.
+Only column expressions run here. The texts themselves are never shuffled: what
+decides about a row is its own key and one row per source.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from courierlake.llm.common import stored
 from courierlake.operators.ranking import add_row_numbers
 
-# A source is dealt over this many buckets of its seeded order, so that the
-# running sums of a source that holds most rows are spread over tasks.
-ORDER_BUCKETS = 1024
+# A source's seeded order is cut into this many ranges, so that the running sums
+# of a source that holds most rows are spread over tasks.
+ORDER_RANGES = 1024
+_RANGE_SHIFT = 63 - 10
+_POSITIVE = (1 << 63) - 1
 
 
 def water_fill(sources: DataFrame, total: float | None = None, max_epochs: float = 3.0) -> DataFrame:
@@ -75,47 +78,62 @@ def source_targets(
     return stored(water_fill(sources, total, max_epochs), "mix-targets")
 
 
-def repetitions(sized: DataFrame, targets: DataFrame, order: Sequence[str], seed: int = 0) -> DataFrame:
-    """Add `repeats` and `target`: how often each row of `sized` is taken.
+def order_key(columns: Sequence[str], seed: int) -> Column:
+    """Place of a row in its source's seeded order, from 0 to 2^63 - 1."""
+    return F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit(_POSITIVE))
+
+
+def source_cuts(sized: DataFrame, targets: DataFrame, order: Sequence[str], seed: int = 0) -> DataFrame:
+    """Per source: how often all its rows are taken, and up to which key once more.
 
     A source with target t and size s is taken whole floor(t / s) times. For
     the rest, its rows stand in a seeded order, and those whose middle lies
     within the remaining part are taken once more: the source misses its
-    target by less than half of one row. `order` names the columns that make
-    the order unique; rows equal in all of them are interchangeable. Running
-    sums go over buckets of the order, so no task sees a whole source.
+    target by less than half of one row, or of the rows that share a key.
+    Running sums go over ranges of the order, so no task sees a whole source.
+    Returns `cut_source`, `source_size`, `target`, `whole`, `cut`.
     """
-    spread = F.xxhash64(F.lit(seed), *order)
-    keyed = sized.withColumn("_h", spread).withColumn(
-        "_bucket", F.pmod(F.shiftright("_h", 20), F.lit(ORDER_BUCKETS))
-    )
-    buckets = keyed.groupBy("source", "_bucket").agg(F.sum("size").alias("_in"))
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ORDER_BUCKETS rows per source.
-    starts = buckets.withColumn("_start", F.coalesce(F.sum("_in").over(before), F.lit(0)))
-    goals = targets.select(F.col("source").alias("_source"), "source_size", "target")
-    starts = starts.join(goals, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "_source",
-        F.col("_bucket").alias("_at"),
-        "_start",
-        "source_size",
-        "target",
-    )
-    inside = Window.partitionBy("source", "_bucket").orderBy("_h", *order)
+    keyed = sized.select("source", "size", order_key(order, seed).alias("key"))
+    # Equal keys stand for equal rows, which are taken together.
+    keyed = keyed.groupBy("source", "key").agg(F.sum("size").alias("size"))
+    keyed = keyed.withColumn("range", F.shiftright("key", _RANGE_SHIFT).cast("int"))
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most ORDER_RANGES rows per source.
+    starts = keyed.groupBy("source", "range").agg(F.sum("size").alias("_in"))
+    starts = starts.withColumn("start", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    starts = starts.select(F.col("source").alias("_source"), F.col("range").alias("_range"), "start")
+    goals = targets.select(F.col("source").alias("cut_source"), "source_size", "target")
+    epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    goals = goals.withColumn("whole", F.floor(epochs).cast("bigint"))
+    inside = Window.partitionBy("source", "range").orderBy("key")
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.sum("size").over(running)
-    numbered = keyed.withColumn("_upto", upto)
-    joined = numbered.join(
-        stored(starts, "mix-buckets"),
-        F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_at")),
+    placed = keyed.withColumn("_upto", F.sum("size").over(running)).join(
+        starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("range") == F.col("_range"))
     )
-    epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(epochs)
-    rest = F.col("target") - whole * F.col("source_size")
-    middle = F.col("_start") + F.col("_upto") - F.col("size") / 2
-    return joined.withColumn(
-        "repeats", (whole + F.when((middle <= rest) & (rest > 0), 1).otherwise(0)).cast("bigint")
-    ).drop("_h", "_bucket", "_upto", "_start", "_source", "_at")
+    rest = F.col("target") - F.col("whole") * F.col("source_size")
+    middle = F.col("start") + F.col("_upto") - F.col("size") / 2
+    within = placed.join(goals, F.col("source").eqNullSafe(F.col("cut_source"))).where((middle <= rest) & (rest > 0))
+    cuts = within.groupBy("source").agg(F.max("key").alias("cut"))
+    joined = goals.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
+    return stored(joined.drop("source").withColumn("cut", F.coalesce("cut", F.lit(-1))), "mix-cuts")
+
+
+def with_repetitions(
+    rows: DataFrame, sized: DataFrame, weights: Sequence[float], order: Sequence[str], seed: int = 0,
+    total: float | None = None, max_epochs: float = 3.0,
+) -> DataFrame:
+    """`rows` with `source_size`, `target` and `repeats`.
+
+    `sized` has `source`, `size` and the columns of `order`, as has `rows`; rows
+    equal in all of `order` are taken alike. Rows of NULL source are a source of
+    their own. Empty rows (size 0) are repeated with their source but count for
+    nothing.
+    """
+    targets = source_targets(sized, weights, total, max_epochs)
+    cuts = source_cuts(sized, targets, order, seed)
+    joined = rows.join(cuts, rows["source"].eqNullSafe(F.col("cut_source")))
+    repeats = F.col("whole") + F.when(order_key(order, seed) <= F.col("cut"), 1).otherwise(0)
+    return joined.withColumn("repeats", repeats.cast("bigint")).drop("cut_source", "whole", "cut")
 
 
 def repeat_rows(df: DataFrame, repeats: Column) -> DataFrame:

@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import stored
 from courierlake.llm.labelled import logistic_fit, sampled, training_labels
 
 # The classifier is fitted on at most so many labelled rows.
@@ -207,19 +206,31 @@ def fit_rules(sample: pd.DataFrame, seed: int = 7) -> RuleModel:
     return RuleModel(kept, float(w[-1]))
 
 
-def fit(statistics: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_ROWS) -> RuleModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_ROWS) -> RuleModel:
     """Fit on at most `at_most` labelled rows outside the held-out fold."""
     train = sampled(training_labels(labels, label), at_most, seed=5)
-    return fit_rules(statistics.join(train, "doc_id").toPandas().sort_values(["doc_id", *STATISTICS]))
+    rows = text_statistics(docs.join(F.broadcast(train.select("doc_id")), "doc_id", "left_semi"))
+    return fit_rules(rows.join(F.broadcast(train), "doc_id").toPandas().sort_values(["doc_id", *STATISTICS]))
+
+
+def with_score(docs: DataFrame, model: RuleModel, name: str) -> DataFrame:
+    """All columns of `docs` (with `text`) and the score of each row as `name`."""
+
+    @F.pandas_udf(", ".join(f"{s} double" for s in STATISTICS))
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([statistics_of(t) for t in texts], columns=list(STATISTICS), dtype=float)
+
+    given = docs.select(F.struct("*").alias("_given"), measure("text").alias("_stats"))
+    scored = given.select("_given", "_stats.*").select("_given", model.score().alias("_score"))
+    return scored.select(*(F.col("_given")[c].alias(c) for c in docs.columns), F.col("_score").alias(name))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, `score` (0 to 1) and the statistics of every row of `docs`.
+    """doc_id and `score` (0 to 1) of every row of `docs`.
 
     NULL and empty texts are scored by their statistics, which are all 0;
     repeated rows score alike; the columns of `docs` other than doc_id and
     text are not looked at.
     """
-    statistics = stored(text_statistics(docs), "statistics")
-    model = fit(statistics, labels, "quality", at_most)
-    return statistics.withColumn("score", model.score())
+    model = fit(docs, labels, "quality", at_most)
+    return text_statistics(docs).select("doc_id", model.score().alias("score"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, topk, toxicity, warc, winnow
-from courierlake.llm.common import stored, table, word_count
+from courierlake.llm.common import ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
 
 SHARDS = 40
@@ -80,8 +81,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "mix-sizes",
     )
-    targets = mixing.source_targets(sized, [1, 2, 3])
-    taken = mixing.repetitions(sized, targets, ["doc_id", "_text", "size"], seed=1)
+    taken = mixing.with_repetitions(sized, sized, [1, 2, 3], ["doc_id", "_text"], seed=1)
     return taken.select(
         "doc_id",
         "size",
@@ -135,8 +135,19 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.compare_with_edits(table(spark, folder, "documents"))
 
 
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """`query` with this package at hand on the executors."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    named = {
         "op1_sharding": op1_sharding,
         "op2_topk": op2_topk,
         "op3_toxicity": op3_toxicity,
@@ -148,6 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
     }
+    return {name: shipped(query) for name, query in named.items()}
 
 
 # The same results in DuckDB, where its SQL can state them.

@@ -315,6 +315,23 @@ def scanned_training(rows: DataFrame, model: OddsModel) -> pd.DataFrame:
     return rows.select("label", "text").mapInPandas(scan, schema).toPandas()
 
 
+def with_score(docs: DataFrame, model: OddsModel, name: str) -> DataFrame:
+    """All columns of `docs` (with `text`) and the score of each row as `name`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        law, found = shared.value, []
+        for text in texts:
+            tokens = tokens_of(text)
+            scores = np.fromiter(map(law.token_score, tokens), float, len(tokens))
+            kept = law.significant(maximal_segments(scores), len(tokens))
+            found.append(law.probability(law.evidence(kept, len(tokens))))
+        return pd.Series(found, dtype=float)
+
+    return docs.withColumn(name, score("text"))
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, at_most: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, score (0 to 1), n_tokens, evidence and `passages` of every row of `docs`.
 
