@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 MICROS_PER_MINUTE = 60_000_000
 
+# Fixed value: orders and events carry the local time of this zone.
+DATA_ZONE = "Asia/Kolkata"
+
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
     """Exact microseconds from `start` to `end`; NULL if either is NULL.
@@ -26,6 +29,17 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     return micros_between(start, end) / F.lit(float(MICROS_PER_MINUTE))
 
 
+def mean_minutes(start: Column | str, end: Column | str, weight: Column | None = None) -> Column:
+    """Aggregate: mean minutes from `start` to `end`, from an exact sum of microseconds.
+
+    Sums of doubles depend on the order of their tasks in the last digits.
+    `weight` replaces the microseconds that are summed.
+    """
+    micros = micros_between(start, end)
+    total = F.sum((micros if weight is None else weight).cast("decimal(38,0)")).cast("double")
+    return total / F.count(micros) / F.lit(float(MICROS_PER_MINUTE))
+
+
 def time_slot(hour: Column | str) -> Column:
     """Part of the day for an hour; hours outside 8-23 and NULL are late_night."""
     hour = _col(hour)
@@ -61,13 +75,18 @@ def days_between(start: Column | str, end: Column | str) -> Column:
     return F.datediff(_col(end), _col(start)).cast("bigint")
 
 
-def as_of_date(as_of: dt.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
+def now_in(zone: str) -> Column:
+    """The clock in `zone` as a zone-less timestamp, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), F.localtimestamp())
+
+
+def as_of_date(as_of: dt.date | None, zone: str = DATA_ZONE) -> Column:
+    return now_in(zone).cast("date") if as_of is None else F.lit(as_of)
 
 
-def as_of_timestamp(as_of: dt.datetime | None) -> Column:
+def as_of_timestamp(as_of: dt.datetime | None, zone: str = DATA_ZONE) -> Column:
     if as_of is None:
-        return F.localtimestamp()
+        return now_in(zone)
     return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 

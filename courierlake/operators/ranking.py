@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from courierlake.session import shared_dir
 
-# Up to this many rows, one task sorts the table faster than a range sort.
-SINGLE_TASK_ROWS = 200_000
-
 # monotonically_increasing_id keeps the row's position within its partition in
 # the low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
@@ -20,21 +17,15 @@ _POSITION_BITS = (1 << 33) - 1
 def add_row_numbers(
     df: DataFrame,
     ranks: dict[str, tuple[Sequence[str], Sequence[Column]]],
-    in_one_task: bool = False,
 ) -> DataFrame:
     """Add one row-number column per entry of `ranks`.
 
     `ranks` maps a column name to (group columns, ordering). An ordering must
-    leave no ties. Callers set `in_one_task` after counting the rows: plain
-    windows then, and otherwise a range sort that never brings a group into
-    one task.
+    leave no ties. A range sort numbers the rows, which never brings a group
+    into one task.
     """
     for name, (groups, order) in ranks.items():
-        if in_one_task:
-            number = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-            df = df.withColumn(name, number)
-        else:
-            df = _distributed_row_number(df, name, groups, order)
+        df = _distributed_row_number(df, name, groups, order)
     return df
 
 

@@ -9,15 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlake.plans import core, insights, marts, quality, silver
 from courierlake.plans.staging import STAGED_COLUMNS, staged
 from courierlake.plans.timeline import delivery_timeline, order_refunds
-from courierlake.session import size_shuffles, stored_bytes
+from courierlake.session import setting, shuffle_width, stored_bytes
 from courierlake.sources import lake, raw
 from courierlake.sources.schemas import RAW_TABLES
 
 SIMPLE_TABLES = ("order_items", "restaurants", "riders", "refunds", "support_tickets")
 
-# First and last day of the default calendar.
-CALENDAR = (dt.date(2026, 1, 15), dt.date(2026, 3, 22))
-
 
 def build_silver(
     spark: SparkSession, bronze_path: str, silver_path: str, as_of: dt.datetime | None = None
@@ -49,29 +46,34 @@ def build_models(
     spark: SparkSession,
     database: str = "default",
     as_of: dt.date | None = None,
-    calendar: tuple[dt.date, dt.date] = CALENDAR,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, core tables and marts over the silver tables of `database`.
 
     The order fact is written first and everything else about deliveries reads
-    it back, so the order-event join runs once.
+    it back, so the order-event join runs once. `calendar` gives the first and
+    last day of dim_date, by default those of the orders.
     """
     tables: dict[str, DataFrame] = {}
 
-    def publish(name: str, df: DataFrame, as_: str = "table") -> None:
+    def publish(
+        name: str, df: DataFrame, as_: str = "table", partition_by: str | None = None
+    ) -> None:
         full_name = name if as_ == "view" else f"{database}.{name}"
-        tables[name] = lake.publish(df, full_name, as_)
+        tables[name] = lake.publish(df, full_name, as_, partition_by)
 
     publish("time_slots", lake.time_slots(spark))
     for name in STAGED_COLUMNS:
         publish(f"stg_{name}", staged(name, spark.table(f"{database}.{name}")), "view")
     orders, refunds = tables["stg_orders"], tables["stg_refunds"]
 
-    publish("fct_orders", core.fct_orders(delivery_timeline(orders, tables["stg_delivery_events"])))
+    facts = core.fct_orders(delivery_timeline(orders, tables["stg_delivery_events"]))
+    publish("fct_orders", facts, partition_by="order_date")
     fact = tables["fct_orders"]
     publish("dim_restaurants", core.dim_restaurants(tables["stg_restaurants"], fact))
     publish("dim_riders", core.dim_riders(tables["stg_riders"]))
-    publish("dim_date", core.dim_date(core.date_range(spark, *calendar)))
+    days = core.date_range(spark, *calendar) if calendar else core.order_date_range(fact)
+    publish("dim_date", core.dim_date(days))
 
     publish("mart_sla_breach_analysis", marts.sla_breach_analysis(fact))
     publish(
@@ -99,19 +101,35 @@ def ask(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def check(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The expectations on the published tables, and the share test of the refund mart."""
+    expected = {name: tables[name] for name in quality.EXPECTATIONS}
+    return {
+        "expectations": quality.check_tables(expected),
+        "refund_shares_off": quality.refund_shares_off(tables["mart_refund_drivers"]),
+    }
+
+
 def run(
     spark: SparkSession,
     raw_path: str,
     lake_path: str,
     database: str = "default",
     as_of: dt.datetime | None = None,
-    json_lines: bool = False,
+    json_lines: bool = True,
     order_buckets: int | None = None,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
-    """Everything, from raw files to published marts."""
-    size_shuffles(spark, stored_bytes(spark, raw_path))
-    bronze_path, silver_path = f"{lake_path}/bronze", f"{lake_path}/silver"
-    raw.ingest_all(spark, raw_path, bronze_path, json_lines=json_lines)
-    build_silver(spark, bronze_path, silver_path, as_of)
-    lake.load_tables(spark, silver_path, RAW_TABLES, database, order_buckets)
-    return build_models(spark, database, as_of.date() if as_of else None)
+    """Everything, from raw files to published marts and their checks.
+
+    Next to the published tables, the result holds `dq_report`, `expectations`
+    and `refund_shares_off`.
+    """
+    width = shuffle_width(spark, stored_bytes(spark, raw_path))
+    with setting(spark, "spark.sql.shuffle.partitions", str(width)):
+        bronze_path, silver_path = f"{lake_path}/bronze", f"{lake_path}/silver"
+        raw.ingest_all(spark, raw_path, bronze_path, json_lines=json_lines)
+        report = build_silver(spark, bronze_path, silver_path, as_of)
+        lake.load_tables(spark, silver_path, RAW_TABLES, database, order_buckets)
+        tables = build_models(spark, database, as_of.date() if as_of else None, calendar)
+    return {**tables, "dq_report": report, **check(tables)}

@@ -16,9 +16,9 @@ from courierlake.functions import (
     week_end,
     week_start,
 )
-from courierlake.functions.temporal import MICROS_PER_MINUTE, micros_between
-from courierlake.operators.percentiles import buffered_percentiles, grouped_percentiles
-from courierlake.operators.ranking import SINGLE_TASK_ROWS, add_row_numbers
+from courierlake.functions.temporal import MICROS_PER_MINUTE, mean_minutes, micros_between
+from courierlake.operators.percentiles import grouped_percentiles
+from courierlake.operators.ranking import add_row_numbers
 from courierlake.plans.timeline import delivered_only, rider_daily, with_valid_prep
 from courierlake.sources.lake import checkpointed
 
@@ -53,25 +53,30 @@ def sla_daily(timeline: DataFrame) -> DataFrame:
     A delivered order without a delivered event counts as an order, not as a
     breach. The breach minutes average over all orders, on-time ones as 0.
     """
-    late_minutes = F.when(F.col("is_sla_breached"), F.col("sla_breach_minutes")).otherwise(0.0)
+    late_us = micros_between("promised_delivery_ts", "delivered_ts")
+    late = F.sum(F.when(F.col("is_sla_breached"), late_us).otherwise(0).cast("decimal(38,0)"))
+    late = late.cast("double")
     return (
         delivered_only(timeline)
         .groupBy("city", "time_slot", "order_date")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
             F.count_if("is_sla_breached").alias("breached_orders"),
-            F.avg("total_time_minutes").alias("avg_delivery_time_minutes"),
-            F.avg(late_minutes).alias("avg_breach_minutes"),
+            mean_minutes("order_ts", "delivered_ts").alias("avg_delivery_time_minutes"),
+            (late / F.count(F.lit(1)) / F.lit(float(MICROS_PER_MINUTE))).alias(
+                "avg_breach_minutes"
+            ),
         )
     )
 
 
-def sla_breach_analysis(
-    timeline: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """Breach rate, unweighted means of the daily means, and two ranks."""
+def sla_breach_analysis(timeline: DataFrame) -> DataFrame:
+    """Breach rate, unweighted means of the daily means, and two ranks.
+
+    The overall rank is a plain window: there are five rows per city.
+    """
     orders, breached = F.sum("total_orders"), F.sum("breached_orders")
-    by_slot, n_slots = checkpointed(
+    by_slot = (
         sla_daily(timeline)
         .groupBy("city", "time_slot")
         .agg(
@@ -85,16 +90,11 @@ def sla_breach_analysis(
         )
     )
     worst_first = report_order("sla_breach_analysis")
-    ranked = add_row_numbers(
-        by_slot,
-        {"overall_breach_rank": ([], worst_first)},
-        in_one_task=n_slots <= single_task_rows,
-    )
-    # A city has five slots at most.
+    overall = F.row_number().over(Window.orderBy(*worst_first))
     in_city = F.row_number().over(Window.partitionBy("city").orderBy(*worst_first))
-    return ranked.withColumns(
+    return by_slot.withColumns(
         {
-            "overall_breach_rank": F.col("overall_breach_rank").cast("bigint"),
+            "overall_breach_rank": overall.cast("bigint"),
             "city_breach_rank": in_city.cast("bigint"),
         }
     )
@@ -119,11 +119,10 @@ def prep_time_counts(timeline: DataFrame) -> DataFrame:
     )
 
 
-def prep_percentiles(counts: DataFrame, few_values: bool = False) -> DataFrame:
+def prep_percentiles(counts: DataFrame) -> DataFrame:
     """Exact median and 95th percentile of the preparation minutes, unrounded."""
     fractions = {"median_us": "0.5", "p95_us": "0.95"}
-    locate = buffered_percentiles if few_values else grouped_percentiles
-    located = locate(counts, "restaurant_id", "prep_us", "orders", fractions)
+    located = grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", fractions)
     return located.select(
         "restaurant_id",
         _minutes(F.col("median_us")).alias("median_prep_time_minutes"),
@@ -139,7 +138,6 @@ def restaurant_prep_delays(
     delay_minutes: float = 20,
     high_risk: tuple[float, float] = (25, 30),
     medium_risk: tuple[float, float] = (20, 20),
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Preparation figures and risk class of restaurants with enough orders.
 
@@ -147,14 +145,17 @@ def restaurant_prep_delays(
     rounded mean with the unrounded rate.
     """
     # Several branches below read the counts; the timeline runs once.
-    counts, n_counts = checkpointed(prep_time_counts(timeline))
+    counts, _ = checkpointed(prep_time_counts(timeline))
     minutes, orders = _minutes(F.col("prep_us")), F.col("orders")
     slow = minutes > delay_minutes
+    total_us = F.sum((F.col("prep_us") * orders).cast("decimal(38,0)")).cast("double")
     figures = (
         counts.groupBy("restaurant_id")
         .agg(
             F.sum("orders").alias("total_orders"),
-            F.round(F.sum(minutes * orders) / F.sum("orders"), 1).alias("avg_prep_time_minutes"),
+            F.round(total_us / F.sum("orders") / F.lit(float(MICROS_PER_MINUTE)), 1).alias(
+                "avg_prep_time_minutes"
+            ),
             F.min(minutes).alias("min_prep_time_minutes"),
             F.max(minutes).alias("max_prep_time_minutes"),
             F.sum(F.when(slow, orders).otherwise(0)).alias("delayed_orders"),
@@ -162,7 +163,7 @@ def restaurant_prep_delays(
         )
         .where(F.col("total_orders") >= min_orders)
     )
-    located = prep_percentiles(counts, few_values=n_counts <= single_task_rows)
+    located = prep_percentiles(counts)
     located = located.withColumnRenamed("restaurant_id", "_restaurant_id")
     figures = figures.join(located, F.col("restaurant_id").eqNullSafe(F.col("_restaurant_id")))
 
@@ -273,7 +274,6 @@ def rider_performance(
     riders: DataFrame,
     as_of: dt.date | None = None,
     min_deliveries: int = 10,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """On-time rate, efficiency against the city mean, ranks and tier per rider.
 
@@ -283,7 +283,7 @@ def rider_performance(
     about = riders.select("rider_id", "city", "shift_type", "joining_date")
     late_share = F.col("total_late_deliveries") / F.col("total_orders_delivered")
     # One row per rider, read by the city means and again by the scores.
-    measured, n_riders = checkpointed(
+    measured, _ = checkpointed(
         rider_summary(rider_daily(timeline), min_deliveries)
         .join(about, "rider_id", "left")
         .withColumns(
@@ -316,7 +316,6 @@ def rider_performance(
     ranked = add_row_numbers(
         scored,
         {"city_rank": (["city"], best_first), "overall_rank": ([], best_first)},
-        in_one_task=n_riders <= single_task_rows,
     )
     return ranked.select(
         "rider_id",

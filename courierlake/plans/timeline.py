@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.functions import minutes_between
+from courierlake.functions.temporal import mean_minutes
 from courierlake.operators.joins import left_join_many
 
 # Timeline column per event type.
@@ -34,23 +35,13 @@ ORDER_COLUMNS = (
 
 
 def event_milestones(events: DataFrame) -> DataFrame:
-    """One row per order: latest time of each milestone, and its rider.
-
-    Events that feed neither a milestone nor the rider are filtered out at the
-    scan. An order with such events only gets no row, which the left join of
-    the timeline cannot tell from a row of NULLs.
-    """
-    feeds = F.col("event_type").isin(*MILESTONES.values()) | F.col("rider_id").isNotNull()
-    return (
-        events.where(feeds)
-        .groupBy("order_id")
-        .agg(
-            *(
-                F.max(F.when(F.col("event_type") == event, F.col("event_ts"))).alias(name)
-                for name, event in MILESTONES.items()
-            ),
-            F.max("rider_id").alias("rider_id"),
-        )
+    """One row per order with any event: latest time of each milestone, and its rider."""
+    return events.groupBy("order_id").agg(
+        *(
+            F.max(F.when(F.col("event_type") == event, F.col("event_ts"))).alias(name)
+            for name, event in MILESTONES.items()
+        ),
+        F.max("rider_id").alias("rider_id"),
     )
 
 
@@ -58,13 +49,16 @@ def delivery_timeline(orders: DataFrame, events: DataFrame) -> DataFrame:
     """Every staged order with its milestones, durations and SLA outcome.
 
     Without a promised time a delivered order counts as not breached, while
-    its breach minutes stay NULL.
+    its breach minutes stay NULL. Events that feed neither a milestone nor the
+    rider are filtered out at the scan: the left join can't tell a row of NULLs
+    from no row.
     """
+    feeds = F.col("event_type").isin(*MILESTONES.values()) | F.col("rider_id").isNotNull()
     delivered, promised = F.col("delivered_ts"), F.col("promised_delivery_ts")
     breached = F.coalesce(delivered > promised, F.lit(False))
     return (
         orders.select(*ORDER_COLUMNS)
-        .join(event_milestones(events), "order_id", "left")
+        .join(event_milestones(events.where(feeds)), "order_id", "left")
         .withColumns(
             {
                 "prep_time_minutes": minutes_between("accepted_ts", "food_ready_ts"),
@@ -114,7 +108,9 @@ def rider_daily(timeline: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("orders_delivered"),
             F.count_if("is_sla_breached").alias("late_deliveries"),
-            F.round(F.avg("delivery_time_minutes"), 1).alias("avg_delivery_time_minutes"),
+            F.round(mean_minutes("picked_up_ts", "delivered_ts"), 1).alias(
+                "avg_delivery_time_minutes"
+            ),
         )
     )
 
@@ -126,7 +122,7 @@ def restaurant_daily(timeline: DataFrame, delay_minutes: float = 20) -> DataFram
         .groupBy("restaurant_id", "order_date")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            F.round(F.avg("prep_time_minutes"), 1).alias("avg_prep_time_minutes"),
+            F.round(mean_minutes("accepted_ts", "food_ready_ts"), 1).alias("avg_prep_time_minutes"),
             F.count_if(F.col("prep_time_minutes") > delay_minutes).alias("delayed_orders"),
         )
     )

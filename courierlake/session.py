@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the jobs are planned for. forceOptimizeSkewedJoin lets AQE split a hot join key even where the next
 # operator reuses the join's partitioning; the extra shuffle it then needs
@@ -19,11 +20,10 @@ SETTINGS = {
 }
 
 
-# Shuffle width: one partition per this much stored input, up to a width whose
-# map outputs a cluster still keeps track of. AQE merges small partitions but
-# never adds any, so the width must fit the data from the start.
+# Shuffle width: one partition per this much stored input. AQE merges small
+# partitions but never adds any, so the width must fit the data from the start.
 INPUT_PER_PARTITION = 512 * 1024**2
-WIDEST_SHUFFLE = 50_000
+DEFAULT_WIDTH = 200
 
 # Recording the Python line of every expression doubles the time it takes to
 # put a model together.
@@ -51,42 +51,38 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below `path`, 0 if there are none."""
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(location).getLength() if files.exists(location) else 0
+    """Size of the files below `path`, 0 if there are none; only their listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        return files.load(path).agg(F.sum("length")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Widen the shuffles of the session for `input_bytes`; never narrows them."""
-    wanted = min(WIDEST_SHUFFLE, -(-input_bytes // INPUT_PER_PARTITION))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > width:
-        spark.conf.set("spark.sql.shuffle.partitions", wanted)
-        width = wanted
-    return width
+def shuffle_width(spark: SparkSession, input_bytes: int) -> int:
+    """Shuffle partitions for `input_bytes`; a width set on the application wins."""
+    key = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.getConf().contains(key):
+        return int(spark.conf.get(key))
+    return max(DEFAULT_WIDTH, -(-input_bytes // INPUT_PER_PARTITION))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, ready for checkpoints.
 
-    Only a local session may go without the setting; it gets a fresh folder.
+    Every executor must reach it, so there is no default.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    current = context.getCheckpointDir()
-    if configured:
-        if current is None:
-            context.setCheckpointDir(configured)
-        return configured
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="courierlake-"))
-        current = context.getCheckpointDir()
-    return current
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courierlake.functions.temporal import time_slot
 from courierlake.session import setting, shared_dir
 from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
@@ -78,7 +79,8 @@ def load_tables(
 ) -> dict[str, int]:
     """Replace one catalog table per silver folder; rows per loaded table.
 
-    A missing folder is logged and skipped. With `order_buckets`, orders and
+    The tables are external: they read the silver folders where they are, with
+    their partitions. A missing folder is logged and skipped. With `order_buckets`, orders and
     events are bucketed by order: worth its one shuffle per table when several
     models run on them. Leave it off if a few orders may hold most refunds, as
     AQE splits a hot key only where both sides of the join are shuffled.
@@ -95,10 +97,20 @@ def load_tables(
         if order_buckets and name in BUCKETED:
             loaded[name] = save_bucketed(rows, f"{database}.{name}", "order_id", order_buckets)
         else:
-            loaded[name] = save_table(rows, f"{database}.{name}")
+            register(spark, f"{silver_path}/{name}", f"{database}.{name}")
+            loaded[name] = rows.count()
     return loaded
 
 
+def register(spark: SparkSession, path: str, name: str) -> None:
+    """Replace catalog table `name` with one over the Parquet below `path`."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def save_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
     """Replace catalog table `name`; returns the rows written."""
     if partition_by is None:
@@ -129,11 +141,13 @@ def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
     )
 
 
-def publish(df: DataFrame, name: str, as_: str = "table") -> DataFrame:
+def publish(
+    df: DataFrame, name: str, as_: str = "table", partition_by: str | None = None
+) -> DataFrame:
     """Publish a model as a stored `table`, a session `view`, or not at all (`inline`)."""
     spark = df.sparkSession
     if as_ == "table":
-        save_table(df, name)
+        save_table(df, name, partition_by)
         return spark.table(name)
     if as_ == "view":
         df.createOrReplaceTempView(name)
@@ -149,7 +163,10 @@ def time_slots(spark: SparkSession) -> DataFrame:
 
 
 def label_time_slots(orders: DataFrame) -> DataFrame:
-    """Orders with the slot label of their hour; broadcast of five fixed rows."""
-    slots = F.broadcast(time_slots(orders.sparkSession).withColumnRenamed("time_slot", "slot"))
-    in_slot = F.col("order_hour").between(F.col("start_hour"), F.col("end_hour"))
-    return orders.join(slots, in_slot, "left").drop("start_hour", "end_hour")
+    """Orders with the slot and slot label of their hour; broadcast of five fixed rows.
+
+    Joined by the slot's name, so an hour of NULL is late_night here as well.
+    """
+    slots = time_slots(orders.sparkSession).withColumnRenamed("time_slot", "slot")
+    named = orders.withColumn("slot", time_slot("order_hour"))
+    return named.join(F.broadcast(slots), "slot", "left").drop("start_hour", "end_hour")

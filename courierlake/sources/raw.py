@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from courierlake.functions.temporal import now_in
 from courierlake.sources import lake
 from courierlake.sources.schemas import CORRUPT, RAW_TABLES, RawTable
 
@@ -28,12 +29,12 @@ def read_csv(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     )
 
 
-def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = True) -> DataFrame:
     """JSON records, unreadable ones captured in `_corrupt_record`.
 
-    By default each file is one array of objects. Such a file cannot be split,
-    so one task reads it whole: large feeds should arrive as many files or,
-    better, with one object per line (`lines=True`), which splits anywhere.
+    By default a file has one object per line and splits anywhere. With
+    `lines=False` each file is one array of objects, which one task reads
+    whole: such feeds should arrive as many files.
     """
     reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if lines:
@@ -57,11 +58,11 @@ def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = Fal
 
 
 def with_ingest_columns(df: DataFrame, batch_id: str) -> DataFrame:
-    """Source file, ingest time (one instant per batch) and batch id."""
+    """Source file, ingest time (UTC, one instant per batch) and batch id."""
     return df.select(
         *df.columns,
         F.col("_metadata.file_path").alias("_source_file"),
-        F.localtimestamp().alias("_ingested_at"),
+        now_in("UTC").alias("_ingested_at"),
         F.lit(batch_id).alias("_batch_id"),
     )
 
@@ -72,7 +73,7 @@ def ingest(
     raw_path: str,
     bronze_path: str,
     batch_id: str,
-    json_lines: bool = False,
+    json_lines: bool = True,
 ) -> int:
     """Write one raw table to bronze and return the number of rows written."""
     source = f"{raw_path}/{table.file}"
@@ -89,7 +90,7 @@ def ingest_all(
     bronze_path: str,
     tables: Iterable[str] = tuple(RAW_TABLES),
     batch_id: str | None = None,
-    json_lines: bool = False,
+    json_lines: bool = True,
 ) -> dict[str, int]:
     """Every raw table under one batch id; rows written per table."""
     batch_id = batch_id or new_batch_id()

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -94,7 +95,12 @@ def run(spark: SparkSession, folder: str, names: list[str]) -> int:
 
 def main(folder: str, *names: str) -> int:
     spark = build_session(
-        **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="courierlake-check-"),
+        }
     )
     spark.sparkContext.setLogLevel("OFF")
     return run(spark, folder, list(names))

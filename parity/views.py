@@ -95,7 +95,7 @@ class Views:
             .select(
                 _text("o_orderkey").alias("order_id"),
                 _text("o_custkey").alias("customer_id"),
-                (F.col("o_custkey") % 40 + 1).cast("string").alias("restaurant_id"),
+                _restaurant("o_custkey").alias("restaurant_id"),
                 F.upper("n_name").alias("city"),
                 _order_time().alias("order_ts"),
                 (_order_time() + allowed).alias("promised_delivery_ts"),
@@ -228,25 +228,25 @@ class Views:
         )
 
     def raw_restaurants(self) -> DataFrame:
-        balance = F.col("c_acctbal")
+        """One restaurant per block of 40 customer keys, described by its customers."""
+        balance = F.max("c_acctbal")
         band = (
-            F.when(balance >= 7500, "A")
-            .when(balance >= 5000, "B")
-            .when(balance >= 2500, "C")
+            F.when(balance >= 9900, "A")
+            .when(balance >= 9800, "B")
+            .when(balance >= 9700, "C")
             .otherwise("D")
         )
         return (
             self.table("customer")
-            .where(F.col("c_custkey").between(1, 40))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                _text("c_custkey").alias("restaurant_id"),
-                F.col("n_name").alias("city"),
-                F.col("c_mktsegment").alias("cuisine_type"),
+            .groupBy(_restaurant("c_custkey").alias("restaurant_id"))
+            .agg(
+                F.min("n_name").alias("city"),
+                F.min("c_mktsegment").alias("cuisine_type"),
                 band.alias("rating_band"),
-                F.date_add(F.lit(dt.date(1994, 1, 1)), F.col("c_custkey").cast("int")).alias(
-                    "onboarding_date"
-                ),
+                F.date_add(
+                    F.lit(dt.date(1994, 1, 1)), F.min("c_custkey").cast("int") % 5000
+                ).alias("onboarding_date"),
                 F.lit(AS_OF.isoformat(sep=" ")).cast("timestamp_ntz").alias("_ingested_at"),
             )
         )
@@ -332,6 +332,11 @@ def _join_by_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.hint("merge"), "order_id")
 
 
+def _restaurant(key: str):
+    """Every 40 customer keys in a row share a restaurant, so restaurants grow with the data."""
+    return F.floor(F.col(key) / 40).cast("bigint").cast("string")
+
+
 def _text(name: str):
     return F.col(name).cast("string")
 

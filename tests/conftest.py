@@ -20,6 +20,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": f"{folder}/warehouse",
+            "spark.checkpoint.dir": f"{folder}/shared",
             # Far from UTC, with a daylight-saving change: no result may depend on it.
             "spark.sql.session.timeZone": "America/New_York",
         },
