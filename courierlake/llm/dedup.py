@@ -38,7 +38,7 @@ MINIMA, BANDS, ROWS = 96, 20, 4
 MOST_BITS = 29
 SKETCH_HALF = MINIMA // 2
 # Nodes of a bucket in one block; a task compares two blocks.
-BLOCK = 128
+BLOCK = 256
 # Columns of a block comparison at once.
 COLUMNS_AT_ONCE = 1 << 12
 # Bits of the map of nodes with candidates: 2 MB, whatever the input.
