@@ -73,7 +73,14 @@ def write_raw(folder, days=14, per_day=12):
 def test_full_run(spark, folder, database):
     raw_path = write_raw(folder)
     tables = build.run(
-        spark, raw_path, f"{folder}/lake", database, at("2026-02-01"), order_buckets=4
+        spark,
+        raw_path,
+        f"{folder}/lake",
+        database,
+        at("2026-02-01"),
+        json_lines=False,
+        order_buckets=4,
+        calendar=(dt.date(2026, 1, 15), dt.date(2026, 3, 22)),
     )
     assert tables["fct_orders"].count() == 14 * 12
     assert tables["dim_date"].count() == 67
@@ -87,9 +94,13 @@ def test_full_run(spark, folder, database):
     assert tables["mart_rider_performance"].count() == 4
     assert tables["mart_refund_drivers"].first().total_refunds == 21
 
-    checked = {name: tables[name] for name in quality.EXPECTATIONS}
-    assert quality.check_tables(checked).where("violations > 0").count() == 0
-    assert quality.refund_shares_off(tables["mart_refund_drivers"]).count() == 0
+    expected = tables["expectations"]
+    assert {row.table_name for row in expected.collect()} == quality.EXPECTATIONS.keys()
+    assert expected.where("violations > 0").count() == 0
+    assert tables["refund_shares_off"].count() == 0
+    assert tables["dq_report"].count() == 6
+    part = tables["fct_orders"].where("order_date = DATE'2026-01-20'")
+    assert part.count() == 12 and "PartitionFilters: [isnotnull(order_date" in plan_of(part)
 
     for name, answer in build.ask(tables).items():
         assert 0 <= answer.count() <= 5, name
@@ -109,7 +120,7 @@ def test_silver_report_and_rerun(spark, folder):
     from courierlake.sources import raw
 
     for _ in range(2):  # a full refresh replaces what was there
-        written = raw.ingest_all(spark, raw_path, f"{folder}/bronze", batch_id="b1")
+        written = raw.ingest_all(spark, raw_path, f"{folder}/bronze", batch_id="b1", json_lines=False)
         assert written["orders"] == 24 + 1 + 1
         report = build.build_silver(
             spark, f"{folder}/bronze", f"{folder}/silver", at("2026-01-16 12:00:00")

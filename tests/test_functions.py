@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from courierlake import functions as fn
+from courierlake.functions import temporal
+from courierlake.session import setting
 from courierlake.sources import lake
 from helpers import at, rows_of, table
 
@@ -55,6 +57,26 @@ def test_slot_lookup_agrees_with_expression(spark):
     assert labelled.where(F.col("slot") != fn.time_slot("order_hour")).count() == 0
 
 
+def test_null_hour_is_late_night(spark):
+    hours = table(spark, "order_hour int", (None,), (9,))
+    assert sorted(lake.label_time_slots(hours).select("slot", "label").collect()) == [
+        ("late_night", "Late Night (12AM-7AM)"),
+        ("morning", "Morning (8AM-11AM)"),
+    ]
+
+
+def test_now_follows_the_data_not_the_session(spark):
+    """With the session far west, an order placed just now in India lies not in the future."""
+    now = dt.datetime.now(dt.timezone.utc)
+    ist = (now + dt.timedelta(hours=5, minutes=30)).replace(tzinfo=None)
+    with setting(spark, "spark.sql.session.timeZone", "UTC"):
+        row = spark.range(1).select(
+            temporal.as_of_timestamp(None).alias("here"), temporal.now_in("UTC").alias("utc")
+        ).first()
+    assert abs((row.here - ist).total_seconds()) < 120
+    assert abs((row.utc - now.replace(tzinfo=None)).total_seconds()) < 120
+
+
 def test_weeks_and_months(spark):
     df = table(spark, "d date", (dt.date(2026, 3, 1),), (dt.date(2026, 3, 2),), (None,))
     result = df.select(

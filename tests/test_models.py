@@ -74,9 +74,10 @@ def test_timeline(spark):
 def test_timeline_reads_needed_columns_only(spark, folder):
     path = f"{folder}/events"
     events(spark, ("o1", "delivered", "2026-01-19 12:00:00")).write.parquet(path)
-    plan = plan_of(tl.event_milestones(spark.read.parquet(path)))
+    orders = staged_orders(spark, {"order_id": "o1"})
+    plan = plan_of(tl.delivery_timeline(orders, spark.read.parquet(path)))
     assert "latitude" not in plan
-    assert "PushedFilters: [Or(In(event_type" in plan
+    assert "Or(In(event_type" in plan
 
 
 def test_order_refunds(spark):
@@ -149,20 +150,18 @@ def test_sla_mart(spark):
     assert (row.days_with_data, row.overall_breach_rank, row.city_breach_rank) == (2, 1, 1)
 
 
-@pytest.mark.parametrize("single_task_rows", [1000, 0])
-def test_sla_ranks_break_ties_by_key(spark, single_task_rows):
+def test_sla_ranks_break_ties_by_key(spark):
     cities = ("A", "B", None)
     orders = staged_orders(spark, *({"order_id": f"{c}", "city": c} for c in cities))
     timeline = tl.delivery_timeline(orders, events(spark))
-    mart = marts.sla_breach_analysis(timeline, single_task_rows)
+    mart = marts.sla_breach_analysis(timeline)
     assert [
         (row.city, row.overall_breach_rank, row.city_breach_rank)
         for row in marts.report("sla_breach_analysis", mart).collect()
     ] == [("A", 1, 1), ("B", 2, 1), (None, 3, 1)]
 
 
-@pytest.mark.parametrize("single_task_rows", [1000, 0])
-def test_restaurant_mart(spark, single_task_rows):
+def test_restaurant_mart(spark):
     specs = [(f"a{n}", "slow", "d", DAY, 21 + n, 50) for n in range(10)]
     specs += [(f"b{n}", "few", "d", DAY, 30, 50) for n in range(9)]
     specs += [(f"c{n}", "fine", "d", DAY, 10 if n else 25, 30) for n in range(10)]
@@ -176,9 +175,7 @@ def test_restaurant_mart(spark, single_task_rows):
         {"restaurant_id": "idle", "city": "Delhi"},
     )
     timeline = delivered_orders(spark, *specs)
-    mart = marts.restaurant_prep_delays(
-        timeline, restaurants, dt.date(2026, 1, 31), single_task_rows=single_task_rows
-    )
+    mart = marts.restaurant_prep_delays(timeline, restaurants, dt.date(2026, 1, 31))
     columns = (
         "restaurant_id",
         "total_orders",
@@ -210,8 +207,7 @@ def test_restaurant_mart(spark, single_task_rows):
     ]
 
 
-@pytest.mark.parametrize("single_task_rows", [1000, 0])
-def test_rider_mart(spark, single_task_rows):
+def test_rider_mart(spark):
     days = [DAY + dt.timedelta(days=n) for n in range(5)]
     specs = [(f"a{n}", "r", "quick", days[n % 4], 5, 30) for n in range(20)]
     specs += [(f"b{n}", "r", "slow", days[n % 5], 5, 30 if n < 9 else 90) for n in range(10)]
@@ -232,7 +228,6 @@ def test_rider_mart(spark, single_task_rows):
         delivered_orders(spark, *specs),
         riders,
         as_of=dt.date(2026, 1, 31),
-        single_task_rows=single_task_rows,
     )
     columns = (
         "rider_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierlake.operators import joins, late, ranking, sequence
 from courierlake.operators.latest import latest_rows
-from courierlake.operators.percentiles import buffered_percentiles, grouped_percentiles
+from courierlake.operators.percentiles import grouped_percentiles
 from courierlake.plans.silver import silver_events
 from courierlake.session import setting
 from courierlake.sources import lake
@@ -81,9 +81,8 @@ def test_orphans(spark):
     assert rows_of(joins.orphan_events(log, orders), "order_id") == [("zz",)]
 
 
-@pytest.mark.parametrize("locate", [grouped_percentiles, buffered_percentiles])
 @pytest.mark.parametrize("unit", [1, 1_000_000, 60_000_000, 999_983])
-def test_percentiles_match_numpy(spark, unit, locate):
+def test_percentiles_match_numpy(spark, unit):
     rng = np.random.default_rng(7)
     groups = {
         "one": [5],
@@ -97,7 +96,7 @@ def test_percentiles_match_numpy(spark, unit, locate):
         .groupBy("g", "v")
         .agg(F.count("*").alias("n"))
     )
-    result = locate(counts, "g", "v", "n", {"mid": "0.5", "p95": "0.95", "top": "1"})
+    result = grouped_percentiles(counts, "g", "v", "n", {"mid": "0.5", "p95": "0.95", "top": "1"})
     found = {row.g: row for row in result.collect()}
     assert found.keys() == groups.keys()
     for group, values in groups.items():
@@ -107,8 +106,7 @@ def test_percentiles_match_numpy(spark, unit, locate):
         assert found[group].top == max(values) * unit
 
 
-@pytest.mark.parametrize("locate", [grouped_percentiles, buffered_percentiles])
-def test_percentile_is_exact_at_rounding_edge(spark, locate):
+def test_percentile_is_exact_at_rounding_edge(spark):
     """25 + 0.85 * 3 is 27.55, which rounds to 27.6."""
     minute = 60_000_000
     counts = table(
@@ -118,12 +116,11 @@ def test_percentile_is_exact_at_rounding_edge(spark, locate):
         ("a", 25 * minute, 1),
         ("a", 28 * minute, 2),
     )
-    p95 = locate(counts, "g", "v", "n", {"p": "0.95"}).first().p
+    p95 = grouped_percentiles(counts, "g", "v", "n", {"p": "0.95"}).first().p
     assert p95 / 60e6 == 27.55
 
 
-@pytest.mark.parametrize("in_one_task", [True, False])
-def test_row_numbers(spark, in_one_task):
+def test_row_numbers(spark):
     """A third of the rows share group and score; only the id tells them apart."""
     rows = [
         ("hot" if i % 3 == 0 else f"g{i % 7}" if i % 11 else None, 0.0 if i % 3 == 0 else i % 50, i)
@@ -132,7 +129,7 @@ def test_row_numbers(spark, in_one_task):
     df = table(spark, "city string, score double, id long", *((c, float(s), i) for c, s, i in rows))
     order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
     ranked = ranking.add_row_numbers(
-        df.repartition(7), {"in_city": (["city"], order), "overall": ([], order)}, in_one_task
+        df.repartition(7), {"in_city": (["city"], order), "overall": ([], order)}
     )
     ordered = sorted(rows, key=lambda row: (-row[1], row[2]))
     overall = {row[2]: place for place, row in enumerate(ordered, 1)}
@@ -147,7 +144,7 @@ def test_row_numbers(spark, in_one_task):
 
 def test_range_sorted_ranking_has_no_window_over_rows(spark):
     df = table(spark, "city string, score double", *(("a", float(i)) for i in range(50)))
-    ranked = ranking.add_row_numbers(df, {"place": ([], [F.col("score").desc()])}, False)
+    ranked = ranking.add_row_numbers(df, {"place": ([], [F.col("score").desc()])})
     window = [line for line in plan_of(ranked).splitlines() if "Window [" in line]
     assert len(window) == 1 and "_part" in window[0]  # one row per partition
 
@@ -184,7 +181,7 @@ def test_partial_weeks(spark):
     ]
 
 
-def test_reprocess_touches_recent_days_only(spark, database):
+def test_reprocess_loses_no_arrival_and_rewrites_touched_days_only(spark, database):
     def batch(name, *rows):
         return events(spark, *rows).withColumns(
             {"_ingested_at": F.lit(at(name)), "_batch_id": F.lit(name)}
@@ -192,29 +189,56 @@ def test_reprocess_touches_recent_days_only(spark, database):
 
     stored = batch(
         "2026-01-17",
-        ("old", "delivered", "2026-01-10 10:00:00"),
+        ("old", "delivered", "2026-01-09 10:00:00"),
+        ("edge", "delivered", "2026-01-10 10:00:00"),
+        ("timeless", "delivered", None),
+        ("still", "delivered", None),
         ("o1", "delivered", "2026-01-16 10:00:00"),
         ("o2", "delivered", "2026-01-17 10:00:00"),
     )
     table_name = f"{database}.events"
     lake.save_table(late.with_event_date(stored), table_name, partition_by=late.DAY)
-    untouched = {f for f in spark.table(table_name).inputFiles() if "2026-01-10" in f}
+    untouched = {f for f in spark.table(table_name).inputFiles() if "2026-01-09" in f}
 
     arrived = batch(
         "2026-01-18",
         ("o1", "delivered", "2026-01-17 09:00:00"),  # corrected: leaves the 16th empty
         ("o3", "delivered", "2026-01-17 11:00:00"),
-        ("late", "delivered", "2026-01-10 11:00:00"),  # older than the window
+        ("late", "delivered", "2026-01-08 11:00:00"),  # older than the window
+        ("edge", "delivered", "2026-01-17 12:00:00"),  # moves into the window, empties the 10th
+        ("lost", "delivered", None),
+        ("timeless", "delivered", "2026-01-17 13:00:00"),
     )
     for _ in range(2):  # repeating a run changes nothing
         late.reprocess_recent(table_name, arrived, at("2026-01-18 00:00:00"))
         assert rows_of(spark.table(table_name), "order_id", "event_date") == [
+            ("edge", dt.date(2026, 1, 17)),
+            ("late", dt.date(2026, 1, 8)),
+            ("lost", None),
             ("o1", dt.date(2026, 1, 17)),
             ("o2", dt.date(2026, 1, 17)),
             ("o3", dt.date(2026, 1, 17)),
-            ("old", dt.date(2026, 1, 10)),
+            ("old", dt.date(2026, 1, 9)),
+            ("still", None),
+            ("timeless", dt.date(2026, 1, 17)),
         ]
-    assert untouched == {f for f in spark.table(table_name).inputFiles() if "2026-01-10" in f}
+    assert untouched == {f for f in spark.table(table_name).inputFiles() if "2026-01-09" in f}
+
+
+def test_a_day_without_time_left_is_dropped(spark, database):
+    stored = events(spark, ("a", "delivered", None)).withColumns(
+        {"_ingested_at": F.lit(at("2026-01-17")), "_batch_id": F.lit("1")}
+    )
+    name = f"{database}.timeless"
+    lake.save_table(late.with_event_date(stored), name, partition_by=late.DAY)
+    arrived = events(spark, ("a", "delivered", "2026-01-17 13:00:00")).withColumns(
+        {"_ingested_at": F.lit(at("2026-01-18")), "_batch_id": F.lit("2")}
+    )
+    late.reprocess_recent(name, arrived, at("2026-01-18 00:00:00"))
+    assert rows_of(spark.table(name), "order_id", "event_date") == [("a", dt.date(2026, 1, 17))]
+    assert late.merge_late_events(
+        late.with_event_date(stored), late.with_event_date(arrived)
+    ).count() == 1
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 

@@ -4,15 +4,24 @@ from helpers import table
 
 
 def test_shuffles_follow_the_input(spark, folder):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    try:
-        assert session.size_shuffles(spark, 10**6) == int(before)
-        assert session.size_shuffles(spark, 10**13) == 18_627
-        assert session.size_shuffles(spark, 10**14) == session.WIDEST_SHUFFLE
-        assert session.size_shuffles(spark, 10**6) == session.WIDEST_SHUFFLE  # never narrower
-    finally:
-        spark.conf.set(key, before)
+    """A width set on the application wins; else it follows the input without a cap."""
+    assert session.shuffle_width(spark, 10**14) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    class Unset:
+        conf = spark.conf
+
+        class sparkContext:  # noqa: N801
+            @staticmethod
+            def getConf():
+                return {}
+
+    class Empty(dict):
+        contains = dict.__contains__
+
+    Unset.sparkContext.getConf = staticmethod(Empty)
+    assert session.shuffle_width(Unset, 10**6) == session.DEFAULT_WIDTH
+    assert session.shuffle_width(Unset, 10**13) == 18_627
+    assert session.shuffle_width(Unset, 10**14) == 186_265
 
 
 def test_stored_bytes(spark, folder):
@@ -35,8 +44,7 @@ def test_tune_leaves_application_settings_alone(spark):
 
 def test_shared_dir_is_the_configured_one(spark):
     shared = session.shared_dir(spark)
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert shared == (configured or spark.sparkContext.getCheckpointDir())
+    assert shared == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == shared
     assert session.scratch_path(spark, "a").startswith(f"{shared}/a-")
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
