@@ -44,6 +44,7 @@ GATHERED = 6_000_000
 # Words whose counts are broadcast, the most frequent ones; the others are joined.
 HOT_WORDS = 200_000
 CACHED_WORDS = 300_000
+CACHED_RUNS = 300_000
 # Different words a counting task holds before it writes them out.
 HELD_WORDS = 400_000
 
@@ -120,7 +121,7 @@ class SuffixTree:
     """States by context: total, next-symbol counts, and their smoothing."""
 
     states: dict[bytes, tuple[float, dict[int, int]]]
-    cache: dict[bytes, float] = field(default_factory=dict, repr=False)
+    runs: dict[bytes, float] = field(default_factory=dict, repr=False)
     logs: dict[bytes, tuple[float, dict[int, float]]] = field(default_factory=dict, repr=False)
 
     def probability(self, context: bytes, symbol: int) -> float:
@@ -156,15 +157,16 @@ class SuffixTree:
 
     def word_log(self, word: bytes) -> float:
         """log10 probability of a word and the space after it, given that a word starts."""
-        known = self.cache.get(word)
-        if known is None:
-            spelled = b" " + word + b" "
-            known = 0.0
-            for i in range(1, len(spelled)):
-                known += self.symbol_log(self.suffix(spelled[max(0, i - DEPTH) : i]), spelled[i])
-            if len(self.cache) < CACHED_WORDS:
-                self.cache[word] = known
-        return known
+        spelled, total = b" " + word + b" ", 0.0
+        for i in range(1, len(spelled)):
+            run = spelled[max(0, i - DEPTH) : i + 1]
+            known = self.runs.get(run)
+            if known is None:
+                known = self.symbol_log(self.suffix(run[:-1]), run[-1])
+                if len(self.runs) < CACHED_RUNS:
+                    self.runs[run] = known
+            total += known
+        return total
 
 
 def differs(counts: dict[int, int], total: float, below: dict[int, float]) -> bool:
@@ -191,13 +193,14 @@ def spelling_tree(words: DataFrame, positions: int) -> SuffixTree:
         counted = context_counts(words, depths, parents)
         frequent = (
             counted.groupBy("depth", "context")
-            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("next"))
+            .agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("symbol", "n"))).alias("next"))
             .where((F.col("total") >= least) | (F.col("depth") == 0))
+            .select("depth", "context", "total", F.col("next.symbol").alias("symbols"), F.col("next.n").alias("counts"))
         )
-        for row in frequent.collect():
-            seen.setdefault(row["depth"], {})[row["context"]] = (
-                float(row["total"]),
-                {s: n for s, n in sorted(row["next"])},
+        for row in frequent.toArrow().to_pandas().itertuples():
+            seen.setdefault(row.depth, {})[row.context] = (
+                float(row.total),
+                dict(zip(row.symbols.tolist(), row.counts.tolist())),
             )
         last = seen.get(depths[-1], {})
         if not last:
@@ -263,11 +266,22 @@ def succession_counts(docs: DataFrame) -> DataFrame:
             for order, held in ((1, singles), (2, doubles)):
                 if held:
                     keys = np.concatenate(held)
-                    codes, first, n = np.unique(_mix(keys[:, 0], keys[:, 1]), return_index=True, return_counts=True)
-                    kept = n >= least
-                    pairs = keys[first[kept]].view(np.int64)
+                    held.clear()
+                    codes = _mix(keys[:, 0], keys[:, 1])
+                    ordered = np.sort(codes)
+                    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+                    n = np.diff(np.append(first, len(ordered)))
+                    names, n = ordered[first[n >= least]], n[n >= least]
+                    if not len(names):
+                        continue
+                    # One occurrence of each tells context and symbol.
+                    at = np.minimum(np.searchsorted(names, codes), len(names) - 1)
+                    some = np.flatnonzero(names[at] == codes)
+                    place = np.zeros(len(names), np.int64)
+                    place[at[some]] = some
+                    pairs = keys[place].view(np.int64)
                     yield pd.DataFrame(
-                        {"order": np.int32(order), "context": pairs[:, 0], "symbol": pairs[:, 1], "n": n[kept]}
+                        {"order": np.int32(order), "context": pairs[:, 0], "symbol": pairs[:, 1], "n": n}
                     )
 
         singles: list[np.ndarray] = []
@@ -355,10 +369,24 @@ class WordModel:
     one: ContextTree
     two: ContextTree
     spelling: SuffixTree
-    hot: dict[int, tuple[float, float]]
+    hot: np.ndarray  # names, ascending
+    hot_logs: np.ndarray  # rows of log10(count + 1) and log10 probability
     end: tuple[float, float]
     unseen: float
 
+    def own_logs(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Is the word rare, and else its log10(count + 1) and log10 probability."""
+        found = np.zeros((len(names), 2))
+        rare = np.ones(len(names), bool)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, names), len(self.hot) - 1)
+            rare = self.hot[at] != names
+            found[~rare] = self.hot_logs[at[~rare]]
+        for name, logs in ((END_NAME, self.end), (START_NAME, (0.0, 0.0))):
+            found[names == name] = logs
+            rare[names == name] = False
+        return rare, found[:, 0], found[:, 1]
+
     def position_logs(self, names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per position: log10 decided by the trees, and whether the word's own probability is still due."""
         first = np.zeros(len(names), bool)
@@ -395,9 +423,9 @@ def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct:
     symbol = counts.select(F.col("name").alias("symbol"), own(F.col("n")).alias("below"))
     context = counts.select(F.col("name").alias("context"), F.col("n").alias("total"))
     first = found.where("order = 1").drop("order").join(symbol, "symbol").join(context, "context")
-    one = context_tree(first.toPandas())
-    pairs = found.where("order = 1").select("context", "symbol", F.col("n").alias("total")).toPandas()
-    second = found.where("order = 2").drop("order").join(symbol, "symbol").toPandas()
+    one = context_tree(first.toArrow().to_pandas())
+    pairs = found.where("order = 1").select("context", "symbol", F.col("n").alias("total")).toArrow().to_pandas()
+    second = found.where("order = 2").drop("order").join(symbol, "symbol").toArrow().to_pandas()
     # A context of two words is a listed succession; its suffix is the later word.
     code = _mix(pairs["context"].to_numpy().view(np.uint64), pairs["symbol"].to_numpy().view(np.uint64))
     suffix = pd.DataFrame({"context": code.view(np.int64), "suffix": pairs["symbol"], "total": pairs["total"]})
@@ -407,12 +435,13 @@ def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct:
         second["below"] = np.where(np.isnan(logs), second["below"] * 10.0**left, 10.0 ** np.nan_to_num(logs))
     two = context_tree(second[["context", "symbol", "n", "total", "below"]] if len(second) else second)
     spelling = spelling_tree(words.select("word", F.lit(1).cast("bigint").alias("n")), spelled)
-    rows = words.orderBy(F.desc("n"), "name").select("name", "n").limit(HOT_WORDS).toPandas()
+    rows = words.orderBy(F.desc("n"), "name").select("name", "n").limit(HOT_WORDS).toArrow().to_pandas()
     n = rows["n"].to_numpy(float)
-    plain, logs = np.log10(n + 1), np.log10((1 - unseen) * (n + 1) / total)
-    hot = dict(zip(rows["name"].to_numpy().view(np.uint64).tolist(), zip(plain.tolist(), logs.tolist())))
+    names = rows["name"].to_numpy().view(np.uint64)
+    logs = np.stack([np.log10(n + 1), np.log10((1 - unseen) * (n + 1) / max(total, 1.0))], axis=1)
+    order = np.argsort(names)
     end = (math.log10(texts + 1), math.log10((1 - unseen) * (texts + 1) / max(total, 1.0)))
-    return WordModel(one, two, spelling, hot, end, math.log10(unseen))
+    return WordModel(one, two, spelling, names[order], logs[order], end, math.log10(unseen))
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
@@ -435,61 +464,48 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     total = float(n_train + distinct)
 
-    def chunks(batch: pd.DataFrame) -> Iterator[tuple]:
-        for at in range(0, len(batch), 500):
-            part = batch.iloc[at : at + 500]
-            data = [fold_bytes(t) for t in part["text"]]
-            texts_ = [d.split() for d in data]
-            names, starts = named_sequences(texts_)
-            yield part, data, texts_, names, starts, *shared.value.position_logs(names, starts)
-
     def doc_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         law = shared.value
-        known = {**law.hot, END_NAME: law.end, START_NAME: (0.0, 0.0)}
         for batch in batches:
-            for part, data, texts_, names, starts, logs, due in chunks(batch):
-                different, which = np.unique(names, return_inverse=True)
-                found = np.array([known.get(x, (np.nan, np.nan)) for x in different.tolist()])[which]
-                rare = np.isnan(found[:, 0])
-                found[rare] = 0.0
-                base = np.add.reduceat(found[:, 0], starts)
-                score = np.add.reduceat(logs + np.where(due, found[:, 1], 0.0), starts)
-                out = pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].astype("Int64").array,
-                        "text": [name_of(d) for d in data],
-                        "n_tokens": [len(t) + 1 for t in texts_],
-                        "n_rare": np.add.reduceat(rare.astype(np.int64), starts),
-                        "hot_base": base,
-                        "hot_score": score,
-                    }
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                data = [fold_bytes(t) for t in part["text"]]
+                found = [d.split() for d in data]
+                names, starts = named_sequences(found)
+                logs, due = law.position_logs(names, starts)
+                rare, plain, own = law.own_logs(names)
+                places = np.flatnonzero(rare)
+                owner = np.searchsorted(starts, places, "right") - 1
+                inner = places - starts[owner] - 1
+                still = due[places].tolist()
+                spelled = np.array(
+                    [
+                        law.spelling.word_log(found[o][i]) if d else np.nan
+                        for o, i, d in zip(owner.tolist(), inner.tolist(), still)
+                    ],
+                    np.float32,
                 )
-                yield out
-
-    def rare_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        law = shared.value
-        frequent = np.array(sorted(law.hot), np.uint64)
-        for batch in batches:
-            for _, data, texts_, names, starts, _, due in chunks(batch):
-                at = np.minimum(np.searchsorted(frequent, names), max(len(frequent) - 1, 0))
-                rare = (names > START_NAME) & ((frequent[at] != names) if len(frequent) else True)
-                place = np.flatnonzero(rare)
-                owner = np.searchsorted(starts, place, "right") - 1
-                inner = place - starts[owner] - 1
-                own = np.array([name_of(d) for d in data], np.int64)
-                spelled = [law.spelling.word_log(texts_[o][i]) for o, i in zip(owner.tolist(), inner.tolist())]
+                cuts = np.searchsorted(owner, np.arange(1, len(found)))
                 yield pd.DataFrame(
                     {
-                        "text": own[owner],
-                        "name": names[place].view(np.int64),
-                        "spelled": np.where(due[place], np.array(spelled, float), np.nan).astype(np.float32),
+                        "doc_id": part["doc_id"].astype("Int64").array,
+                        "text": [name_of(d) for d in data],
+                        "n_tokens": [len(t) + 1 for t in found],
+                        "hot_base": np.add.reduceat(plain, starts),
+                        "hot_score": np.add.reduceat(logs + np.where(due, own, 0.0), starts),
+                        "rare": np.split(names[places].view(np.int64), cuts),
+                        "spelled": np.split(spelled, cuts),
                     }
                 )
 
     scored = docs.select("doc_id", "text").mapInPandas(
-        doc_rows, "doc_id bigint, text bigint, n_tokens bigint, n_rare bigint, hot_base double, hot_score double"
+        doc_rows,
+        "doc_id bigint, text bigint, n_tokens bigint, hot_base double, hot_score double, "
+        "rare array<bigint>, spelled array<float>",
     )
-    rare = docs.select("text").mapInPandas(rare_words, "text bigint, name bigint, spelled float")
+    scored = stored(scored, "scored").withColumn("n_rare", F.size("rare"))
+    rare = scored.select("text", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))
+    rare = rare.select("text", F.col("r.rare").alias("name"), F.col("r.spelled").alias("spelled"))
     n = F.col("n")
     own = F.when(n.isNull(), F.lit(model.unseen) + F.col("spelled")).otherwise(
         F.log10((n + 1) * F.lit((10.0**model.unseen * -1 + 1) / max(total, 1.0)))
@@ -500,7 +516,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
         F.count("n").alias("rare_known"),
         F.count(F.lit(1)).alias("sent"),
     )
-    rows = scored.join(stored(per_text, "rare-sums"), "text", "left")
+    rows = scored.drop("rare", "spelled").join(stored(per_text, "rare-sums"), "text", "left")
     # Copies of a text all sent their words: the sums are as many times too large.
     copies = F.when(F.col("n_rare") > 0, F.col("sent") / F.col("n_rare")).otherwise(F.lit(1.0))
     rare_base, rare_score = (F.coalesce(F.col(c) / copies, F.lit(0.0)) for c in ("rare_base", "rare_score"))
