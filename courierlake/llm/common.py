@@ -41,6 +41,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def id_and_text(docs: DataFrame) -> DataFrame:
+    """doc_id as text, and text: pandas would turn whole numbers with NULLs into doubles."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+
+
+def with_number_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def fold_bytes(text: str | None) -> bytes:
     """UTF-8 of `text` with A-Z lower-cased; empty for NULL."""
     return b"" if text is None else text.encode("utf-8", "replace").lower()

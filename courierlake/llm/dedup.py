@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import fold_bytes, stored
+from courierlake.llm.common import fold_bytes, id_and_text, stored, with_number_id
 from courierlake.session import setting
 
 # 20 bands of 4 minima: a pair at similarity 0.8 is missed with probability
@@ -50,7 +50,7 @@ MULTIPLIERS = _RANDOM.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2)
 OFFSETS = _RANDOM.integers(0, 2**63, MINIMA, dtype=np.uint64)
 WORD_MIX = tuple(np.uint64(int(x) * 2 + 1) for x in _RANDOM.integers(1, 2**62, 64))
 
-SIGNATURES = "doc_id bigint, n_shingles bigint, node bigint, s1 bigint, s2 bigint, bands array<bigint>"
+SIGNATURES = "doc_id string, n_shingles bigint, node bigint, s1 bigint, s2 bigint, bands array<bigint>"
 
 
 class _WordHashes(dict):
@@ -143,9 +143,11 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                         seen[node] = (0, None, 0, 0, [])
                 rows.append((doc, *seen[node]))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "node", "s1", "s2", "bands"])
-            yield out.astype({"doc_id": "Int64", "node": "Int64"})
+            # Exact, where inference would make doubles of names beside NULLs.
+            out["node"] = pd.array([row[2] for row in rows], "Int64")
+            yield out
 
-    return docs.select("doc_id", "text").mapInPandas(sign, SIGNATURES)
+    return with_number_id(id_and_text(docs).mapInPandas(sign, SIGNATURES))
 
 
 def node_map(nodes: DataFrame) -> np.ndarray:

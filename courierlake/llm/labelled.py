@@ -47,16 +47,18 @@ def logistic_fit(x: np.ndarray, y: np.ndarray, l1: float = 0.0, l2: float = 1e-3
 
     Accelerated proximal gradient; the bias is not penalised.
     """
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
-    rate = 4.0 / (_norm(x) ** 2 / len(x) + 4 * l2)
-    w = z = np.zeros(x.shape[1])
+    x = np.hstack([x.astype(np.float32), np.ones((len(x), 1), np.float32)])
+    y = y.astype(np.float32)
+    rate = np.float32(4.0 / (_norm(x) ** 2 / len(x) + 4 * l2))
+    l1, l2 = np.float32(l1), np.float32(l2)
+    w = z = np.zeros(x.shape[1], np.float32)
     momentum = 1.0
     for _ in range(steps):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ z, -30, 30)))
-        grad = x.T @ (p - y) / len(x) + l2 * np.append(z[:-1], 0.0)
+        p = np.float32(1) / (np.float32(1) + np.exp(-np.clip(x @ z, -30, 30)))
+        grad = x.T @ (p - y) / np.float32(len(x)) + l2 * np.append(z[:-1], np.float32(0))
         new = z - rate * grad
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * l1, 0.0)
         after = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
-        z = new + (momentum - 1) / after * (new - w)
+        z = new + np.float32((momentum - 1) / after) * (new - w)
         w, momentum = new, after
     return w

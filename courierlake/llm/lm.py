@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import fold_bytes, label_fold, stored
+from courierlake.llm.common import fold_bytes, id_and_text, label_fold, stored, with_number_id
 
 # Bytes of context, counting the mark of a word's start.
 DEPTH = 7
@@ -488,7 +488,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
                 cuts = np.searchsorted(owner, np.arange(1, len(found)))
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].astype("Int64").array,
+                        "doc_id": part["doc_id"].to_numpy(),
                         "text": [name_of(d) for d in data],
                         "n_tokens": [len(t) + 1 for t in found],
                         "hot_base": np.add.reduceat(plain, starts),
@@ -498,12 +498,12 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
                     }
                 )
 
-    scored = docs.select("doc_id", "text").mapInPandas(
+    scored = id_and_text(docs).mapInPandas(
         doc_rows,
-        "doc_id bigint, text bigint, n_tokens bigint, hot_base double, hot_score double, "
+        "doc_id string, text bigint, n_tokens bigint, hot_base double, hot_score double, "
         "rare array<bigint>, spelled array<float>",
     )
-    scored = stored(scored, "scored").withColumn("n_rare", F.size("rare"))
+    scored = stored(with_number_id(scored), "scored").withColumn("n_rare", F.size("rare"))
     rare = scored.select("text", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))
     rare = rare.select("text", F.col("r.rare").alias("name"), F.col("r.spelled").alias("spelled"))
     n = F.col("n")

@@ -25,20 +25,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import stored
+from courierlake.llm.common import id_and_text, stored, with_number_id
 
 CAPACITY = 2048
 # Iterations of the weights method, each one knapsack program; how fast a weight
 # falls with coverage; and the most of a demand that one iteration covers.
 ITERATIONS = 1000
 RATE = 4.0
+# Long pieces are the hard ones to place: values grow faster than lengths.
+POWER = 1.2
 STEP = 1.0
 # Pieces of one length are numbered in this many groups at once.
 NUMBER_GROUPS = 64
 # Distinct words a Python worker keeps the ids of, about 130 MB.
 CACHED_WORDS = 600_000
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECES = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 class WordIds:
@@ -153,10 +155,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                     for number, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         rows.append((doc, number, start // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES)
+    return with_number_id(id_and_text(docs).mapInPandas(cut, PIECES))
 
 
 def best_configuration(values: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
@@ -201,8 +202,8 @@ def configuration_lp(
         open_ = covered < 1 - 1e-9
         if not open_.any():
             break
-        # Value per piece: its share of a bin, more if covered less.
-        values = lengths[open_] * np.exp(-RATE * covered[open_])
+        # Value per piece: more than its share of a bin if long, more if covered less.
+        values = lengths[open_] ** POWER * np.exp(-RATE * covered[open_])
         found = best_configuration(values, lengths[open_], capacity)
         amount = min(demand[place[n]] * min(STEP, 1 - covered[place[n]]) / k for n, k in found.items())
         key = tuple(sorted(found.items()))
@@ -334,9 +335,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = I
             batch["offset"] = at["offset"][i] + within % at["each"][i] * batch["length"]
             yield batch
 
-    return numbered_in_length(pieces).select(*pieces.columns, "_number").mapInPandas(
-        put, f"{PIECES}, sequence_id bigint, offset bigint"
-    )
+    numbered = numbered_in_length(pieces).select(*pieces.columns, "_number")
+    numbered = numbered.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return with_number_id(numbered.mapInPandas(put, f"{PIECES}, sequence_id bigint, offset bigint"))
 
 
 def pack_documents(

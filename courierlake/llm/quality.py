@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courierlake.llm.common import id_and_text, with_number_id
 from courierlake.llm.labelled import logistic_fit, sampled, training_labels
 
 # The classifier is fitted on at most so many labelled rows.
@@ -108,11 +109,11 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = pd.DataFrame([statistics_of(t) for t in batch["text"]], columns=list(STATISTICS), dtype=float)
-            found.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
+            found.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield found
 
-    schema = "doc_id bigint, " + ", ".join(f"{s} double" for s in STATISTICS)
-    return docs.select("doc_id", "text").mapInPandas(measure, schema)
+    schema = "doc_id string, " + ", ".join(f"{s} double" for s in STATISTICS)
+    return with_number_id(id_and_text(docs).mapInPandas(measure, schema))
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import fold_bytes
+from courierlake.llm.common import fold_bytes, id_and_text, with_number_id
 from courierlake.llm.labelled import logistic_fit, sampled, training_labels
 
 # Word odds come from at most so many labelled rows; the ids and labels of
@@ -124,7 +124,7 @@ def token_counts(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[in
         for batch in batches:
             found: dict[bytes, list[int]] = {}
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                label = None if doc is None or doc != doc else label_of.get(int(doc))
+                label = None if doc is None else label_of.get(int(doc))
                 if label is None:
                     continue
                 for level in {x for t in set(tokens_of(text)) for x in levels_of(t)}:
@@ -137,7 +137,7 @@ def token_counts(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[in
                 }
             )
 
-    counted = docs.select("doc_id", "text").mapInPandas(count, "level binary, toxic bigint, other bigint")
+    counted = id_and_text(docs).mapInPandas(count, "level binary, toxic bigint, other bigint")
     sums = counted.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     return sums, chosen
 
@@ -157,7 +157,7 @@ def context_counts(docs: DataFrame, chosen: dict[int, int], telling: set[bytes])
         for batch in batches:
             rows: set[tuple] = set()
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                label = None if doc is None or doc != doc else label_of.get(int(doc))
+                label = None if doc is None else label_of.get(int(doc))
                 if label is None:
                     continue
                 tokens, done = tokens_of(text), set()
@@ -169,7 +169,7 @@ def context_counts(docs: DataFrame, chosen: dict[int, int], telling: set[bytes])
                             rows.add((level, label, xxhash.xxh3_64_intdigest(around) >> 1))
             yield pd.DataFrame(list(rows), columns=["level", "label", "context"])
 
-    found = docs.select("doc_id", "text").mapInPandas(find, "level binary, label int, context bigint").distinct()
+    found = id_and_text(docs).mapInPandas(find, "level binary, label int, context bigint").distinct()
     toxic = F.sum("label").alias("toxic")
     return found.groupBy("level").agg(toxic, F.sum(1 - F.col("label")).alias("other")).toPandas()
 
@@ -239,14 +239,13 @@ def scanned(docs: DataFrame, model: OddsModel) -> DataFrame:
                 kept = law.significant(segments, len(tokens))
                 value = law.evidence(kept, len(tokens))
                 rows.append((doc, len(tokens), best, value, law.probability(value), [dict(zip(("first", "end", "score"), s)) for s in kept]))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "best", "evidence", "score", "passages"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "best", "evidence", "score", "passages"])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        scan,
-        "doc_id bigint, n_tokens bigint, best double, evidence double, score double, "
-        "passages array<struct<first:int,end:int,score:double>>",
+    schema = (
+        "doc_id string, n_tokens bigint, best double, evidence double, score double, "
+        "passages array<struct<first:int,end:int,score:double>>"
     )
+    return with_number_id(id_and_text(docs).mapInPandas(scan, schema))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_ROWS) -> OddsModel:
@@ -267,11 +266,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_RO
     telling = counts.withColumn("z", z).where(f"z >= {LEAST_Z}").orderBy(F.desc("z"), "level").limit(ODDS_TOKENS)
     telling = context_counts(docs, chosen, {bytes(r["level"]) for r in telling.select("level").collect()})
     model = OddsModel(token_odds(telling, toxic, other))
-    known = telling[[bytes(x) in model.odds and x[:1] == b"=" for x in telling["level"]]]
+    words = [bytes(x) in model.odds and bytes(x)[:1] == b"=" for x in telling["level"]]
+    known = telling[np.array(words, bool)]
     scores = np.array([model.odds[bytes(x)] for x in known["level"]])
     # Token rates of clean text: document counts over the words of clean documents.
     rows = docs.join(F.broadcast(train), "doc_id")
     first = scanned_training(rows, model)
+    if not len(first):
+        return OddsModel({})
     clean = first[first["label"] == 0]
     words = max(float(clean["n_tokens"].sum()), 1.0)
     weights = np.append(known["other"].to_numpy(float), max(words - known["other"].sum(), 1.0))
