@@ -55,7 +55,9 @@ def _segment(code: Column, first: int, bits: int) -> Column:
 def _ball(number: int, first: int, bits: int, radius: int) -> Column:
     """All (segment, value) within the radius of the query's own segment value."""
     value = _segment(F.col("query_code"), first, bits)
-    masks = F.array(*(F.lit(x).cast("bigint") for x in _masks(bits, min(radius, bits))))
+    # One literal, however many masks there are.
+    text = ",".join(map(str, _masks(bits, min(radius, bits))))
+    masks = F.split(F.lit(text), ",").cast("array<bigint>")
     return F.transform(
         masks, lambda x: F.struct(F.lit(number).alias("segment"), value.bitwiseXOR(x).alias("value"))
     )
@@ -93,7 +95,9 @@ def nearest(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         probes = F.concat(*(_ball(i, a, n, radius) for i, (a, n) in enumerate(segments)))
         probed = open_.withColumn("p", F.explode(probes)).select("query_id", "query_code", "p.segment", "p.value")
         distance = F.bit_count(F.col("query_code").bitwiseXOR(F.col("code")))
-        met = probed.join(
+        # Probes are many for few queries: a size guessed before they are written
+        # out would have Spark broadcast them.
+        met = probed.hint("merge").join(
             index.alias("i"),
             (probed["segment"] == F.col("i.segment")) & (probed["value"] == F.col("i.value")) & (distance <= bound),
         )
