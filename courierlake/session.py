@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -72,14 +73,18 @@ def shuffle_width(spark: SparkSession, input_bytes: int) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, ready for checkpoints.
 
-    Every executor must reach it, so there is no default.
+    Every executor must reach it. Only a local session, where all run in one
+    process, may go without the setting and gets a fresh folder.
     """
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not configured:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        configured = tempfile.mkdtemp(prefix="courierlake-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
