@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, topk, toxicity, warc, winnow
-from courierlake.llm.common import ship, stored, table, word_count
+from courierlake.llm.common import WORD, ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
 
 SHARDS = 40
@@ -163,7 +163,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # The same results in DuckDB, where its SQL can state them.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE = {
+    "op7_minhash": f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1),
+            lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS shingles
+    FROM words
+), shingled AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, len(any_value(s.shingles))::BIGINT AS n_shingles, min(r.other) AS component_id,
+    s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id""",
     "op2_topk": f"""
 WITH signs AS (
     SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE embedding IS NOT NULL
