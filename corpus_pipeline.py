@@ -35,10 +35,12 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as the mix of their sources asks for."""
     ship(spark)
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    sized = stored(keyed.select("doc_id", "source", "_text", word_count(F.col("text")).alias("size")), "mix-sizes")
-    mixed = mixing.with_repetitions(keyed.select(*docs.columns, "_text"), sized, SOURCE_WEIGHTS, ["doc_id", "_text"], seed=1)
-    return mixing.repeat_rows(mixed, F.col("repeats")).select(*docs.columns)
+    key = ("doc_id", "source", F.xxhash64("text").alias("_text"))
+    sized = stored(docs.select(*key, word_count(F.col("text")).alias("size")), "mix-sizes")
+    # The document as one column: none of its own names meets those of the mix.
+    rows = docs.select(F.struct("*").alias("_document"), *key)
+    mixed = mixing.with_repetitions(rows, sized, SOURCE_WEIGHTS, ["doc_id", "_text"], seed=1)
+    return mixing.repeat_rows(mixed, F.col("repeats")).select("_document.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_RO
     known = telling[np.array(words, bool)]
     scores = np.array([model.odds[bytes(x)] for x in known["level"]])
     # Token rates of clean text: document counts over the words of clean documents.
-    rows = docs.join(F.broadcast(train), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(train), "doc_id")
     first = scanned_training(rows, model)
     if not len(first):
         return OddsModel({})

@@ -48,6 +48,19 @@ def test_stages(spark):
     assert len(pieces) == mixed.count()
 
 
+def test_stages_take_any_columns_and_no_rows(spark):
+    rows = [(1, "a b c", "x"), (1, "a b c", "x"), (None, None, None), (2, "", "y"), (3, "t " * 900, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    names = ("target", "whole", "cut", "repeats", "size", "label", "source_size", "score", "_text", "key")
+    docs = docs.select("*", *(F.lit(1).alias(name) for name in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, DATA).columns == docs.columns
+        assert stage(spark, docs.where("false"), DATA).count() == 0
+    mixed = corpus_pipeline.mixing_stage(spark, docs, DATA)
+    assert mixed.count() > 0 and mixed.where("doc_id = 1").count() % 2 == 0
+    assert corpus_pipeline.packing_stage(spark, docs.where("false"), DATA).count() == 0
+
+
 def test_run_and_entry(spark):
     import __spark_entry__
 
