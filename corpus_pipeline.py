@@ -16,7 +16,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the rule ensemble doesn't reject."""
     ship(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality")
-    return quality.with_score(docs, model, "_quality").where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+    # Written before it is filtered on: the optimizer would carry the whole rule
+    # ensemble through its predicates otherwise.
+    scored = stored(quality.with_score(docs, model, "_quality"), "quality")
+    return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
