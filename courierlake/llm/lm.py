@@ -35,12 +35,13 @@ LEAST_SHARE, LEAST_COUNT = 1e-5, 20
 # Symbols: bytes of words, the space that ends a word, the newline that ends a text.
 SYMBOLS = 256
 # Successions of words are listed above this share of all tokens: at most
-# 1 / LEAST_PAIR_SHARE per depth. Counts of a task below the same share of its own
-# tokens are not gathered, so listed counts are lower bounds.
+# 1 / LEAST_PAIR_SHARE per depth.
 LEAST_PAIR_SHARE, LEAST_PAIRS = 2e-6, 4
 START_NAME, END_NAME = 1, 0
 # Tokens after which a task writes out the successions it has counted.
 GATHERED = 6_000_000
+# Rows of one batch of them.
+SENT = 500_000
 # Words whose counts are broadcast, the most frequent ones; the others are joined.
 HOT_WORDS = 200_000
 CACHED_WORDS = 300_000
@@ -255,34 +256,28 @@ def named_sequences(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
 def succession_counts(docs: DataFrame) -> DataFrame:
     """order (1 or 2), context, symbol, n: words after one and after two words.
 
-    A task counts all its successions and sends those above the share; one that
-    is frequent overall is frequent in some task.
+    Every succession a task has counted is sent; what is too rare can only be
+    told from the sums, so they don't depend on how the texts are split.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def listed() -> Iterator[pd.DataFrame]:
-            tokens = sum(len(x) for x in singles)
-            least = max(2, LEAST_PAIR_SHARE * tokens)
             for order, held in ((1, singles), (2, doubles)):
                 if held:
                     keys = np.concatenate(held)
                     held.clear()
                     codes = _mix(keys[:, 0], keys[:, 1])
-                    ordered = np.sort(codes)
-                    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-                    n = np.diff(np.append(first, len(ordered)))
-                    names, n = ordered[first[n >= least]], n[n >= least]
-                    if not len(names):
-                        continue
+                    place = np.argsort(codes)
+                    codes = codes[place]
+                    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
+                    n = np.diff(np.append(first, len(codes)))
                     # One occurrence of each tells context and symbol.
-                    at = np.minimum(np.searchsorted(names, codes), len(names) - 1)
-                    some = np.flatnonzero(names[at] == codes)
-                    place = np.zeros(len(names), np.int64)
-                    place[at[some]] = some
-                    pairs = keys[place].view(np.int64)
-                    yield pd.DataFrame(
-                        {"order": np.int32(order), "context": pairs[:, 0], "symbol": pairs[:, 1], "n": n}
-                    )
+                    pairs = keys[place[first]].view(np.int64)
+                    for at in range(0, len(n), SENT):
+                        some = pairs[at : at + SENT]
+                        yield pd.DataFrame(
+                            {"order": np.int32(order), "context": some[:, 0], "symbol": some[:, 1], "n": n[at : at + SENT]}
+                        )
 
         singles: list[np.ndarray] = []
         doubles: list[np.ndarray] = []

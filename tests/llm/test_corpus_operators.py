@@ -220,6 +220,27 @@ def test_suffix_tree_scores(spark, awkward, nothing):
     assert lm.score_texts(nothing).count() == 0
 
 
+def test_successions_do_not_depend_on_the_split(spark):
+    """A succession seen once in each of many tasks counts as often as all of them together."""
+    texts = [f"rare pair w{i} {text_of(20)}" for i in range(50)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    names = {w: lm.name_of(w.encode()) for w in {w for t in texts for w in t.split()}}
+    brute = Counter()
+    for t in texts:
+        row = [lm.START_NAME, *(names[w] for w in t.split()), lm.END_NAME]
+        brute.update((1, a, b) for a, b in zip(row, row[1:]))
+        pairs = lm._mix(np.array(row[:-1]).astype(np.uint64), np.array(row[1:]).astype(np.uint64)).view(np.int64)
+        brute.update((2, int(a), b) for a, b in zip(pairs, row[2:]))
+    found, scores = [], []
+    for parts in (1, 50):
+        docs = rows.repartition(parts)
+        found.append({(r["order"], r["context"], r["symbol"]): r["n"] for r in lm.succession_counts(docs).collect()})
+        scores.append(lm.score_texts(docs).toPandas().sort_values("doc_id")["score"].to_numpy())
+    assert found[0] == found[1] == dict(brute)
+    assert found[1][1, names["rare"], names["pair"]] == 50
+    assert np.allclose(*scores, atol=1e-9)
+
+
 def test_spelling_is_a_distribution(spark):
     words = spark.createDataFrame([(b"abc", 50), (b"abd", 30), (b"xyz", 25)], "word binary, n bigint")
     tree = lm.spelling_tree(words, 400)
