@@ -5,10 +5,10 @@ problem over a histogram of at most `capacity` lengths. Its configuration
 linear program (one variable per way to fill a bin) is solved approximately
 by multiplicative weights: lengths that are covered least weigh most, and a
 knapsack dynamic program finds the most valuable configuration. The solution
-is rounded down to whole bins; the rest, a small part of each length, is
-packed by best fit, longest first. All of that works on the histogram, whose
-size doesn't depend on the number of documents. Spark then numbers the pieces
-of each length and looks up their places.
+is rounded down to whole bins without a gap; the rest, however much it is, is
+packed by best fit, longest first and equal bins at once. All of that works on
+the histogram, whose size doesn't depend on the number of documents. Spark then
+numbers the pieces of each length and looks up their places.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from itertools import count
 from unicodedata import is_normalized
 
 import numpy as np
@@ -28,9 +29,8 @@ from pyspark.sql import functions as F
 from courierlake.llm.common import id_and_text, stored, with_number_id
 
 CAPACITY = 2048
-# Iterations of the weights method, each one knapsack program; how fast a weight
-# falls with coverage; and the most of a demand that one iteration covers.
-ITERATIONS = 1000
+# How fast a weight falls with coverage, and the most of a demand that one
+# iteration of the weights method (one knapsack program) covers.
 RATE = 4.0
 # Long pieces are the hard ones to place: values grow faster than lengths.
 POWER = 1.2
@@ -184,21 +184,23 @@ def best_configuration(values: np.ndarray, lengths: np.ndarray, capacity: int) -
 
 
 def configuration_lp(
-    histogram: Mapping[int, int], capacity: int = CAPACITY, iterations: int = ITERATIONS
+    histogram: Mapping[int, int], capacity: int = CAPACITY, iterations: int | None = None
 ) -> list[tuple[dict[int, int], float]]:
     """Fractional bins per configuration that cover the histogram, nearly fewest.
 
     Covering by multiplicative weights: the weight of a length falls
     exponentially with how far its demand is covered, to 0 when it is. Each
     iteration takes the best configuration for these weights, in the largest
-    amount that covers no length by more than `STEP` of its demand.
+    amount that covers no length by more than `STEP` of its demand. With full
+    steps each one covers some length entirely, so without a limit of iterations
+    all lengths are covered.
     """
     lengths = np.array(sorted(histogram), dtype=np.int64)
     demand = np.array([histogram[int(n)] for n in lengths], dtype=float)
     covered = np.zeros(len(lengths))
     amounts: dict[tuple, float] = {}
     place = {int(n): i for i, n in enumerate(lengths)}
-    for _ in range(iterations):
+    for _ in count() if iterations is None else range(iterations):
         open_ = covered < 1 - 1e-9
         if not open_.any():
             break
@@ -213,33 +215,53 @@ def configuration_lp(
     return [(dict(key), amount) for key, amount in amounts.items()]
 
 
-def best_fit(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[dict[int, int]]:
-    """Bins by best fit, longest pieces first."""
+def best_fit_counts(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """Bins by best fit, longest pieces first, as configurations and their numbers.
+
+    A piece goes to the fullest bin it fits in, and the next of its length to
+    the same bin as long as it fits; bins filled alike are taken at once. The
+    steps depend on lengths and configurations, not on how many pieces there are.
+    """
     rooms: list[int] = []  # sorted distinct rooms
-    bins: dict[int, list[dict[int, int]]] = {}
+    bins: dict[int, dict[tuple, int]] = {}
+
+    def put(filled: tuple, length: int, each: int, number: int, room: int) -> None:
+        """`number` bins with `each` more pieces of `length`, which leave `room`."""
+        if room not in bins:
+            bins[room] = {}
+            insort(rooms, room)
+        filled += ((length, each),)
+        bins[room][filled] = bins[room].get(filled, 0) + number
+
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
             at = bisect_left(rooms, length)
             if at == len(rooms):
-                filled, room = {}, capacity
+                filled, number, room = (), left, capacity
             else:
                 room = rooms[at]
-                filled = bins[room].pop()
-                if not bins[room]:
+                filled, number = bins[room].popitem()
+            each = min(room // length, left)
+            whole = min(left // each, number)
+            if at < len(rooms):
+                if number > whole:
+                    bins[room][filled] = number - whole
+                elif not bins[room]:
                     rooms.pop(at)
                     del bins[room]
-            filled[length] = filled.get(length, 0) + 1
-            left -= 1
-            if room - length not in bins:
-                bins[room - length] = []
-                insort(rooms, room - length)
-            bins[room - length].append(filled)
-    return [filled for same in bins.values() for filled in same]
+            put(filled, length, each, whole, room - each * length)
+            left -= each * whole
+    return [(dict(filled), number) for same in bins.values() for filled, number in same.items()]
+
+
+def best_fit(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[dict[int, int]]:
+    """The same, one entry per bin."""
+    return [filled for filled, number in best_fit_counts(histogram, capacity) for _ in range(number)]
 
 
 def plan_bins(
-    histogram: Mapping[int, int], capacity: int = CAPACITY, iterations: int = ITERATIONS
+    histogram: Mapping[int, int], capacity: int = CAPACITY, iterations: int | None = None
 ) -> list[tuple[dict[int, int], int]]:
     """Whole bins per configuration that pack the histogram exactly.
 
@@ -259,11 +281,7 @@ def plan_bins(
             plan.append((found, whole))
             for n, k in found.items():
                 left[n] -= k * whole
-    rest: dict[tuple, int] = {}
-    for filled in best_fit({n: k for n, k in left.items() if k}, capacity):
-        key = tuple(sorted(filled.items()))
-        rest[key] = rest.get(key, 0) + 1
-    return plan + [(dict(key), count) for key, count in rest.items()]
+    return plan + best_fit_counts({n: k for n, k in left.items() if k}, capacity)
 
 
 def places_of(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
@@ -311,10 +329,10 @@ def numbered_in_length(pieces: DataFrame) -> DataFrame:
     )
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = ITERATIONS) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, iterations: int | None = None) -> DataFrame:
     """Add `sequence_id` and `offset` to pieces of 1 to `capacity` tokens.
 
-    The plan is broadcast: its size is bounded by the lengths and iterations.
+    The plan is broadcast: its size is bounded by the lengths.
     Pieces equal in all columns are interchangeable. An empty table stays empty.
     """
     pieces = stored(pieces, "pieces")

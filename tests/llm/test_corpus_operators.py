@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -424,6 +425,33 @@ def test_plan_packs_the_histogram():
     assert packing.plan_bins({}) == [] and packing.plan_bins({2048: 3}) == [({2048: 1}, 3)]
 
 
+def test_plan_of_one_length_with_a_third_of_many_pieces():
+    """The driver's work and memory depend on the lengths, not on the number of pieces."""
+    rng = np.random.default_rng(10)
+    histogram = {int(n): 500_000 for n in rng.choice(np.arange(20, 900), 40, replace=False)} | {1100: 10_000_000}
+    tracemalloc.start()
+    plan = packing.plan_bins(histogram)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    used = Counter()
+    for found, number in plan:
+        assert sum(n * k for n, k in found.items()) <= 2048
+        for n, k in found.items():
+            used[n] += k * number
+    assert used == Counter(histogram)
+    assert sum(c for _, c in plan) <= sum(c for _, c in packing.best_fit_counts(histogram))
+    assert peak < 20_000_000 and len(plan) < 5 * len(histogram)
+
+
+def test_every_length_is_covered():
+    histogram = {n: 7 for n in range(1025, 2048)}
+    covered = Counter()
+    for found, amount in packing.configuration_lp(histogram):
+        for n, k in found.items():
+            covered[n] += k * amount
+    assert all(covered[n] > 7 * (1 - 1e-6) for n in histogram)
+
+
 def test_pack(spark, awkward, nothing):
     out = packing.pack_documents(awkward, capacity=256).toPandas()
     assert out["doc_id"].isna().sum() == 2 and out["length"].between(1, 256).all()
