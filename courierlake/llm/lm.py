@@ -9,9 +9,10 @@ The empty context has all words of the training texts; unseen words share what
 Good and Turing leave them, by their spelling, which a second suffix tree over
 bytes scores.
 
-Contexts and their successors are kept above a share of all positions, so the
-broadcast tree is bounded whatever the input. The word counts are not: they
-stay in a table, and each text sends its rarer words there to be looked up.
+Successions of words are listed from a fixed count on, so the tree grows with
+the input. It is written as terms that add up (see `tree_terms`); the frequent
+ones are broadcast, and each text sends what else may be in the table there to
+be looked up, as it does with its rarer words.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from courierlake.llm.common import fold_bytes, id_and_text, label_fold, stored, with_number_id
 
@@ -34,9 +36,12 @@ DEPTH = 7
 LEAST_SHARE, LEAST_COUNT = 1e-5, 20
 # Symbols: bytes of words, the space that ends a word, the newline that ends a text.
 SYMBOLS = 256
-# Successions of words are listed above this share of all tokens: at most
-# 1 / LEAST_PAIR_SHARE per depth.
-LEAST_PAIR_SHARE, LEAST_PAIRS = 2e-6, 4
+# Successions of words are listed from this count on.
+LEAST_PAIRS = 4
+# Terms of the tree that are broadcast, at most; for the others a table of bits,
+# of fixed size, tells which keys may be among them.
+HOT_TERMS = 1_000_000
+FILTER_BITS = 27
 START_NAME, END_NAME = 1, 0
 # Tokens after which a task writes out the successions it has counted.
 GATHERED = 6_000_000
@@ -301,68 +306,120 @@ def succession_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("order", "context", "symbol").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class ContextTree:
-    """Retained contexts of one order: sorted names, what each leaves over, and listed successors."""
-
-    contexts: np.ndarray
-    left: np.ndarray
-    pairs: np.ndarray
-    logs: np.ndarray
-
-    def find(self, context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Is the context a state, its log10 left over, log10 of the symbol (NaN if not listed)."""
-        if not len(self.contexts):
-            return np.zeros(len(context), bool), np.zeros(len(context)), np.full(len(context), np.nan)
-        at = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
-        known = self.contexts[at] == context
-        logs = np.full(len(context), np.nan)
-        where = np.flatnonzero(known)
-        code = _mix(context[where], symbol[where])
-        to = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-        hit = self.pairs[to] == code
-        logs[where[hit]] = self.logs[to[hit]]
-        return known, np.where(known, self.left[at], 0.0), logs
-
-
-def context_tree(listed: pd.DataFrame) -> ContextTree:
-    """States of one order from rows context, symbol, n, total, below.
-
-    `total` is how often the context occurs, `below` the probability of the
-    symbol under the context's suffix. A state is kept if the likelihood ratio
-    of its listed successors lies four standard deviations above chance. As
-    much weight as it has listed successors (one at least) is left over.
+@F.pandas_udf(LongType())
+def mixed(left: pd.Series, right: pd.Series) -> pd.Series:
+    """`_mix` of columns."""
+    return pd.Series(_mix(left.to_numpy().view(np.uint64), right.to_numpy().view(np.uint64)).view(np.int64))
+
+
+def order_terms(listed: DataFrame, label: str) -> DataFrame:
+    """Terms key, value, n of one order from rows context, symbol, n, total, below.
+
+    `total` is how often the context occurs, `below` the log10 probability of
+    the symbol under the context's suffix. A state is kept if the likelihood
+    ratio of its listed successors lies four standard deviations above chance.
+    As much weight as it has listed successors (one at least) is left over.
     """
-    empty = np.zeros(0, np.uint64)
-    if not len(listed):
-        return ContextTree(empty, np.zeros(0), empty, np.zeros(0))
-    listed = listed.sort_values(["context", "symbol"])
-    context, first = np.unique(listed["context"].to_numpy(), return_index=True)
-    n = listed["n"].to_numpy(float)
-    sums = np.add.reduceat(n, first)
-    total = np.maximum(np.maximum.reduceat(listed["total"].to_numpy(float), first), sums)
-    free = np.diff(np.append(first, len(listed)))
-    each = np.repeat(total, free)
-    gain = 2.0 * np.add.reduceat(n * np.log(n / each / listed["below"].to_numpy(float)), first)
-    keep = gain > free + 4.0 * np.sqrt(2.0 * free)
-    weight = total + free + 1.0
-    left = np.log10(1.0 - sums / weight)
-    rows = np.repeat(keep, free)
-    names = listed["context"].to_numpy().view(np.uint64)
-    codes = _mix(names[rows], listed["symbol"].to_numpy().view(np.uint64)[rows])
-    logs = np.log10(n / np.repeat(weight, free))[rows]
-    order = np.argsort(codes)
-    states = context.view(np.uint64)[keep]
-    sort = np.argsort(states)
-    return ContextTree(states[sort], left[keep][sort], codes[order], logs[order])
+    n, below = F.col("n"), F.col("below")
+    sums = listed.groupBy("context").agg(
+        F.sum("n").alias("sums"),
+        F.count(F.lit(1)).alias("free"),
+        F.max("total").alias("total"),
+        F.sum(n * (F.log(n) - below * math.log(10.0))).alias("gain"),
+    )
+    total = F.greatest("total", "sums")
+    weight = total + F.col("free") + 1.0
+    states = stored(
+        sums.where(2.0 * (F.col("gain") - F.col("sums") * F.log(total)) > F.col("free") + 4.0 * F.sqrt(2.0 * F.col("free")))
+        .select("context", total.alias("occurs"), weight.alias("weight"), F.log10(1.0 - F.col("sums") / weight).alias("left")),
+        f"states-{label}",
+    )
+    pairs = listed.join(states, "context").select(
+        mixed("context", "symbol").alias("key"),
+        (F.log10(n / F.col("weight")) - F.col("left") - below).alias("value"),
+        "n",
+    )
+    own = states.select(F.bitwise_not("context").alias("key"), F.col("left").alias("value"), F.col("occurs").alias("n"))
+    return stored(own.union(pairs), f"terms-{label}")
+
+
+def tree_terms(found: DataFrame, counts: DataFrame, own: Column) -> DataFrame:
+    """key, value, n: the tree as log10 terms that add up.
+
+    The probability of a word is its own, plus what each state among its two
+    contexts leaves over, plus for each listed succession the difference to
+    that. Keys are the context's complement and the name of the succession.
+    `found`: successions; `counts`: name, n; `own`: log10 probability from n.
+    """
+    symbol = counts.select(F.col("name").alias("symbol"), own.alias("own"))
+    context = counts.select(F.col("name").alias("context"), F.col("n").alias("total"))
+    ones = found.where("order = 1").drop("order")
+    first = ones.join(symbol, "symbol").join(context, "context")
+    one = order_terms(first.select("context", "symbol", "n", "total", F.col("own").alias("below")), "one")
+    # A context of two words is a listed succession; its suffix is the later word.
+    longer = ones.select(
+        mixed("context", "symbol").alias("context"), F.col("symbol").alias("suffix"), F.col("n").alias("total")
+    ).dropDuplicates(["context"])
+    second = found.where("order = 2").drop("order").join(symbol, "symbol").join(longer, "context")
+    left = one.select(F.bitwise_not("key").alias("suffix"), F.col("value").alias("left"))
+    more = one.select(F.col("key").alias("pair"), F.col("value").alias("more"))
+    second = second.join(left, "suffix", "left").withColumn("pair", mixed("suffix", "symbol")).join(more, "pair", "left")
+    below = F.col("own") + F.coalesce("left", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))
+    return one.union(order_terms(second.select("context", "symbol", "n", "total", below.alias("below")), "two"))
+
+
+@dataclass
+class Terms:
+    """The most frequent terms by key, ascending, and bits of the keys of all others."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    bits: np.ndarray
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Is the key held here, its value (else 0), and may it be in the table."""
+        known, values = np.zeros(len(keys), bool), np.zeros(len(keys))
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[at] == keys
+            values = np.where(known, self.values[at], 0.0)
+        bit = keys & np.uint64((1 << FILTER_BITS) - 1)
+        may = (self.bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
+        return known, values, ~known & (may == 1)
+
+
+def split_terms(terms: DataFrame) -> Terms:
+    """What is broadcast of the terms: bounded by `HOT_TERMS` and `FILTER_BITS`."""
+    size = F.floor(F.log2("n") * 8).cast("int")
+    found = sorted(terms.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    least, held = math.inf, 0
+    for row in found:
+        held += row["n"]
+        if held > HOT_TERMS:
+            break
+        least = row["size"]
+    hot = terms.where(size >= F.lit(float(least))).select("key", "value").toArrow().to_pandas()
+    low = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = (
+        terms.where(size < F.lit(float(least)))
+        .select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+        .to_pandas()
+    )
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Terms(keys[order], hot["value"].to_numpy(float)[order], bits)
 
 
 @dataclass
 class WordModel:
-    """All that is broadcast: trees, spelling, and log10 probabilities of the frequent words."""
+    """All that is broadcast: frequent terms, spelling, and log10 probabilities of the frequent words."""
 
-    one: ContextTree
-    two: ContextTree
+    terms: Terms
     spelling: SuffixTree
     hot: np.ndarray  # names, ascending
     hot_logs: np.ndarray  # rows of log10(count + 1) and log10 probability
@@ -382,53 +439,40 @@ class WordModel:
             rare[names == name] = False
         return rare, found[:, 0], found[:, 1]
 
-    def position_logs(self, names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per position: log10 decided by the trees, and whether the word's own probability is still due."""
+    def position_logs(self, names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per position: log10 added by the terms held here, and whether one lists the word;
+        then positions and keys that have to be looked up."""
         first = np.zeros(len(names), bool)
         first[starts] = True
-        logs, due = np.zeros(len(names)), ~first
+        logs, listed = np.zeros(len(names)), np.zeros(len(names), bool)
         i = np.flatnonzero(~first)
         deep = i[~first[i - 1]]
-        _, left, listed = self.two.find(_mix(names[deep - 2], names[deep - 1]), names[deep])
-        hit = ~np.isnan(listed)
-        logs[deep] += np.where(hit, np.nan_to_num(listed), left)
-        due[deep[hit]] = False
-        i = i[due[i]]
-        _, left, listed = self.one.find(names[i - 1], names[i])
-        hit = ~np.isnan(listed)
-        logs[i] += np.where(hit, np.nan_to_num(listed), left)
-        due[i[hit]] = False
-        return logs, due
-
-
-def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct: int, spelled: int) -> WordModel:
-    """The model of the training texts; `words`: word, name, n."""
+        double = _mix(names[deep - 2], names[deep - 1])
+        places, keys = [], []
+        for at, context in ((i, names[i - 1]), (deep, double)):
+            for key, lists in ((~context, False), (_mix(context, names[at]), True)):
+                known, values, may = self.terms.find(key)
+                logs[at] += values
+                if lists:
+                    listed[at[known]] = True
+                places.append(at[may])
+                keys.append(key[may])
+        places, keys = np.concatenate(places), np.concatenate(keys)
+        order = np.argsort(places, kind="stable")
+        return logs, listed, places[order], keys[order]
+
+
+def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct: int, spelled: int) -> tuple[WordModel, DataFrame]:
+    """The model of the training texts and all terms of its tree; `words`: word, name, n."""
     single = words.where("n = 1").count()
     unseen = max(single, 1) / max(n_train, 1)
     unseen = min(unseen, 0.5)
     total = float(n_train + distinct)
 
-    def own(n: Column) -> Column:
-        return (1 - unseen) * (n + 1) / total
-
-    least = max(LEAST_PAIRS, LEAST_PAIR_SHARE * n_train)
-    found = stored(succession_counts(train).where(F.col("n") >= least), "successions")
+    found = stored(succession_counts(train).where(F.col("n") >= LEAST_PAIRS), "successions")
     ends = train.sparkSession.createDataFrame([(END_NAME, texts), (START_NAME, texts)], "name bigint, n bigint")
-    counts = words.select("name", "n").union(ends)
-    symbol = counts.select(F.col("name").alias("symbol"), own(F.col("n")).alias("below"))
-    context = counts.select(F.col("name").alias("context"), F.col("n").alias("total"))
-    first = found.where("order = 1").drop("order").join(symbol, "symbol").join(context, "context")
-    one = context_tree(first.toArrow().to_pandas())
-    pairs = found.where("order = 1").select("context", "symbol", F.col("n").alias("total")).toArrow().to_pandas()
-    second = found.where("order = 2").drop("order").join(symbol, "symbol").toArrow().to_pandas()
-    # A context of two words is a listed succession; its suffix is the later word.
-    code = _mix(pairs["context"].to_numpy().view(np.uint64), pairs["symbol"].to_numpy().view(np.uint64))
-    suffix = pd.DataFrame({"context": code.view(np.int64), "suffix": pairs["symbol"], "total": pairs["total"]})
-    second = second.merge(suffix.drop_duplicates("context"), on="context")
-    if len(second):
-        _, left, logs = one.find(second["suffix"].to_numpy().view(np.uint64), second["symbol"].to_numpy().view(np.uint64))
-        second["below"] = np.where(np.isnan(logs), second["below"] * 10.0**left, 10.0 ** np.nan_to_num(logs))
-    two = context_tree(second[["context", "symbol", "n", "total", "below"]] if len(second) else second)
+    own = F.log10((F.col("n") + 1) * F.lit((1 - unseen) / max(total, 1.0)))
+    terms = tree_terms(found, words.select("name", "n").union(ends), own)
     spelling = spelling_tree(words.select("word", F.lit(1).cast("bigint").alias("n")), spelled)
     rows = words.orderBy(F.desc("n"), "name").select("name", "n").limit(HOT_WORDS).toArrow().to_pandas()
     n = rows["n"].to_numpy(float)
@@ -436,7 +480,8 @@ def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct:
     logs = np.stack([np.log10(n + 1), np.log10((1 - unseen) * (n + 1) / max(total, 1.0))], axis=1)
     order = np.argsort(names)
     end = (math.log10(texts + 1), math.log10((1 - unseen) * (texts + 1) / max(total, 1.0)))
-    return WordModel(one, two, spelling, names[order], logs[order], end, math.log10(unseen))
+    model = WordModel(split_terms(terms), spelling, names[order], logs[order], end, math.log10(unseen))
+    return model, terms
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
@@ -455,7 +500,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     ).first()
     texts = train.count()
     n_train, distinct = (sums["n"] or 0) + texts, sums["v"] + (1 if texts else 0)
-    model = fit(train, words, texts, n_train, distinct, sums["spelled"] or 0)
+    model, terms = fit(train, words, texts, n_train, distinct, sums["spelled"] or 0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     total = float(n_train + distinct)
 
@@ -467,12 +512,12 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
                 data = [fold_bytes(t) for t in part["text"]]
                 found = [d.split() for d in data]
                 names, starts = named_sequences(found)
-                logs, due = law.position_logs(names, starts)
+                logs, listed, asked, keys = law.position_logs(names, starts)
                 rare, plain, own = law.own_logs(names)
                 places = np.flatnonzero(rare)
                 owner = np.searchsorted(starts, places, "right") - 1
                 inner = places - starts[owner] - 1
-                still = due[places].tolist()
+                still = (~listed[places]).tolist()
                 spelled = np.array(
                     [
                         law.spelling.word_log(found[o][i]) if d else np.nan
@@ -481,24 +526,27 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
                     np.float32,
                 )
                 cuts = np.searchsorted(owner, np.arange(1, len(found)))
+                asking = np.searchsorted(asked, starts[1:])
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy(),
                         "text": [name_of(d) for d in data],
                         "n_tokens": [len(t) + 1 for t in found],
                         "hot_base": np.add.reduceat(plain, starts),
-                        "hot_score": np.add.reduceat(logs + np.where(due, own, 0.0), starts),
+                        "hot_score": np.add.reduceat(logs + own, starts),
                         "rare": np.split(names[places].view(np.int64), cuts),
                         "spelled": np.split(spelled, cuts),
+                        "keys": np.split(keys.view(np.int64), asking),
                     }
                 )
 
     scored = id_and_text(docs).mapInPandas(
         doc_rows,
         "doc_id string, text bigint, n_tokens bigint, hot_base double, hot_score double, "
-        "rare array<bigint>, spelled array<float>",
+        "rare array<bigint>, spelled array<float>, keys array<bigint>",
     )
-    scored = stored(with_number_id(scored), "scored").withColumn("n_rare", F.size("rare"))
+    scored = stored(with_number_id(scored), "scored")
+    scored = scored.withColumn("n_rare", F.size("rare")).withColumn("n_keys", F.size("keys"))
     rare = scored.select("text", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))
     rare = rare.select("text", F.col("r.rare").alias("name"), F.col("r.spelled").alias("spelled"))
     n = F.col("n")
@@ -507,14 +555,18 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     )
     per_text = rare.join(words.select("name", "n"), "name", "left").groupBy("text").agg(
         F.sum(F.log10(F.coalesce(n, F.lit(0)) + 1)).alias("rare_base"),
-        F.sum(F.when(~F.isnan("spelled"), own)).alias("rare_score"),
+        F.sum(own).alias("rare_score"),
         F.count("n").alias("rare_known"),
         F.count(F.lit(1)).alias("sent"),
     )
-    rows = scored.drop("rare", "spelled").join(stored(per_text, "rare-sums"), "text", "left")
+    asked = scored.select("text", F.explode("keys").alias("key")).join(terms.select("key", "value"), "key", "left")
+    per_tree = asked.groupBy("text").agg(F.sum("value").alias("tree"), F.count(F.lit(1)).alias("asked"))
+    rows = scored.drop("rare", "spelled", "keys").join(stored(per_text, "rare-sums"), "text", "left")
+    rows = rows.join(stored(per_tree, "tree-sums"), "text", "left")
     # Copies of a text all sent their words: the sums are as many times too large.
     copies = F.when(F.col("n_rare") > 0, F.col("sent") / F.col("n_rare")).otherwise(F.lit(1.0))
     rare_base, rare_score = (F.coalesce(F.col(c) / copies, F.lit(0.0)) for c in ("rare_base", "rare_score"))
+    tree = F.coalesce(F.col("tree") * F.col("n_keys") / F.col("asked"), F.lit(0.0))
     rare_known = F.coalesce(F.round(F.col("rare_known") / copies), F.lit(0)).cast("bigint")
     return rows.select(
         "doc_id",
@@ -523,7 +575,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
         (F.col("n_tokens") - 1 - F.col("n_rare") + rare_known + F.lit(1 if texts else 0)).alias("n_known"),
         F.lit(n_train).cast("bigint").alias("train_tokens"),
         (F.col("hot_base") + rare_base - F.col("n_tokens") * F.lit(math.log10(total + 1))).alias("base_score"),
-        (F.col("hot_score") + rare_score).alias("score"),
+        (F.col("hot_score") + rare_score + tree).alias("score"),
     )
 
 

@@ -242,6 +242,53 @@ def test_successions_do_not_depend_on_the_split(spark):
     assert np.allclose(*scores, atol=1e-9)
 
 
+@pytest.mark.parametrize("hot", [0, 40, 10**6])
+def test_scores_equal_a_brute_force_tree(spark, monkeypatch, hot):
+    """Training texts, so that no word is spelled; the tree broadcast not at all, partly, and whole."""
+    monkeypatch.setattr(lm, "HOT_TERMS", hot)
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"v{min(int(x), 30)}" for x in np.cumsum(rng.integers(0, 3, 40)) % 31) for _ in range(60)]
+    rows = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    seqs = [["<", *t.split(), ">"] for t in texts]
+    counts = Counter(w for s in seqs for w in s[1:])
+    unseen = max(sum(n == 1 for w, n in counts.items()), 1) / sum(counts.values())
+    own = {w: (1 - unseen) * (n + 1) / (sum(counts.values()) + len(counts)) for w, n in counts.items()}
+    states, nexts = {}, defaultdict(Counter)
+    for s in seqs:
+        for i in range(1, len(s)):
+            for k in (1, 2):
+                if i >= k:
+                    nexts[tuple(s[i - k : i])][s[i]] += 1
+
+    def probability(context, w):
+        if not context:
+            return own[w]
+        if context not in states:
+            return probability(context[1:], w)
+        weight, listed = states[context]
+        return listed[w] / weight if w in listed else (1 - sum(listed.values()) / weight) * probability(context[1:], w)
+
+    for context in sorted(nexts, key=len):
+        listed = {w: n for w, n in nexts[context].items() if n >= lm.LEAST_PAIRS}
+        total, free = sum(nexts[context].values()), len(listed)
+        gain = 2 * sum(n * np.log(n / total / probability(context[1:], w)) for w, n in listed.items())
+        if free and gain > free + 4 * np.sqrt(2 * free):
+            states[context] = (total + free + 1, listed)
+    assert {len(c) for c in states} == {1, 2}
+    expected = [sum(np.log10(probability(tuple(s[max(0, i - 2) : i]), s[i])) for i in range(1, len(s))) for s in seqs]
+    assert np.allclose(sorted(lm.score_texts(rows).toPandas()["score"]), sorted(expected))
+
+
+def test_successions_are_listed_alike_at_every_size(spark):
+    """The number of training tokens doesn't decide which contexts are states."""
+    rows = spark.createDataFrame([(i, "first second third") for i in range(30)], "doc_id bigint, text string")
+    words = lm.word_counts(rows).mapInPandas(lm._with_names, "word binary, name bigint, n bigint")
+    model = lm.fit(rows, words, 30, 10**9, 4, 60)[0]
+    second = np.array([lm.name_of(b"second")]).view(np.uint64)
+    third = np.array([lm.name_of(b"third")]).view(np.uint64)
+    assert model.terms.find(~second)[0][0] and model.terms.find(lm._mix(second, third))[0][0]
+
+
 def test_spelling_is_a_distribution(spark):
     words = spark.createDataFrame([(b"abc", 50), (b"abd", 30), (b"xyz", 25)], "word binary, n bigint")
     tree = lm.spelling_tree(words, 400)
