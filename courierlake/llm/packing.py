@@ -3,8 +3,9 @@
 Texts longer than a bin are cut into full bins; what remains is a bin packing
 problem over a histogram of at most `capacity` lengths. Its configuration
 linear program (one variable per way to fill a bin) is solved approximately
-by multiplicative weights: lengths that are covered least weigh most, and a
-knapsack dynamic program finds the most valuable configuration. The solution
+in full steps: lengths that are covered least weigh most, a knapsack dynamic
+program finds the most valuable configuration, and it is used until one of its
+lengths is covered. The solution
 is rounded down to whole bins without a gap; the rest, however much it is, is
 packed by best fit, longest first and equal bins at once. All of that works on
 the histogram, whose size doesn't depend on the number of documents. Spark then
@@ -188,7 +189,7 @@ def configuration_lp(
 ) -> list[tuple[dict[int, int], float]]:
     """Fractional bins per configuration that cover the histogram, nearly fewest.
 
-    Covering by multiplicative weights: the weight of a length falls
+    Covering by exponential weights in full steps: the weight of a length falls
     exponentially with how far its demand is covered, to 0 when it is. Each
     iteration takes the best configuration for these weights, in the largest
     amount that covers no length by more than `STEP` of its demand. With full
