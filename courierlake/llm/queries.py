@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, topk, toxicity, warc, winnow
+from courierlake.llm import dedup, lm, mixing, packing, phrases, quality, sharding, topk, toxicity, warc, winnow
 from courierlake.llm.common import WORD, ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
 
@@ -135,6 +135,11 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.compare_with_edits(table(spark, folder, "documents"))
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 collocations of two and three words of every language."""
+    return phrases.collocations(table(spark, folder, "documents"), top=2000, least=10)
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """`query` with this package at hand on the executors."""
 
@@ -158,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_audit": op8_warc_audit,
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
+        "op13_phrases": op13_phrases,
     }
     return {name: shipped(query) for name, query in named.items()}
 
@@ -212,6 +218,48 @@ SELECT page_id, file, coalesce(sum(strlen(record) + 4) OVER (PARTITION BY file O
     strlen(record)::BIGINT AS length, sha256(record) AS sha256,
     CASE WHEN page_id % 67 = 0 THEN 'missing' WHEN page_id % 61 = 0 THEN 'damaged' ELSE 'intact' END AS status
 FROM parts""",
+    "op13_phrases": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(""" + _LOWER + r""", '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), one AS (
+    SELECT lang, w, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS w FROM cut) GROUP BY ALL
+), total AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang
+), two AS (
+    SELECT lang, p.x, p.y, count(*)::HUGEINT AS f FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: {'x': w[i], 'y': w[i + 1]})) AS p FROM cut
+    ) GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+    SELECT lang, p.x, p.y, p.z, count(*)::HUGEINT AS f FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: {'x': w[i], 'y': w[i + 1], 'z': w[i + 2]})) AS p
+        FROM cut
+    ) GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+    SELECT t.lang, concat_ws(' ', t.x, t.y) AS phrase, t.f AS a, l.f AS l, r.f AS r, 1 AS k
+    FROM two t JOIN one l ON l.lang = t.lang AND l.w = t.x JOIN one r ON r.lang = t.lang AND r.w = t.y
+    WHERE NOT EXISTS (
+        FROM three u WHERE u.lang = t.lang AND 100 * u.f >= 50 * t.f
+        AND ((u.x = t.x AND u.y = t.y) OR (u.y = t.x AND u.z = t.y))
+    )
+    UNION ALL
+    SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.f, l.f, r.f, 1
+    FROM three t JOIN one l ON l.lang = t.lang AND l.w = t.x
+    JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+    UNION ALL
+    SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.f, l.f, r.f, 2
+    FROM three t JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y
+    JOIN one r ON r.lang = t.lang AND r.w = t.z
+), lowest AS (
+    SELECT *, (1000000 * a * a) // (l * r) AS score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY (1000000 * a * a) // (l * r), k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
 
 
