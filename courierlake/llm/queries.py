@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, lm, mixing, packing, phrases, quality, sharding, topk, toxicity, warc, winnow
+from courierlake.llm import dedup, interactions, lm, mixing, packing, phrases, quality, sharding, topk, toxicity, warc, winnow
 from courierlake.llm.common import WORD, ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
 
@@ -135,6 +135,11 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.compare_with_edits(table(spark, folder, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove of every source, in every order, and their fair shares."""
+    return interactions.interaction_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """The first 2000 collocations of two and three words of every language."""
     return phrases.collocations(table(spark, folder, "documents"), top=2000, least=10)
@@ -163,6 +168,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_audit": op8_warc_audit,
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
+        "op11_filter_audit": op11_filter_audit,
         "op13_phrases": op13_phrases,
     }
     return {name: shipped(query) for name, query in named.items()}
@@ -218,6 +224,42 @@ SELECT page_id, file, coalesce(sum(strlen(record) + 4) OVER (PARTITION BY file O
     strlen(record)::BIGINT AS length, sha256(record) AS sha256,
     CASE WHEN page_id % 67 = 0 THEN 'missing' WHEN page_id % 61 = 0 THEN 'damaged' ELSE 'intact' END AS status
 FROM parts""",
+    "op11_filter_audit": f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{WORD}') AS w
+    FROM documents
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), told AS (
+    SELECT part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+        + 8 * regexp_matches(text, '[#$%&*|]')::INT
+        + 16 * coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)::INT AS failed,
+        coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+    FROM texts LEFT JOIN marks USING (doc_id)
+), sets AS (
+    SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM told GROUP BY ALL
+), filters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT '' AS o, 0 AS used UNION ALL
+    SELECT o || f, used + bit FROM orders JOIN filters ON used & bit = 0 WHERE length(o) < 5
+), steps AS (
+    SELECT o, unnest(range(1, 6))::INT AS step FROM orders WHERE length(o) = 5
+), masked AS (
+    SELECT o, step, f, bit, (SELECT coalesce(sum(g.bit), 0) FROM filters g WHERE contains(left(o, step - 1), g.f))::INT AS gone
+    FROM steps JOIN filters ON f = o[step]
+), counted AS (
+    SELECT part, o AS filter_order, step, f, coalesce(sum(n) FILTER (failed & (gone | bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (failed & gone = 0 AND failed & bit > 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (failed & gone > 0 AND failed & bit > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (failed = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (failed & gone = 0 AND failed & bit > 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (failed & gone = 0 AND failed & bit > 0), 0)::BIGINT AS toxic_lost
+    FROM sets, masked GROUP BY ALL
+)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted""",
     "op13_phrases": r"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(""" + _LOWER + r""", '[.,;:!?\x0A-\x0D]')) AS piece
