@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.llm import dedup, interactions, lm, mixing, packing, phrases, quality, sharding, topk, toxicity, warc, winnow
+from courierlake.llm import dedup, interactions, lm, mixing, packing, phrases, pii, quality, sharding, topk, toxicity, warc, winnow
 from courierlake.llm.common import WORD, ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
 
@@ -140,6 +140,11 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return interactions.interaction_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: base spans, and those that boosted trees add."""
+    return pii.find_spans(table(spark, folder, "documents"))
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     """The first 2000 collocations of two and three words of every language."""
     return phrases.collocations(table(spark, folder, "documents"), top=2000, least=10)
@@ -169,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_winnowing": op10_winnowing,
         "op11_filter_audit": op11_filter_audit,
+        "op12_personal_data": op12_personal_data,
         "op13_phrases": op13_phrases,
     }
     return {name: shipped(query) for name, query in named.items()}
