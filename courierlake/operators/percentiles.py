@@ -19,8 +19,17 @@ from pyspark.sql import functions as F
 SLICE = 1_000_000
 
 
+# How a figure of a slice and that of its group are made; each may be applied twice.
+FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
 def grouped_percentiles(
-    counted: DataFrame, key: str, value: str, weight: str, fractions: Mapping[str, str]
+    counted: DataFrame,
+    key: str,
+    value: str,
+    weight: str,
+    fractions: Mapping[str, str],
+    figures: Mapping[str, tuple[str, Column]] | None = None,
 ) -> DataFrame:
     """Interpolated percentiles, one row per `key` and one column per fraction.
 
@@ -28,7 +37,12 @@ def grouped_percentiles(
     in `weight`; `value` is an integer. NULL keys form a group. Fractions are
     decimal texts such as "0.95": positions and interpolation are exact, and
     only the result is a double.
+
+    `figures` are further columns of the result: the `sum`, `min` or `max` of
+    an expression over the rows of `counted`. They are folded along with the
+    slices, without a shuffle of their own.
     """
+    figures = figures or {}
     in_group = Window.partitionBy(key).orderBy("_slice")
     to_here = in_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -38,6 +52,7 @@ def grouped_percentiles(
         F.floor(F.col(value) / F.lit(SLICE)).alias("_slice"),
         F.col(value).alias("_value"),
         F.col(weight).alias("_weight"),
+        *(expression.alias(f"_f_{name}") for name, (_, expression) in figures.items()),
     )
     # Each wanted fraction sits between two zero-based positions.
     ends = {
@@ -47,14 +62,22 @@ def grouped_percentiles(
     }
     slices = (
         sliced.groupBy(key, "_slice")
-        .agg(F.sum("_weight").alias("_weight"))
+        .agg(
+            F.sum("_weight").alias("_weight"),
+            *(FOLDS[fold](f"_f_{name}").alias(f"_f_{name}") for name, (fold, _) in figures.items()),
+        )
+        .withColumns({f"_f_{name}": FOLDS[fold](f"_f_{name}").over(whole) for name, (fold, _) in figures.items()})
         .withColumn("_upto", F.sum("_weight").over(to_here))
         .withColumn("_total", F.sum("_weight").over(whole))
         .withColumn("_before", F.col("_upto") - F.col("_weight"))
     )
     hit = _holds_any(list(ends.values()), F.col("_before"), F.col("_upto"))
     wanted = slices.where(hit).select(
-        F.col(key).alias("_key"), F.col("_slice").alias("_wanted"), "_before", "_total"
+        F.col(key).alias("_key"),
+        F.col("_slice").alias("_wanted"),
+        "_before",
+        "_total",
+        *(F.col(f"_f_{name}").alias(name) for name in figures),
     )
 
     in_slice = (
@@ -63,7 +86,7 @@ def grouped_percentiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     candidates = (
-        sliced.join(
+        sliced.select(key, "_slice", "_value", "_weight").join(
             wanted,
             F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_wanted")),
         )
@@ -72,6 +95,7 @@ def grouped_percentiles(
     )
     at_ends = candidates.groupBy(key).agg(
         F.max("_total").alias("_total"),
+        *(F.max(name).alias(name) for name in figures),
         *(
             F.max(F.when(_holds(position, F.col("_from"), F.col("_upto")), F.col("_value"))).alias(
                 f"_{name}_{end}"
@@ -80,7 +104,7 @@ def grouped_percentiles(
         ),
     )
     return at_ends.select(
-        key, *(_interpolated(name, fraction).alias(name) for name, fraction in fractions.items())
+        key, *figures, *(_interpolated(name, fraction).alias(name) for name, fraction in fractions.items())
     )
 
 

@@ -21,47 +21,52 @@ def add_row_numbers(
     """Add one row-number column per entry of `ranks`.
 
     `ranks` maps a column name to (group columns, ordering). An ordering must
-    leave no ties. A range sort numbers the rows, which never brings a group
-    into one task.
+    leave no ties. One range sort per ordering numbers the rows, over the whole
+    table and within groups alike; it never brings a group into one task.
     """
+    by_order: dict[str, tuple[Sequence[Column], dict[str, Sequence[str]]]] = {}
     for name, (groups, order) in ranks.items():
-        df = _distributed_row_number(df, name, groups, order)
-    return df
+        by_order.setdefault(str(list(order)), (order, {}))[1][name] = groups
+    columns = df.columns
+    for order, names in by_order.values():
+        df = _numbered(df, order, names)
+    return df.select(*columns, *ranks)
 
 
-def _distributed_row_number(
-    df: DataFrame, name: str, groups: Sequence[str], order: Sequence[Column]
-) -> DataFrame:
-    """Row numbers from a range sort: rows before this partition plus position.
+def _numbered(df: DataFrame, order: Sequence[Column], names: dict[str, Sequence[str]]) -> DataFrame:
+    """Row numbers from one range sort: rows of the group in earlier partitions
+    plus the place among those of this partition.
 
     The sorted table is checkpointed, so its partitions, and with them the
     partition ids and positions, stay fixed from here on.
     """
     shared_dir(df.sparkSession)
-    by_group = [F.col(group).asc_nulls_first() for group in groups]
     placed = (
-        df.orderBy(*by_group, *order)
+        df.orderBy(*order)
         .checkpoint()
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)))
     )
-    # One row per partition of the sort: bounded by the shuffle width.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    numbered = placed.join(F.broadcast(starts), "_part").withColumn(
-        name, F.col("_start") + F.col("_place") + 1
-    )
-    if groups:
-        firsts = numbered.groupBy(*groups).agg(F.min(name).alias("_first"))
-        firsts = firsts.select(*(F.col(g).alias(f"_group_{g}") for g in groups), "_first")
-        same = F.lit(True)
-        for group in groups:
-            same = same & F.col(group).eqNullSafe(F.col(f"_group_{group}"))
-        numbered = numbered.join(firsts, same).withColumn(
-            name, F.col(name) - F.col("_first") + 1
+    numbered = placed
+    for name, groups in names.items():
+        # One row per partition of the sort and group in it.
+        before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = placed.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_rows"))
+        starts = starts.select(
+            F.col("_part").alias("_in"),
+            *(F.col(group).alias(f"_group_{group}") for group in groups),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
-    return numbered.select(*df.columns, name)
+        place, same = F.col("_place") + 1, F.col("_part") == F.col("_in")
+        if groups:
+            here = Window.partitionBy("_part", *groups).orderBy("_place")
+            numbered = numbered.withColumn("_here", F.row_number().over(here))
+            place = F.col("_here")
+            for group in groups:
+                same = same & F.col(group).eqNullSafe(F.col(f"_group_{group}"))
+        else:
+            # Bounded by the shuffle width.
+            starts = F.broadcast(starts)
+        numbered = numbered.join(starts, same).withColumn(name, F.col("_start") + place)
+        numbered = numbered.drop("_in", "_start", "_here", *(f"_group_{group}" for group in groups))
+    return numbered.select(*df.columns, *names)

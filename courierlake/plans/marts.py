@@ -71,14 +71,18 @@ def sla_daily(timeline: DataFrame) -> DataFrame:
 
 
 def sla_breach_analysis(timeline: DataFrame) -> DataFrame:
-    """Breach rate, unweighted means of the daily means, and two ranks.
+    """Breach rate, unweighted means of the daily means, and two ranks."""
+    return sla_breaches_of_days(sla_daily(timeline))
+
+
+def sla_breaches_of_days(daily: DataFrame) -> DataFrame:
+    """The mart from its daily figures (:func:`sla_daily`).
 
     The overall rank is a plain window: there are five rows per city.
     """
     orders, breached = F.sum("total_orders"), F.sum("breached_orders")
     by_slot = (
-        sla_daily(timeline)
-        .groupBy("city", "time_slot")
+        daily.groupBy("city", "time_slot")
         .agg(
             orders.alias("total_orders"),
             breached.alias("breached_orders"),
@@ -103,15 +107,17 @@ def sla_breach_analysis(timeline: DataFrame) -> DataFrame:
 # --- Preparation delays by restaurant -----------------------------------------------
 
 
-def prep_time_counts(timeline: DataFrame) -> DataFrame:
-    """Orders and breaches per restaurant and exact preparation time.
+def prep_time_counts(timeline: DataFrame, *by: str) -> DataFrame:
+    """Orders and breaches per restaurant and exact preparation time, and per columns `by`.
 
     Counting equal times before the shuffle spreads a busy restaurant over the
     cluster: its rows are keyed by restaurant and time, not by restaurant.
     """
     return (
         with_valid_prep(timeline)
-        .groupBy("restaurant_id", micros_between("accepted_ts", "food_ready_ts").alias("prep_us"))
+        .groupBy(
+            "restaurant_id", *by, micros_between("accepted_ts", "food_ready_ts").alias("prep_us")
+        )
         .agg(
             F.count(F.lit(1)).alias("orders"),
             F.count_if("is_sla_breached").alias("breached"),
@@ -119,10 +125,12 @@ def prep_time_counts(timeline: DataFrame) -> DataFrame:
     )
 
 
+PREP_FRACTIONS = {"median_us": "0.5", "p95_us": "0.95"}
+
+
 def prep_percentiles(counts: DataFrame) -> DataFrame:
     """Exact median and 95th percentile of the preparation minutes, unrounded."""
-    fractions = {"median_us": "0.5", "p95_us": "0.95"}
-    located = grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", fractions)
+    located = grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", PREP_FRACTIONS)
     return located.select(
         "restaurant_id",
         _minutes(F.col("median_us")).alias("median_prep_time_minutes"),
@@ -144,28 +152,47 @@ def restaurant_prep_delays(
     The risk limits are (mean minutes, delay rate in percent); they compare the
     rounded mean with the unrounded rate.
     """
-    # Several branches below read the counts; the timeline runs once.
+    # The percentiles read the counts twice; the timeline runs once.
     counts, _ = checkpointed(prep_time_counts(timeline))
-    minutes, orders = _minutes(F.col("prep_us")), F.col("orders")
-    slow = minutes > delay_minutes
-    total_us = F.sum((F.col("prep_us") * orders).cast("decimal(38,0)")).cast("double")
+    return prep_delays_of_counts(
+        counts, restaurants, as_of, min_orders, delay_minutes, high_risk, medium_risk
+    )
+
+
+def prep_delays_of_counts(
+    counts: DataFrame,
+    restaurants: DataFrame,
+    as_of: dt.date | None = None,
+    min_orders: int = 10,
+    delay_minutes: float = 20,
+    high_risk: tuple[float, float] = (25, 30),
+    medium_risk: tuple[float, float] = (20, 20),
+) -> DataFrame:
+    """The mart from its preparation times (:func:`prep_time_counts`)."""
+    orders = F.col("orders")
+    slow = _minutes(F.col("prep_us")) > delay_minutes
+    sums = {
+        "total_orders": ("sum", orders),
+        "total_us": ("sum", (F.col("prep_us") * orders).cast("decimal(38,0)")),
+        "min_us": ("min", F.col("prep_us")),
+        "max_us": ("max", F.col("prep_us")),
+        "delayed_orders": ("sum", F.when(slow, orders).otherwise(0)),
+        "sla_breaches_from_prep": ("sum", F.when(slow, F.col("breached")).otherwise(0)),
+    }
+    mean_us = F.col("total_us").cast("double") / F.col("total_orders")
     figures = (
-        counts.groupBy("restaurant_id")
-        .agg(
-            F.sum("orders").alias("total_orders"),
-            F.round(total_us / F.sum("orders") / F.lit(float(MICROS_PER_MINUTE)), 1).alias(
-                "avg_prep_time_minutes"
-            ),
-            F.min(minutes).alias("min_prep_time_minutes"),
-            F.max(minutes).alias("max_prep_time_minutes"),
-            F.sum(F.when(slow, orders).otherwise(0)).alias("delayed_orders"),
-            F.sum(F.when(slow, F.col("breached")).otherwise(0)).alias("sla_breaches_from_prep"),
-        )
+        grouped_percentiles(counts, "restaurant_id", "prep_us", "orders", PREP_FRACTIONS, sums)
         .where(F.col("total_orders") >= min_orders)
+        .withColumns(
+            {
+                "avg_prep_time_minutes": F.round(mean_us / F.lit(float(MICROS_PER_MINUTE)), 1),
+                "median_prep_time_minutes": _minutes(F.col("median_us")),
+                "p95_prep_time_minutes": _minutes(F.col("p95_us")),
+                "min_prep_time_minutes": _minutes(F.col("min_us")),
+                "max_prep_time_minutes": _minutes(F.col("max_us")),
+            }
+        )
     )
-    located = prep_percentiles(counts)
-    located = located.withColumnRenamed("restaurant_id", "_restaurant_id")
-    figures = figures.join(located, F.col("restaurant_id").eqNullSafe(F.col("_restaurant_id")))
 
     rate, mean = percent_of(F.col("delayed_orders"), F.col("total_orders")), "avg_prep_time_minutes"
     risk = (
@@ -275,7 +302,17 @@ def rider_performance(
     as_of: dt.date | None = None,
     min_deliveries: int = 10,
 ) -> DataFrame:
-    """On-time rate, efficiency against the city mean, ranks and tier per rider.
+    """On-time rate, efficiency against the city mean, ranks and tier per rider."""
+    return rider_performance_of_days(rider_daily(timeline), riders, as_of, min_deliveries)
+
+
+def rider_performance_of_days(
+    daily: DataFrame,
+    riders: DataFrame,
+    as_of: dt.date | None = None,
+    min_deliveries: int = 10,
+) -> DataFrame:
+    """The mart from the riders' daily figures (:func:`rider_daily`).
 
     Riders missing from the rider table have no city, and a NULL city has no
     mean, so their efficiency is NULL.
@@ -284,7 +321,7 @@ def rider_performance(
     late_share = F.col("total_late_deliveries") / F.col("total_orders_delivered")
     # One row per rider, read by the city means and again by the scores.
     measured, _ = checkpointed(
-        rider_summary(rider_daily(timeline), min_deliveries)
+        rider_summary(daily, min_deliveries)
         .join(about, "rider_id", "left")
         .withColumns(
             {

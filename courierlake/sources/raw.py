@@ -7,10 +7,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StringType, StructField, StructType
 
 from courierlake.functions.temporal import now_in
 from courierlake.sources import lake
+from courierlake.sources.arrays import array_objects
 from courierlake.sources.schemas import CORRUPT, RAW_TABLES, RawTable
 
 
@@ -18,10 +20,16 @@ def new_batch_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
 
 
-def read_csv(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
-    """CSV with a header; a malformed row keeps its text in `_corrupt_record`."""
+def read_csv(
+    spark: SparkSession, path: str, table: RawTable, reader: DataStreamReader | None = None
+) -> DataFrame:
+    """CSV with a header; a malformed row keeps its text in `_corrupt_record`.
+
+    With a stream `reader`, the files below `path` as a stream.
+    """
     return (
-        spark.read.schema(table.capturing_schema)
+        (reader or spark.read)
+        .schema(table.capturing_schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -29,21 +37,47 @@ def read_csv(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     )
 
 
-def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = True) -> DataFrame:
+def read_json(
+    spark: SparkSession,
+    path: str,
+    table: RawTable,
+    lines: bool = True,
+    reader: DataStreamReader | None = None,
+) -> DataFrame:
     """JSON records, unreadable ones captured in `_corrupt_record`.
 
     By default a file has one object per line and splits anywhere. With
     `lines=False` each file is one array of objects, which one task reads
-    whole: such feeds should arrive as many files.
+    whole: such feeds should arrive as many files. A stream `reader` is for lines.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = (reader or spark.read).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if lines:
         return reader.schema(table.capturing_schema).json(path)
 
     # Read as typed columns, one bad object would mark every object of its file
     # as corrupt. Read as text, objects fail one by one.
-    texts = StructType([StructField(name, StringType()) for name in table.schema.names])
-    rows = reader.schema(texts.add(CORRUPT, "string")).option("multiLine", True).json(path)
+    rows = reader.schema(_texts(table)).option("multiLine", True).json(path)
+    return _typed(rows, table)
+
+
+def read_json_arrays(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
+    """Files that are one array of objects each, read by as many tasks as they have splits.
+
+    As :func:`read_json` without `lines`, plus the file in `_source_file`.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    objects = array_objects(spark, path)
+    parsed = objects.select("file", F.from_json("text", _texts(table), options).alias("_object"))
+    return _typed(parsed.select("_object.*", F.col("file").alias("_source_file")), table, "_source_file")
+
+
+def _texts(table: RawTable) -> StructType:
+    """All columns as text, and room for unreadable objects."""
+    return StructType([StructField(name, StringType()) for name in (*table.schema.names, CORRUPT)])
+
+
+def _typed(rows: DataFrame, table: RawTable, *others: str) -> DataFrame:
+    """Columns of text as the table's types; an object with a value that is none is captured."""
     typed = {
         field.name: F.col(field.name).try_cast(field.dataType) for field in table.schema.fields
     }
@@ -54,14 +88,16 @@ def read_json(spark: SparkSession, path: str, table: RawTable, lines: bool = Tru
     return rows.select(
         *(value.alias(name) for name, value in typed.items()),
         F.coalesce(CORRUPT, record).alias(CORRUPT),
+        *others,
     )
 
 
 def with_ingest_columns(df: DataFrame, batch_id: str) -> DataFrame:
-    """Source file, ingest time (UTC, one instant per batch) and batch id."""
+    """Source file, unless it is there, ingest time (UTC, one instant per batch) and batch id."""
+    known = "_source_file" in df.columns
     return df.select(
         *df.columns,
-        F.col("_metadata.file_path").alias("_source_file"),
+        *([] if known else [F.col("_metadata.file_path").alias("_source_file")]),
         now_in("UTC").alias("_ingested_at"),
         F.lit(batch_id).alias("_batch_id"),
     )
@@ -74,11 +110,17 @@ def ingest(
     bronze_path: str,
     batch_id: str,
     json_lines: bool = True,
+    split_arrays: bool = False,
 ) -> int:
-    """Write one raw table to bronze and return the number of rows written."""
+    """Write one raw table to bronze and return the number of rows written.
+
+    With `split_arrays`, JSON files are arrays that several tasks share.
+    """
     source = f"{raw_path}/{table.file}"
     if table.format == "csv":
         rows = read_csv(spark, source, table)
+    elif split_arrays:
+        rows = read_json_arrays(spark, source, table)
     else:
         rows = read_json(spark, source, table, lines=json_lines)
     return lake.write(with_ingest_columns(rows, batch_id), f"{bronze_path}/{table.name}")
