@@ -23,10 +23,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlake.llm.common import stored
+from courierlake.session import setting
 
 UNKNOWN_LANG = "und"
 # Words and pairs that are broadcast, the most frequent ones. A word's number
@@ -38,8 +40,11 @@ EDGE = 1024
 DENSE = EDGE * EDGE // 8
 # Bits of the table of other frequent words or pairs: 8 each, within these bounds.
 LEAST_BITS, MOST_BITS = 65_537, 200_000_003
-# Occurrences a task gathers before it counts them, words it holds, texts it cuts at once.
-GATHERED, HELD_WORDS, AT_ONCE = 2_000_000, 400_000, 500
+# Occurrences a task gathers before it counts them, words or phrases it holds, texts it cuts
+# at once, rows it sends at once: they bound the memory of a task.
+GATHERED, HELD, AT_ONCE, SENT = 1_000_000, 150_000, 200, 100_000
+# Texts that a task holds at once on either side of its pipe.
+BATCH_ROWS = 1_000
 
 # Ends a piece; no byte of UTF-8.
 MARK = b"\xff"
@@ -79,7 +84,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 counter = held.setdefault(lang, Counter())
                 counter.update(found)
                 del counter[MARK]
-                if sum(map(len, held.values())) > HELD_WORDS:
+                if sum(map(len, held.values())) > HELD:
                     yield out()
         yield out()
 
@@ -87,10 +92,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _name(lang: str, *words: bytes) -> int:
-    """As :func:`name_column`: 64 bits for a language and words."""
+def _name(*parts: bytes) -> int:
+    """As :func:`name_column`: 64 bits."""
     value = 42
-    for part in (lang.encode(), *words):
+    for part in parts:
         value = xxhash.xxh64_intdigest(part, value)
     return value - (1 << 64) if value >> 63 else value
 
@@ -136,7 +141,7 @@ def bits_of(names: DataFrame, n: int) -> Bits:
 def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cells (first, second) that occur, and how often."""
     across = int(second.max(initial=0)) // EDGE + 1
-    tile = first // EDGE * across + second // EDGE
+    tile = (first // EDGE * across + second // EDGE).astype(np.int32)
     full = np.flatnonzero(np.bincount(tile) >= DENSE)
     found = []
     rest = np.ones(len(first), bool)
@@ -146,7 +151,9 @@ def tiled_counts(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.
         n = np.bincount(first[here] % EDGE * EDGE + second[here] % EDGE, minlength=EDGE * EDGE)
         cell = np.flatnonzero(n)
         found.append((t // across * EDGE + cell // EDGE, t % across * EDGE + cell % EDGE, n[cell]))
-    code = np.sort((first[rest] << 32) | second[rest])
+    code = first[rest].astype(np.int64) << 32
+    code |= second[rest]
+    code.sort()
     at = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
     found.append((code[at] >> 32, code[at] & 0xFFFFFFFF, np.diff(np.append(at, len(code)))))
     return tuple(np.concatenate(part) for part in zip(*found))
@@ -165,7 +172,7 @@ class Vocabulary:
         ids = np.fromiter((known.get(w, -1) for w in found), np.int64, len(found))
         if self.others.size:
             for i in np.flatnonzero(ids < 0).tolist():
-                if found[i] != MARK and _name(lang, found[i]) in self.others:
+                if found[i] != MARK and _name(lang.encode(), found[i]) in self.others:
                     ids[i] = -2
         return ids
 
@@ -186,26 +193,29 @@ class Pairs:
         return np.where(self.codes[at] == codes, self.numbers[at], -1)
 
 
-SCHEMA = "code bigint, lang string, phrase binary, n int"
+# Phrases with a word without a number: language and phrase with a zero byte between.
+SCHEMA = "code bigint, phrase binary, n int"
 
 
 def _texts(found: Counter) -> pd.DataFrame:
     """Counted phrases that have a word without a number."""
-    keys = list(found)
-    out = pd.DataFrame(
-        {
-            "code": np.full(len(keys), -1),
-            "lang": pd.Series([k[0] for k in keys], dtype=object),
-            "phrase": [k[1] for k in keys],
-            "n": list(found.values()),
-        }
-    )
+    names = [lang.encode() + b"\0" + phrase for lang, phrase in found]
+    out = pd.DataFrame({"code": np.full(len(names), -1), "phrase": names, "n": list(found.values())})
     found.clear()
     return out
 
 
-def _codes(codes: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"code": codes, "lang": None, "phrase": None, "n": n.astype(np.int32)})
+def _codes(codes: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
+    for at in range(0, len(codes), SENT):
+        some = slice(at, at + SENT)
+        yield pd.DataFrame({"code": codes[some], "phrase": None, "n": n[some].astype(np.int32)})
+
+
+def _joined(cells: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides in one piece each; the parts are let go."""
+    sides = tuple(np.concatenate([c[i] for c in cells]) for i in (0, 1))
+    cells.clear()
+    return sides
 
 
 def _counting(
@@ -221,7 +231,7 @@ def _counting(
                 if gathered > GATHERED:
                     yield from count(cells, plain)
                     cells, plain, gathered = [], [], 0
-                if len(texts) > HELD_WORDS:
+                if len(texts) > HELD:
                     yield _texts(texts)
         yield from count(cells, plain)
         yield _texts(texts)
@@ -230,34 +240,31 @@ def _counting(
 
 
 def _summed(counted: DataFrame, least: int) -> DataFrame:
-    return counted.groupBy("code", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return counted.groupBy("code", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def pair_counts(docs: DataFrame, words: Vocabulary, least: int) -> DataFrame:
-    """Pairs of frequent words with at least `least` occurrences: code, or lang and phrase, and n."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary], least: int) -> DataFrame:
+    """Pairs of frequent words with at least `least` occurrences: code or phrase, and n."""
 
     def gather(lang: str, found: list[bytes], cells: list, plain: list, texts: Counter) -> int:
         ids = shared.value.numbers(lang, found)
         a, b = ids[:-1], ids[1:]
         both = (a >= 0) & (b >= 0)
-        cells.append((a[both], b[both]))
+        cells.append((a[both].astype(np.int32), b[both].astype(np.int32)))
         for i in np.flatnonzero((np.minimum(a, b) == -2) & (a != -1) & (b != -1)).tolist():
             texts[lang, found[i] + b" " + found[i + 1]] += 1
         return int(both.sum())
 
     def count(cells: list, plain: list) -> Iterator[pd.DataFrame]:
         if cells:
-            a, b, n = tiled_counts(*(np.concatenate(side) for side in zip(*cells)))
-            yield _codes((a << ID_BITS) | b, n)
+            a, b, n = tiled_counts(*_joined(cells))
+            yield from _codes((a << ID_BITS) | b, n)
 
     return _summed(docs.mapInPandas(_counting(gather, count), SCHEMA), least)
 
 
-def triple_counts(docs: DataFrame, words: Vocabulary, pairs: Pairs, least: int) -> DataFrame:
+def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], shared_pairs: Broadcast[Pairs], least: int) -> DataFrame:
     """Triples whose two pairs are frequent, as :func:`pair_counts`."""
-    context = docs.sparkSession.sparkContext
-    shared, shared_pairs = context.broadcast(words), context.broadcast(pairs)
 
     def gather(lang: str, found: list[bytes], cells: list, plain: list, texts: Counter) -> int:
         frequent = shared_pairs.value
@@ -271,12 +278,12 @@ def triple_counts(docs: DataFrame, words: Vocabulary, pairs: Pairs, least: int)
             left_out = number[both] < 0
             number[both[left_out][frequent.others.marked(code[left_out])]] = -2
             for i in np.flatnonzero((np.minimum(a, b) == -2) & (a != -1) & (b != -1)).tolist():
-                if _name(lang, found[i] + b" " + found[i + 1]) in frequent.others:
+                if _name(lang.encode() + b"\0" + found[i] + b" " + found[i + 1]) in frequent.others:
                     number[i] = -2
         left, right = number[:-1], number[1:]
         worth = (left != -1) & (right != -1)
         tiled = np.flatnonzero(worth & (left >= 0) & (right >= 0))
-        cells.append((left[tiled], ids[tiled + 2]))
+        cells.append((left[tiled].astype(np.int32), ids[tiled + 2].astype(np.int32)))
         other = np.flatnonzero(worth & ((left < 0) | (right < 0)))
         numbered = (ids[other] >= 0) & (ids[other + 1] >= 0) & (ids[other + 2] >= 0)
         at = other[numbered]
@@ -288,29 +295,32 @@ def triple_counts(docs: DataFrame, words: Vocabulary, pairs: Pairs, least: int)
     def count(cells: list, plain: list) -> Iterator[pd.DataFrame]:
         if cells:
             frequent = shared_pairs.value
-            pair, word, n = tiled_counts(*(np.concatenate(side) for side in zip(*cells)))
+            pair, word, n = tiled_counts(*_joined(cells))
             by_number = np.empty(len(frequent.codes), np.int64)
             by_number[frequent.numbers] = frequent.codes
-            yield _codes((by_number[pair] << ID_BITS) | word, n)
-            yield _codes(*np.unique(np.concatenate(plain), return_counts=True))
+            yield from _codes((by_number[pair] << ID_BITS) | word, n)
+            codes = np.concatenate(plain)
+            plain.clear()
+            yield from _codes(*np.unique(codes, return_counts=True))
 
     return _summed(docs.mapInPandas(_counting(gather, count), SCHEMA), least)
 
 
-def _spelled(found: DataFrame, hot: DataFrame, size: int) -> DataFrame:
-    """lang, w1.., n: codes written out with the broadcast words (`hot`: id, lang, word)."""
-    names = [f"w{i + 1}" for i in range(size)]
-    coded = found.where("code >= 0").select("code", "n")
-    for i, name in enumerate(names):
-        shift = ID_BITS * (size - 1 - i)
-        number = F.shiftright("code", shift).bitwiseAND(F.lit((1 << ID_BITS) - 1))
-        word = hot.select(F.col("id").alias("_id"), F.col("word").alias(name), *(["lang"] if i == 0 else []))
-        coded = coded.withColumn("_id", number).join(F.broadcast(word), "_id").drop("_id")
-    plain = found.where("code < 0").select(
-        "lang", F.split(F.col("phrase").cast("string"), " ").alias("words"), "n"
+def _plain(found: DataFrame, size: int) -> DataFrame:
+    """lang, w1.., n of the phrases that have no code."""
+    lang = F.substring_index(F.col("phrase").cast("string"), "\0", 1)
+    words = F.split(F.expr("substr(cast(phrase as string), char_length(lang) + 2)"), " ")
+    rows = found.where("code < 0").select("phrase", lang.alias("lang"), "n").withColumn("words", words)
+    return rows.select("lang", *(F.get("words", F.lit(i)).alias(f"w{i + 1}") for i in range(size)), "n")
+
+
+def _word(rows: DataFrame, hot: DataFrame, place: int, size: int, *others: str) -> DataFrame:
+    """`rows` with the word at a place of their code, its count f1.., and other columns of `hot`."""
+    number = F.shiftright("code", ID_BITS * (size - place)).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    named = hot.select(
+        F.col("id").alias("_id"), F.col("word").alias(f"w{place}"), F.col("f").alias(f"f{place}"), *others
     )
-    plain = plain.select("lang", *(F.get("words", F.lit(i)).alias(name) for i, name in enumerate(names)), "n")
-    return coded.select("lang", *names, "n").unionByName(plain)
+    return rows.withColumn("_id", number).join(F.broadcast(named), "_id").drop("_id")
 
 
 def _ranked(rows: DataFrame, most: int, *ties: str) -> DataFrame:
@@ -319,11 +329,11 @@ def _ranked(rows: DataFrame, most: int, *ties: str) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, least: int, hot_words: int) -> tuple[Vocabulary, DataFrame]:
-    """The vocabulary of words that occur `least` times, and its broadcast part as id, lang, word."""
+    """The vocabulary of words that occur `least` times, and its broadcast part as id, lang, word, f."""
     spark = counts.sparkSession
     rows = counts.where(F.col("n") >= least)
     hot = _ranked(rows, hot_words, "lang", "word").toArrow()
-    langs, words = hot["lang"].to_pylist(), hot["word"].to_pylist()
+    langs, words, n = (hot[c].to_pylist() for c in ("lang", "word", "n"))
     ids: dict[str, dict[bytes, int]] = {}
     for number, (lang, word) in enumerate(zip(langs, words)):
         ids.setdefault(lang, {})[word] = number
@@ -331,11 +341,12 @@ def frequent_words(counts: DataFrame, least: int, hot_words: int) -> tuple[Vocab
     others = Bits()
     if n_others > 0:
         # Words as frequent as the last broadcast one are marked, too: that costs nothing.
-        last = hot["n"][-1].as_py() if words else 0x7FFFFFFFFFFFFFFF
+        last = n[-1] if n else 0x7FFFFFFFFFFFFFFF
         rest = rows.where(F.col("n") <= last)
         others = bits_of(rest.select(name_column(F.col("lang"), F.col("word")).alias("name")), n_others)
-    numbered = pd.DataFrame({"id": range(len(words)), "lang": langs, "word": [w.decode("utf-8", "replace") for w in words]})
-    table = spark.createDataFrame(numbered, "id bigint, lang string, word string")
+    spelled = [w.decode("utf-8", "replace") for w in words]
+    numbered = pd.DataFrame({"id": range(len(words)), "lang": langs, "word": spelled, "f": n})
+    table = spark.createDataFrame(numbered, "id bigint, lang string, word string, f bigint")
     return Vocabulary(ids, others), stored(table, "hot-words")
 
 
@@ -349,7 +360,7 @@ def frequent_pairs(counts: DataFrame, hot_pairs: int) -> Pairs:
     if n_others > 0:
         # Pairs as frequent as the last numbered one are marked, too, as above.
         last = int(n[-1]) if len(n) else 0x7FFFFFFFFFFFFFFF
-        plain = counts.where("code < 0").select(name_column(F.col("lang"), F.col("phrase")).alias("name"))
+        plain = counts.where("code < 0").select(name_column(F.col("phrase")).alias("name"))
         rest = coded.where(F.col("n") <= last).select(F.col("code").alias("name"))
         others = bits_of(plain.union(rest), n_others)
     order = np.argsort(codes)
@@ -378,41 +389,80 @@ def collocations(
     `least` occurrences has no row; neither has an empty table.
     """
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang"), "text").where(F.col("text").isNotNull())
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
+        return _collocations(docs, top, least, hot_words, hot_pairs)
+
+
+def _collocations(docs: DataFrame, top: int, least: int, hot_words: int, hot_pairs: int) -> DataFrame:
     counts = stored(word_counts(docs), "words")
     words, hot = frequent_words(counts, least, min(hot_words, 1 << ID_BITS))
-    found = stored(pair_counts(docs, words, least), "pairs")
-    two = _spelled(found, hot, 2)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(words)
+    found = stored(pair_counts(docs, shared, least), "pairs")
     pairs = frequent_pairs(found, hot_pairs)
-    three = _spelled(stored(triple_counts(docs, words, pairs, least), "triples"), hot, 3)
+    threes = stored(triple_counts(docs, shared, context.broadcast(pairs), least), "triples")
 
-    # A hot word meets many phrases: the join splits its key where that is large.
-    word = counts.where(F.col("n") >= least).select("lang", F.col("word").cast("string").alias("w"), F.col("n").alias("f"))
-    one = lambda place, name: word.select("lang", F.col("w").alias(place), F.col("f").alias(name))
-    two = two.withColumnRenamed("n", "a")
-    three = three.withColumnRenamed("n", "a")
-    pair = lambda x, y, name: two.select("lang", F.col("w1").alias(x), F.col("w2").alias(y), F.col("a").alias(name))
-    two = two.join(one("w1", "l"), ["lang", "w1"]).join(one("w2", "r"), ["lang", "w2"])
-    two = two.withColumn("score", _score(F.col("a"), F.col("l"), F.col("r")))
+    # What has a code finds its words among the broadcast ones and its pairs by their codes.
+    coded = found.where("code >= 0").select("code", F.col("n").alias("a"))
+    two = _word(_word(coded, hot, 1, 2, "lang"), hot, 2, 2)
+    pair = lambda name: coded.select(F.col("code").alias(f"_{name}"), F.col("a").alias(name))
     three = (
-        three.join(pair("w1", "w2", "l2"), ["lang", "w1", "w2"])
-        .join(pair("w2", "w3", "r1"), ["lang", "w2", "w3"])
-        .join(one("w1", "l1"), ["lang", "w1"])
-        .join(one("w3", "r2"), ["lang", "w3"])
-        .withColumns({f"s{k}": _score(F.col("a"), F.col(f"l{k}"), F.col(f"r{k}")) for k in (1, 2)})
+        threes.where("code >= 0")
+        .select("code", F.col("n").alias("a"))
+        .withColumns(
+            {
+                "_l2": F.shiftright("code", ID_BITS),
+                "_r1": F.col("code").bitwiseAND(F.lit((1 << 2 * ID_BITS) - 1)),
+            }
+        )
+        .join(pair("l2"), "_l2")
+        .join(pair("r1"), "_r1")
+    )
+    three = _word(_word(_word(three, hot, 1, 3, "lang"), hot, 2, 3), hot, 3, 3)
+    columns = ("lang", "w1", "w2", "a", "f1", "f2")
+    two = two.select(*columns)
+    three = three.select("lang", "w1", "w2", "w3", "a", "f1", "f3", "l2", "r1")
+    # The others are joined by their words. A frequent word meets many phrases: its key is split where that is large.
+    word = counts.where(F.col("n") >= least).select("lang", F.col("word").cast("string").alias("w"), F.col("n").alias("f"))
+    one = lambda place: word.select("lang", F.col("w").alias(f"w{place}"), F.col("f").alias(f"f{place}"))
+    plain = _plain(found, 2).withColumnRenamed("n", "a").join(one(1), ["lang", "w1"]).join(one(2), ["lang", "w2"])
+    two = stored(two.unionByName(plain.select(*columns)), "spelled-pairs")
+    inner = lambda x, y, name: two.select("lang", F.col("w1").alias(x), F.col("w2").alias(y), F.col("a").alias(name))
+    plain = (
+        _plain(threes, 3)
+        .withColumnRenamed("n", "a")
+        .join(inner("w1", "w2", "l2"), ["lang", "w1", "w2"])
+        .join(inner("w2", "w3", "r1"), ["lang", "w2", "w3"])
+        .join(one(1), ["lang", "w1"])
+        .join(one(3), ["lang", "w3"])
+    )
+    three = three.unionByName(plain.select(*three.columns))
+    three = three.withColumns(
+        {
+            "s1": _score(F.col("a"), F.col("f1"), F.col("r1")),
+            "s2": _score(F.col("a"), F.col("l2"), F.col("f3")),
+        }
     )
     three = stored(three, "scored-triples")
-    later = F.col("s2") < F.col("s1")
+    cuts = {"l": ("f1", "l2"), "r": ("r1", "f3"), "score": ("s1", "s2")}
     best = three.select(
         "lang",
         F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"),
         "a",
-        *(F.when(later, F.col(f"{side}2")).otherwise(F.col(f"{side}1")).alias(name) for side, name in (("l", "l"), ("r", "r"), ("s", "score"))),
+        *(F.when(F.col("s2") < F.col("s1"), F.col(c2)).otherwise(F.col(c1)).alias(name) for name, (c1, c2) in cuts.items()),
     )
     inside = three.where(2 * F.col("a") >= F.col("l2")).select("lang", "w1", "w2").union(
         three.where(2 * F.col("a") >= F.col("r1")).select("lang", "w2", "w3")
     )
     free = two.join(inside.distinct(), ["lang", "w1", "w2"], "left_anti")
-    free = free.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", "l", "r", "score")
+    free = free.select(
+        "lang",
+        F.concat_ws(" ", "w1", "w2").alias("phrase"),
+        "a",
+        F.col("f1").alias("l"),
+        F.col("f2").alias("r"),
+        _score(F.col("a"), F.col("f1"), F.col("f2")).alias("score"),
+    )
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = free.unionByName(best).withColumn("rank", F.row_number().over(order).cast("bigint"))
     total = counts.groupBy("lang").agg(F.sum("n").alias("n"))

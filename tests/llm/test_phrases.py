@@ -98,7 +98,7 @@ def test_scores_beyond_64_bits(spark):
 def test_names_agree_between_spark_and_tasks(spark):
     row = spark.createDataFrame([("en", "été word")], "lang string, phrase string")
     name = row.select(phrases.name_column(row.lang, row.phrase)).first()[0]
-    assert name == phrases._name("en", "été word".encode())
+    assert name == phrases._name(b"en", "été word".encode())
 
 
 def test_empty_table(spark):
