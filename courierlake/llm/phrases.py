@@ -45,6 +45,8 @@ LEAST_BITS, MOST_BITS = 65_537, 200_000_003
 GATHERED, HELD, AT_ONCE, SENT = 1_000_000, 150_000, 200, 100_000
 # Texts that a task holds at once on either side of its pipe.
 BATCH_ROWS = 1_000
+# Distinct codes of a bucket, about; buckets at least, and partitions they are dealt to at most.
+BUCKET, LEAST_BUCKETS, MOST_PARTITIONS = 1_000_000, 64, 20_000
 
 # Ends a piece; no byte of UTF-8.
 MARK = b"\xff"
@@ -193,22 +195,47 @@ class Pairs:
         return np.where(self.codes[at] == codes, self.numbers[at], -1)
 
 
-# Phrases with a word without a number: language and phrase with a zero byte between.
-SCHEMA = "code bigint, phrase binary, n int"
+# What tasks send: ascending codes of a bucket with their counts, packed; or a phrase with
+# a word without a number, as language and phrase with a zero byte between, and its count.
+SENT_SCHEMA = "bucket int, codes binary, counts binary, phrase binary, n int"
 
 
-def _texts(found: Counter) -> pd.DataFrame:
+def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (codes.astype(np.uint64) ^ (codes.astype(np.uint64) >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Byte by byte, the lowest first: the zeros of small numbers stand together, which Spark's
+    shuffle compresses away."""
+    return np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+
+
+def _texts(found: Counter, buckets: int) -> pd.DataFrame:
     """Counted phrases that have a word without a number."""
     names = [lang.encode() + b"\0" + phrase for lang, phrase in found]
-    out = pd.DataFrame({"code": np.full(len(names), -1), "phrase": names, "n": list(found.values())})
+    bucket = [xxhash.xxh64_intdigest(name) % buckets for name in names]
+    out = pd.DataFrame({"bucket": bucket, "codes": None, "counts": None, "phrase": names, "n": list(found.values())})
     found.clear()
     return out
 
 
-def _codes(codes: np.ndarray, n: np.ndarray) -> Iterator[pd.DataFrame]:
-    for at in range(0, len(codes), SENT):
-        some = slice(at, at + SENT)
-        yield pd.DataFrame({"code": codes[some], "phrase": None, "n": n[some].astype(np.int32)})
+def _codes(codes: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pd.DataFrame]:
+    """Distinct codes with their counts, by bucket."""
+    order = np.argsort(codes)
+    bucket = bucket_of(codes[order], buckets)
+    by_bucket = np.argsort(bucket, kind="stable")
+    order, bucket = order[by_bucket], bucket[by_bucket]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    rows = []
+    for i, j in zip(at, np.append(at, len(bucket))[1:]):
+        mine = order[i:j]
+        rows.append((int(bucket[i]), pack(np.diff(codes[mine], prepend=0)), pack(n[mine]), None, 0))
+    yield pd.DataFrame(rows, columns=["bucket", "codes", "counts", "phrase", "n"])
 
 
 def _joined(cells: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +246,9 @@ def _joined(cells: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counting(
-    gather: Callable[[str, list[bytes], list, list, Counter], int], count: Callable[[list, list], Iterator[pd.DataFrame]]
+    gather: Callable[[str, list[bytes], list, list, Counter], int],
+    count: Callable[[list, list], Iterator[pd.DataFrame]],
+    buckets: int,
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A task that gathers occurrences and counts them whenever there are GATHERED of them."""
 
@@ -232,18 +261,64 @@ def _counting(
                     yield from count(cells, plain)
                     cells, plain, gathered = [], [], 0
                 if len(texts) > HELD:
-                    yield _texts(texts)
+                    yield _texts(texts, buckets)
         yield from count(cells, plain)
-        yield _texts(texts)
+        yield _texts(texts, buckets)
 
     return run
 
 
-def _summed(counted: DataFrame, least: int) -> DataFrame:
-    return counted.groupBy("code", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def _merged(codes: list[np.ndarray], n: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """One pair of arrays with every code once."""
+    code, count = np.concatenate(codes), np.concatenate(n)
+    order = np.argsort(code, kind="stable")
+    code, count = code[order], count[order]
+    at = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+    return [code[at]], [np.add.reduceat(count, at) if len(at) else count]
+
+
+def _summed(counted: DataFrame, buckets: int, least: int) -> DataFrame:
+    """code or phrase, and n, of what occurs `least` times in all.
 
+    A task holds one bucket at a time; buckets are as many as keep their
+    distinct codes near BUCKET.
+    """
 
-def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary], least: int) -> DataFrame:
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def out() -> Iterator[pd.DataFrame]:
+            nonlocal codes, n
+            if codes:
+                codes, n = _merged(codes, n)
+                often = np.flatnonzero(n[0] >= least)
+                for at in range(0, len(often), SENT):
+                    some = often[at : at + SENT]
+                    yield pd.DataFrame({"code": codes[0][some], "phrase": None, "n": n[0][some]})
+            kept = [(-1, phrase, count) for phrase, count in texts.items() if count >= least]
+            yield pd.DataFrame(kept, columns=["code", "phrase", "n"])
+
+        current, codes, n, texts, size, limit = None, [], [], Counter(), 0, 2 * BUCKET
+        for batch in batches:
+            for bucket, packed, counts, phrase, count in zip(*(batch[c] for c in ("bucket", "codes", "counts", "phrase", "n"))):
+                if bucket != current:
+                    yield from out()
+                    current, codes, n, texts, size, limit = bucket, [], [], Counter(), 0, 2 * BUCKET
+                if phrase is not None:
+                    texts[phrase] += count
+                    continue
+                codes.append(np.cumsum(unpack(packed)))
+                n.append(unpack(counts))
+                size += len(n[-1])
+                if size > limit:
+                    codes, n = _merged(codes, n)
+                    size = len(n[0])
+                    limit = 2 * max(size, BUCKET)
+        yield from out()
+
+    dealt = counted.repartition(min(buckets, MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInPandas(add_up, "code bigint, phrase binary, n bigint")
+
+
+def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary], least: int, buckets: int) -> DataFrame:
     """Pairs of frequent words with at least `least` occurrences: code or phrase, and n."""
 
     def gather(lang: str, found: list[bytes], cells: list, plain: list, texts: Counter) -> int:
@@ -258,12 +333,14 @@ def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary], least: int) -> D
     def count(cells: list, plain: list) -> Iterator[pd.DataFrame]:
         if cells:
             a, b, n = tiled_counts(*_joined(cells))
-            yield from _codes((a << ID_BITS) | b, n)
+            yield from _codes((a << ID_BITS) | b, n, buckets)
 
-    return _summed(docs.mapInPandas(_counting(gather, count), SCHEMA), least)
+    return _summed(docs.mapInPandas(_counting(gather, count, buckets), SENT_SCHEMA), buckets, least)
 
 
-def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], shared_pairs: Broadcast[Pairs], least: int) -> DataFrame:
+def triple_counts(
+    docs: DataFrame, shared: Broadcast[Vocabulary], shared_pairs: Broadcast[Pairs], least: int, buckets: int
+) -> DataFrame:
     """Triples whose two pairs are frequent, as :func:`pair_counts`."""
 
     def gather(lang: str, found: list[bytes], cells: list, plain: list, texts: Counter) -> int:
@@ -298,12 +375,12 @@ def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], shared_pairs:
             pair, word, n = tiled_counts(*_joined(cells))
             by_number = np.empty(len(frequent.codes), np.int64)
             by_number[frequent.numbers] = frequent.codes
-            yield from _codes((by_number[pair] << ID_BITS) | word, n)
+            yield from _codes((by_number[pair] << ID_BITS) | word, n, buckets)
             codes = np.concatenate(plain)
             plain.clear()
-            yield from _codes(*np.unique(codes, return_counts=True))
+            yield from _codes(*np.unique(codes, return_counts=True), buckets)
 
-    return _summed(docs.mapInPandas(_counting(gather, count), SCHEMA), least)
+    return _summed(docs.mapInPandas(_counting(gather, count, buckets), SENT_SCHEMA), buckets, least)
 
 
 def _plain(found: DataFrame, size: int) -> DataFrame:
@@ -398,9 +475,11 @@ def _collocations(docs: DataFrame, top: int, least: int, hot_words: int, hot_pai
     words, hot = frequent_words(counts, least, min(hot_words, 1 << ID_BITS))
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(words)
-    found = stored(pair_counts(docs, shared, least), "pairs")
+    n_words = counts.agg(F.sum("n")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, n_words // BUCKET)
+    found = stored(pair_counts(docs, shared, least, buckets), "pairs")
     pairs = frequent_pairs(found, hot_pairs)
-    threes = stored(triple_counts(docs, shared, context.broadcast(pairs), least), "triples")
+    threes = stored(triple_counts(docs, shared, context.broadcast(pairs), least, buckets), "triples")
 
     # What has a code finds its words among the broadcast ones and its pairs by their codes.
     coded = found.where("code >= 0").select("code", F.col("n").alias("a"))

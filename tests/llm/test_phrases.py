@@ -88,6 +88,17 @@ def test_full_tiles_and_the_sums_of_many_flushes(spark, monkeypatch):
     assert [len(x) for x in phrases.tiled_counts(empty, empty)] == [0, 0, 0]
 
 
+def test_packed_numbers():
+    numbers = np.concatenate([np.random.default_rng(1).integers(0, 1 << 60, 999), [0, 1, (1 << 63) - 1]])
+    assert (phrases.unpack(phrases.pack(numbers)) == numbers).all() and len(phrases.unpack(phrases.pack(numbers[:0]))) == 0
+    buckets = phrases.bucket_of(numbers, 7)
+    assert set(buckets.tolist()) == set(range(7))
+    codes, n = phrases._merged([numbers[:600], numbers[300:]], [np.full(600, 2), np.full(len(numbers) - 300, 5)])
+    assert dict(zip(codes[0].tolist(), n[0].tolist())) == {
+        x: 2 * (i < 600) + 5 * (i >= 300) for i, x in enumerate(numbers.tolist())
+    }
+
+
 def test_scores_beyond_64_bits(spark):
     big = spark.createDataFrame([(10**12, 10**12 + 7, 3 * 10**12 + 1)], "a bigint, l bigint, r bigint")
     a, left, right = 10**12, 10**12 + 7, 3 * 10**12 + 1
