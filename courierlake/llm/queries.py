@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from courierlake.llm import dedup, interactions, lm, mixing, packing, phrases, pii, quality, sharding, topk, toxicity, warc, winnow
 from courierlake.llm.common import WORD, ship, stored, table, word_count
 from courierlake.llm.labelled import held_out
+from courierlake.session import scratch_path
 
 SHARDS = 40
 NEAREST = 10
@@ -101,25 +102,31 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """All pages as WARC records, audited against a replica with known damage.
+    """All pages in WARC files, audited against a damaged replica of the files.
 
-    In the replica, the records of every 61st page lost their last character to
-    a `#`, and those of every 67th page are gone.
+    In the replica, a bit of the last byte is flipped in the records of every
+    61st page, and a hole of zero bytes stands for those of every 67th page.
     """
-    primary = stored(warc.archive(table(spark, folder, "pages"), PAGES_PER_FILE), "primary")
-    flipped = F.concat(F.expr("left(record, char_length(record) - 1)"), F.lit("#"))
-    record = F.when(F.col("page_id") % 61 == 0, flipped).otherwise(F.col("record"))
-    gone = F.coalesce(F.col("page_id") % 67 == 0, F.lit(False))
-    replica = stored(primary.where(~gone).withColumn("record", record), "replica")
-    found = stored(warc.audit(primary, replica), "audit")
+
+    def damaged(record_id: str | None, record: bytes) -> bytes:
+        if record_id and int(record_id) % 67 == 0:
+            return bytes(len(record))
+        if record_id and int(record_id) % 61 == 0:
+            return record[:-1] + bytes([record[-1] ^ 1])
+        return record
+
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.archive(table(spark, folder, "pages"), PAGES_PER_FILE), f"{path}/primary")
+    warc.rewrite(spark, f"{path}/primary", f"{path}/replica", damaged)
+    number = F.regexp_extract("path", r"pages-(-?\d+)\.warc", 1).cast("bigint").alias("file")
+    sides = [
+        stored(warc.read_warc(spark, f"{path}/{side}", content=False).select(number, "offset", "length", "hash", "record_id"), side)
+        for side in ("primary", "replica")
+    ]
+    found = stored(warc.audit(*sides), "audit")
     return (
-        primary.select(
-            "page_id",
-            "file",
-            "offset",
-            F.octet_length("record").cast("bigint").alias("length"),
-            F.sha2(F.col("record").cast("binary"), 256).alias("sha256"),
-        )
+        sides[0]
+        .select(F.col("record_id").try_cast("bigint").alias("page_id"), "file", "offset", "length", F.col("hash").alias("sha256"))
         .join(found, ["file", "offset"], "left")
         .withColumn("status", F.coalesce("status", F.lit("intact")))
     )

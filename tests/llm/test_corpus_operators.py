@@ -1,13 +1,16 @@
 """Each corpus operator against a brute-force version and on awkward rows."""
 
+import hashlib
 import itertools
 import re
 import tracemalloc
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from courierlake.llm import dedup, lm, mixing, packing, quality, sharding, topk, toxicity, warc, winnow
@@ -171,6 +174,16 @@ def test_toxicity(spark, awkward, nothing):
     assert scored.columns == [*awkward.columns, "found"] and scored.count() == len(AWKWARD)
     assert scored.where("found < 0 or found > 1 or found is null").count() == 0
     assert toxicity.toxicity_scores(nothing, table).count() == 0
+    # Documents of 500 passages are calibrated as they are scored.
+    rng = np.random.default_rng(13)
+    body = lambda n: ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n)]
+    insults = lambda: str(rng.choice(["scumbag", "idiotic", "moronic"]))
+    many = [(i, " ".join(w + (" " + insults() if i % 2 else "") + " fine" * 12 for w in body(500))) for i in range(160)]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in many], "doc_id bigint, toxic int")
+    long = spark.createDataFrame(many, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in toxicity.toxicity_scores(long, marks).collect()}
+    assert all((found[i].score >= 0.5) == bool(i % 2) for i in found)
+    assert min(len(found[i].passages) for i in found if i % 2) > 400
     untaught = toxicity.toxicity_scores(awkward, table.where("false"))
     assert untaught.where("score >= 0.5").count() == 0
 
@@ -221,9 +234,17 @@ def test_suffix_tree_scores(spark, awkward, nothing):
     assert lm.score_texts(nothing).count() == 0
 
 
-def test_successions_do_not_depend_on_the_split(spark):
+def shared_words(spark, docs):
+    words = lm.word_counts(docs).mapInPandas(lm._with_names, "word binary, name bigint, n bigint")
+    return spark.sparkContext.broadcast(lm.vocabulary(words)[0])
+
+
+@pytest.mark.parametrize("numbered", [200_000, 5, 0])
+def test_successions_do_not_depend_on_the_split(spark, monkeypatch, numbered):
     """A succession seen once in each of many tasks counts as often as all of them together."""
-    texts = [f"rare pair w{i} {text_of(20)}" for i in range(50)]
+    monkeypatch.setattr(lm, "HOT_WORDS", numbered)
+    rng = np.random.default_rng(6)
+    texts = [f"rare pair w{i} {text_of(20, rng)} {text_of(1, rng)} a b c a b" for i in range(50)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     names = {w: lm.name_of(w.encode()) for w in {w for t in texts for w in t.split()}}
     brute = Counter()
@@ -232,20 +253,23 @@ def test_successions_do_not_depend_on_the_split(spark):
         brute.update((1, a, b) for a, b in zip(row, row[1:]))
         pairs = lm._mix(np.array(row[:-1]).astype(np.uint64), np.array(row[1:]).astype(np.uint64)).view(np.int64)
         brute.update((2, int(a), b) for a, b in zip(pairs, row[2:]))
+    listed = {k: n for k, n in brute.items() if n >= lm.LEAST_PAIRS}
     found, scores = [], []
     for parts in (1, 50):
         docs = rows.repartition(parts)
-        found.append({(r["order"], r["context"], r["symbol"]): r["n"] for r in lm.succession_counts(docs).collect()})
+        counts = lm.succession_counts(docs, shared_words(spark, docs))
+        found.append({(r["order"], r["context"], r["symbol"]): r["n"] for r in counts.collect()})
         scores.append(lm.score_texts(docs).toPandas().sort_values("doc_id")["score"].to_numpy())
-    assert found[0] == found[1] == dict(brute)
+    assert found[0] == found[1] == listed
     assert found[1][1, names["rare"], names["pair"]] == 50
     assert np.allclose(*scores, atol=1e-9)
 
 
-@pytest.mark.parametrize("hot", [0, 40, 10**6])
-def test_scores_equal_a_brute_force_tree(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, numbered", [(0, 6), (40, 200_000), (10**6, 200_000), (10**6, 0)])
+def test_scores_equal_a_brute_force_tree(spark, monkeypatch, hot, numbered):
     """Training texts, so that no word is spelled; the tree broadcast not at all, partly, and whole."""
     monkeypatch.setattr(lm, "HOT_TERMS", hot)
+    monkeypatch.setattr(lm, "HOT_WORDS", numbered)
     rng = np.random.default_rng(8)
     texts = [" ".join(f"v{min(int(x), 30)}" for x in np.cumsum(rng.integers(0, 3, 40)) % 31) for _ in range(60)]
     rows = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
@@ -266,7 +290,7 @@ def test_scores_equal_a_brute_force_tree(spark, monkeypatch, hot):
         if context not in states:
             return probability(context[1:], w)
         weight, listed = states[context]
-        return listed[w] / weight if w in listed else (1 - sum(listed.values()) / weight) * probability(context[1:], w)
+        return listed.get(w, 0) / weight + (1 - sum(listed.values()) / weight) * probability(context[1:], w)
 
     for context in sorted(nexts, key=len):
         listed = {w: n for w, n in nexts[context].items() if n >= lm.LEAST_PAIRS}
@@ -275,6 +299,9 @@ def test_scores_equal_a_brute_force_tree(spark, monkeypatch, hot):
         if free and gain > free + 4 * np.sqrt(2 * free):
             states[context] = (total + free + 1, listed)
     assert {len(c) for c in states} == {1, 2}
+    # The words of the texts share all but what unseen words have, after every state.
+    for context in states:
+        assert sum(probability(context, w) for w in counts) == pytest.approx(1 - unseen * np.prod([1 - sum(states[c][1].values()) / states[c][0] for c in (context, context[1:]) if c in states]))
     expected = [sum(np.log10(probability(tuple(s[max(0, i - 2) : i]), s[i])) for i in range(1, len(s))) for s in seqs]
     assert np.allclose(sorted(lm.score_texts(rows).toPandas()["score"]), sorted(expected))
 
@@ -283,6 +310,7 @@ def test_successions_are_listed_alike_at_every_size(spark):
     """The number of training tokens doesn't decide which contexts are states."""
     rows = spark.createDataFrame([(i, "first second third") for i in range(30)], "doc_id bigint, text string")
     words = lm.word_counts(rows).mapInPandas(lm._with_names, "word binary, name bigint, n bigint")
+    words = words.cache()
     model = lm.fit(rows, words, 30, 10**9, 4, 60)[0]
     second = np.array([lm.name_of(b"second")]).view(np.uint64)
     third = np.array([lm.name_of(b"third")]).view(np.uint64)
@@ -427,22 +455,65 @@ def test_block_links():
 # --- WARC ----------------------------------------------------------------------------
 
 
-def test_audit_and_files(spark, folder):
-    rows = [(i, f"http://a/{i}", "p" * (i * 37 % 900) + "\r\n\r\nx") for i in range(600)] + [(None, None, None)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
-    records = warc.archive(pages, 200).cache()
-    assert warc.audit(records, records).count() == 0
-    assert warc.audit(records.where("false"), records.where("false")).count() == 0
-    flipped = F.when(F.col("page_id") == 77, F.concat("record", F.lit("!"))).otherwise(F.col("record"))
-    replica = records.where("page_id is null or page_id <> 333").withColumn("record", flipped)
-    at = {r.page_id: (r.file, r.offset) for r in records.collect()}
-    found = {(r.file, r.offset): r.status for r in warc.audit(records, replica).collect()}
-    assert found == {at[77]: "damaged", at[333]: "missing"}
-    assert set(r.status for r in warc.audit(replica, records).collect()) == {"damaged", "extra"}
-
-    warc.write_warc(records, f"{folder}/warc")
-    read = warc.read_warc(spark, f"{folder}/warc").collect()
-    assert Counter(r.record for r in read) == Counter(r.record for r in records.collect())
+def in_files(spark, path):
+    """What the files below a folder hold, as the audit takes it."""
+    number = F.regexp_extract("path", r"pages-(-?\d+)\.warc", 1).cast("bigint").alias("file")
+    return warc.read_warc(spark, path).select(number, "offset", "length", "hash", "record_id", "record").cache()
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_audit_of_files(spark, folder, compress):
+    rows = [(i, f"http://a/{i}", bytes([i % 256, 0xFF, 0]) * (i * 37 % 300) + b"\r\n\r\nx", "z") for i in range(600)]
+    rows += [(None, None, None, None), (7, "http://a/7", rows[7][2], "z")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html binary, file string")
+    records = warc.archive(pages, 200)
+    assert warc.write_warc(records.repartition(5), f"{folder}/a", compress) == 4
+    primary = in_files(spark, f"{folder}/a")
+    assert Counter((r.file, bytes(r.record)) for r in primary.collect()) == Counter((r.file, bytes(r.record)) for r in records.collect())
+    # Offsets follow from the records in order of id and hash.
+    for file in (-1, 0, 1, 2):
+        mine = sorted(
+            (r.page_id or 0, hashlib.sha256(bytes(r.record)).digest(), len(r.record)) for r in records.where(f"file = {file}").collect()
+        )
+        offsets = [0, *itertools.accumulate(n + 4 for *_, n in mine)][:-1]
+        assert sorted(r.offset for r in primary.where(f"file = {file}").collect()) == offsets
+    assert all(r.length == len(r.record) and r.hash == hashlib.sha256(bytes(r.record)).hexdigest() for r in primary.collect())
+    assert warc.audit(primary, primary).count() == 0
+    assert warc.audit(primary.where("false"), primary.where("false")).count() == 0
+
+    def change(record_id, record):
+        n = int(record_id or -1)
+        if n in (13, 77, 250):  # one bit: in the header, in a byte that is no text, at the end
+            place = {13: 3, 77: len(record) - 6, 250: len(record) - 1}[n]
+            return record[:place] + bytes([record[place] ^ 1]) + record[place + 1 :]
+        if n == 333:
+            return bytes(len(record))
+        if n == 402:  # a length that leads nowhere
+            return record.replace(b"Content-Length: ", b"Content-Length: 9")[: len(record)]
+        return record
+
+    warc.rewrite(spark, f"{folder}/a", f"{folder}/b", change)
+    replica = in_files(spark, f"{folder}/b")
+    at = {r.record_id: (r.file, r.offset) for r in primary.collect()}
+    found = {(r.file, r.offset): r.status for r in warc.audit(primary, replica).collect()}
+    assert found == {**{at[str(i)]: "damaged" for i in (13, 77, 250, 402)}, at["333"]: "missing"}
+    assert {r.status for r in warc.audit(replica, primary).collect()} == {"damaged", "extra"}
+
+
+def test_broken_files_lose_nothing_else(folder):
+    packed = [warc.member(f"WARC/1.0\r\nContent-Length: 5\r\n\r\nbody{i}".encode() + warc.SEPARATOR) for i in range(5)]
+    broken = packed[2][:20] + b"\x00\x01\x02" + packed[2][23:]
+    read = lambda parts: [r for _, r in warc.cut(warc._unpacked(iter(parts)))]
+    whole = read(packed)
+    assert len(whole) == 5 and read([b"".join(packed)[i : i + 7] for i in range(0, 500, 7)]) == whole
+    left = read([*packed[:2], broken, *packed[3:]])
+    assert set(whole[:2] + whole[3:]) <= set(left)
+    assert read([]) == [] and read([b"no gzip at all"]) == []
+    plain = b"".join(zlib.decompress(p, 31) for p in packed)
+    torn = plain[: len(plain) - 9]
+    records = [r for _, r in warc.cut(iter([torn]))]
+    assert records[:4] == whole[:4] and whole[4].startswith(records[4])
+    assert b"".join(r + warc.SEPARATOR for _, r in warc.cut(iter([b"junk" + plain])))[4:] == plain
 
 
 # --- Packing -------------------------------------------------------------------------
@@ -529,6 +600,63 @@ def test_winnowing_keeps_the_rightmost_minimum(spark, awkward):
         assert row.places == sorted(kept) and row.hashes == [all_[j] for j in row.places]
 
 
+def pieces(text):
+    """Words of at most 16 characters, and every 16 characters in a row of longer ones."""
+    found = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+        found += [word] if len(word) <= 16 else [word[i : i + 16] for i in range(len(word) - 15)]
+    return found
+
+
+def fingerprint(text):
+    """(hash, position) pairs, from the definition alone."""
+    crc = [zlib.crc32(p.encode()) for p in pieces(text)]
+    grams = []
+    for i in range(max(len(crc) - 2, 1) if crc else 0):
+        value = crc[i]
+        for j in (1, 2):
+            value = (value * 1_000_003 + (crc[i + j] if i + j < len(crc) else 0)) % ((1 << 31) - 1)
+        grams.append((xxhash.xxh64_intdigest(value.to_bytes(8, "little"), 42) >> 32) & ((1 << 31) - 1))
+    kept = []
+    for i in range(max(len(grams) - 3, 1) if grams else 0):
+        window = range(i, min(i + 4, len(grams)))
+        best = min(window, key=lambda j: (grams[j], -j))
+        if (grams[best], best) not in kept:
+            kept.append((grams[best], best))
+    return kept
+
+
+def test_compare_equals_a_plain_version(spark):
+    rng = np.random.default_rng(12)
+    words = [*WORDS[:40], "é日本" * 3, "q" * 16, "ab" * 12, "url/" * 9, "\t", "\n"]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 60)))) for _ in range(40)] + ["", None, "x" * 500]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(500), texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r for r in winnow.compare_with_edits(docs).collect()}
+    ordered = sorted((i, t or "") for i, t in rows)
+    assert len(found) == len(rows)
+    like = lambda a, b: 1.0 if not a and not b else 2 * len(a & b) / (len(a) + len(b))
+    hashes = lambda kept: {h for h, _ in kept}
+    for (i, text), (_, after) in zip(ordered, [*ordered[1:], ordered[0]]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        row, own, other = found[i], fingerprint(text), fingerprint(edited)
+        as_hex = lambda kept: " ".join(f"{(h << 31) + ((1 << 31) - 1 - at):X}" for h, at in kept)
+        assert row.n_chars == len(text) and row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (row.fingerprint, row.edited_fingerprint) == (as_hex(own), as_hex(other))
+        assert row.near_edited == pytest.approx(like(hashes(own), hashes(other)))
+        assert row.near_next == pytest.approx(like(hashes(own), hashes(fingerprint(after))))
+
+
+def test_passages_without_blanks_are_found_at_every_offset(spark):
+    rng = np.random.default_rng(2)
+    shared = "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 3000, 60))
+    other = lambda n: "".join(chr(0x7000 + int(c)) for c in rng.integers(0, 3000, n))
+    docs = spark.createDataFrame([(k, other(k) + shared + other(30)) for k in range(17)], "doc_id bigint, text string")
+    sets = [set(x >> winnow.POSITION_BITS for x in r.kept) for r in winnow.fingerprints(docs).collect()]
+    assert all(len(a & b) >= 5 for a, b in itertools.combinations(sets, 2))
+
+
 def test_shared_runs_are_found(spark):
     shared = text_of(winnow.WINDOW + winnow.GRAM - 1)
     rows = [(i, f"{text_of(15)} {shared} {text_of(9)}") for i in range(30)]
