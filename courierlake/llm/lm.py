@@ -3,33 +3,39 @@
 The symbols are words. The tree holds contexts of one and two words (the start
 of a text counts as one) that are frequent and whose next words differ from
 those after their suffix by more than chance. A word is scored by the longest
-suffix of what precedes it that the tree holds; words that a state does not
-list share what the state leaves over, by their probability under its suffix.
-The empty context has all words of the training texts; unseen words share what
-Good and Turing leave them, by their spelling, which a second suffix tree over
-bytes scores.
+suffix of what precedes it that the tree holds: the state's own counts, and what
+these leave over by the word's probability under the state's suffix, so that the
+words after a state share one. The empty context has all words of the training
+texts; unseen words share what Good and Turing leave them, by their spelling,
+which a second suffix tree over bytes scores.
 
 Successions of words are listed from a fixed count on, so the tree grows with
-the input. It is written as terms that add up (see `tree_terms`); the frequent
-ones are broadcast, and each text sends what else may be in the table there to
-be looked up, as it does with its rarer words.
+the input. They are counted in stages: a pair can only be listed if both its
+words are as frequent, two words before a third only if both pairs are listed.
+Tables of bits tell a task what may be listed; what they let through in vain is
+dropped once it is summed. The tree is written as terms that add up (see
+`tree_terms`); the frequent ones are broadcast, and each text sends what else may
+be in the table there to be looked up, as it does with its rarer words.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from courierlake.llm.common import fold_bytes, id_and_text, label_fold, stored, with_number_id
+from courierlake.llm.phrases import Bits, bits_of
+from courierlake.session import setting
 
 # Bytes of context, counting the mark of a word's start.
 DEPTH = 7
@@ -38,21 +44,21 @@ LEAST_SHARE, LEAST_COUNT = 1e-5, 20
 SYMBOLS = 256
 # Successions of words are listed from this count on.
 LEAST_PAIRS = 4
-# Terms of the tree that are broadcast, at most; for the others a table of bits,
-# of fixed size, tells which keys may be among them.
+# Terms of the tree that are broadcast, at most; a table of bits, of bounded
+# size, tells which keys may be among them or the others.
 HOT_TERMS = 1_000_000
-FILTER_BITS = 27
 START_NAME, END_NAME = 1, 0
-# Tokens after which a task writes out the successions it has counted.
-GATHERED = 6_000_000
-# Rows of one batch of them.
-SENT = 500_000
-# Words whose counts are broadcast, the most frequent ones; the others are joined.
-HOT_WORDS = 200_000
-CACHED_WORDS = 300_000
+# Words that are broadcast, the most frequent ones, and the bits of their
+# numbers in a code; the others are joined.
+HOT_WORDS, ID_BITS = 200_000, 20
+# Successions after which a task counts what it has, rows it sends at once, texts it cuts
+# at once, and texts on either side of its pipe.
+GATHERED, SENT, AT_ONCE, BATCH_ROWS = 1_000_000, 100_000, 200, 1_000
 CACHED_RUNS = 300_000
 # Different words a counting task holds before it writes them out.
 HELD_WORDS = 400_000
+# Texts that a task remembers to have sent to be looked up.
+SEEN_TEXTS = 200_000
 
 
 def name_of(word: bytes) -> int:
@@ -233,77 +239,187 @@ def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
-class _Names(dict):
-    """Names of words, remembered for those seen first."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
-
-
-_NAMES = _Names()
-
-
-def named_sequences(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Names of START, the words and END of each text in a row, and the place of each START."""
-    sizes = np.array([len(t) + 2 for t in texts], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    names = np.zeros(int(sizes.sum()), np.uint64)
-    inner = np.ones(len(names), bool)
-    inner[starts] = inner[starts + sizes - 1] = False
-    names[inner] = np.fromiter((n for t in texts for n in map(_NAMES.__getitem__, t)), np.uint64, int(inner.sum()))
-    names[starts] = START_NAME
-    return names, starts
+@dataclass
+class Sequences:
+    """START, the words and END of several texts in a row: numbers (-1: none), names, places of the STARTs."""
 
+    ids: np.ndarray
+    names: np.ndarray
+    starts: np.ndarray
 
-def succession_counts(docs: DataFrame) -> DataFrame:
-    """order (1 or 2), context, symbol, n: words after one and after two words.
+    @property
+    def first(self) -> np.ndarray:
+        first = np.zeros(len(self.ids), bool)
+        first[self.starts] = True
+        return first
 
-    Every succession a task has counted is sent; what is too rare can only be
-    told from the sums, so they don't depend on how the texts are split.
-    """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def listed() -> Iterator[pd.DataFrame]:
-            for order, held in ((1, singles), (2, doubles)):
-                if held:
-                    keys = np.concatenate(held)
-                    held.clear()
-                    codes = _mix(keys[:, 0], keys[:, 1])
-                    place = np.argsort(codes)
-                    codes = codes[place]
-                    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])[: len(codes)])
-                    n = np.diff(np.append(first, len(codes)))
-                    # One occurrence of each tells context and symbol.
-                    pairs = keys[place[first]].view(np.int64)
-                    for at in range(0, len(n), SENT):
-                        some = pairs[at : at + SENT]
-                        yield pd.DataFrame(
-                            {"order": np.int32(order), "context": some[:, 0], "symbol": some[:, 1], "n": n[at : at + SENT]}
-                        )
-
-        singles: list[np.ndarray] = []
-        doubles: list[np.ndarray] = []
-        gathered = 0
+@dataclass
+class Vocabulary:
+    """Numbers of the frequent words and their names by number (END and START
+    come first); bits of the names of the others that may be listed."""
+
+    ids: dict[bytes, int]
+    names: np.ndarray
+    others: Bits
+
+    def sequences(self, texts: list[list[bytes]]) -> Sequences:
+        sizes = np.array([len(t) + 2 for t in texts], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        ids = np.full(int(sizes.sum()), START_NAME, np.int64)
+        inner = np.ones(len(ids), bool)
+        inner[starts] = inner[starts + sizes - 1] = False
+        known = self.ids
+        words = [w for t in texts for w in t]
+        ids[inner] = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        ids[starts + sizes - 1] = END_NAME
+        names = self.names[ids]
+        rare = np.flatnonzero(ids[inner] < 0).tolist()
+        at = np.flatnonzero(inner)[rare]
+        names[at] = np.fromiter((xxhash.xxh3_64_intdigest(words[i]) for i in rare), np.uint64, len(rare))
+        return Sequences(ids, names, starts)
+
+    def maybe(self, found: Sequences) -> np.ndarray:
+        """May the word be frequent enough to be listed?"""
+        maybe = found.ids >= 0
+        if self.others.size:
+            rare = np.flatnonzero(~maybe)
+            maybe[rare] = self.others.marked(found.names[rare].view(np.int64))
+        return maybe
+
+
+def vocabulary(words: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """Of words (word, name, n), and the counts of the numbered ones."""
+    rows = words.orderBy(F.desc("n"), "name").select("word", "name", "n").limit(HOT_WORDS).toArrow()
+    hot, names, n = rows["word"].to_pylist(), rows["name"].to_numpy(), rows["n"].to_numpy()
+    ids = {word: number for number, word in enumerate(hot, 2)}
+    # Words as frequent as the last numbered one are marked, too: that costs nothing.
+    rest = words.where((F.col("n") >= LEAST_PAIRS) & (F.col("n") <= int(n[-1]) if len(n) else F.lit(True)))
+    rest = rest if len(n) >= HOT_WORDS else rest.limit(0)
+    others = bits_of(rest.select("name"), rest.count())
+    numbered = np.concatenate([np.array([END_NAME, START_NAME], np.uint64), names.astype(np.int64).view(np.uint64)])
+    return Vocabulary(ids, numbered, others), n
+
+
+SUCCESSIONS = "code bigint, context bigint, symbol bigint, n int"
+
+
+def _counted(codes: list[np.ndarray], pairs: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """Successions of numbered words by code, of others by context and symbol; the lists are emptied."""
+    if codes:
+        code = np.concatenate(codes)
+        codes.clear()
+        code.sort()
+        at = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
+        n = np.diff(np.append(at, len(code))).astype(np.int32)
+        code = code[at]
+        for i in range(0, len(code), SENT):
+            yield pd.DataFrame({"code": code[i : i + SENT], "context": 0, "symbol": 0, "n": n[i : i + SENT]})
+    if pairs:
+        keys = np.concatenate(pairs)
+        pairs.clear()
+        mixed_keys = _mix(keys[:, 0], keys[:, 1])
+        order = np.argsort(mixed_keys)
+        mixed_keys = mixed_keys[order]
+        at = np.flatnonzero(np.append(True, mixed_keys[1:] != mixed_keys[:-1])[: len(order)])
+        n = np.diff(np.append(at, len(order))).astype(np.int32)
+        # One occurrence of each tells context and symbol.
+        found = keys[order[at]].view(np.int64)
+        for i in range(0, len(n), SENT):
+            some = found[i : i + SENT]
+            yield pd.DataFrame({"code": -1, "context": some[:, 0], "symbol": some[:, 1], "n": n[i : i + SENT]})
+
+
+def _gathering(gather: Callable[[Sequences, list, list], int], vocabulary: Callable[[], Vocabulary]):
+    """A task that gathers successions and counts them whenever there are GATHERED of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, pairs, gathered = [], [], 0
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                names, starts = named_sequences([fold_bytes(t).split() for t in batch["text"].iloc[at : at + 500]])
-                first = np.zeros(len(names), bool)
-                first[starts] = True
-                i = np.flatnonzero(~first)
-                singles.append(np.stack([names[i - 1], names[i]], axis=1))
-                i = i[~first[i - 1]]
-                doubles.append(np.stack([_mix(names[i - 2], names[i - 1]), names[i]], axis=1))
-                gathered += len(names)
+            for at in range(0, len(batch), AT_ONCE):
+                texts = [fold_bytes(t).split() for t in batch["text"].iloc[at : at + AT_ONCE]]
+                gathered += gather(vocabulary().sequences(texts), codes, pairs)
                 if gathered > GATHERED:
-                    yield from listed()
-                    singles, doubles, gathered = [], [], 0
-        yield from listed()
+                    yield from _counted(codes, pairs)
+                    gathered = 0
+        yield from _counted(codes, pairs)
+
+    return run
+
+
+def _listed(counted: DataFrame) -> DataFrame:
+    sums = counted.groupBy("code", "context", "symbol").agg(F.sum("n").alias("n"))
+    return sums.where(F.col("n") >= LEAST_PAIRS)
+
+
+def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFrame:
+    """Words after one word, from LEAST_PAIRS occurrences on."""
+
+    def gather(found: Sequences, codes: list, pairs: list) -> int:
+        ids, maybe = found.ids, shared.value.maybe(found)
+        i = np.flatnonzero(~found.first)
+        i = i[maybe[i - 1] & maybe[i]]
+        both = (ids[i - 1] >= 0) & (ids[i] >= 0)
+        codes.append((ids[i[both] - 1] << ID_BITS) | ids[i[both]])
+        i = i[~both]
+        pairs.append(np.stack([found.names[i - 1], found.names[i]], axis=1))
+        return len(both)
+
+    return _listed(docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value), SUCCESSIONS))
+
+
+def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], coded: Bits, named: Bits) -> DataFrame:
+    """Words after two words, from LEAST_PAIRS occurrences on; the bits tell which pairs may be listed."""
+    bits = docs.sparkSession.sparkContext.broadcast((coded, named))
+
+    def gather(found: Sequences, codes: list, pairs: list) -> int:
+        by_code, by_name = bits.value
+        ids, names, maybe = found.ids, found.names, shared.value.maybe(found)
+        worth = np.zeros(len(ids), bool)
+        i = np.flatnonzero(~found.first)
+        i = i[maybe[i - 1] & maybe[i]]
+        both = (ids[i - 1] >= 0) & (ids[i] >= 0)
+        at, other = i[both], i[~both]
+        if by_code.size:
+            worth[at] = by_code.marked((ids[at - 1] << ID_BITS) | ids[at])
+        if by_name.size:
+            worth[other] = by_name.marked(_mix(names[other - 1], names[other]).view(np.int64))
+        i = np.flatnonzero(worth[1:] & worth[:-1]) + 1
+        three = (ids[i - 2] >= 0) & (ids[i - 1] >= 0) & (ids[i] >= 0)
+        at, other = i[three], i[~three]
+        codes.append((ids[at - 2] << 2 * ID_BITS) | (ids[at - 1] << ID_BITS) | ids[at])
+        pairs.append(np.stack([_mix(names[other - 2], names[other - 1]), names[other]], axis=1))
+        return len(i)
+
+    return _listed(docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value), SUCCESSIONS))
+
+
+def succession_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFrame:
+    """order (1 or 2), context, symbol, n: words after one and after two words, by
+    their names, from LEAST_PAIRS occurrences on, however the texts are split."""
+    spark = docs.sparkSession
+    names = shared.value.names.view(np.int64)
+    numbered = stored(
+        spark.createDataFrame(pd.DataFrame({"id": np.arange(len(names)), "name": names}), "id bigint, name bigint"), "names"
+    )
 
-    counted = docs.select("text").mapInPandas(count, "order int, context bigint, symbol bigint, n bigint")
-    return counted.groupBy("order", "context", "symbol").agg(F.sum("n").alias("n"))
+    def named(rows: DataFrame, place: int, size: int) -> DataFrame:
+        number = F.shiftright("code", ID_BITS * (size - place)).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+        # As many rows as words have numbers.
+        table = F.broadcast(numbered.select(F.col("id").alias("_id"), F.col("name").alias(f"w{place}")))
+        return rows.withColumn("_id", number).join(table, "_id").drop("_id")
+
+    ones = stored(pair_counts(docs, shared), "pairs")
+    coded, plain = ones.where("code >= 0"), ones.where("code < 0")
+    by_code = bits_of(coded.select(F.col("code").alias("name")), coded.count())
+    by_name = bits_of(plain.select(mixed("context", "symbol").alias("name")), plain.count())
+    twos = stored(triple_counts(docs, shared, by_code, by_name), "triples")
+    one = named(named(coded, 1, 2), 2, 2).select(F.lit(1).alias("order"), F.col("w1").alias("context"), F.col("w2").alias("symbol"), "n")
+    two = named(named(named(twos.where("code >= 0"), 1, 3), 2, 3), 3, 3)
+    two = two.select(F.lit(2).alias("order"), mixed("w1", "w2").alias("context"), F.col("w3").alias("symbol"), "n")
+    for order, rows in ((1, plain), (2, twos.where("code < 0"))):
+        one = one.union(rows.select(F.lit(order).alias("order"), "context", "symbol", "n"))
+    return one.union(two)
 
 
 @F.pandas_udf(LongType())
@@ -334,9 +450,11 @@ def order_terms(listed: DataFrame, label: str) -> DataFrame:
         .select("context", total.alias("occurs"), weight.alias("weight"), F.log10(1.0 - F.col("sums") / weight).alias("left")),
         f"states-{label}",
     )
+    # What the state counted and the share of what it leaves over, less the term of the latter.
+    left_over = F.col("left") + below
     pairs = listed.join(states, "context").select(
         mixed("context", "symbol").alias("key"),
-        (F.log10(n / F.col("weight")) - F.col("left") - below).alias("value"),
+        (F.log10(n / F.col("weight") + F.pow(F.lit(10.0), left_over)) - left_over).alias("value"),
         "n",
     )
     own = states.select(F.bitwise_not("context").alias("key"), F.col("left").alias("value"), F.col("occurs").alias("n"))
@@ -347,7 +465,7 @@ def tree_terms(found: DataFrame, counts: DataFrame, own: Column) -> DataFrame:
     """key, value, n: the tree as log10 terms that add up.
 
     The probability of a word is its own, plus what each state among its two
-    contexts leaves over, plus for each listed succession the difference to
+    contexts leaves over, plus for each listed succession what its count adds to
     that. Keys are the context's complement and the name of the succession.
     `found`: successions; `counts`: name, n; `own`: log10 probability from n.
     """
@@ -370,26 +488,30 @@ def tree_terms(found: DataFrame, counts: DataFrame, own: Column) -> DataFrame:
 
 @dataclass
 class Terms:
-    """The most frequent terms by key, ascending, and bits of the keys of all others."""
+    """The most frequent terms by key, ascending, and bits of the keys of all."""
 
     keys: np.ndarray
     values: np.ndarray
-    bits: np.ndarray
+    bits: Bits
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Is the key held here, its value (else 0), and may it be in the table."""
-        known, values = np.zeros(len(keys), bool), np.zeros(len(keys))
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            known = self.keys[at] == keys
-            values = np.where(known, self.values[at], 0.0)
-        bit = keys & np.uint64((1 << FILTER_BITS) - 1)
-        may = (self.bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
-        return known, values, ~known & (may == 1)
+        known, values, may = np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros(len(keys), bool)
+        if self.bits.size:
+            hit = np.flatnonzero(self.bits.marked(keys.view(np.int64)))
+            may[hit] = True
+            if len(self.keys) and len(hit):
+                asked = keys[hit]
+                at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+                same = self.keys[at] == asked
+                known[hit] = same
+                values[hit[same]] = self.values[at[same]]
+                may[hit] = ~same
+        return known, values, may
 
 
 def split_terms(terms: DataFrame) -> Terms:
-    """What is broadcast of the terms: bounded by `HOT_TERMS` and `FILTER_BITS`."""
+    """What is broadcast of the terms: at most `HOT_TERMS`, and the bits."""
     size = F.floor(F.log2("n") * 8).cast("int")
     found = sorted(terms.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
     least, held = math.inf, 0
@@ -398,90 +520,61 @@ def split_terms(terms: DataFrame) -> Terms:
         if held > HOT_TERMS:
             break
         least = row["size"]
-    hot = terms.where(size >= F.lit(float(least))).select("key", "value").toArrow().to_pandas()
-    low = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = (
-        terms.where(size < F.lit(float(least)))
-        .select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-        .to_pandas()
-    )
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
+    hot = terms.where(size >= F.lit(float(least))).select("key", "value").toArrow()
+    bits = bits_of(terms.select(F.col("key").alias("name")), sum(row["n"] for row in found))
+    keys = hot["key"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Terms(keys[order], hot["value"].to_numpy(float)[order], bits)
+    return Terms(keys[order], hot["value"].to_numpy().astype(float)[order], bits)
 
 
 @dataclass
 class WordModel:
-    """All that is broadcast: frequent terms, spelling, and log10 probabilities of the frequent words."""
+    """What is broadcast: words, frequent terms, log10(count + 1) and log10 probability by number."""
 
+    words: Vocabulary
     terms: Terms
-    spelling: SuffixTree
-    hot: np.ndarray  # names, ascending
-    hot_logs: np.ndarray  # rows of log10(count + 1) and log10 probability
-    end: tuple[float, float]
+    logs: np.ndarray
     unseen: float
 
-    def own_logs(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Is the word rare, and else its log10(count + 1) and log10 probability."""
-        found = np.zeros((len(names), 2))
-        rare = np.ones(len(names), bool)
-        if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, names), len(self.hot) - 1)
-            rare = self.hot[at] != names
-            found[~rare] = self.hot_logs[at[~rare]]
-        for name, logs in ((END_NAME, self.end), (START_NAME, (0.0, 0.0))):
-            found[names == name] = logs
-            rare[names == name] = False
-        return rare, found[:, 0], found[:, 1]
-
-    def position_logs(self, names: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per position: log10 added by the terms held here, and whether one lists the word;
-        then positions and keys that have to be looked up."""
-        first = np.zeros(len(names), bool)
-        first[starts] = True
-        logs, listed = np.zeros(len(names)), np.zeros(len(names), bool)
+    def position_logs(self, found: Sequences) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 added by the terms held here per position; positions and keys that have to be looked up."""
+        names, first = found.names, found.first
+        logs = np.zeros(len(names))
         i = np.flatnonzero(~first)
         deep = i[~first[i - 1]]
         double = _mix(names[deep - 2], names[deep - 1])
         places, keys = [], []
         for at, context in ((i, names[i - 1]), (deep, double)):
-            for key, lists in ((~context, False), (_mix(context, names[at]), True)):
-                known, values, may = self.terms.find(key)
+            for key in (~context, _mix(context, names[at])):
+                _, values, may = self.terms.find(key)
                 logs[at] += values
-                if lists:
-                    listed[at[known]] = True
                 places.append(at[may])
                 keys.append(key[may])
         places, keys = np.concatenate(places), np.concatenate(keys)
         order = np.argsort(places, kind="stable")
-        return logs, listed, places[order], keys[order]
+        return logs, places[order], keys[order]
 
 
-def fit(train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct: int, spelled: int) -> tuple[WordModel, DataFrame]:
-    """The model of the training texts and all terms of its tree; `words`: word, name, n."""
+def fit(
+    train: DataFrame, words: DataFrame, texts: int, n_train: int, distinct: int, spelled: int
+) -> tuple[WordModel, SuffixTree, DataFrame]:
+    """The model of the training texts, its spelling, and all terms of its tree; `words`: word, name, n."""
     single = words.where("n = 1").count()
-    unseen = max(single, 1) / max(n_train, 1)
-    unseen = min(unseen, 0.5)
-    total = float(n_train + distinct)
+    unseen = min(max(single, 1) / max(n_train, 1), 0.5)
+    scale = (1 - unseen) / max(float(n_train + distinct), 1.0)
 
-    found = stored(succession_counts(train).where(F.col("n") >= LEAST_PAIRS), "successions")
+    numbered, n = vocabulary(words)
+    shared = train.sparkSession.sparkContext.broadcast(numbered)
+    found = stored(succession_counts(train, shared), "successions")
     ends = train.sparkSession.createDataFrame([(END_NAME, texts), (START_NAME, texts)], "name bigint, n bigint")
-    own = F.log10((F.col("n") + 1) * F.lit((1 - unseen) / max(total, 1.0)))
+    own = F.log10((F.col("n") + 1) * F.lit(scale))
     terms = tree_terms(found, words.select("name", "n").union(ends), own)
     spelling = spelling_tree(words.select("word", F.lit(1).cast("bigint").alias("n")), spelled)
-    rows = words.orderBy(F.desc("n"), "name").select("name", "n").limit(HOT_WORDS).toArrow().to_pandas()
-    n = rows["n"].to_numpy(float)
-    names = rows["name"].to_numpy().view(np.uint64)
-    logs = np.stack([np.log10(n + 1), np.log10((1 - unseen) * (n + 1) / max(total, 1.0))], axis=1)
-    order = np.argsort(names)
-    end = (math.log10(texts + 1), math.log10((1 - unseen) * (texts + 1) / max(total, 1.0)))
-    model = WordModel(split_terms(terms), spelling, names[order], logs[order], end, math.log10(unseen))
-    return model, terms
+    counts = np.concatenate([[texts, 0], n]).astype(float)
+    logs = np.stack([np.log10(counts + 1), np.log10((counts + 1) * scale)])
+    # A START is no token.
+    logs[:, START_NAME] = 0.0
+    return WordModel(numbered, split_terms(terms), logs, math.log10(unseen)), spelling, terms
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
@@ -492,6 +585,11 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     as their end alone; repeated rows count as often as they occur and score
     alike. Columns other than doc_id and text are not looked at.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
+        return _score_texts(docs, folds, held)
+
+
+def _score_texts(docs: DataFrame, folds: int, held: int) -> DataFrame:
     held_out = F.coalesce(label_fold(F.col("doc_id"), folds) == held, F.lit(False))
     train = docs.where(~held_out)
     words = stored(word_counts(train).mapInPandas(_with_names, "word binary, name bigint, n bigint"), "words")
@@ -500,70 +598,74 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     ).first()
     texts = train.count()
     n_train, distinct = (sums["n"] or 0) + texts, sums["v"] + (1 if texts else 0)
-    model, terms = fit(train, words, texts, n_train, distinct, sums["spelled"] or 0)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model, spelling, terms = fit(train, words, texts, n_train, distinct, sums["spelled"] or 0)
+    context = docs.sparkSession.sparkContext
+    shared, shared_spelling = context.broadcast(model), context.broadcast(spelling)
     total = float(n_train + distinct)
 
     def doc_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         law = shared.value
+        seen: set[int] = set()
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for at in range(0, len(batch), AT_ONCE):
+                part = batch.iloc[at : at + AT_ONCE]
                 data = [fold_bytes(t) for t in part["text"]]
-                found = [d.split() for d in data]
-                names, starts = named_sequences(found)
-                logs, listed, asked, keys = law.position_logs(names, starts)
-                rare, plain, own = law.own_logs(names)
-                places = np.flatnonzero(rare)
-                owner = np.searchsorted(starts, places, "right") - 1
-                inner = places - starts[owner] - 1
-                still = (~listed[places]).tolist()
-                spelled = np.array(
-                    [
-                        law.spelling.word_log(found[o][i]) if d else np.nan
-                        for o, i, d in zip(owner.tolist(), inner.tolist(), still)
-                    ],
-                    np.float32,
-                )
-                cuts = np.searchsorted(owner, np.arange(1, len(found)))
-                asking = np.searchsorted(asked, starts[1:])
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "text": [name_of(d) for d in data],
-                        "n_tokens": [len(t) + 1 for t in found],
-                        "hot_base": np.add.reduceat(plain, starts),
-                        "hot_score": np.add.reduceat(logs + own, starts),
-                        "rare": np.split(names[places].view(np.int64), cuts),
-                        "spelled": np.split(spelled, cuts),
-                        "keys": np.split(keys.view(np.int64), asking),
-                    }
-                )
+                texts = [d.split() for d in data]
+                found = law.words.sequences(texts)
+                logs, asked, keys = law.position_logs(found)
+                plain, own = np.where(found.ids >= 0, law.logs[:, found.ids], 0.0)
+                bounds = np.append(found.starts, len(found.ids))
+                asking = np.searchsorted(asked, bounds)
+                rows = []
+                for i, (d, words) in enumerate(zip(data, texts)):
+                    rare = [words[j] for j in np.flatnonzero(found.ids[bounds[i] : bounds[i + 1]] < 0) - 1]
+                    mine = keys[asking[i] : asking[i + 1]].view(np.int64)
+                    name = name_of(d)
+                    # A copy of a text that this task has sent needn't be looked up again.
+                    again = name in seen
+                    if not again and (rare or len(mine)):
+                        if len(seen) >= SEEN_TEXTS:
+                            seen.clear()
+                        seen.add(name)
+                    rows.append((name, len(words) + 1, len(rare), len(mine), [] if again else rare, [] if again else mine))
+                names = ["text", "n_tokens", "n_rare", "n_keys", "rare", "keys"]
+                out = pd.DataFrame(rows, columns=names)
+                out.insert(0, "doc_id", part["doc_id"].to_numpy())
+                out["hot_base"] = np.add.reduceat(plain, found.starts)
+                out["hot_score"] = np.add.reduceat(logs + own, found.starts)
+                yield out
 
     scored = id_and_text(docs).mapInPandas(
         doc_rows,
-        "doc_id string, text bigint, n_tokens bigint, hot_base double, hot_score double, "
-        "rare array<bigint>, spelled array<float>, keys array<bigint>",
+        "doc_id string, text bigint, n_tokens bigint, n_rare int, n_keys int, rare array<binary>, "
+        "keys array<bigint>, hot_base double, hot_score double",
     )
     scored = stored(with_number_id(scored), "scored")
-    scored = scored.withColumn("n_rare", F.size("rare")).withColumn("n_keys", F.size("keys"))
-    rare = scored.select("text", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))
-    rare = rare.select("text", F.col("r.rare").alias("name"), F.col("r.spelled").alias("spelled"))
+
+    @F.pandas_udf("double")
+    def spelled(word: pd.Series) -> pd.Series:
+        tree = shared_spelling.value
+        return pd.Series([0.0 if w is None else tree.word_log(bytes(w)) for w in word], dtype=float)
+
     n = F.col("n")
-    own = F.when(n.isNull(), F.lit(model.unseen) + F.col("spelled")).otherwise(
-        F.log10((n + 1) * F.lit((10.0**model.unseen * -1 + 1) / max(total, 1.0)))
-    )
-    per_text = rare.join(words.select("name", "n"), "name", "left").groupBy("text").agg(
-        F.sum(F.log10(F.coalesce(n, F.lit(0)) + 1)).alias("rare_base"),
-        F.sum(own).alias("rare_score"),
-        F.count("n").alias("rare_known"),
-        F.count(F.lit(1)).alias("sent"),
+    scale = (1 - 10.0**model.unseen) / max(total, 1.0)
+    rare = scored.select("text", F.explode("rare").alias("word")).join(words.select("word", "n"), "word", "left")
+    own = F.when(n.isNull(), F.lit(model.unseen) + F.col("spelled")).otherwise(F.log10((n + 1) * F.lit(scale)))
+    per_text = (
+        rare.withColumn("spelled", spelled(F.when(n.isNull(), F.col("word"))))
+        .groupBy("text")
+        .agg(
+            F.sum(F.log10(F.coalesce(n, F.lit(0)) + 1)).alias("rare_base"),
+            F.sum(own).alias("rare_score"),
+            F.count("n").alias("rare_known"),
+            F.count(F.lit(1)).alias("sent"),
+        )
     )
     asked = scored.select("text", F.explode("keys").alias("key")).join(terms.select("key", "value"), "key", "left")
     per_tree = asked.groupBy("text").agg(F.sum("value").alias("tree"), F.count(F.lit(1)).alias("asked"))
-    rows = scored.drop("rare", "spelled", "keys").join(stored(per_text, "rare-sums"), "text", "left")
+    rows = scored.drop("rare", "keys").join(stored(per_text, "rare-sums"), "text", "left")
     rows = rows.join(stored(per_tree, "tree-sums"), "text", "left")
-    # Copies of a text all sent their words: the sums are as many times too large.
+    # Each task that met a text sent its words: the sums are as many times too large.
     copies = F.when(F.col("n_rare") > 0, F.col("sent") / F.col("n_rare")).otherwise(F.lit(1.0))
     rare_base, rare_score = (F.coalesce(F.col(c) / copies, F.lit(0.0)) for c in ("rare_base", "rare_score"))
     tree = F.coalesce(F.col("tree") * F.col("n_keys") / F.col("asked"), F.lit(0.0))
