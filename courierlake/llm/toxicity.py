@@ -22,13 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import fold_bytes, id_and_text, with_number_id
+from courierlake.llm.common import fold_bytes, id_and_text, stored, with_number_id
 from courierlake.llm.labelled import logistic_fit, sampled, training_labels
 
 # Word odds come from at most so many labelled rows; the ids and labels of
-# these rows are broadcast. The odds table holds the most significant tokens.
+# these rows are broadcast, and what their texts hold bounds the odds table.
 SAMPLE_ROWS = 40_000
-ODDS_TOKENS = 60_000
 # Pseudo-counts of the level below, and least standard score of a kept token.
 PRIOR, LEAST_Z = 3.0, 3.0
 # What every word costs, so that clean text drifts down, and the most one word adds.
@@ -111,22 +110,14 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, end, after - before) for before, after, first, end, _ in stack]
 
 
-def token_counts(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """Per token level: how many toxic and how many other documents hold it.
-
-    `labels` are collected: callers bound them. Each task sends its sums.
-    """
-    chosen = {int(r["doc_id"]): int(r["label"]) for r in labels.collect()}
-    shared = docs.sparkSession.sparkContext.broadcast(chosen)
+def token_counts(rows: DataFrame) -> DataFrame:
+    """level, toxic, other: how many toxic and how many other documents of `rows`
+    (label, text) hold a token level. Each task sends its sums."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        label_of = shared.value
         for batch in batches:
             found: dict[bytes, list[int]] = {}
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                label = None if doc is None else label_of.get(int(doc))
-                if label is None:
-                    continue
+            for label, text in zip(batch["label"], batch["text"]):
                 for level in {x for t in set(tokens_of(text)) for x in levels_of(t)}:
                     found.setdefault(level, [0, 0])[1 - label] += 1
             yield pd.DataFrame(
@@ -137,39 +128,35 @@ def token_counts(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[in
                 }
             )
 
-    counted = id_and_text(docs).mapInPandas(count, "level binary, toxic bigint, other bigint")
-    sums = counted.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    return sums, chosen
+    counted = rows.select("label", "text").mapInPandas(count, "level binary, toxic bigint, other bigint")
+    return counted.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def context_counts(docs: DataFrame, chosen: dict[int, int], telling: set[bytes]) -> pd.DataFrame:
+def context_counts(rows: DataFrame, telling: set[bytes]) -> pd.DataFrame:
     """How many different contexts the telling levels have in toxic and in other documents.
 
     The context of a level is the words around its first occurrence in a
     document. Copies of one text share it, so a group of copies counts once
-    and its rare words don't pass for toxic ones. One row per level, at most
-    `ODDS_TOKENS`, reaches the driver.
+    and its rare words don't pass for toxic ones. One row per telling level
+    reaches the driver.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((chosen, telling))
+    shared = rows.sparkSession.sparkContext.broadcast(telling)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        label_of, wanted = shared.value
+        wanted = shared.value
         for batch in batches:
-            rows: set[tuple] = set()
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                label = None if doc is None else label_of.get(int(doc))
-                if label is None:
-                    continue
+            found: set[tuple] = set()
+            for label, text in zip(batch["label"], batch["text"]):
                 tokens, done = tokens_of(text), set()
                 for i, token in enumerate(tokens):
                     for level in levels_of(token):
                         if level in wanted and level not in done:
                             done.add(level)
                             around = b" ".join(tokens[max(i - 1, 0) : i] + [b""] + tokens[i + 1 : i + 2])
-                            rows.add((level, label, xxhash.xxh3_64_intdigest(around) >> 1))
-            yield pd.DataFrame(list(rows), columns=["level", "label", "context"])
+                            found.add((level, label, xxhash.xxh3_64_intdigest(around) >> 1))
+            yield pd.DataFrame(list(found), columns=["level", "label", "context"])
 
-    found = id_and_text(docs).mapInPandas(find, "level binary, label int, context bigint").distinct()
+    found = rows.select("label", "text").mapInPandas(find, "level binary, label int, context bigint").distinct()
     toxic = F.sum("label").alias("toxic")
     return found.groupBy("level").agg(toxic, F.sum(1 - F.col("label")).alias("other")).toPandas()
 
@@ -253,24 +240,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_RO
 
     Without labelled rows of both classes nothing is toxic: no token scores.
     """
-    train = sampled(training_labels(labels, label), at_most, seed=3)
-    counts, chosen = token_counts(docs, train)
-    toxic = sum(chosen.values())
-    other = len(chosen) - toxic
+    train = stored(sampled(training_labels(labels, label), at_most, seed=3), "labelled")
+    classes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    toxic, other = classes.get(1, 0), classes.get(0, 0)
     if not toxic or not other:
         return OddsModel({})
-    # The most telling tokens first; the table is bounded whatever the sample holds.
+    # Only labelled texts go to Python.
+    rows = docs.select("doc_id", "text").join(F.broadcast(train), "doc_id").select("label", "text")
     share = toxic / (toxic + other)
     n = F.col("toxic") + F.col("other")
     z = F.abs(F.col("toxic") - n * share) / F.sqrt(n * share * (1 - share) + 1)
-    telling = counts.withColumn("z", z).where(f"z >= {LEAST_Z}").orderBy(F.desc("z"), "level").limit(ODDS_TOKENS)
-    telling = context_counts(docs, chosen, {bytes(r["level"]) for r in telling.select("level").collect()})
+    telling = token_counts(rows).where(z >= LEAST_Z).select("level")
+    telling = context_counts(rows, {bytes(r["level"]) for r in telling.collect()})
     model = OddsModel(token_odds(telling, toxic, other))
     words = [bytes(x) in model.odds and bytes(x)[:1] == b"=" for x in telling["level"]]
     known = telling[np.array(words, bool)]
     scores = np.array([model.odds[bytes(x)] for x in known["level"]])
     # Token rates of clean text: document counts over the words of clean documents.
-    rows = docs.select("doc_id", "text").join(F.broadcast(train), "doc_id")
     first = scanned_training(rows, model)
     if not len(first):
         return OddsModel({})
@@ -283,38 +269,35 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, at_most: int = SAMPLE_RO
     if len(some):
         gumbel = model.lam * some["best"] - np.log(some["n_tokens"])
         model.log_k = float(gumbel.mean() - 0.5772)
-    evidence = np.array(
-        [
-            model.evidence(model.significant([(0, 0, x) for x in found], n), n)
-            for found, n in zip(first["segments"], first["n_tokens"])
-        ]
-    )
-    w = logistic_fit(evidence[:, None], first["label"].to_numpy(float), l2=1e-5, steps=2000)
+    # Which segments are significant is known by now: the texts are scanned as they will be scored.
+    model.cache = {}
+    second = scanned_training(rows, model)
+    w = logistic_fit(second["evidence"].to_numpy(float)[:, None], second["label"].to_numpy(float), l2=1e-5, steps=2000)
     model.weights = (float(w[0]), float(w[1]))
     model.cache = {}
     return model
 
 
 def scanned_training(rows: DataFrame, model: OddsModel) -> pd.DataFrame:
-    """Label, length and segment scores of the (bounded) training rows.
-
-    A document brings its 50 best segments; later ones add nothing to a sum on
-    a log scale.
-    """
+    """Label, length, best segment and evidence of the (bounded) training rows."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        law = shared.value
         for batch in batches:
             out = []
             for label, text in zip(batch["label"], batch["text"]):
                 tokens = tokens_of(text)
-                scores = np.fromiter(map(shared.value.token_score, tokens), float, len(tokens))
-                found = sorted((s for _, _, s in maximal_segments(scores)), reverse=True)[:50]
-                out.append((label, len(tokens), found[0] if found else 0.0, found))
-            yield pd.DataFrame(out, columns=["label", "n_tokens", "best", "segments"])
+                scores = np.fromiter(map(law.token_score, tokens), float, len(tokens))
+                segments = maximal_segments(scores)
+                best = max((s for _, _, s in segments), default=0.0)
+                out.append((label, len(tokens), best, law.evidence(law.significant(segments, len(tokens)), len(tokens))))
+            yield pd.DataFrame(out, columns=["label", "n_tokens", "best", "evidence"])
 
-    schema = "label int, n_tokens bigint, best double, segments array<double>"
-    return rows.select("label", "text").mapInPandas(scan, schema).toPandas()
+    schema = "label int, n_tokens bigint, best double, evidence double"
+    found = rows.mapInPandas(scan, schema).toPandas()
+    # The order in which rows arrive must not matter to the fit.
+    return found.sort_values(list(found.columns), ignore_index=True)
 
 
 def with_score(docs: DataFrame, model: OddsModel, name: str) -> DataFrame:
