@@ -1,7 +1,8 @@
 """Document fingerprints by winnowing.
 
-Text is cut into pieces (words, long words into runs of 16 characters).
-Rolling hashes of k pieces are taken, and of every window of w consecutive
+Text is cut into pieces: words, and of a run of more than 16 characters without
+a blank every 16 characters in a row, wherever they start. A passage of such a
+run therefore gives the same pieces at any offset. Rolling hashes of k pieces are taken, and of every window of w consecutive
 hashes the smallest is kept, the rightmost one on ties, with its position. A
 run of w + k - 1 pieces shared by two texts is thereby always found in both.
 
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 
 GRAM = 3
 WINDOW = 4
-PIECE = r"[^\x20\x09-\x0D]{1,16}"
+# Matched ahead of every place: 16 characters from there, or a whole shorter word.
+_CHARACTER = r"[^\x20\x09-\x0D]"
+PIECE = rf"(?=({_CHARACTER}{{16}}|(?<!{_CHARACTER}){_CHARACTER}{{1,15}}(?!{_CHARACTER})))"
 # A kept hash and its position share one long, 31 bits each. Arrays have fewer
 # than 2^31 elements.
 POSITION_BITS = 31
@@ -54,7 +57,7 @@ def with_winnowed(df: DataFrame, texts: Mapping[str, str], gram: int = GRAM, win
     """
     names = list(texts)
     pieces = {
-        n: F.regexp_extract_all(F.coalesce(F.col(texts[n]), F.lit("")), F.lit(PIECE), F.lit(0)) for n in names
+        n: F.regexp_extract_all(F.coalesce(F.col(texts[n]), F.lit("")), F.lit(PIECE), F.lit(1)) for n in names
     }
     df = df.withColumns({n: F.transform(pieces[n], lambda p: F.crc32(p.cast("binary"))) for n in names})
 
