@@ -19,6 +19,7 @@ from courierlake.plans import marts
 from courierlake.plans.staging import staged
 from courierlake.plans.timeline import delivery_timeline, rider_daily
 from courierlake.sources.lake import checkpointed
+from courierlake.sources.schemas import schema_of
 from courierlake.streaming import events
 from courierlake.streaming.days import on_days, read_days, replace_days
 
@@ -33,21 +34,29 @@ def prep_daily(timeline: DataFrame) -> DataFrame:
 FIGURES: dict[str, tuple[Callable[[DataFrame], DataFrame], StructType]] = {
     "sla": (
         marts.sla_daily,
-        StructType.fromDDL(
-            "city string, time_slot string, total_orders bigint, breached_orders bigint, "
-            "avg_delivery_time_minutes double, avg_breach_minutes double, order_date date"
+        schema_of(
+            city="string",
+            time_slot="string",
+            total_orders="long",
+            breached_orders="long",
+            avg_delivery_time_minutes="double",
+            avg_breach_minutes="double",
+            order_date="date",
         ),
     ),
     "riders": (
         rider_daily,
-        StructType.fromDDL(
-            "rider_id string, orders_delivered bigint, late_deliveries bigint, "
-            "avg_delivery_time_minutes double, order_date date"
+        schema_of(
+            rider_id="string",
+            orders_delivered="long",
+            late_deliveries="long",
+            avg_delivery_time_minutes="double",
+            order_date="date",
         ),
     ),
     "prep": (
         prep_daily,
-        StructType.fromDDL("restaurant_id string, prep_us bigint, orders bigint, breached bigint, order_date date"),
+        schema_of(restaurant_id="string", prep_us="long", orders="long", breached="long", order_date="date"),
     ),
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable
 from contextlib import AbstractContextManager
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake.functions.temporal import time_slot
+from courierlake.operators.bands import join_bands
 from courierlake.session import setting, shared_dir
 from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
@@ -111,6 +113,44 @@ def register(spark: SparkSession, path: str, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def publish_version(
+    df: DataFrame, name: str, root: str, partition_by: str | None = None
+) -> tuple[str, int]:
+    """Publish `df` as a new version of table `name`; its folder and rows.
+
+    The version is written to a folder of its own below `root`, then one catalog
+    operation points the name to it. Readers see the old rows or the new ones;
+    a run that fails before the switch leaves the old version in place, and the
+    one after it is left for `versions` to list. A partitioned version is
+    published as a view of its folder, as a table's partitions would have to be
+    moved one by one; the view prunes partitions all the same.
+    """
+    spark = df.sparkSession
+    path = f"{root}/{name.rsplit('.', 1)[-1]}/version-{uuid.uuid4().hex[:12]}"
+    rows = write(df, path, partition_by)
+    switch(spark, name, path, partitioned=partition_by is not None)
+    return path, rows
+
+
+def switch(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """Point `name` to the Parquet below `path` in one step."""
+    if partitioned:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    elif spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet")
+    spark.catalog.refreshTable(name)
+
+
+def versions(spark: SparkSession, name: str, root: str) -> list[str]:
+    """The folders of all versions of `name` that have rows, old and new, by path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    below = files.option("pathGlobFilter", "*.parquet").load(f"{root}/{name.rsplit('.', 1)[-1]}")
+    folder = F.regexp_extract("path", "^(.*/version-[0-9a-f]+)/", 1)
+    return sorted(row[0] for row in below.select(folder).distinct().collect())
+
+
 def save_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
     """Replace catalog table `name`; returns the rows written."""
     if partition_by is None:
@@ -170,3 +210,19 @@ def label_time_slots(orders: DataFrame) -> DataFrame:
     slots = time_slots(orders.sparkSession).withColumnRenamed("time_slot", "slot")
     named = orders.withColumn("slot", time_slot("order_hour"))
     return named.join(F.broadcast(slots), "slot", "left").drop("start_hour", "end_hour")
+
+
+def label_hours(orders: DataFrame, slots: DataFrame, otherwise: str = "late_night") -> DataFrame:
+    """Orders with the slot and label whose hours hold their hour, both ends included.
+
+    The seed's bounds decide. An hour that no slot covers, and an order without
+    an hour, belong to the slot `otherwise`.
+    """
+    bands = slots.withColumnRenamed("time_slot", "slot")
+    labelled = join_bands(orders, "order_hour", bands, "start_hour", "end_hour", width=4)
+    rest = bands.where(F.col("slot") == otherwise).select(F.col("label").alias("_rest")).limit(1)
+    # One row, or none if the seed lacks that slot.
+    labelled = labelled.join(F.broadcast(rest), F.col("slot").isNull(), "left")
+    return labelled.withColumns(
+        {"slot": F.coalesce("slot", F.lit(otherwise)), "label": F.coalesce("label", "_rest")}
+    ).drop("_rest")

@@ -44,18 +44,19 @@ def read_days(
 def replace_days(df: DataFrame, path: str, day: str, days: Iterable[dt.date | None]) -> None:
     """Make `df` the whole content of `days` below `path`; other days stay as they are.
 
-    `df` may read the same folder: it is written elsewhere first. A day of
-    `days` without rows is left with an empty file, as dynamic overwrite
-    doesn't touch days that no row belongs to.
+    `df` may read the same folder: it is written elsewhere first. A day that
+    loses its last row is left with an empty file, as dynamic overwrite doesn't
+    touch days that no row belongs to.
     """
     spark = df.sparkSession
     staged_path = scratch_path(spark, "days")
     df.write.parquet(staged_path)
     staged = spark.read.schema(df.schema).parquet(staged_path)
+    empty = set(days) - set(distinct_days(staged, day))
+    emptied = distinct_days(read_days(spark, path, df.schema, day, empty), day) if empty else []
     with whole_width(spark):
         rows = by_partition(staged, day).write.mode("overwrite").partitionBy(day)
         rows.option("partitionOverwriteMode", "dynamic").parquet(path)
-    emptied = set(days) - set(distinct_days(staged, day))
     for value in emptied:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat()
         nothing = spark.createDataFrame([], df.drop(day).schema)

@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlake import functions as fn
-from courierlake.operators import joins, late, sequence
+from courierlake.operators import bitmaps, joins, late, sequence, sketches
+from courierlake.operators.heaviest import heaviest_choice
 from courierlake.operators.latest import latest_rows
-from courierlake.plans import build, core, insights, marts, quality, silver
+from courierlake.plans import build, core, incremental, insights, marts, quality, silver
 from courierlake.plans import timeline as tl
 from courierlake.plans.staging import STAGED_COLUMNS, staged
-from courierlake.session import scratch_path, shuffle_width, stored_bytes, tune
+from courierlake.session import scratch_path, setting, shuffle_width, stored_bytes, tune
 from courierlake.sources import lake, raw
 from courierlake.sources.schemas import RAW_TABLES
+from courierlake.streaming import events as stream
+from courierlake.streaming import ingest as arriving
+from courierlake.streaming import live
 from parity.views import AS_OF, Views
 
 # Events shipped from this day on play the part of a new arrival.
@@ -245,6 +249,10 @@ def refund_shares_incomplete(v: Views) -> DataFrame:
 
 def bronze_events_json_array(v: Views) -> DataFrame:
     """Events from files that are one JSON array each, of a thousand orders."""
+    return _ingested_array(v)
+
+
+def _ingested_array(v: Views, split_arrays: bool = False) -> DataFrame:
     rows = _raw_rows(v, "delivery_events")
     file = F.floor(F.col("order_id").cast("bigint") / 1000)
     line = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
@@ -254,16 +262,184 @@ def bronze_events_json_array(v: Views) -> DataFrame:
     raw_path, bronze_path = scratch_path(v.spark, "raw"), scratch_path(v.spark, "bronze")
     table = RAW_TABLES["delivery_events"]
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{raw_path}/{table.file}")
-    raw.ingest(v.spark, table, raw_path, bronze_path, "20010601_000000", json_lines=False)
+    raw.ingest(
+        v.spark, table, raw_path, bronze_path, "20010601_000000", json_lines=False, split_arrays=split_arrays
+    )
     return lake.read(v.spark, f"{bronze_path}/{table.name}").select(
         *table.schema.names, F.col("_corrupt_record").isNotNull().alias("is_corrupt"), "_batch_id"
     )
 
 
-def loaded_orders_of_a_month(v: Views) -> DataFrame:
-    """A date filter on the loaded orders, which reads that month's partitions only."""
-    days = F.col("order_date").between(dt.date(1998, 3, 1), dt.date(1998, 3, 31))
-    return date_partitioned_orders(v).where(days)
+def loaded_orders_by_day(v: Views) -> DataFrame:
+    """Orders per day of the loaded table, one partition each."""
+    return date_partitioned_orders(v).groupBy("order_date").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def bronze_events_split_array(v: Views) -> DataFrame:
+    """As bronze_events_json_array, with several tasks per file."""
+    with setting(v.spark, "spark.sql.files.maxPartitionBytes", str(128 * 1024)):
+        return _ingested_array(v, split_arrays=True)
+
+
+def published_versions(v: Views) -> DataFrame:
+    """Two versions of each table, the second one in the first one's place."""
+    root, database = scratch_path(v.spark, "versions"), _new_database(v)
+    counts = []
+    for name, day in (("refunds", None), ("orders", "order_date")):
+        full = f"{database}.{name}"
+        lake.publish_version(v.raw(name), full, root)
+        if day:
+            v.spark.sql(f"DROP TABLE {full}")
+        rows = v.clean_orders() if day else silver.silver(name, v.raw(name))
+        _, written = lake.publish_version(rows, full, root, day)
+        counts.append(
+            v.spark.table(full).agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("table_rows"),
+                F.lit(written).cast("bigint").alias("reported_rows"),
+                F.lit(len(lake.versions(v.spark, full, root))).cast("bigint").alias("versions"),
+            )
+        )
+    return _union(counts)
+
+
+# --- Arrivals in several drops --------------------------------------------------------
+
+
+def _drop_of(column: str):
+    """In which of three drops a row comes: by the years of a time."""
+    year = F.year(column)
+    return F.when(year < 1996, 0).when(year < 1999, 1).otherwise(2)
+
+
+def streamed_silver_events(v: Views) -> DataFrame:
+    """Defective events that arrive by ship date, most of them long after their
+    time: new raw files to bronze, the stream over bronze, and the late ones."""
+    raw_path, path = scratch_path(v.spark, "raw"), scratch_path(v.spark, "lake")
+    table, orders = RAW_TABLES["delivery_events"], v.order_times()
+    store = stream.EventStore(f"{path}/events")
+    rows = v.bronze_events().withColumn("_drop", _drop_of("_ingested_at")).select("_drop", *table.schema.names)
+    for drop in range(3):
+        lines = rows.where(F.col("_drop") == drop).drop("_drop")
+        lines.write.mode("append").option("ignoreNullFields", False).json(f"{raw_path}/{table.file}")
+        arriving.ingest_new_files(v.spark, table, raw_path, f"{path}/bronze", f"{path}/bronze-log")
+        stream.stream_events(v.spark, f"{path}/bronze", orders, store, f"{path}/events-log")
+    stored = arriving.read_bronze(v.spark, f"{path}/bronze/{table.name}", table)
+    stream.sweep_late(v.spark, stored, orders, store)
+    found = stream.silver_events(v.spark, orders, store)
+    return found.select(*table.schema.names, *silver.EVENT_FLAGS)
+
+
+# Key and numbers of the marts that follow the stored figures.
+INCREMENTAL = {
+    "mart_sla_breach_analysis": (
+        ("city", "time_slot"),
+        ("total_orders", "breached_orders", "breach_rate_pct", "avg_delivery_time_minutes",
+         "avg_breach_minutes_when_breached", "days_with_data", "overall_breach_rank", "city_breach_rank"),
+    ),
+    "mart_rider_performance": (
+        ("rider_id", "performance_tier"),
+        ("total_orders_delivered", "total_late_deliveries", "avg_delivery_time_minutes", "active_days",
+         "orders_per_day", "on_time_rate", "efficiency_score", "city_rank", "overall_rank"),
+    ),
+    "mart_restaurant_prep_delays": (
+        ("restaurant_id", "risk_category"),
+        ("total_orders", "avg_prep_time_minutes", "median_prep_time_minutes", "p95_prep_time_minutes",
+         "min_prep_time_minutes", "max_prep_time_minutes", "delayed_orders", "delay_rate_pct",
+         "sla_breaches_from_prep"),
+    ),
+}
+
+
+def incremental_marts(v: Views) -> DataFrame:
+    """The marts from daily figures of the first events, brought up to date with
+    those that arrived later; one row per mart, key and number."""
+    path = scratch_path(v.spark, "figures")
+    events = v.raw_events().withColumn("_source_file", F.lit("events"))
+    arrived = F.col("_ingested_at") >= F.lit(ARRIVAL_DAY)
+    store, orders = stream.EventStore(f"{path}/events"), v.orders()
+    incremental.apply_arrivals(events.where(~arrived), orders, store, path, "first")
+    incremental.apply_arrivals(events.where(arrived), orders, store, path, "arrived")
+    made = incremental.marts_of_figures(v.spark, path, v.restaurants(), v.riders(), AS_OF.date())
+    parts = []
+    for name, ((first, second), numbers) in INCREMENTAL.items():
+        rows = made[name].select(
+            F.lit(name).alias("mart"),
+            F.col(first).alias("key"),
+            F.col(second).alias("class"),
+            *(F.col(number).cast("double").alias(number) for number in numbers),
+        )
+        parts.append(rows.unpivot(["mart", "key", "class"], list(numbers), "measure", "value"))
+    return _union(parts).where(F.col("value").isNotNull())
+
+
+def live_timeline(v: Views) -> DataFrame:
+    """Orders and events as two streams in three drops, and two later orders that close them all."""
+    path = scratch_path(v.spark, "live")
+    orders, events = v.orders(), v.events().select("order_id", "rider_id", "event_type", "event_ts")
+    placed = events.join(orders.select("order_id", "order_ts"), "order_id")
+    ticks = [
+        orders.limit(1).withColumns(
+            {"order_id": F.lit("tick"), "order_ts": F.lit(f"{year}-01-01").cast("timestamp_ntz")}
+        )
+        for year in (2100, 2200)
+    ]
+    drops = [
+        (orders.where(_drop_of("order_ts") == d), placed.where(_drop_of("order_ts") == d).drop("order_ts"))
+        for d in range(3)
+    ]
+    tick_events = [
+        tick.select("order_id", F.lit(None).cast("string").alias("rider_id"), F.lit("tick").alias("event_type"), F.col("order_ts").alias("event_ts"))
+        for tick in ticks
+    ]
+    schemas = orders.schema, events.schema
+    pairs = None
+    for given, happened in (*drops, *zip(ticks, tick_events)):
+        given.write.mode("append").parquet(f"{path}/orders")
+        happened.select(*events.columns).write.mode("append").parquet(f"{path}/events")
+        pairs = live.order_event_pairs(
+            v.spark.readStream.schema(schemas[0]).parquet(f"{path}/orders"),
+            v.spark.readStream.schema(schemas[1]).parquet(f"{path}/events"),
+        )
+        live.follow(pairs, f"{path}/pairs", f"{path}/log")
+    return live.closed_timeline(v.spark, f"{path}/pairs", pairs.schema).where(F.col("order_id") != "tick")
+
+
+# --- Merged summaries ------------------------------------------------------------------
+
+
+def approximate_prep_percentiles(v: Views) -> DataFrame:
+    """Do percentiles from merged daily sketches stay within the stated rank error?"""
+    fractions = {"median_us": 0.5, "p95_us": 0.95}
+    counts = marts.prep_time_counts(v.timeline(), "order_date")
+    prep = tl.with_valid_prep(v.timeline()).withColumn("prep_us", fn.micros_between("accepted_ts", "food_ready_ts"))
+    daily = sketches.summaries(prep, ["restaurant_id", "order_date"], "prep_us")
+    found = sketches.approximate_percentiles(sketches.merged(daily, ["restaurant_id"]), ["restaurant_id"], fractions)
+    errors = sketches.rank_errors(found, counts, "restaurant_id", "prep_us", "orders", fractions)
+    within = lambda name: (F.col(f"{name}_rank_error") <= sketches.RANK_ERROR).alias(f"{name}_within")
+    return errors.select("restaurant_id", "n", *map(within, fractions))
+
+
+def rider_active_days(v: Views) -> DataFrame:
+    """Days with deliveries per rider, from bitmaps of three batches, one of which comes twice."""
+    rows = tl.delivered_only(v.timeline()).where(F.col("rider_id").isNotNull())
+    rows = rows.withColumn("_drop", _drop_of("order_ts"))
+    sets = _union([bitmaps.day_sets(rows.where(F.col("_drop") == d), ["rider_id"], "order_date") for d in (0, 1, 2, 1)])
+    return bitmaps.count_days(bitmaps.merged(sets, ["rider_id"]), ["rider_id"], "active_days")
+
+
+def rider_primary_cities(v: Views) -> DataFrame:
+    """The city in which each rider has most deliveries."""
+    delivered = tl.delivered_only(v.timeline())
+    return heaviest_choice(delivered, ["rider_id"], "city", name="deliveries")
+
+
+def rider_mart_by_primary_city(v: Views) -> DataFrame:
+    """The rider mart where riders are ranked in their primary city instead of their home."""
+    timeline = v.timeline()
+    cities = heaviest_choice(tl.delivered_only(timeline), ["rider_id"], "city").select("rider_id", "city")
+    riders = v.riders().drop("city").join(cities, "rider_id", "left")
+    return marts.rider_performance(timeline, riders, AS_OF.date())
 
 
 def order_durations(v: Views) -> DataFrame:
@@ -312,7 +488,21 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "bronze_events_json_array": bronze_events_json_array,
     "ingest_all_tables": ingest_all_tables,
     "date_partitioned_orders": date_partitioned_orders,
-    "loaded_orders_of_a_month": loaded_orders_of_a_month,
+    "loaded_orders_by_day": loaded_orders_by_day,
+    "bronze_events_split_array": bronze_events_split_array,
+    "published_versions": published_versions,
+    # Arrivals in several drops
+    "streamed_silver_events": streamed_silver_events,
+    "incremental_marts": incremental_marts,
+    "live_timeline": live_timeline,
+    # Merged summaries
+    "approximate_prep_percentiles": approximate_prep_percentiles,
+    "rider_active_days": rider_active_days,
+    "rider_primary_cities": rider_primary_cities,
+    "rider_mart_by_primary_city": rider_mart_by_primary_city,
+    "slot_labels_by_hours": lambda v: lake.label_hours(v.orders(), lake.time_slots(v.spark)).select(
+        "order_id", "order_hour", "slot", "label"
+    ),
     "warehouse_tables": warehouse_tables,
     "bucketed_timeline": bucketed_timeline,
     "full_run_sla": full_run_sla,

@@ -12,7 +12,16 @@ DATA = "/root/testdata/sf0.001"
 
 # One folder per day of six years: minutes of file handling. Their parts are
 # tested on small tables; `python -m parity.check` runs them in full.
-MANY_FILES = {"date_partitioned_orders", "full_run_sla", "late_reprocess"}
+MANY_FILES = {
+    "date_partitioned_orders",
+    "loaded_orders_by_day",
+    "published_versions",
+    "full_run_sla",
+    "late_reprocess",
+    "streamed_silver_events",
+    "incremental_marts",
+    "live_timeline",
+}
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables here")
 
