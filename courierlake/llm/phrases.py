@@ -46,7 +46,7 @@ GATHERED, HELD, AT_ONCE, SENT = 1_000_000, 150_000, 200, 100_000
 # Texts that a task holds at once on either side of its pipe.
 BATCH_ROWS = 1_000
 # Distinct codes of a bucket, about; buckets at least, and partitions they are dealt to at most.
-BUCKET, LEAST_BUCKETS, MOST_PARTITIONS = 1_000_000, 64, 20_000
+BUCKET, LEAST_BUCKETS, MOST_PARTITIONS = 1_000_000, 128, 20_000
 
 # Ends a piece; no byte of UTF-8.
 MARK = b"\xff"
@@ -195,9 +195,10 @@ class Pairs:
         return np.where(self.codes[at] == codes, self.numbers[at], -1)
 
 
-# What tasks send: ascending codes of a bucket with their counts, packed; or a phrase with
-# a word without a number, as language and phrase with a zero byte between, and its count.
-SENT_SCHEMA = "bucket int, codes binary, counts binary, phrase binary, n int"
+# What tasks send: ascending codes of a bucket with their counts, packed; or phrases with a
+# word without a number, as language and phrase with a zero byte between, all in one text,
+# with their lengths for codes.
+SENT_SCHEMA = "bucket int, codes binary, counts binary, phrases binary"
 
 
 def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
@@ -216,12 +217,17 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def _texts(found: Counter, buckets: int) -> pd.DataFrame:
-    """Counted phrases that have a word without a number."""
-    names = [lang.encode() + b"\0" + phrase for lang, phrase in found]
-    bucket = [xxhash.xxh64_intdigest(name) % buckets for name in names]
-    out = pd.DataFrame({"bucket": bucket, "codes": None, "counts": None, "phrase": names, "n": list(found.values())})
+    """Counted phrases that have a word without a number, by bucket."""
+    held: dict[int, list[tuple[bytes, int]]] = {}
+    for (lang, phrase), n in found.items():
+        name = lang.encode() + b"\0" + phrase
+        held.setdefault(xxhash.xxh64_intdigest(name) % buckets, []).append((name, n))
     found.clear()
-    return out
+    rows = []
+    for bucket, some in held.items():
+        lengths, n = np.array([len(name) for name, _ in some]), np.array([n for _, n in some])
+        rows.append((bucket, pack(lengths), pack(n), b"".join(name for name, _ in some)))
+    return pd.DataFrame(rows, columns=["bucket", "codes", "counts", "phrases"])
 
 
 def _codes(codes: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pd.DataFrame]:
@@ -234,8 +240,8 @@ def _codes(codes: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pd.DataFr
     rows = []
     for i, j in zip(at, np.append(at, len(bucket))[1:]):
         mine = order[i:j]
-        rows.append((int(bucket[i]), pack(np.diff(codes[mine], prepend=0)), pack(n[mine]), None, 0))
-    yield pd.DataFrame(rows, columns=["bucket", "codes", "counts", "phrase", "n"])
+        rows.append((int(bucket[i]), pack(np.diff(codes[mine], prepend=0)), pack(n[mine]), None))
+    yield pd.DataFrame(rows, columns=["bucket", "codes", "counts", "phrases"])
 
 
 def _joined(cells: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -298,12 +304,14 @@ def _summed(counted: DataFrame, buckets: int, least: int) -> DataFrame:
 
         current, codes, n, texts, size, limit = None, [], [], Counter(), 0, 2 * BUCKET
         for batch in batches:
-            for bucket, packed, counts, phrase, count in zip(*(batch[c] for c in ("bucket", "codes", "counts", "phrase", "n"))):
+            for bucket, packed, counts, phrases in zip(*(batch[c] for c in ("bucket", "codes", "counts", "phrases"))):
                 if bucket != current:
                     yield from out()
                     current, codes, n, texts, size, limit = bucket, [], [], Counter(), 0, 2 * BUCKET
-                if phrase is not None:
-                    texts[phrase] += count
+                if phrases is not None:
+                    ends = np.cumsum(unpack(packed)).tolist()
+                    for at, end, count in zip([0, *ends], ends, unpack(counts).tolist()):
+                        texts[phrases[at:end]] += count
                     continue
                 codes.append(np.cumsum(unpack(packed)))
                 n.append(unpack(counts))
