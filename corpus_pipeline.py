@@ -13,7 +13,11 @@ SOURCE_WEIGHTS = [1, 2, 3]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble doesn't reject."""
+    """Documents that the rule ensemble doesn't reject.
+
+    NULL texts are scored as empty ones. Every row is judged by its own text,
+    so repeated rows go or stay together; those without an id are judged alike.
+    """
     ship(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality")
     # Written before it is filtered on: the optimizer would carry the whole rule
@@ -23,20 +27,33 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxic passages don't make them toxic."""
+    """Documents whose toxic passages don't make them toxic.
+
+    NULL, empty and wordless texts have no passages and stay. Repeated rows and
+    those without an id are judged by their text like all others.
+    """
     ship(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic")
     return toxicity.with_score(docs, model, "_toxic").where(F.col("_toxic") < MOST_TOXIC).drop("_toxic")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8)."""
+    """One document of each group of near duplicates (five words, 0.8).
+
+    The smallest id of a group stays, repeated rows of it too; texts without
+    words and rows without an id stay (see :func:`dedup.first_of_each`).
+    """
     ship(spark)
     return dedup.first_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated as the mix of their sources asks for."""
+    """Documents repeated as the mix of their sources asks for.
+
+    A document without words weighs nothing and is left out or taken like any
+    other of its source; a NULL source is one of its own, the last. Ties of the
+    seeded order go by id and text.
+    """
     ship(spark)
     key = ("doc_id", "source", F.xxhash64("text").alias("_text"))
     sized = stored(docs.select(*key, word_count(F.col("text")).alias("size")), "mix-sizes")
@@ -47,7 +64,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents with their places in sequences of 2048."""
+    """Token pieces of the documents with their places in sequences of 2048.
+
+    NULL texts count as empty and make one piece, their end; repeated rows are
+    packed as often as they occur.
+    """
     ship(spark)
     return packing.pack_documents(docs)
 
