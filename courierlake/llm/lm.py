@@ -56,7 +56,7 @@ HOT_WORDS, ID_BITS = 200_000, 20
 GATHERED, SENT, AT_ONCE, BATCH_ROWS = 1_000_000, 100_000, 200, 1_000
 CACHED_RUNS = 300_000
 # Different words a counting task holds before it writes them out.
-HELD_WORDS = 400_000
+HELD_WORDS = 150_000
 # Texts that a task remembers to have sent to be looked up.
 SEEN_TEXTS = 200_000
 
