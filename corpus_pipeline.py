@@ -50,9 +50,9 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as the mix of their sources asks for.
 
-    A document without words weighs nothing and is left out or taken like any
-    other of its source; a NULL source is one of its own, the last. Ties of the
-    seeded order go by id and text.
+    A document without words is repeated with its source but weighs nothing; a
+    NULL source is one of its own, the last. Ties of the seeded order go by id
+    and text.
     """
     ship(spark)
     key = ("doc_id", "source", F.xxhash64("text").alias("_text"))
