@@ -42,7 +42,7 @@ DENSE = EDGE * EDGE // 8
 LEAST_BITS, MOST_BITS = 65_537, 200_000_003
 # Occurrences a task gathers before it counts them, words or phrases it holds, texts it cuts
 # at once, rows it sends at once: they bound the memory of a task.
-GATHERED, HELD, AT_ONCE, SENT = 1_000_000, 150_000, 200, 100_000
+GATHERED, HELD, AT_ONCE, SENT = 500_000, 50_000, 200, 50_000
 # Texts that a task holds at once on either side of its pipe.
 BATCH_ROWS = 1_000
 # Distinct codes of a bucket, about; buckets at least, and partitions they are dealt to at most.
