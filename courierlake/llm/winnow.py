@@ -16,11 +16,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courierlake.llm.common import WORD
+
 GRAM = 3
 WINDOW = 4
-# Matched ahead of every place: 16 characters from there, or a whole shorter word.
-_CHARACTER = r"[^\x20\x09-\x0D]"
-PIECE = rf"(?=({_CHARACTER}{{16}}|(?<!{_CHARACTER}){_CHARACTER}{{1,15}}(?!{_CHARACTER})))"
+PIECE = 16
+# Matched ahead of every place of a long run.
+AHEAD = rf"(?=([^\x20\x09-\x0D]{{{PIECE}}}))"
 # A kept hash and its position share one long, 31 bits each. Arrays have fewer
 # than 2^31 elements.
 POSITION_BITS = 31
@@ -56,10 +58,10 @@ def with_winnowed(df: DataFrame, texts: Mapping[str, str], gram: int = GRAM, win
     a nested expression once per use.
     """
     names = list(texts)
-    pieces = {
-        n: F.regexp_extract_all(F.coalesce(F.col(texts[n]), F.lit("")), F.lit(PIECE), F.lit(1)) for n in names
-    }
-    df = df.withColumns({n: F.transform(pieces[n], lambda p: F.crc32(p.cast("binary"))) for n in names})
+    df = df.withColumns(
+        {n: F.regexp_extract_all(F.coalesce(F.col(texts[n]), F.lit("")), F.lit(WORD), F.lit(0)) for n in names}
+    )
+    df = df.withColumns({n: F.transform(_pieces(F.col(n)), lambda p: F.crc32(p.cast("binary"))) for n in names})
 
     def rolled(hashes: Column) -> Column:
         result = hashes
@@ -79,6 +81,15 @@ def with_winnowed(df: DataFrame, texts: Mapping[str, str], gram: int = GRAM, win
     return df.withColumns({n: F.array_distinct(_head(F.col(n), window - 1)) for n in names})
 
 
+def _pieces(words: Column) -> Column:
+    """The words themselves, unless one is longer than a piece: few texts have such."""
+    is_long = lambda w: F.char_length(w) > PIECE
+    cut = F.transform(
+        words, lambda w: F.when(is_long(w), F.regexp_extract_all(w, F.lit(AHEAD), F.lit(1))).otherwise(F.array(w))
+    )
+    return F.when(F.exists(words, is_long), F.flatten(cut)).otherwise(words)
+
+
 def _roll(sofar: Column, piece: Column) -> Column:
     """Hash of a run, one piece longer; a piece beyond the end counts as 0."""
     mixed = F.coalesce(sofar, F.lit(0)) * F.lit(MULTIPLIER) + F.coalesce(piece, F.lit(0))
