@@ -70,7 +70,10 @@ def day_timeline(orders: DataFrame, store: events.EventStore, days: Iterable[dt.
 
 
 def refresh(orders: DataFrame, store: events.EventStore, path: str, days: Iterable[dt.date | None]) -> None:
-    """Make the stored figures of `days` anew from their orders and events."""
+    """Make the stored figures of `days` anew from their orders and events.
+
+    The first build, and new orders, need the days of these orders as well.
+    """
     days = list(days)
     if not days:
         return

@@ -22,6 +22,7 @@ from courierlake.sources.schemas import RAW_TABLES
 from courierlake.streaming import events as stream
 from courierlake.streaming import ingest as arriving
 from courierlake.streaming import live
+from courierlake.streaming.days import distinct_days
 from parity.views import AS_OF, Views
 
 # Events shipped from this day on play the part of a new arrival.
@@ -358,7 +359,9 @@ def incremental_marts(v: Views) -> DataFrame:
     events = v.raw_events().withColumn("_source_file", F.lit("events"))
     arrived = F.col("_ingested_at") >= F.lit(ARRIVAL_DAY)
     store, orders = stream.EventStore(f"{path}/events"), v.orders()
-    incremental.apply_arrivals(events.where(~arrived), orders, store, path, "first")
+    # The first build covers all days with orders, also those without an event.
+    stream.merge(v.spark, events.where(~arrived), orders, store, "first")
+    incremental.refresh(orders, store, path, distinct_days(orders, incremental.DAY))
     incremental.apply_arrivals(events.where(arrived), orders, store, path, "arrived")
     made = incremental.marts_of_figures(v.spark, path, v.restaurants(), v.riders(), AS_OF.date())
     parts = []
