@@ -15,6 +15,9 @@ from courierlake.sources import lake
 from courierlake.sources.arrays import array_objects
 from courierlake.sources.schemas import CORRUPT, RAW_TABLES, RawTable
 
+# A line end that no file holds: JSON has no raw control characters but white space.
+NOWHERE = "\x01\x02\x03\x04" * 4
+
 
 def new_batch_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
@@ -48,15 +51,18 @@ def read_json(
 
     By default a file has one object per line and splits anywhere. With
     `lines=False` each file is one array of objects, which one task reads
-    whole: such feeds should arrive as many files. A stream `reader` is for lines.
+    whole: such feeds should arrive as many files, in UTF-8 and none above 2 GB. A stream
+    `reader` is for lines.
     """
     reader = (reader or spark.read).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if lines:
         return reader.schema(table.capturing_schema).json(path)
 
     # Read as typed columns, one bad object would mark every object of its file
-    # as corrupt. Read as text, objects fail one by one.
-    rows = reader.schema(_texts(table)).option("multiLine", True).json(path)
+    # as corrupt. Read as text, objects fail one by one. With `multiLine`, the
+    # parser would go back to the file for the exact text of every number, one
+    # read each; a file that is a single line is parsed in memory.
+    rows = reader.schema(_texts(table)).option("lineSep", NOWHERE).json(path)
     return _typed(rows, table)
 
 

@@ -142,3 +142,19 @@ def test_unreadable_json_file_is_kept_whole(spark, folder):
     bronze = lake.read(spark, f"{folder}/bronze/delivery_events")
     assert drop_corrupt(bronze).count() == 0
     assert '[{"order_id": "o1"}' in bronze.where(F.col(CORRUPT).isNotNull()).first()[CORRUPT]
+
+
+def test_an_array_file_is_read_once(spark, folder):
+    """The exact text of a number isn't fetched from the file again."""
+    path, n = Path(folder, "a.json"), 3000
+    path.write_text("[" + ", ".join('{"order_id": 1.10, "event_type": {"a" : 1e2}, "latitude": %d}' % i for i in range(n)) + "]")
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in statistics.getAllStatistics())
+
+    before = bytes_read()
+    rows = raw.read_json(spark, str(path), RAW_TABLES["delivery_events"], lines=False).collect()
+    assert len(rows) == n and {(r.order_id, r.event_type) for r in rows} == {("1.10", '{"a" : 1e2}')}
+    assert sorted(r.latitude for r in rows) == list(range(n))
+    assert bytes_read() - before < 10 * path.stat().st_size
