@@ -17,9 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlake.session import scratch_path
+from courierlake.session import scratch_path, stored_bytes
 
 BRACE = "}"
+# Byte ranges may be small and many. A task takes as many as hold this much, as
+# long as there are tasks enough for all cores.
+BYTES_PER_TASK = 32 * 1024**2
+TASKS_PER_CORE = 4
 # A whole string, the rest of an open one, and a backslash that escapes the brace after the piece.
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.DOTALL)
 _REST = re.compile(r'(?:[^"\\]|\\.)*"', re.DOTALL)
@@ -51,9 +55,15 @@ def closed(state: State) -> State:
     return (inside, depth) if inside else (False, depth - 1)
 
 
+def _tasks(spark: SparkSession, path: str) -> int:
+    """Tasks that read what is below `path`, unless it has fewer ranges."""
+    wanted = -(-stored_bytes(spark, path) // BYTES_PER_TASK)
+    return max(wanted, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """file, its size, start (of the byte range), text up to the next brace; in order within a range."""
-    read = spark.read.option("lineSep", BRACE).text(path)
+    read = spark.read.option("lineSep", BRACE).text(path).coalesce(_tasks(spark, path))
     return read.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("size"),
@@ -163,8 +173,8 @@ def array_objects(spark: SparkSession, path: str) -> DataFrame:
     Commas and brackets between objects are dropped. Anything else there stays
     in front of the next object, and what a file holds after its last object, or
     an object that isn't closed, makes a record of its own: the parser will call
-    these corrupt. Ranges are cut by `spark.sql.files.maxPartitionBytes`; files
-    must not be compressed. Only objects that span ranges are shuffled; one
+    these corrupt. Ranges are cut by `spark.sql.files.maxPartitionBytes`, and
+    small ones share a task; files must not be compressed. Only objects that span ranges are shuffled; one
     object fits a task.
     """
     pieces = _pieces(spark, path)
@@ -188,6 +198,6 @@ def array_objects(spark: SparkSession, path: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written once below the shared folder: it is read several times."""
-    path = scratch_path(df.sparkSession, label)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).coalesce(_tasks(spark, path))

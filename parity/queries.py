@@ -250,19 +250,24 @@ def refund_shares_incomplete(v: Views) -> DataFrame:
 
 def bronze_events_json_array(v: Views) -> DataFrame:
     """Events from files that are one JSON array each, of a thousand orders."""
-    return _ingested_array(v)
+    return _ingested_array(v, _array_files(v))
 
 
-def _ingested_array(v: Views, split_arrays: bool = False) -> DataFrame:
+def _array_files(v: Views) -> str:
+    """The raw folder with the events' array files."""
     rows = _raw_rows(v, "delivery_events")
     file = F.floor(F.col("order_id").cast("bigint") / 1000)
     line = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
     arrays = rows.groupBy(file.alias("file")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(line), ","), F.lit("]")).alias("value")
     )
-    raw_path, bronze_path = scratch_path(v.spark, "raw"), scratch_path(v.spark, "bronze")
-    table = RAW_TABLES["delivery_events"]
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{raw_path}/{table.file}")
+    raw_path = scratch_path(v.spark, "raw")
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{raw_path}/{RAW_TABLES['delivery_events'].file}")
+    return raw_path
+
+
+def _ingested_array(v: Views, raw_path: str, split_arrays: bool = False) -> DataFrame:
+    bronze_path, table = scratch_path(v.spark, "bronze"), RAW_TABLES["delivery_events"]
     raw.ingest(
         v.spark, table, raw_path, bronze_path, "20010601_000000", json_lines=False, split_arrays=split_arrays
     )
@@ -278,8 +283,9 @@ def loaded_orders_by_day(v: Views) -> DataFrame:
 
 def bronze_events_split_array(v: Views) -> DataFrame:
     """As bronze_events_json_array, with several tasks per file."""
+    raw_path = _array_files(v)
     with setting(v.spark, "spark.sql.files.maxPartitionBytes", str(128 * 1024)):
-        return _ingested_array(v, split_arrays=True)
+        return _ingested_array(v, raw_path, split_arrays=True)
 
 
 def published_versions(v: Views) -> DataFrame:

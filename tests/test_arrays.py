@@ -69,3 +69,13 @@ def test_states_of_pieces():
     assert arrays.after('still "{', (True, 1)) == (False, 2)
     assert arrays.after('\\"still', (True, 1)) == (True, 1)
     assert arrays.closed((True, 1)) == (True, 1) and arrays.closed((False, 1)) == (False, 0)
+
+
+def test_small_ranges_share_tasks(spark, folder):
+    for i in range(60):
+        Path(folder, f"{i}.json").write_text(json.dumps(objects(10, i)))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "300"), setting(spark, "spark.sql.files.openCostInBytes", "1"):
+        tasks = arrays._pieces(spark, folder).rdd.getNumPartitions()
+        parts = arrays.array_objects(spark, folder)
+        assert tasks == arrays.TASKS_PER_CORE * spark.sparkContext.defaultParallelism < 60
+        assert parts.count() == 600
