@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from courierlake.plans import marts
 from courierlake.plans.staging import staged
 from courierlake.plans.timeline import delivery_timeline, rider_daily
-from courierlake.sources.lake import checkpointed
+from courierlake.session import scratch_path
 from courierlake.sources.schemas import schema_of
 from courierlake.streaming import events
 from courierlake.streaming.days import on_days, read_days, replace_days
@@ -77,8 +77,12 @@ def refresh(orders: DataFrame, store: events.EventStore, path: str, days: Iterab
     days = list(days)
     if not days:
         return
-    # Three figures are made of one timeline.
-    timeline, _ = checkpointed(day_timeline(orders, store, days))
+    # Three figures are made of one timeline. A checkpoint would run its last
+    # stage twice, once to count and once to write.
+    made_of = day_timeline(orders, store, days)
+    kept = scratch_path(orders.sparkSession, "timeline")
+    made_of.write.parquet(kept)
+    timeline = orders.sparkSession.read.schema(made_of.schema).parquet(kept)
     for name, (made, schema) in FIGURES.items():
         replace_days(made(timeline).select(*schema.names), f"{path}/{name}", DAY, days)
 
