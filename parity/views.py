@@ -79,30 +79,19 @@ class Views:
             _text("o_orderkey").alias("order_id"), _order_time().alias("order_ts")
         )
 
-    def raw_orders(self) -> DataFrame:
+    def _placed_orders(self) -> DataFrame:
+        """The columns that `_order_columns` reads."""
         customers = self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "delivered")
-            .when(F.col("o_orderstatus") == "P", "in_progress")
-            .when(F.col("o_orderstatus") == "O", "cancelled")
-        )
-        allowed = F.make_dt_interval(mins=(50 + F.col("o_custkey") % 20).cast("int"))
-        return (
-            self.table("orders")
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-            .select(
-                _text("o_orderkey").alias("order_id"),
-                _text("o_custkey").alias("customer_id"),
-                _restaurant("o_custkey").alias("restaurant_id"),
-                F.upper("n_name").alias("city"),
-                _order_time().alias("order_ts"),
-                (_order_time() + allowed).alias("promised_delivery_ts"),
-                status.alias("status"),
-                _quarters("o_totalprice").alias("order_value"),
-                F.col("o_orderpriority").alias("payment_mode"),
-            )
+        orders = self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        return orders.select(*self.table("orders").columns, "n_name")
+
+    def raw_orders(self) -> DataFrame:
+        return self._placed_orders().select(
+            *_order_columns(),
+            _quarters("o_totalprice").alias("order_value"),
+            F.col("o_orderpriority").alias("payment_mode"),
         )
 
     def raw_events(self) -> DataFrame:
@@ -110,7 +99,7 @@ class Views:
         lines = self.table("lineitem").select(
             _text("l_orderkey").alias("order_id"),
             F.when(F.col("l_linenumber") >= 5, _text("l_suppkey")).alias("rider_id"),
-            _pick(LINE_EVENTS).alias("event_type"),
+            "l_linenumber",
             F.make_dt_interval(mins=delay.cast("int")).alias("_delay"),
             (F.col("l_discount") * 10).alias("latitude"),
             (F.col("l_tax") * 10).alias("longitude"),
@@ -119,7 +108,7 @@ class Views:
         return _join_by_order(lines, self.order_times()).select(
             "order_id",
             "rider_id",
-            "event_type",
+            _pick(LINE_EVENTS).alias("event_type"),
             (F.col("order_ts") + F.col("_delay")).alias("event_ts"),
             "latitude",
             "longitude",
@@ -129,19 +118,20 @@ class Views:
 
     def bronze_events(self) -> DataFrame:
         """Events with defects: every 11th part an unknown type, some orders
-        unknown or missing, some riders lost."""
+        unknown or missing, some riders lost.
+
+        What follows from the order id or the line number is made after the
+        join, as in all these views: numbers are shuffled, not their names.
+        """
         part = F.col("_part")
         events = self.table("lineitem").select(
             _text("l_orderkey").alias("_order"),
-            F.when(F.col("l_partkey") % 13 == 0, F.concat(F.lit("lost-"), _text("l_orderkey")))
-            .when(F.col("l_partkey") % 17 == 0, None)
-            .otherwise(_text("l_orderkey"))
-            .alias("order_id"),
+            (F.col("l_partkey") % 13 == 0).alias("_lost"),
+            (F.col("l_partkey") % 17 == 0).alias("_missing"),
             F.when((F.col("l_linenumber") >= 5) & (F.col("l_partkey") % 7 > 0), _text("l_suppkey"))
             .alias("rider_id"),
-            F.when(F.col("l_partkey") % 11 == 0, "teleported")
-            .otherwise(_pick(LINE_EVENTS))
-            .alias("event_type"),
+            (F.col("l_partkey") % 11 == 0).alias("_teleported"),
+            "l_linenumber",
             (6 * F.col("l_linenumber") + F.col("l_partkey") % 31).cast("int").alias("_part"),
             (F.col("l_discount") * 10).alias("latitude"),
             (F.col("l_tax") * 10).alias("longitude"),
@@ -149,9 +139,12 @@ class Views:
         )
         times = self.order_times().select(F.col("order_id").alias("_order"), "order_ts")
         return events.join(times.hint("merge"), "_order").select(
-            "order_id",
+            F.when(F.col("_lost"), F.concat(F.lit("lost-"), "_order"))
+            .when(F.col("_missing"), None)
+            .otherwise(F.col("_order"))
+            .alias("order_id"),
             "rider_id",
-            "event_type",
+            F.when(F.col("_teleported"), "teleported").otherwise(_pick(LINE_EVENTS)).alias("event_type"),
             (F.col("order_ts") + F.make_dt_interval(mins=part)).alias("event_ts"),
             "latitude",
             "longitude",
@@ -166,38 +159,34 @@ class Views:
         by the order id: the versions of an order shall meet as they would in
         a stored log, in the shuffle of the deduplication.
         """
+        price = _quarters("l_extendedprice")
+        value = F.when(F.col("l_discount") == 0, -price).when(F.col("l_discount") == 0.01, 0.0).otherwise(price)
         lines = self.table("lineitem").select(
             "l_orderkey",
-            "l_linenumber",
-            "l_quantity",
-            "l_tax",
-            "l_discount",
-            _quarters("l_extendedprice").alias("price"),
+            (F.col("l_quantity") > 3).alias("_has_customer"),
+            (F.col("l_tax") > 0).alias("_has_payment"),
+            ((F.col("l_linenumber") == 7) & (F.col("l_tax") == 0.08)).alias("_corrupt"),
+            value.alias("order_value"),
             *_versions(),
         )
         untidy_city = F.concat(F.lit("  "), F.lower("city"), F.lit(" "))
-        value = (
-            F.when(F.col("l_discount") == 0, -F.col("price"))
-            .when(F.col("l_discount") == 0.01, 0.0)
-            .otherwise(F.col("price"))
+        orders = self._placed_orders().hint("merge")
+        placed = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            *lines.columns, *_order_columns(), F.col("o_orderpriority").alias("payment_mode")
         )
-        orders = self.raw_orders().withColumn("_key", F.col("order_id").cast("bigint"))
-        return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("_key")).select(
+        return placed.select(
             "order_id",
-            F.when(F.col("l_quantity") > 3, F.col("customer_id")).alias("customer_id"),
+            F.when(F.col("_has_customer"), F.col("customer_id")).alias("customer_id"),
             "restaurant_id",
             untidy_city.alias("city"),
             "order_ts",
             "promised_delivery_ts",
             F.concat(F.lit(" "), "status", F.lit(" ")).alias("status"),
-            value.alias("order_value"),
-            F.when(F.col("l_tax") > 0, F.concat(F.lit(" "), F.lower("payment_mode"))).alias(
+            "order_value",
+            F.when(F.col("_has_payment"), F.concat(F.lit(" "), F.lower("payment_mode"))).alias(
                 "payment_mode"
             ),
-            F.when(
-                (F.col("l_linenumber") == 7) & (F.col("l_tax") == 0.08),
-                F.concat_ws(",", "order_id", "status"),
-            ).alias("_corrupt_record"),
+            F.when(F.col("_corrupt"), F.concat_ws(",", "order_id", "status")).alias("_corrupt_record"),
             "_ingested_at",
             "_batch_id",
         )
@@ -332,6 +321,25 @@ def _join_by_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.hint("merge"), "order_id")
 
 
+def _order_columns():
+    """What the view of orders takes from an order, its customer and nation."""
+    status = (
+        F.when(F.col("o_orderstatus") == "F", "delivered")
+        .when(F.col("o_orderstatus") == "P", "in_progress")
+        .when(F.col("o_orderstatus") == "O", "cancelled")
+    )
+    allowed = F.make_dt_interval(mins=(50 + F.col("o_custkey") % 20).cast("int"))
+    return [
+        _text("o_orderkey").alias("order_id"),
+        _text("o_custkey").alias("customer_id"),
+        _restaurant("o_custkey").alias("restaurant_id"),
+        F.upper("n_name").alias("city"),
+        _order_time().alias("order_ts"),
+        (_order_time() + allowed).alias("promised_delivery_ts"),
+        status.alias("status"),
+    ]
+
+
 def _restaurant(key: str):
     """Every 40 customer keys in a row share a restaurant, so restaurants grow with the data."""
     return F.floor(F.col(key) / 40).cast("bigint").cast("string")

@@ -359,3 +359,26 @@ def test_refund_split_order(spark):
         "Cancellation",
         "Delay",
     ]
+
+
+def test_expectations_join_events_once(spark, folder, monkeypatch):
+    """The dimension is made from the stored fact."""
+    from parity.queries import queries
+    from parity.views import TEST_TABLES, Views
+
+    day, n = at("1996-05-01"), 60
+    rows = {
+        "nation": [(0, "PERU", 0)],
+        "customer": [(1, "c", 0, 5.0, "FOOD")],
+        "supplier": [(i, "s", 0, 1.0) for i in range(3)],
+        "orders": [(i, 1, "F", 8.0, day, "HIGH") for i in range(n)],
+        "lineitem": [(i, 22 + k, 1, k, 5.0, 8.0, 0.02, 0.01, "R", "O", day) for i in range(n) for k in range(1, 8)],
+        "conversations": [(1, 0, "user", "a"), (1, 1, "user", "b")],
+    }
+    for name, values in rows.items():
+        spark.createDataFrame(values, TEST_TABLES[name]).write.parquet(f"{folder}/{name}.parquet")
+    asked, timeline = [], Views.timeline
+    monkeypatch.setattr(Views, "timeline", lambda self: asked.append(1) or timeline(self))
+    found = {(r.table_name, r.check): r.violations for r in queries()["expectations"](spark, folder).collect()}
+    assert len(asked) == 1
+    assert len(found) == 18 and {check for check, off in found.items() if off} == {("stg_support_tickets", "unique ticket_id")}
