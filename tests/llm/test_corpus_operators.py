@@ -682,4 +682,4 @@ def test_next_documents(spark, awkward, nothing):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries()) == list(range(1, 14))
