@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from courierlake.llm.common import fold_bytes, id_and_text, label_fold, stored, with_number_id
-from courierlake.llm.phrases import Bits, bits_of
+from courierlake.llm.phrases import MOST_PARTITIONS, Bits, bits_of, bucket_of
 from courierlake.session import setting
 
 # Bytes of context, counting the mark of a word's start.
@@ -54,6 +54,10 @@ HOT_WORDS, ID_BITS = 200_000, 20
 # Successions after which a task counts what it has, rows it sends at once, texts it cuts
 # at once, and texts on either side of its pipe.
 GATHERED, SENT, AT_ONCE, BATCH_ROWS = 1_000_000, 100_000, 200, 1_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Occurrences of successions per bucket, buckets per task, one after the other, and packed rows
+# on either side of its pipe.
+BUCKET, TASK_BUCKETS, PACKED_ROWS = 300_000, 8, 200
 CACHED_RUNS = 300_000
 # Different words a counting task holds before it writes them out.
 HELD_WORDS = 150_000
@@ -301,36 +305,70 @@ def vocabulary(words: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     return Vocabulary(ids, numbered, others), n
 
 
-SUCCESSIONS = "code bigint, context bigint, symbol bigint, n int"
+SUCCESSIONS = "code bigint, context bigint, symbol bigint, n bigint"
+# What tasks send: the successions of a bucket, packed. Of numbered words ascending codes,
+# of others contexts and symbols; and their counts.
+SENT_SCHEMA = "bucket int, codes binary, symbols binary, counts binary"
 
 
-def _counted(codes: list[np.ndarray], pairs: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+def pack(numbers: np.ndarray) -> bytes:
+    """As many bytes of each number as the largest needs, the lowest first; the zeros of small
+    numbers stand together, which Spark's shuffle compresses away."""
+    width = max((int(numbers.max(initial=0)).bit_length() + 7) // 8, 1)
+    data = np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    return bytes([width]) + data[:, :width].T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    width = data[0]
+    packed = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    numbers = np.zeros((packed.shape[1], 8), np.uint8)
+    numbers[:, :width] = packed.T
+    return numbers.view("<u8").ravel()
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Rows of (key, others, n) with every key once, ascending."""
+    *columns, n = (np.concatenate(column) for column in zip(*parts))
+    order = np.argsort(columns[0], kind="stable")
+    key = columns[0][order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return (*(c[order[at]] for c in columns), np.add.reduceat(n[order], at) if len(at) else n)
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the keys of each bucket, in the keys' order."""
+    bucket = bucket_of(keys, buckets)
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    for i, j in zip(at, np.append(at, len(bucket))[1:]):
+        yield int(bucket[i]), order[i:j]
+
+
+def _counted(codes: list[np.ndarray], pairs: list[np.ndarray], buckets: int) -> Iterator[pd.DataFrame]:
     """Successions of numbered words by code, of others by context and symbol; the lists are emptied."""
+    rows = []
     if codes:
         code = np.concatenate(codes)
         codes.clear()
         code.sort()
         at = np.flatnonzero(np.append(True, code[1:] != code[:-1])[: len(code)])
-        n = np.diff(np.append(at, len(code))).astype(np.int32)
+        n = np.diff(np.append(at, len(code)))
         code = code[at]
-        for i in range(0, len(code), SENT):
-            yield pd.DataFrame({"code": code[i : i + SENT], "context": 0, "symbol": 0, "n": n[i : i + SENT]})
+        for bucket, mine in _by_bucket(code, buckets):
+            rows.append((bucket, pack(np.diff(code[mine], prepend=0)), None, pack(n[mine])))
     if pairs:
         keys = np.concatenate(pairs)
         pairs.clear()
-        mixed_keys = _mix(keys[:, 0], keys[:, 1])
-        order = np.argsort(mixed_keys)
-        mixed_keys = mixed_keys[order]
-        at = np.flatnonzero(np.append(True, mixed_keys[1:] != mixed_keys[:-1])[: len(order)])
-        n = np.diff(np.append(at, len(order))).astype(np.int32)
         # One occurrence of each tells context and symbol.
-        found = keys[order[at]].view(np.int64)
-        for i in range(0, len(n), SENT):
-            some = found[i : i + SENT]
-            yield pd.DataFrame({"code": -1, "context": some[:, 0], "symbol": some[:, 1], "n": n[i : i + SENT]})
+        key, context, symbol, n = _summed([(_mix(keys[:, 0], keys[:, 1]), keys[:, 0], keys[:, 1], np.ones(len(keys), np.int64))])
+        for bucket, mine in _by_bucket(key, buckets):
+            rows.append((bucket, pack(context[mine]), pack(symbol[mine]), pack(n[mine])))
+    yield pd.DataFrame(rows, columns=["bucket", "codes", "symbols", "counts"])
 
 
-def _gathering(gather: Callable[[Sequences, list, list], int], vocabulary: Callable[[], Vocabulary]):
+def _gathering(gather: Callable[[Sequences, list, list], int], vocabulary: Callable[[], Vocabulary], buckets: int):
     """A task that gathers successions and counts them whenever there are GATHERED of them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -340,19 +378,56 @@ def _gathering(gather: Callable[[Sequences, list, list], int], vocabulary: Calla
                 texts = [fold_bytes(t).split() for t in batch["text"].iloc[at : at + AT_ONCE]]
                 gathered += gather(vocabulary().sequences(texts), codes, pairs)
                 if gathered > GATHERED:
-                    yield from _counted(codes, pairs)
+                    yield from _counted(codes, pairs, buckets)
                     gathered = 0
-        yield from _counted(codes, pairs)
+        yield from _counted(codes, pairs, buckets)
 
     return run
 
 
-def _listed(counted: DataFrame) -> DataFrame:
-    sums = counted.groupBy("code", "context", "symbol").agg(F.sum("n").alias("n"))
-    return sums.where(F.col("n") >= LEAST_PAIRS)
+def _listed(sent: DataFrame, buckets: int) -> DataFrame:
+    """code, context, symbol, n of what occurs LEAST_PAIRS times in all.
 
+    A task holds one bucket at a time; buckets are as many as keep their
+    different successions below BUCKET.
+    """
 
-def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFrame:
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def out() -> Iterator[pd.DataFrame]:
+            for parts, numbered in ((codes, True), (pairs, False)):
+                if not parts:
+                    continue
+                *columns, n = _summed(parts)
+                often = np.flatnonzero(n >= LEAST_PAIRS)
+                for at in range(0, len(often), SENT):
+                    some = often[at : at + SENT]
+                    code, context, symbol = (columns[0][some], 0, 0) if numbered else (-1, *(c[some].view(np.int64) for c in columns[1:]))
+                    yield pd.DataFrame({"code": code, "context": context, "symbol": symbol, "n": n[some]})
+
+        current, codes, pairs, size, limit = None, [], [], 0, 2 * BUCKET
+        for batch in batches:
+            for bucket, packed, symbols, counts in zip(*(batch[c] for c in ("bucket", "codes", "symbols", "counts"))):
+                if bucket != current:
+                    yield from out()
+                    current, codes, pairs, size, limit = bucket, [], [], 0, 2 * BUCKET
+                n = unpack(counts).view(np.int64)
+                if symbols is None:
+                    codes.append((np.cumsum(unpack(packed).view(np.int64)), n))
+                else:
+                    context, symbol = unpack(packed), unpack(symbols)
+                    pairs.append((_mix(context, symbol), context, symbol, n))
+                size += len(n)
+                if size > limit:
+                    codes, pairs = ([_summed(parts)] if parts else [] for parts in (codes, pairs))
+                    size = sum(len(parts[0][0]) for parts in (codes, pairs) if parts)
+                    limit = 2 * max(size, BUCKET)
+        yield from out()
+
+    dealt = sent.repartition(min(-(-buckets // TASK_BUCKETS), MOST_PARTITIONS), "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInPandas(add_up, SUCCESSIONS)
+
+
+def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary], buckets: int) -> DataFrame:
     """Words after one word, from LEAST_PAIRS occurrences on."""
 
     def gather(found: Sequences, codes: list, pairs: list) -> int:
@@ -365,10 +440,11 @@ def pair_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFrame:
         pairs.append(np.stack([found.names[i - 1], found.names[i]], axis=1))
         return len(both)
 
-    return _listed(docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value), SUCCESSIONS))
+    sent = docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value, buckets), SENT_SCHEMA)
+    return _listed(sent, buckets)
 
 
-def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], coded: Bits, named: Bits) -> DataFrame:
+def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], coded: Bits, named: Bits, buckets: int) -> DataFrame:
     """Words after two words, from LEAST_PAIRS occurrences on; the bits tell which pairs may be listed."""
     bits = docs.sparkSession.sparkContext.broadcast((coded, named))
 
@@ -391,13 +467,14 @@ def triple_counts(docs: DataFrame, shared: Broadcast[Vocabulary], coded: Bits, n
         pairs.append(np.stack([_mix(names[other - 2], names[other - 1]), names[other]], axis=1))
         return len(i)
 
-    return _listed(docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value), SUCCESSIONS))
+    sent = docs.select("text").mapInPandas(_gathering(gather, lambda: shared.value, buckets), SENT_SCHEMA)
+    return _listed(sent, buckets)
 
 
-def succession_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFrame:
+def succession_counts(docs: DataFrame, shared: Broadcast[Vocabulary], tokens: int = 0) -> DataFrame:
     """order (1 or 2), context, symbol, n: words after one and after two words, by
-    their names, from LEAST_PAIRS occurrences on, however the texts are split."""
-    spark = docs.sparkSession
+    their names, from LEAST_PAIRS occurrences on, however the texts of `tokens` words and ends are split."""
+    spark, buckets = docs.sparkSession, tokens // BUCKET + 1
     names = shared.value.names.view(np.int64)
     numbered = stored(
         spark.createDataFrame(pd.DataFrame({"id": np.arange(len(names)), "name": names}), "id bigint, name bigint"), "names"
@@ -409,11 +486,13 @@ def succession_counts(docs: DataFrame, shared: Broadcast[Vocabulary]) -> DataFra
         table = F.broadcast(numbered.select(F.col("id").alias("_id"), F.col("name").alias(f"w{place}")))
         return rows.withColumn("_id", number).join(table, "_id").drop("_id")
 
-    ones = stored(pair_counts(docs, shared), "pairs")
+    with setting(spark, ARROW_ROWS, str(PACKED_ROWS)):
+        ones = stored(pair_counts(docs, shared, buckets), "pairs")
     coded, plain = ones.where("code >= 0"), ones.where("code < 0")
     by_code = bits_of(coded.select(F.col("code").alias("name")), coded.count())
     by_name = bits_of(plain.select(mixed("context", "symbol").alias("name")), plain.count())
-    twos = stored(triple_counts(docs, shared, by_code, by_name), "triples")
+    with setting(spark, ARROW_ROWS, str(PACKED_ROWS)):
+        twos = stored(triple_counts(docs, shared, by_code, by_name, buckets), "triples")
     one = named(named(coded, 1, 2), 2, 2).select(F.lit(1).alias("order"), F.col("w1").alias("context"), F.col("w2").alias("symbol"), "n")
     two = named(named(named(twos.where("code >= 0"), 1, 3), 2, 3), 3, 3)
     two = two.select(F.lit(2).alias("order"), mixed("w1", "w2").alias("context"), F.col("w3").alias("symbol"), "n")
@@ -565,7 +644,7 @@ def fit(
 
     numbered, n = vocabulary(words)
     shared = train.sparkSession.sparkContext.broadcast(numbered)
-    found = stored(succession_counts(train, shared), "successions")
+    found = stored(succession_counts(train, shared, n_train), "successions")
     ends = train.sparkSession.createDataFrame([(END_NAME, texts), (START_NAME, texts)], "name bigint, n bigint")
     own = F.log10((F.col("n") + 1) * F.lit(scale))
     terms = tree_terms(found, words.select("name", "n").union(ends), own)
@@ -585,7 +664,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     as their end alone; repeated rows count as often as they occur and score
     alike. Columns other than doc_id and text are not looked at.
     """
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
+    with setting(docs.sparkSession, ARROW_ROWS, str(BATCH_ROWS)):
         return _score_texts(docs, folds, held)
 
 

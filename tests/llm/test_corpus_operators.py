@@ -317,6 +317,28 @@ def test_successions_are_listed_alike_at_every_size(spark):
     assert model.terms.find(~second)[0][0] and model.terms.find(lm._mix(second, third))[0][0]
 
 
+def test_successions_travel_packed(spark, monkeypatch):
+    """A task sends a row per bucket, not one per succession, and buckets add up whatever their number."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"v{i}" for i in rng.integers(0, 60, 400)) for _ in range(20)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    for numbered in (200_000, 20):
+        monkeypatch.setattr(lm, "HOT_WORDS", numbered)
+        shared = shared_words(spark, docs)
+        found = []
+        for size in (10**6, 500):
+            monkeypatch.setattr(lm, "BUCKET", size)
+            counts = lm.succession_counts(docs, shared, 20 * 401)
+            found.append(sorted(tuple(r) for r in counts.collect()))
+        assert found[0] == found[1] and len(found[0]) > 500
+    ids = np.arange(10_000)
+    pairs = np.stack([ids.astype(np.uint64), ids.astype(np.uint64)], axis=1)
+    sent = pd.concat(lm._counted([ids, ids], [pairs], 4))
+    assert len(sent) == 8 and sorted(sent["bucket"]) == [0, 0, 1, 1, 2, 2, 3, 3]
+    whole = [lm.unpack(b) for b in sent["counts"]]
+    assert sum(int(n.sum()) for n in whole) == 30_000 and max(len(b) for b in sent["counts"]) < 10_000
+
+
 def test_spelling_is_a_distribution(spark):
     words = spark.createDataFrame([(b"abc", 50), (b"abd", 30), (b"xyz", 25)], "word binary, n bigint")
     tree = lm.spelling_tree(words, 400)
