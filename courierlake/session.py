@@ -98,7 +98,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A runtime setting for the actions inside the block."""
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
         yield

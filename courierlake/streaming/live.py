@@ -7,13 +7,24 @@ no event. Pairs are appended; the timeline pivots them when read.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from courierlake.plans.timeline import ORDER_COLUMNS, delivery_timeline
+from courierlake.session import setting
 
 ORDER_HOURS, DELAY_HOURS = 48, 48
+# What waits lies on the executors' disks, in one store per partition. The default keeps it on
+# the heap, in four stores per partition that are loaded and written one by one.
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
 EVENT_COLUMNS = ("rider_id", "event_type", "event_ts")
 
 
@@ -38,17 +49,22 @@ def order_event_pairs(
 def follow(pairs: DataFrame, path: str, checkpoint: str) -> list[dict]:
     """Append the pairs that can be told by now; the progress of every batch.
 
-    The file sink's log makes each batch count once, whatever fails.
+    The file sink's log makes each batch count once, whatever fails. The first
+    call decides how `checkpoint` keeps its state; a log that began with other
+    settings goes on with those.
     """
-    query = (
-        pairs.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with ExitStack() as settings:
+        for key, value in STATE_SETTINGS.items():
+            settings.enter_context(setting(pairs.sparkSession, key, value))
+        query = (
+            pairs.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return [progress if isinstance(progress, dict) else progress.__dict__ for progress in query.recentProgress]
 
 

@@ -195,3 +195,19 @@ def test_live_timeline_of_closed_orders(spark, folder):
     closed = F.col("order_id").startswith("o")
     assert rows_of(timeline.where(closed)) == rows_of(expected.where(closed).select(*timeline.columns))
     assert timeline.where("order_id = 'o2' AND delivered_ts IS NULL").count() == 1
+
+
+def test_what_waits_lies_in_one_store_per_partition(spark, folder):
+    """Not on the heap, so that the orders of a batch need not fit there."""
+    given = staged_orders(spark, {"order_id": "o1", "order_ts": at("2026-01-15 10:00:00")})
+    given.write.parquet(f"{folder}/orders")
+    event_table(spark, ("o1", "delivered", "2026-01-15 10:30:00")).write.parquet(f"{folder}/happened")
+    pairs = live.order_event_pairs(
+        spark.readStream.schema(given.schema).parquet(f"{folder}/orders"),
+        spark.readStream.schema(EVENTS.schema).parquet(f"{folder}/happened"),
+    )
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    operator = live.follow(pairs, f"{folder}/pairs", f"{folder}/log")[-1]["stateOperators"][0]
+    assert operator["numStateStoreInstances"] == operator["numShufflePartitions"]
+    assert any(name.startswith("rocksdb") for name in operator["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
