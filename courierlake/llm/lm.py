@@ -54,6 +54,7 @@ HOT_WORDS, ID_BITS = 200_000, 20
 # Successions after which a task counts what it has, rows it sends at once, texts it cuts
 # at once, and texts on either side of its pipe.
 GATHERED, SENT, AT_ONCE, BATCH_ROWS = 1_000_000, 100_000, 200, 1_000
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Occurrences of successions per bucket, buckets per task, one after the other, and packed rows
 # on either side of its pipe.
@@ -567,17 +568,20 @@ def tree_terms(found: DataFrame, counts: DataFrame, own: Column) -> DataFrame:
 
 @dataclass
 class Terms:
-    """The most frequent terms by key, ascending, and bits of the keys of all."""
+    """The most frequent terms by key, ascending, and bits of the keys of all, twice: a key
+    that is no term passes both in vain once in 60 times, one of them once in 8."""
 
     keys: np.ndarray
     values: np.ndarray
     bits: Bits
+    again: Bits
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Is the key held here, its value (else 0), and may it be in the table."""
         known, values, may = np.zeros(len(keys), bool), np.zeros(len(keys)), np.zeros(len(keys), bool)
         if self.bits.size:
             hit = np.flatnonzero(self.bits.marked(keys.view(np.int64)))
+            hit = hit[self.again.marked(_mix(keys[hit], np.uint64(0)).view(np.int64))]
             may[hit] = True
             if len(self.keys) and len(hit):
                 asked = keys[hit]
@@ -600,10 +604,12 @@ def split_terms(terms: DataFrame) -> Terms:
             break
         least = row["size"]
     hot = terms.where(size >= F.lit(float(least))).select("key", "value").toArrow()
-    bits = bits_of(terms.select(F.col("key").alias("name")), sum(row["n"] for row in found))
+    count = sum(row["n"] for row in found)
+    bits = bits_of(terms.select(F.col("key").alias("name")), count)
+    again = bits_of(terms.select(mixed("key", F.lit(0).cast("bigint")).alias("name")), count)
     keys = hot["key"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Terms(keys[order], hot["value"].to_numpy().astype(float)[order], bits)
+    return Terms(keys[order], hot["value"].to_numpy().astype(float)[order], bits, again)
 
 
 @dataclass
@@ -664,7 +670,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     as their end alone; repeated rows count as often as they occur and score
     alike. Columns other than doc_id and text are not looked at.
     """
-    with setting(docs.sparkSession, ARROW_ROWS, str(BATCH_ROWS)):
+    # Each step is written: what it shuffled is of no use to the next and would only fill disks.
+    with setting(docs.sparkSession, ARROW_ROWS, str(BATCH_ROWS)), setting(docs.sparkSession, FILE_CLEANUP, "true"):
         return _score_texts(docs, folds, held)
 
 

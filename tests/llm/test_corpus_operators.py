@@ -339,6 +339,15 @@ def test_successions_travel_packed(spark, monkeypatch):
     assert sum(int(n.sum()) for n in whole) == 30_000 and max(len(b) for b in sent["counts"]) < 10_000
 
 
+def test_few_keys_are_looked_up_in_vain(spark):
+    keys = np.random.default_rng(12).integers(-(2**62), 2**62, 40_000)
+    rows = pd.DataFrame({"key": keys[:20_000], "value": 1.0, "n": 5})
+    terms = lm.split_terms(spark.createDataFrame(rows, "key bigint, value double, n bigint"))
+    known, values, may = terms.find(keys.view(np.uint64))
+    assert known[:20_000].all() and (values[:20_000] == 1).all() and not known[20_000:].any()
+    assert may[20_000:].sum() < 20_000 / 30
+
+
 def test_spelling_is_a_distribution(spark):
     words = spark.createDataFrame([(b"abc", 50), (b"abd", 30), (b"xyz", 25)], "word binary, n bigint")
     tree = lm.spelling_tree(words, 400)
