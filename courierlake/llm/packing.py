@@ -15,11 +15,13 @@ numbers the pieces of each length and looks up their places.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
 from itertools import count
+from string import punctuation
 from unicodedata import is_normalized
 
 import numpy as np
@@ -40,18 +42,20 @@ STEP = 1.0
 NUMBER_GROUPS = 64
 # Distinct words a Python worker keeps the ids of, about 130 MB.
 CACHED_WORDS = 600_000
+# Further ones it keeps until there are as many.
+LATE_WORDS = 100_000
 
 PIECES = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class WordIds:
-    """Token ids of texts, word by word.
+class WordIds(dict):
+    """Token ids of texts, word by word; a dictionary of the words met so far.
 
     The tokenizer folds case, drops white space and never joins what white
-    space parts, so the ids of a text are those of its words. A full stop or
-    comma after a letter and before white space is a word of its own to the
-    tokenizer, so splitting it off first changes nothing and leaves fewer
-    different words. Ids are kept as bytes of little-endian 32-bit integers.
+    space parts, so the ids of a text are those of its words. Neither does it
+    join letters, digits and other characters: most words are put together from
+    such pieces, which the model spells itself. Ids are kept as bytes of
+    little-endian 32-bit integers.
     """
 
     # Special tokens are found in the raw text; texts with anything like them
@@ -62,59 +66,69 @@ class WordIds:
     SPELLED = {
         b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])
     }
+    # How the tokenizer cuts a printable lower-case ASCII word.
+    PRINTABLE = re.compile(rb"[!-@\[-~]+")
+    CUT = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    MARKS = punctuation.encode()
+    # Letters below this one are lower-cased one by one, as the tokenizer does.
+    LATIN = "\u0250"
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[bytes, bytes] = {}
-        self.marks = {m: self._whole(m) for m in (b".", b",")}
+        self.spell = self.tokenizer.model.tokenize
+        # What is met once there are CACHED_WORDS, for as long as there is room.
+        self.late: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        """Ids of a word that isn't held."""
+        ids = self.late.get(word)
+        if ids is None:
+            ids = self._new(word)
+            if len(self) < CACHED_WORDS:
+                self[word] = ids
+            else:
+                if len(self.late) >= LATE_WORDS:
+                    self.late.clear()
+                self.late[word] = ids
+        return ids
 
     def _whole(self, text: bytes) -> bytes:
         found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
         return np.asarray(found.ids, "<u4").tobytes()
 
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not known yet; plain ones come from the model itself."""
-        ids, other, marked = {}, [], []
-        for w in words:
-            if w[-1:] in (b".", b",") and w[:-1].isalpha():
-                marked.append(w)
-            elif (found := self._letters(w)) is not None:
-                ids[w] = found
-            else:
-                other.append(w)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
-        for w, e in zip(other, found):
-            ids[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for w in marked:
-            stem = w[:-1]
-            ids[w] = (self.known.get(stem) or ids.get(stem) or self._letters(stem)) + self.marks[w[-1:]]
-        return ids
-
-    def _letters(self, word: bytes) -> bytes | None:
-        """Ids of a lower-case word of letters only; None for any other word."""
+    def _new(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._spelled(word.decode())
+        if word.isascii():
+            if not self.PRINTABLE.fullmatch(word):
+                return self._whole(word)
+            pieces = self.CUT.findall(word)
+            return b"".join(map(self._piece, pieces)) if len(pieces) > 1 else self._spelled(word.decode())
+        stem = word.rstrip(self.MARKS)
+        if len(stem) < len(word) and stem.decode()[-1].lower().isalpha():
+            # Marks that follow a letter are a piece of their own.
+            return self._piece(stem) + self[word[len(stem) :]]
         text = word.decode()
-        if not text.isalpha() or not (text.isascii() or (text == text.lower() and is_normalized("NFC", text))):
-            return None
-        spelled = text if text.isascii() else word.decode("latin-1").translate(self.SPELLED)
-        tokens = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        if text.isalpha() and is_normalized("NFC", text):
+            folded = text.lower()
+            if folded == text or (max(text) < self.LATIN and folded.isalpha()):
+                return self._spelled(folded.encode().decode("latin-1").translate(self.SPELLED))
+        return self._whole(word)
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a part of a word; only short ones are worth a place among the words."""
+        return (self.get(piece) or self._new(piece)) if len(piece) > 3 else self[piece]
+
+    def _spelled(self, text: str) -> bytes:
+        tokens = [t.id for t in self.spell(text)]
         return struct.pack(f"<{len(tokens)}I", *tokens)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        known = self.known
-        words = [[] if self.SPECIAL in t else t.lower().split() for t in texts]
-        found = [list(map(known.get, ws)) for ws in words]
-        new = list({w for ws, ids in zip(words, found) if None in ids for w, i in zip(ws, ids) if i is None})
-        if new:
-            fresh = self._new(new)
-            found = [
-                [fresh[w] if i is None else i for w, i in zip(ws, ids)] if None in ids else ids
-                for ws, ids in zip(words, found)
-            ]
-            if len(known) < CACHED_WORDS:
-                known.update(fresh)
-        return [self._whole(t) if self.SPECIAL in t else b"".join(ids) for t, ids in zip(texts, found)]
+        ids = self.__getitem__
+        return [self._whole(t) if self.SPECIAL in t else b"".join(map(ids, t.lower().split())) for t in texts]
 
 
 _ENCODERS: dict[str, WordIds] = {}

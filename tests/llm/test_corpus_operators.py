@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -558,6 +559,24 @@ def test_word_ids_equal_the_tokenizer():
         assert encoder.encode([text.encode()])[0] == np.asarray(ids, "<u4").tobytes()
 
 
+def test_words_are_put_together_from_their_pieces(monkeypatch):
+    """Only words with anything unusual in them cost a call of the whole tokenizer."""
+    words = ["plain", "It's", "so,", "x.%%%", "Éa", "ñandú&&&", "a1b22", "straße.", "'tis", "é'", "İ.", "ß²"]
+    encoder = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [encoder._whole(w.encode()) for w in words]
+    asked = []
+    whole = encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda text: asked.append(text) or whole(text))
+    assert encoder.encode([w.encode() for w in words]) == expected
+    assert {w.decode() for w in asked} == {"İ.", "ß²"}
+    # With no room to keep words, the ids are the same.
+    monkeypatch.setattr(packing, "CACHED_WORDS", 2)
+    monkeypatch.setattr(packing, "LATE_WORDS", 2)
+    encoder.clear()
+    assert [encoder.encode([w.encode()])[0] for w in words * 2] == expected * 2
+    assert len(encoder) <= 2 and len(encoder.late) <= 2
+
+
 def test_plan_packs_the_histogram():
     rng = np.random.default_rng(9)
     for scale in (1, 40):
