@@ -18,11 +18,13 @@ from courierlake.session import setting
 
 ORDER_HOURS, DELAY_HOURS = 48, 48
 # What waits lies on the executors' disks, in one store per partition. The default keeps it on
-# the heap, in four stores per partition that are loaded and written one by one.
+# the heap, in four stores per partition that are loaded and written one by one. Every batch leaves
+# its stores as files, the new ones only: a log of changes would be played back by each call, from
+# the first batch on.
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 EVENT_COLUMNS = ("rider_id", "event_type", "event_ts")

@@ -393,7 +393,11 @@ def live_timeline(v: Views) -> DataFrame:
     """Orders and events as two streams in three drops, and two later orders that close them all."""
     path = scratch_path(v.spark, "live")
     orders, events = v.orders(), v.events().select("order_id", "rider_id", "event_type", "event_ts")
-    placed = events.join(orders.select("order_id", "order_ts"), "order_id")
+    # Events come with the drop of their order: joined once, as a drop is a part of all.
+    dealt = orders.select("order_id", _drop_of("order_ts").alias("_drop"))
+    placed = events.join(dealt, "order_id")
+    placed.write.partitionBy("_drop").parquet(f"{path}/placed")
+    placed = v.spark.read.schema(placed.schema).parquet(f"{path}/placed")
     ticks = [
         orders.limit(1).withColumns(
             {"order_id": F.lit("tick"), "order_ts": F.lit(f"{year}-01-01").cast("timestamp_ntz")}
@@ -401,7 +405,7 @@ def live_timeline(v: Views) -> DataFrame:
         for year in (2100, 2200)
     ]
     drops = [
-        (orders.where(_drop_of("order_ts") == d), placed.where(_drop_of("order_ts") == d).drop("order_ts"))
+        (orders.where(_drop_of("order_ts") == d), placed.where(F.col("_drop") == d).drop("_drop"))
         for d in range(3)
     ]
     tick_events = [
