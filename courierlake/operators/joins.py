@@ -42,6 +42,27 @@ def flag_orphans(events: DataFrame, orders: DataFrame | None) -> DataFrame:
     )
 
 
+def unknown_ids(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """The order ids of events that `orders` lacks, each once and never NULL."""
+    ids = events.select("order_id").where(F.col("order_id").isNotNull()).distinct()
+    return ids.join(orders.select("order_id").distinct(), "order_id", "left_anti")
+
+
+def flag_unknown(events: DataFrame, unknown: DataFrame) -> DataFrame:
+    """As :func:`flag_orphans`, from the stored `unknown_ids`.
+
+    Ids are shuffled instead of events: what is stored has a size, so a few
+    unknown ids are broadcast, and many are joined.
+    """
+    found = unknown.withColumn("_unknown", F.lit(True))
+    orphan = F.when(F.col("order_id").isNotNull(), F.col("_unknown").isNotNull())
+    return (
+        events.join(found, "order_id", "left")
+        .withColumn("_dq_orphan_order", orphan)
+        .drop("_unknown")
+    )
+
+
 def orphan_events(events: DataFrame, orders: DataFrame) -> DataFrame:
     """The events whose order id is set but unknown."""
     return events.where(F.col("order_id").isNotNull()).join(

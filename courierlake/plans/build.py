@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courierlake.plans import core, insights, marts, quality, silver
 from courierlake.plans.staging import STAGED_COLUMNS, staged
-from courierlake.plans.timeline import delivery_timeline, order_refunds
-from courierlake.session import setting, shuffle_width, stored_bytes
+from courierlake.plans.timeline import order_milestones, order_refunds, with_outcome
+from courierlake.session import scratch_path, setting, shuffle_width, stored_bytes, unless_given
 from courierlake.sources import lake, raw
 from courierlake.sources.schemas import RAW_TABLES
 
@@ -24,9 +24,18 @@ def build_silver(
     def bronze(name: str) -> DataFrame:
         return lake.read(spark, f"{bronze_path}/{name}")
 
-    lake.write(silver.silver_orders(bronze("orders"), as_of), f"{silver_path}/orders", "order_date")
     lake.write(
-        silver.silver_events(bronze("delivery_events"), bronze("orders")),
+        silver.latest_orders(bronze("orders")),
+        f"{silver_path}/orders",
+        "order_date",
+        finish=lambda rows: silver.finish_orders(rows, as_of),
+    )
+    ids = silver.unknown_orders(bronze("delivery_events"), bronze("orders"))
+    ids_path = scratch_path(spark, "unknown-orders")
+    lake.write(ids, ids_path)
+    unknown = spark.read.schema(ids.schema).parquet(ids_path)
+    lake.write(
+        silver.silver_events(bronze("delivery_events"), bronze("orders"), unknown),
         f"{silver_path}/delivery_events",
     )
     for name in SIMPLE_TABLES:
@@ -57,18 +66,26 @@ def build_models(
     tables: dict[str, DataFrame] = {}
 
     def publish(
-        name: str, df: DataFrame, as_: str = "table", partition_by: str | None = None
+        name: str,
+        df: DataFrame,
+        as_: str = "table",
+        partition_by: str | None = None,
+        finish: lake.Finish | None = None,
     ) -> None:
         full_name = name if as_ == "view" else f"{database}.{name}"
-        tables[name] = lake.publish(df, full_name, as_, partition_by)
+        tables[name] = lake.publish(df, full_name, as_, partition_by, finish)
 
     publish("time_slots", lake.time_slots(spark))
     for name in STAGED_COLUMNS:
         publish(f"stg_{name}", staged(name, spark.table(f"{database}.{name}")), "view")
     orders, refunds = tables["stg_orders"], tables["stg_refunds"]
 
-    facts = core.fct_orders(delivery_timeline(orders, tables["stg_delivery_events"]))
-    publish("fct_orders", facts, partition_by="order_date")
+    publish(
+        "fct_orders",
+        order_milestones(orders, tables["stg_delivery_events"]),
+        partition_by="order_date",
+        finish=lambda rows: core.fct_orders(with_outcome(rows)),
+    )
     fact = tables["fct_orders"]
     publish("dim_restaurants", core.dim_restaurants(tables["stg_restaurants"], fact))
     publish("dim_riders", core.dim_riders(tables["stg_riders"]))
@@ -126,7 +143,8 @@ def run(
     and `refund_shares_off`.
     """
     width = shuffle_width(spark, stored_bytes(spark, raw_path))
-    with setting(spark, "spark.sql.shuffle.partitions", str(width)):
+    codec = unless_given(spark, "spark.sql.parquet.compression.codec", "zstd")
+    with setting(spark, "spark.sql.shuffle.partitions", str(width)), codec:
         bronze_path, silver_path = f"{lake_path}/bronze", f"{lake_path}/silver"
         raw.ingest_all(spark, raw_path, bronze_path, json_lines=json_lines)
         report = build_silver(spark, bronze_path, silver_path, as_of)

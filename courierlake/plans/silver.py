@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courierlake import functions as fn
-from courierlake.operators.joins import flag_orphans
+from courierlake.operators.joins import flag_orphans, flag_unknown, unknown_ids
 from courierlake.operators.latest import latest_rows
 from courierlake.sources.schemas import CORRUPT, RAW_TABLES
 
@@ -64,21 +64,34 @@ def flag_missing_promise(orders: DataFrame) -> DataFrame:
     return orders.withColumn("_dq_missing_promised_ts", fn.missing_promised_time())
 
 
-def silver_orders(bronze: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+def latest_orders(bronze: DataFrame) -> DataFrame:
+    """The readable orders with their day, all else of silver follows from the row."""
     rows = latest_rows(drop_corrupt(bronze), RAW_TABLES["orders"].key)
+    return rows.withColumn("order_date", F.col("order_ts").cast("date"))
+
+
+def finish_orders(rows: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     return flag_orders(add_order_calendar(normalise_orders(rows)), as_of)
 
 
-def silver_events(bronze: DataFrame, bronze_orders: DataFrame | None) -> DataFrame:
+def silver_orders(bronze: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+    return finish_orders(latest_orders(bronze), as_of)
+
+
+def silver_events(
+    bronze: DataFrame, bronze_orders: DataFrame | None, unknown: DataFrame | None = None
+) -> DataFrame:
     """Deduplicated events with flags.
 
     Deduplication comes before the orphan join on purpose. Joining first would
     save a shuffle, as the join's partitioning by order also serves the window,
     but then all copies of one event would meet in one task before any of them
     is dropped. This way map tasks drop copies before the first shuffle.
+    With `unknown`, the stored ids of `unknown_orders`, these tell the orphans.
     """
     rows = latest_rows(drop_corrupt(bronze), RAW_TABLES["delivery_events"].key)
-    return flag_orphans(rows, bronze_orders).withColumns(
+    flagged = flag_orphans(rows, bronze_orders) if unknown is None else flag_unknown(rows, unknown)
+    return flagged.withColumns(
         {
             "_dq_invalid_event_type": fn.invalid_event_type(),
             "_dq_missing_rider": fn.missing_rider(),
@@ -86,6 +99,11 @@ def silver_events(bronze: DataFrame, bronze_orders: DataFrame | None) -> DataFra
     )
 
 
+def unknown_orders(bronze_events: DataFrame, bronze_orders: DataFrame) -> DataFrame:
+    """Order ids of readable events that no order has."""
+    return unknown_ids(drop_corrupt(bronze_events), bronze_orders)
+
+
 def silver_simple(bronze: DataFrame, key: Sequence[str]) -> DataFrame:
     return latest_rows(drop_corrupt(bronze), key)
 

@@ -45,32 +45,40 @@ def event_milestones(events: DataFrame) -> DataFrame:
     )
 
 
-def delivery_timeline(orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Every staged order with its milestones, durations and SLA outcome.
+def order_milestones(orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Every staged order with its milestones.
 
-    Without a promised time a delivered order counts as not breached, while
-    its breach minutes stay NULL. Events that feed neither a milestone nor the
-    rider are filtered out at the scan: the left join can't tell a row of NULLs
-    from no row.
+    Events that feed neither a milestone nor the rider are filtered out at the
+    scan: the left join can't tell a row of NULLs from no row.
     """
     feeds = F.col("event_type").isin(*MILESTONES.values()) | F.col("rider_id").isNotNull()
+    return orders.select(*ORDER_COLUMNS).join(event_milestones(events.where(feeds)), "order_id", "left")
+
+
+def with_outcome(milestones: DataFrame) -> DataFrame:
+    """Durations and SLA outcome of the orders.
+
+    Without a promised time a delivered order counts as not breached, while
+    its breach minutes stay NULL.
+    """
     delivered, promised = F.col("delivered_ts"), F.col("promised_delivery_ts")
     breached = F.coalesce(delivered > promised, F.lit(False))
-    return (
-        orders.select(*ORDER_COLUMNS)
-        .join(event_milestones(events.where(feeds)), "order_id", "left")
-        .withColumns(
-            {
-                "prep_time_minutes": minutes_between("accepted_ts", "food_ready_ts"),
-                "delivery_time_minutes": minutes_between("picked_up_ts", "delivered_ts"),
-                "total_time_minutes": minutes_between("order_ts", "delivered_ts"),
-                "is_sla_breached": F.when(delivered.isNotNull(), breached),
-                "sla_breach_minutes": minutes_between(promised, delivered),
-            }
-        )
+    return milestones.withColumns(
+        {
+            "prep_time_minutes": minutes_between("accepted_ts", "food_ready_ts"),
+            "delivery_time_minutes": minutes_between("picked_up_ts", "delivered_ts"),
+            "total_time_minutes": minutes_between("order_ts", "delivered_ts"),
+            "is_sla_breached": F.when(delivered.isNotNull(), breached),
+            "sla_breach_minutes": minutes_between(promised, delivered),
+        }
     )
 
 
+def delivery_timeline(orders: DataFrame, events: DataFrame) -> DataFrame:
+    """Every staged order with its milestones, durations and SLA outcome."""
+    return with_outcome(order_milestones(orders, events))
+
+
 def order_refunds(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     """Staged orders with their refunds; one row per refund, or one without any."""
     reason = F.col("refund_reason")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -95,6 +95,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def unless_given(spark: SparkSession, key: str, value: str) -> AbstractContextManager[None]:
+    """A runtime setting for the actions inside the block; one of the application wins."""
+    return nullcontext() if spark.sparkContext.getConf().contains(key) else setting(spark, key, value)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A runtime setting for the actions inside the block."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from contextlib import AbstractContextManager
 
 from pyspark.errors import AnalysisException
@@ -18,6 +18,8 @@ from courierlake.sources.schemas import TIME_SLOTS, TIME_SLOTS_SCHEMA
 
 log = logging.getLogger(__name__)
 
+Finish = Callable[[DataFrame], DataFrame]
+
 # Tables with few rows per order, which buckets need.
 BUCKETED = ("orders", "delivery_events")
 
@@ -55,15 +57,30 @@ def whole_width(spark: SparkSession) -> AbstractContextManager[None]:
     return setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
-def write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
-    """Overwrite `path` with `df`; returns the rows written."""
-    if partition_by is None:
-        rows, seen = counted(df)
-        rows.write.mode("overwrite").parquet(path)
-    else:
-        rows, seen = counted(by_partition(df, partition_by))
-        with whole_width(df.sparkSession):
-            rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """The shuffle files of a write go when it ends. Else they stay on the executors' disks
+    until the driver happens to collect its memory, while later writes add theirs."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def write(
+    df: DataFrame, path: str, partition_by: str | None = None, finish: Finish | None = None
+) -> int:
+    """Overwrite `path` with `df`; returns the rows written.
+
+    `finish` adds the columns that follow from others of their row. They are made
+    after the shuffle by partition, which so moves narrower rows.
+    """
+    spark = df.sparkSession
+    with shuffles_removed(spark):
+        if partition_by is None:
+            rows, seen = counted(finish(df) if finish else df)
+            rows.write.mode("overwrite").parquet(path)
+        else:
+            dealt = by_partition(df, partition_by)
+            rows, seen = counted(finish(dealt) if finish else dealt)
+            with whole_width(spark):
+                rows.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return seen.get["rows"]
 
 
@@ -151,15 +168,20 @@ def versions(spark: SparkSession, name: str, root: str) -> list[str]:
     return sorted(row[0] for row in below.select(folder).distinct().collect())
 
 
-def save_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
-    """Replace catalog table `name`; returns the rows written."""
-    if partition_by is None:
-        rows, seen = counted(df)
-        rows.write.mode("overwrite").saveAsTable(name)
-    else:
-        rows, seen = counted(by_partition(df, partition_by))
-        with whole_width(df.sparkSession):
-            rows.write.mode("overwrite").partitionBy(partition_by).saveAsTable(name)
+def save_table(
+    df: DataFrame, name: str, partition_by: str | None = None, finish: Finish | None = None
+) -> int:
+    """Replace catalog table `name`; returns the rows written. `finish` as in `write`."""
+    spark = df.sparkSession
+    with shuffles_removed(spark):
+        if partition_by is None:
+            rows, seen = counted(finish(df) if finish else df)
+            rows.write.mode("overwrite").saveAsTable(name)
+        else:
+            dealt = by_partition(df, partition_by)
+            rows, seen = counted(finish(dealt) if finish else dealt)
+            with whole_width(spark):
+                rows.write.mode("overwrite").partitionBy(partition_by).saveAsTable(name)
     return seen.get["rows"]
 
 
@@ -171,7 +193,8 @@ def save_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> int:
     columns that are close to unique, as order ids are.
     """
     rows, seen = counted(df.repartition(buckets, column))
-    rows.write.mode("overwrite").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
+    with shuffles_removed(df.sparkSession):
+        rows.write.mode("overwrite").bucketBy(buckets, column).sortBy(column).saveAsTable(name)
     return seen.get["rows"]
 
 
@@ -182,13 +205,18 @@ def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
 
 
 def publish(
-    df: DataFrame, name: str, as_: str = "table", partition_by: str | None = None
+    df: DataFrame,
+    name: str,
+    as_: str = "table",
+    partition_by: str | None = None,
+    finish: Finish | None = None,
 ) -> DataFrame:
     """Publish a model as a stored `table`, a session `view`, or not at all (`inline`)."""
     spark = df.sparkSession
     if as_ == "table":
-        save_table(df, name, partition_by)
+        save_table(df, name, partition_by, finish)
         return spark.table(name)
+    df = finish(df) if finish else df
     if as_ == "view":
         df.createOrReplaceTempView(name)
         return spark.table(name)

@@ -29,6 +29,8 @@ from parity.views import AS_OF, Views
 ARRIVAL_DAY = dt.date(2001, 1, 1)
 LATE_AS_OF = dt.datetime(2000, 12, 20)
 LATE_HOURS = 48 * 30
+# About 140 MB of text, a block of the plain files.
+RAW_FILE_ROWS = 1_000_000
 
 
 def _text_row(df: DataFrame, **replaced) -> DataFrame:
@@ -43,12 +45,14 @@ def _raw_rows(v: Views, name: str) -> DataFrame:
 
 
 def _write_raw(v: Views, name: str, folder: str) -> None:
-    """A raw file as an upstream system would deliver it."""
-    table, rows = RAW_TABLES[name], _text_row(_raw_rows(v, name))
+    """Raw files as an upstream system would deliver them: zipped, and so as many
+    that a task, which reads a zipped file whole, doesn't read much more than of plain ones."""
+    table, rows = RAW_TABLES[name], _raw_rows(v, name)
+    packed = {"compression": "gzip", "maxRecordsPerFile": RAW_FILE_ROWS}
     if table.format == "csv":
-        rows.write.option("header", True).csv(f"{folder}/{table.file}")
+        _text_row(rows).write.options(header=True, **packed).csv(f"{folder}/{table.file}")
     else:
-        _raw_rows(v, name).write.option("ignoreNullFields", False).json(f"{folder}/{table.file}")
+        rows.write.options(ignoreNullFields=False, **packed).json(f"{folder}/{table.file}")
 
 
 def _ingest_text(v: Views, name: str, lines: DataFrame, header: bool = False) -> DataFrame:

@@ -2,11 +2,19 @@
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
+from types import SimpleNamespace
 
-from courierlake.plans import build, quality
-from courierlake.sources import lake
-from helpers import at, plan_of
+import pytest
+from pyspark.sql import functions as F
+
+from courierlake.plans import build, quality, silver
+from courierlake.session import unless_given
+from courierlake.sources import lake, raw
+from courierlake.sources.schemas import RAW_TABLES
+from helpers import at, plan_of, raw_table, rows_of
+from parity import queries
 
 START = dt.datetime(2026, 1, 15, 9)
 
@@ -129,3 +137,115 @@ def test_silver_report_and_rerun(spark, folder):
         assert found[("orders", "_dq_future_order")] == 8
         assert found[("delivery_events", "_dq_orphan_order")] == 2
         assert found[("delivery_events", "_dq_missing_rider")] == 0
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files on this machine's disk."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, folder, database):
+    rows = spark.range(1000).selectExpr("id % 7 AS n", "date_add(DATE'2026-01-01', int(id % 3)) AS day")
+    before = shuffle_files(spark)
+    for step in (
+        lambda: lake.write(rows.distinct(), f"{folder}/plain"),
+        lambda: lake.write(rows, f"{folder}/days", "day"),
+        lambda: lake.save_table(rows, f"{database}.days", "day"),
+        lambda: lake.save_bucketed(rows, f"{database}.buckets", "n", 2),
+    ):
+        step()
+        until = time.monotonic() + 10
+        while left := shuffle_files(spark) - before:
+            assert time.monotonic() < until, left
+            time.sleep(0.1)
+    assert spark.read.parquet(f"{folder}/days").count() == spark.table(f"{database}.days").count() == 1000
+
+
+def test_what_follows_from_a_row_is_made_after_the_shuffle(spark, folder, database):
+    rows = spark.range(30).selectExpr("id", "date_add(DATE'2026-01-01', int(id % 3)) AS day")
+    dealt = []
+
+    def finish(df):
+        dealt.append(df._jdf.queryExecution().analyzed().toString())
+        return df.withColumn("twice", df.id * 2)
+
+    assert lake.write(rows, f"{folder}/days", "day", finish) == 30
+    assert lake.write(rows, f"{folder}/plain", finish=finish) == 30
+    assert lake.save_table(rows, f"{database}.days", "day", finish) == 30
+    assert lake.publish(rows, "a_view", "view", finish=finish).columns == ["id", "day", "twice"]
+    assert ["RebalancePartitions" in plan for plan in dealt] == [True, False, True, False]
+    for stored in (lake.read(spark, f"{folder}/days"), spark.table(f"{database}.days")):
+        assert stored.where("twice = 2 * id").count() == 30
+
+
+def test_the_run_stores_zstd_unless_the_application_chose(spark, folder, database):
+    key, raw_path = "spark.sql.parquet.compression.codec", write_raw(folder, days=2)
+    before = spark.conf.get(key)
+    tables = build.run(spark, raw_path, f"{folder}/lake", database, at("2026-02-01"), json_lines=False)
+    assert spark.conf.get(key) == before and tables["fct_orders"].count() == 24
+    files = [*Path(folder, "lake").rglob("*.parquet")]
+    assert files and all(file.name.endswith(".zstd.parquet") for file in files)
+    with unless_given(spark, "spark.sql.shuffle.partitions", "9"):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_orphans_are_told_by_the_ids_that_no_order_has(spark):
+    kept = ("order_id", "event_type", "_dq_orphan_order")
+    orders = raw_table(spark, "orders", {"order_id": "o1"}, {"order_id": "o1"}, {"order_id": None}, {"order_id": "o3"})
+    bronze = raw_table(
+        spark,
+        "delivery_events",
+        *({"order_id": o, "event_type": e} for o in ("o1", "ghost", None, "o3") for e in ("delivered", "delivered", None)),
+        _ingested_at=F.lit(at("2026-01-01")),
+        _batch_id=F.lit("b"),
+        _corrupt_record=F.when(F.col("order_id") == "o3", "{"),
+    )
+    unknown = silver.unknown_orders(bronze, orders)
+    assert rows_of(unknown) == [("ghost",)]
+    flagged = silver.silver_events(bronze, orders, unknown)
+    expected = silver.silver_events(bronze, orders)
+    assert flagged.columns == expected.columns and rows_of(flagged) == rows_of(expected)
+    assert {row[0::2] for row in rows_of(flagged, *kept)} == {("o1", False), ("ghost", True), (None, None)}
+    assert rows_of(silver.unknown_orders(bronze, orders.where("false"))) == [("ghost",), ("o1",)]
+
+
+def test_stored_ids_spare_the_events_a_shuffle(spark, folder):
+    """As few unknown ids are broadcast, events move for their deduplication only."""
+    orders = raw_table(spark, "orders", *({"order_id": f"o{i}"} for i in range(50)))
+    events = ({"order_id": f"o{i}", "event_type": "delivered"} for i in range(60))
+    bronze = raw_table(spark, "delivery_events", *events, _ingested_at=F.lit(at("2026-01-01")), _batch_id=F.lit("b"))
+    lake.write(orders, f"{folder}/bronze/orders")
+    lake.write(bronze, f"{folder}/bronze/delivery_events")
+    for name in build.SIMPLE_TABLES:
+        lake.write(raw_table(spark, name).withColumns({"_ingested_at": F.lit(at("2026-01-01")), "_batch_id": F.lit("b")}), f"{folder}/bronze/{name}")
+    plans = []
+    write = lake.write
+
+    def noted(df, path, *args, **more):
+        plans.append((path, plan_of(df)))
+        return write(df, path, *args, **more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lake, "write", noted)
+        build.build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
+    plan = dict(plans)[f"{folder}/silver/delivery_events"]
+    assert plan.count("Exchange hashpartitioning") == 1 and "bronze/orders" not in plan
+    assert lake.read(spark, f"{folder}/silver/delivery_events").where("_dq_orphan_order").count() == 10
+
+
+def test_raw_files_are_delivered_zipped(spark, folder, monkeypatch):
+    monkeypatch.setattr(queries, "RAW_FILE_ROWS", 2)
+    rows = {
+        "refunds": [{"refund_id": f"f{i}", "order_id": "o,1" if i else None, "refund_amount": i / 4} for i in range(7)],
+        "delivery_events": [{"order_id": f"o{i}", "event_ts": at("2026-01-01") if i else None} for i in range(7)],
+    }
+    given = {name: raw_table(spark, name, *some).coalesce(1) for name, some in rows.items()}
+    for name, df in given.items():
+        table = RAW_TABLES[name]
+        queries._write_raw(SimpleNamespace(raw=given.get), name, f"{folder}/raw")
+        files = [file.name for file in Path(folder, "raw", table.file).iterdir() if file.name.startswith("part-")]
+        assert len(files) == 4 and all(name.endswith(".gz") for name in files)
+        assert raw.ingest(spark, table, f"{folder}/raw", f"{folder}/bronze", "b") == 7
+        assert rows_of(lake.read(spark, f"{folder}/bronze/{name}"), *df.columns) == rows_of(df)
