@@ -180,11 +180,17 @@ def test_what_follows_from_a_row_is_made_after_the_shuffle(spark, folder, databa
         assert stored.where("twice = 2 * id").count() == 30
 
 
-def test_the_run_stores_zstd_unless_the_application_chose(spark, folder, database):
+def test_the_run_stores_zstd_unless_the_application_chose(spark, folder, database, monkeypatch):
+    """And reads such files in small pieces, or the sorts of their rows would spill."""
     key, raw_path = "spark.sql.parquet.compression.codec", write_raw(folder, days=2)
-    before = spark.conf.get(key)
+    before, pieces, read = spark.conf.get(key), [], "spark.sql.files.maxPartitionBytes"
+    for step, module in (("ingest_all", raw), ("build_silver", build), ("build_models", build)):
+        given = getattr(module, step)
+        noted = lambda *args, given=given, **more: (pieces.append(int(spark.conf.get(read).rstrip("b"))), given(*args, **more))[1]
+        monkeypatch.setattr(module, step, noted)
     tables = build.run(spark, raw_path, f"{folder}/lake", database, at("2026-02-01"), json_lines=False)
     assert spark.conf.get(key) == before and tables["fct_orders"].count() == 24
+    assert pieces == [build.PACKED_BYTES, build.PACKED_BYTES, 128 * 1024**2]
     files = [*Path(folder, "lake").rglob("*.parquet")]
     assert files and all(file.name.endswith(".zstd.parquet") for file in files)
     with unless_given(spark, "spark.sql.shuffle.partitions", "9"):
